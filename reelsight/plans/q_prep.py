@@ -23,7 +23,7 @@ add_view("ratings", """
     SELECT user_id, item_id, rating, ts AS "timestamp", l_orderkey, l_linenumber, l_suppkey
     FROM interactions""", ("interactions",))
 add_view("split", """
-    SELECT r.*, r."timestamp" <= (SELECT CAST(quantile_cont("timestamp", 0.8) AS BIGINT) FROM ratings) AS is_train
+    SELECT r.*, r."timestamp" <= (SELECT CAST(floor(quantile_cont("timestamp", 0.8)) AS BIGINT) FROM ratings) AS is_train
     FROM ratings r""", ("ratings",))
 
 
@@ -154,7 +154,7 @@ def q_id_maps(spark, sf):
 
 
 @register("chrono_split", with_views("""
-SELECT (SELECT CAST(quantile_cont("timestamp", 0.8) AS BIGINT) FROM ratings) AS cutoff,
+SELECT (SELECT CAST(floor(quantile_cont("timestamp", 0.8)) AS BIGINT) FROM ratings) AS cutoff,
        count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test
 FROM split""", "split"), ids=("JON3",))
 def q_chrono_split(spark, sf):
@@ -269,7 +269,7 @@ def q_train_summary(spark, sf):
 
 @register("snapshot_id", with_views("""
 WITH s AS (
-  SELECT (SELECT CAST(quantile_cont("timestamp", 0.8) AS BIGINT) FROM ratings) AS cutoff_ts,
+  SELECT (SELECT CAST(floor(quantile_cont("timestamp", 0.8)) AS BIGINT) FROM ratings) AS cutoff_ts,
          count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test,
          count(DISTINCT user_id) FILTER (WHERE is_train) AS n_users,
          count(DISTINCT item_id) FILTER (WHERE is_train) AS n_items
