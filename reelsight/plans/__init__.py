@@ -1,6 +1,8 @@
 """Query plans over the test tables; importing this package registers all."""
 
-from reelsight.plans import q_online, q_prep, q_ranking  # noqa: F401
+from reelsight.plans import q_online, q_prep  # noqa: F401  (order: views first)
+from reelsight.plans import q_ranking  # noqa: F401
+from reelsight.plans import q_drift  # noqa: F401
 from reelsight.plans.registry import PLANS, Plan, register, rounded
 
 __all__ = ["PLANS", "Plan", "register", "rounded"]

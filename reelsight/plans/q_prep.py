@@ -25,6 +25,7 @@ add_view("ratings", """
 add_view("split", """
     SELECT r.*, r."timestamp" <= (SELECT CAST(floor(quantile_cont("timestamp", 0.8)) AS BIGINT) FROM ratings) AS is_train
     FROM ratings r""", ("ratings",))
+add_view("drift_rows", "SELECT user_id, item_id AS movie_id, rating, is_train FROM split", ("split",))
 
 
 def ratings(spark, sf):

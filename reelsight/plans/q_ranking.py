@@ -357,9 +357,6 @@ def q_top_items(spark, sf):
     return exposure.top_items(td.watches(spark, sf), 10)
 
 
-_DRIFT_SPLIT = """
-    SELECT user_id, item_id AS movie_id, rating, is_train FROM split"""
-add_view("drift_rows", _DRIFT_SPLIT, ("split",))
 
 
 @register("freq_topn", with_views("""
