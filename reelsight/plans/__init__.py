@@ -5,6 +5,7 @@ from reelsight.plans import q_ranking  # noqa: F401
 from reelsight.plans import q_drift  # noqa: F401
 from reelsight.plans import q_experiment  # noqa: F401
 from reelsight.plans import q_monitoring  # noqa: F401
+from reelsight.plans import q_io  # noqa: F401
 from reelsight.plans.registry import PLANS, Plan, register, rounded
 
 __all__ = ["PLANS", "Plan", "register", "rounded"]
