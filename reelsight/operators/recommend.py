@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelsight.operators.common import global_rank
+
 BLOCK = 256
 
 # Cold-service fallback list and fair re-rank parameters.
@@ -107,7 +109,6 @@ def factor_norm_rank(factors: DataFrame, id_col: str = "item", features: str = "
     """Cold-start ranking: items by L2 norm of their factor vector, largest
     first, ties by id (REC5)."""
     norm = F.sqrt(F.aggregate(F.col(features), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    from reelsight.operators.common import global_rank
     return global_rank(factors.select(id_col, norm.alias("norm")),
                        [F.col("norm").desc(), F.col(id_col).asc()], "rank")
 
@@ -130,11 +131,12 @@ def recommend_fallback(requests: DataFrame, scored: DataFrame | None, cold: Data
     s = (scored.where(F.col("rank") <= k).groupBy(user)
                .agg(F.sort_array(F.collect_list(F.struct("rank", F.col(item).cast("bigint").alias("i"))))
                     .alias("_s")))
-    cold_list = (cold.where(F.col("rank") <= k)
-                     .select(F.sort_array(F.collect_list(F.struct("rank", F.col(item).cast("bigint").alias("i"))))
-                             .alias("_c")).scalar())
+    cold_items = (cold.where(F.col("rank") <= k)
+                      .select(F.transform(F.sort_array(F.collect_list(
+                          F.struct("rank", F.col(item).cast("bigint").alias("i")))), lambda x: x["i"]))
+                      .scalar())
     j = req.join(s, user, "left")
     return j.select(user,
                     F.when(F.col("_s").isNotNull(), F.lit("model")).otherwise(F.lit("cold")).alias("source"),
                     F.when(F.col("_s").isNotNull(), F.transform("_s", lambda x: x["i"]))
-                     .otherwise(F.transform(cold_list, lambda x: x["i"])).alias("items"))
+                     .otherwise(cold_items).alias("items"))
