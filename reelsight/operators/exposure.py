@@ -34,11 +34,16 @@ def top_share_exposure(events: DataFrame, item: str = "movie_id", share: float =
 
 def top_share_exposure_daily(events: DataFrame, day: Column, item: str = "movie_id",
                              share: float = 0.05) -> DataFrame:
-    """AGG9 per calendar day (AGG10); rows without a day are skipped.  The
-    rank window is partitioned by day: a group holds the distinct items of
-    one day (bounded by the catalogue), not its events."""
+    """AGG9 per calendar day (AGG10); rows without a day are skipped."""
     per = (events.where(F.col(item).isNotNull()).withColumn("day", day).where(F.col("day").isNotNull())
                  .groupBy("day", item).agg(F.count(F.lit(1)).alias("watches")))
+    return daily_top_share(per, item, share)
+
+
+def daily_top_share(per: DataFrame, item: str = "movie_id", share: float = 0.05) -> DataFrame:
+    """Top-share exposure from ``(day, item, watches)`` counts.  The rank
+    window is partitioned by day: a group holds the distinct items of one
+    day (bounded by the catalogue), not its events."""
     w = Window.partitionBy("day")
     ranked = (per.withColumn("_r", F.row_number().over(w.orderBy(F.col("watches").desc(), F.col(item))))
                  .withColumn("_n", F.greatest(F.lit(1), F.floor(F.count(F.lit(1)).over(w) * F.lit(share)))))

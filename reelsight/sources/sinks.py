@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 
 def write_batch(df: DataFrame, out_dir: str, topic: str, formats: Sequence[str] = ("parquet", "csv"),
-                date: Column | None = None, mode: str = "append") -> dict[str, str]:
+                date: Column | None = None, mode: str = "append",
+                extra_partitions: Sequence[str] = ()) -> dict[str, str]:
     """Write a batch under ``out_dir/<fmt>/topic=<topic>/date=YYYY-MM-DD/``
     for every format (SNK1).  ``date`` defaults to the processing date (UTC)
-    like the reference; an empty batch writes nothing.  Returns
-    ``{format: path}``."""
+    like the reference; an empty batch writes nothing.  With
+    ``mode="overwrite"`` only the partitions present in the batch are
+    replaced (dynamic partition overwrite), so re-running a batch is
+    idempotent.  Returns ``{format: path}``."""
     if df.isEmpty():
         return {}
     d = date if date is not None else F.current_date()
@@ -28,7 +31,8 @@ def write_batch(df: DataFrame, out_dir: str, topic: str, formats: Sequence[str]
     paths = {}
     for fmt in formats:
         path = os.path.join(out_dir, fmt)
-        w = out.write.mode(mode).partitionBy("topic", "date")
+        w = (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+                .partitionBy("topic", "date", *extra_partitions))
         if fmt == "csv":
             w = w.option("header", True)
         w.format(fmt).save(path)
