@@ -78,8 +78,9 @@ def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int,
     s = seen.select(user, item).distinct()
     counts = (users.select(user).distinct().join(s.groupBy(user).agg(F.count(F.lit(1)).alias("_s")), user, "left")
                    .select(user, F.coalesce("_s", F.lit(0)).alias("_s")))
+    # one row per user, computed once and reused by every tier's scoring job
     tiers = counts.withColumn("_tier", F.when(F.col("_s") == 0, 0)
-                              .otherwise(F.ceil(F.log2(F.col("_s") + 1))).cast("int"))
+                              .otherwise(F.ceil(F.log2(F.col("_s") + 1))).cast("int")).persist()
     present = sorted(r[0] for r in tiers.select("_tier").distinct().collect())  # at most ~log2(catalogue) values
     n_items = model.itemFactors.count()
     parts = []

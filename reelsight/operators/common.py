@@ -4,9 +4,14 @@
 without a single-partition window: Spark's range-partitioned sort orders the
 rows across partitions, ``monotonically_increasing_id`` gives
 ``(partition << 33) + position`` in that order, and a table with one row per
-partition (a proven size bound) turns it into contiguous numbers.  The sorted
-frame is checkpointed to the shared checkpoint folder so both uses of the
-ids see the same rows even if a stage is recomputed after an executor loss.
+partition (a proven size bound) turns it into contiguous numbers.
+
+Both uses of the ids (per-partition counts and the rows themselves) read the
+same range-partitioned exchange, which Spark plans once and reuses; with a
+total order (callers always end the order with a unique key) the sorted
+partitions and therefore the ids are identical in both, also when a stage is
+recomputed after an executor loss.  ``pin=True`` additionally writes the
+sorted frame to the shared checkpoint folder to cut a long lineage.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ _LOW33 = (1 << 33) - 1
 
 
 def global_rank(df: DataFrame, order: Sequence[Column | str], out: str = "rank",
-                pin: bool = True) -> DataFrame:
+                pin: bool = False) -> DataFrame:
     """Add ``out`` = 1-based row number of each row in ``order``.
 
     ``order`` must be a total order (end it with a unique key) for the
@@ -57,13 +62,14 @@ def top_n_flag(counts: DataFrame, n_col: Column, order: Sequence[Column | str],
     return ranked.withColumn(out, F.col("_r") <= n_col).drop("_r")
 
 
-def global_cumsum(df: DataFrame, order: list, value: str, out: str) -> DataFrame:
+def global_cumsum(df: DataFrame, order: list, value: str, out: str, pin: bool = False) -> DataFrame:
     """Exclusive running sum of ``value`` in a total ``order`` without a
     single-partition window: range-sorted partitions, per-partition totals
     (one row each, broadcast) and a window inside each partition."""
     s = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    checkpoint_dir(df.sparkSession)
-    s = s.checkpoint(eager=True)
+    if pin:
+        checkpoint_dir(df.sparkSession)
+        s = s.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
     s = s.withColumn("_pid", pid)
     totals = s.groupBy("_pid").agg(F.sum(value).alias("_tot"))

@@ -2,8 +2,9 @@
 (DRF1-DRF5).
 
 All columns are handled in one pass: both frames are unpivoted to
-``(column, value)``, edges are one aggregate per column (a table with one
-row per column, safe to broadcast), and bin counts are one ``groupBy``.
+``(column, value)``, edges are one aggregate per column (one row per
+column, at most 21 numbers), and bin counts are one ``groupBy`` whose
+partial aggregation collapses the rows map-side.
 """
 
 from __future__ import annotations
@@ -58,28 +59,46 @@ def _bin_index(value: Column, edges: Column) -> Column:
     return F.when(value == F.element_at(edges, -1), m - 1).when((i >= 0) & (i < m), i)
 
 
+def _bin_case(value: Column, edges: list[float]) -> Column:
+    """The bin index of :func:`_bin_index` as a literal CASE chain (compiled
+    by whole-stage codegen, unlike a per-row lambda over the edge array)."""
+    m = len(edges) - 1
+    expr = F.when(value == F.lit(edges[-1]), F.lit(m - 1))
+    expr = expr.when((value > F.lit(edges[-1])) | (value < F.lit(edges[0])), F.lit(None).cast("int"))
+    for i in range(m - 1, -1, -1):
+        expr = expr.when(value >= F.lit(edges[i]), F.lit(i))
+    return expr
+
+
 def bin_shares(ref: DataFrame, cur: DataFrame, edges: DataFrame,
                columns: Sequence[str] = DEFAULT_COLUMNS) -> DataFrame:
     """Per (column, kind, bin): reference and current shares with the
-    zero floor applied; ``kind`` is ``psi`` or ``kl``."""
+    zero floor applied; ``kind`` is ``psi`` or ``kl``.
+
+    The edge table has one row per column (at most 21 numbers each), so it
+    is read to the driver and turned into literal CASE expressions; one pass
+    over both frames then counts every (column, kind, bin)."""
+    spark = ref.sparkSession
+    e = {r["column"]: (list(r["edges_psi"]), list(r["edges_kl"])) for r in edges.collect()}
     sides = (_long(ref, columns).withColumn("side", F.lit("ref"))
              .unionByName(_long(cur, columns).withColumn("side", F.lit("cur"))))
-    e = edges.select("column", F.col("edges_psi"), F.col("edges_kl"))
-    binned = (sides.join(F.broadcast(e), "column")
-                   .select("column", "side",
-                           F.explode(F.array(
-                               F.struct(F.lit("psi").alias("kind"), _bin_index(F.col("value"), F.col("edges_psi")).alias("bin")),
-                               F.struct(F.lit("kl").alias("kind"), _bin_index(F.col("value"), F.col("edges_kl")).alias("bin"))
-                           )).alias("b"))
-                   .select("column", "side", "b.kind", "b.bin")
-                   .where(F.col("bin").isNotNull()))
+    psi_bin, kl_bin = F.lit(None).cast("int"), F.lit(None).cast("int")
+    for c, (ep, ek) in e.items():
+        psi_bin = F.when(F.col("column") == c, _bin_case(F.col("value"), ep)).otherwise(psi_bin)
+        kl_bin = F.when(F.col("column") == c, _bin_case(F.col("value"), ek)).otherwise(kl_bin)
+    counted = (sides.groupBy("column", "side", psi_bin.alias("psi"), kl_bin.alias("kl"))
+                    .agg(F.count(F.lit(1)).alias("n")))
+    binned = (counted.select("column", "side", "n", F.explode(F.array(
+                  F.struct(F.lit("psi").alias("kind"), F.col("psi").alias("bin")),
+                  F.struct(F.lit("kl").alias("kind"), F.col("kl").alias("bin")))).alias("b"))
+                     .select("column", "side", "n", "b.kind", "b.bin")
+                     .where(F.col("bin").isNotNull()))
     counts = (binned.groupBy("column", "kind", "bin")
-                    .agg(F.sum(F.when(F.col("side") == "ref", 1).otherwise(0)).alias("ref_n"),
-                         F.sum(F.when(F.col("side") == "cur", 1).otherwise(0)).alias("cur_n")))
-    grid = (e.select("column", F.explode(F.array(
-                F.struct(F.lit("psi").alias("kind"), (F.size("edges_psi") - 1).alias("m")),
-                F.struct(F.lit("kl").alias("kind"), (F.size("edges_kl") - 1).alias("m")))).alias("g"))
-             .select("column", "g.kind", F.explode(F.sequence(F.lit(0), F.col("g.m") - 1)).alias("bin")))
+                    .agg(F.sum(F.when(F.col("side") == "ref", F.col("n")).otherwise(0)).alias("ref_n"),
+                         F.sum(F.when(F.col("side") == "cur", F.col("n")).otherwise(0)).alias("cur_n")))
+    grid = spark.createDataFrame([(c, k, b) for c, (ep, ek) in e.items()
+                                  for k, ed in (("psi", ep), ("kl", ek)) for b in range(len(ed) - 1)],
+                                 "column string, kind string, bin int")
     full = (grid.join(counts, ["column", "kind", "bin"], "left")
                 .fillna(0, ["ref_n", "cur_n"]))
     tot = full.groupBy("column", "kind").agg(F.sum("ref_n").alias("ref_t"), F.sum("cur_n").alias("cur_t"))
@@ -94,7 +113,8 @@ def drift_metrics(ref: DataFrame, cur: DataFrame, columns: Sequence[str] = DEFAU
                   approx: bool = False) -> DataFrame:
     """Per column present on both sides: ``psi`` (DRF2) and ``kl`` (DRF3)."""
     both = [c for c in columns if c in ref.columns and c in cur.columns]
-    sh = bin_shares(ref, cur, bin_edges(ref, both, approx), both)
+    edges = bin_edges(ref, both, approx)
+    sh = bin_shares(ref, cur, edges, both)
     term = F.when(F.col("kind") == "psi", (F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))) \
             .otherwise(F.col("r") * F.log(F.col("r") / F.col("c")))
     return (sh.groupBy("column")

@@ -25,10 +25,8 @@ def _is_number(sch: Column) -> Column:
     return _is_int(sch) | sch.isin("DOUBLE", "FLOAT") | sch.startswith("DECIMAL")
 
 
-def field_error(v: Column, f: Field) -> Column:
-    """Error text for one field of a parsed record, or null when valid."""
-    val = F.try_variant_get(v, f"$.{f.name}", "variant")
-    sch = F.schema_of_variant(val)
+def _check(f: Field, val: Column, sch: Column) -> Column:
+    """Error text for one field given its VARIANT value and type name."""
     missing = val.isNull() | (sch == "VOID")
     if f.type in ("long", "int"):
         ok = _is_int(sch)
@@ -53,24 +51,55 @@ def field_error(v: Column, f: Field) -> Column:
     return F.when(missing, null_msg).when(~ok, bad_msg)
 
 
+def field_error(v: Column, f: Field) -> Column:
+    """Error text for one field of a parsed record, or null when valid."""
+    val = F.try_variant_get(v, f"$.{f.name}", "variant")
+    return _check(f, val, F.schema_of_variant(val))
+
+
+def _label(errs: Column, key: Column | None) -> Column:
+    if key is None:
+        return errs
+    label = F.concat(F.lit("idx="), key.cast("string"), F.lit(": "))
+    return F.transform(errs, lambda e: F.concat(label, e))
+
+
 def errors_expr(json_text: Column, record: tuple[Field, ...], key: Column | None = None) -> Column:
     """``array<string>`` of every contract violation of a JSON record;
     unparsable JSON is one error; ``key`` labels each message."""
     v = F.try_parse_json(json_text)
     errs = F.array_compact(F.array(*[field_error(v, f) for f in record]))
-    errs = F.when(v.isNull(), F.array(F.lit("invalid JSON"))).otherwise(errs)
-    if key is not None:
-        label = F.concat(F.lit("idx="), key.cast("string"), F.lit(": "))
-        errs = F.transform(errs, lambda e: F.concat(label, e))
-    return errs
+    return _label(F.when(v.isNull(), F.array(F.lit("invalid JSON"))).otherwise(errs), key)
+
+
+def stage_fields(df: DataFrame, json_col: str, names: Iterable[str]) -> DataFrame:
+    """Parse once and extract each named field (value and type name) into
+    its own column.  Separate projections keep Spark from re-parsing the
+    JSON inside every field check (conditional branches are not shared by
+    common-subexpression elimination)."""
+    names = list(dict.fromkeys(names))
+    out = df.withColumn("_v", F.try_parse_json(F.col(json_col)))
+    out = out.select("*", *[F.try_variant_get(F.col("_v"), f"$.{n}", "variant").alias(f"_f_{n}") for n in names])
+    return out.select("*", *[F.schema_of_variant(F.col(f"_f_{n}")).alias(f"_s_{n}") for n in names])
+
+
+def staged_errors(record: tuple[Field, ...], key: Column | None = None) -> Column:
+    """Errors of a record from the columns made by :func:`stage_fields`."""
+    errs = F.array_compact(F.array(*[_check(f, F.col(f"_f_{f.name}"), F.col(f"_s_{f.name}")) for f in record]))
+    return _label(F.when(F.col("_v").isNull(), F.array(F.lit("invalid JSON"))).otherwise(errs), key)
+
+
+def drop_staged(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c == "_v" or c.startswith("_f_") or c.startswith("_s_")])
 
 
 def validate_json(df: DataFrame, json_col: str, record: tuple[Field, ...], key: str | None = None) -> DataFrame:
     """Add ``errors`` (array of ``"idx=<key>: field: problem"``) and ``ok``
     (VAL5).  ``key`` labels the record (the reference labels by batch
     position)."""
-    errs = errors_expr(F.col(json_col), record, F.col(key) if key else None)
-    return df.withColumn("errors", errs).withColumn("ok", F.size("errors") == 0)
+    staged = stage_fields(df, json_col, [f.name for f in record])
+    out = staged.withColumn("errors", staged_errors(record, F.col(key) if key else None))
+    return drop_staged(out).withColumn("ok", F.size("errors") == 0)
 
 
 def validation_summary(validated: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reelsight.operators import drift, splits
+from reelsight.operators import drift
 from reelsight.plans.oracle_views import add_view, with_views
-from reelsight.plans.q_prep import ratings
+from reelsight.plans.q_ranking import split_tables
 from reelsight.plans.registry import register, rounded
 
 COLS = ("user_id", "movie_id", "rating")
@@ -61,7 +61,7 @@ add_view("drift_metrics", """
 
 
 def _frames(spark, sf):
-    train, test = splits.chrono_split(ratings(spark, sf))
+    train, test = split_tables(spark, sf)
     pick = lambda d: d.select("user_id", F.col("item_id").alias("movie_id"), "rating")
     return pick(train), pick(test)
 

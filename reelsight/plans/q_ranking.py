@@ -20,6 +20,7 @@ from reelsight.operators import exposure, features, ranking, recommend, splits
 from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.q_prep import ORDER, ORDER_SQL, ratings
 from reelsight.plans.registry import register, rounded
+from reelsight.session import materialize
 from reelsight.sources import testdata as td
 
 KS = (5, 10, 20)
@@ -100,11 +101,14 @@ metrics_view("off_metrics_svc", "off_recs", "off_truth", "off_eu", "uidx", "iidx
 # ----------------------------------------------------------- spark flows --
 
 def offline_parts(spark, sf):
-    d = splits.reindex(ratings(spark, sf), 5)
+    """The offline flow's shared tables, each written once (see
+    :func:`reelsight.session.materialize`)."""
+    d = materialize(splits.reindex(ratings(spark, sf), 5), "offline-d")
     train, test = splits.last_item_holdout(d, ORDER, user="uidx", item="iidx")
-    truth = splits.truth_sets(test, d, 3.5)
+    train, test = materialize(train, "offline-train"), materialize(test, "offline-test")
+    truth = materialize(splits.truth_sets(test, d, 3.5), "offline-truth")
     users = splits.sample_users(truth, 5000, 42, "uidx")
-    rank = features.popularity_positive(train, 3.5, item="iidx", user="uidx")
+    rank = materialize(features.popularity_positive(train, 3.5, item="iidx", user="uidx"), "offline-rank")
     recs = recommend.popularity_recs(users, train, rank, max(KS), user="uidx", item="iidx")
     return dict(d=d, train=train, test=test, truth=truth, users=users, ranking=rank, recs=recs)
 
@@ -221,12 +225,21 @@ add_view("fair_fair10", _fair_sql(10), ("fair_cand", "fair_tier"))
 
 
 def fair_parts(spark, sf):
-    train, test = splits.chrono_split(ratings(spark, sf), 0.8)
+    """The fairness flow's split and ranking, each written once."""
+    train, test = split_tables(spark, sf)
     users = test.select("user_id").distinct()
-    rank = features.popularity_positive(train, 3.5)
+    rank = materialize(features.popularity_positive(train, 3.5), "fair-rank")
     return dict(train=train, test=test, users=users, ranking=rank)
 
 
+def split_tables(spark, sf):
+    """0.8-quantile time split written once with a flag; train and test are
+    filters on that table (pushed into the parquet scan)."""
+    r = ratings(spark, sf)
+    flagged = materialize(r.withColumn("is_train", F.col("timestamp") <= splits.cutoff(r, 0.8)), "split")
+    return (flagged.where(F.col("is_train")).drop("is_train"), flagged.where(~F.col("is_train")).drop("is_train"))
+
+
 @register("popularity_tiers", with_views("""
 SELECT item_id, tier, count(*) OVER (PARTITION BY tier) AS tier_size FROM fair_tier""", "fair_tier"),
     ids=("REC10", "REC11"))

@@ -78,3 +78,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, tag: str):
+    """Write ``df`` once as a parquet table under the shared checkpoint
+    folder and return a DataFrame reading it back.
+
+    Used for intermediates that several later branches read (a split, a
+    re-indexed table): each is computed exactly once, later plans start from
+    files instead of repeating the upstream joins, and a lost executor only
+    re-reads files.  Every call writes a new folder."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{tag}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

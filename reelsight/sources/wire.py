@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.operators.quality import errors_expr
+from reelsight.operators.quality import drop_staged, stage_fields, staged_errors
 from reelsight.sources.schemas import RECORDS_BY_SUBJECT, SUBJECTS
 
 
@@ -80,10 +80,12 @@ def parse_events(df: DataFrame, topic_col: str = "topic", value_col: str = "valu
     out = out.withColumn("json", F.when(F.col("framed"), F.col("_raw"))
                          .otherwise(normalize_timestamp(F.col("_raw"))))
     keycol = F.col(key) if key else None
+    names = [f.name for record in recs.values() for f in record]
+    staged = stage_fields(out, "json", names)
     errs = F.array(F.concat(F.lit("no schema for subject "), F.col("subject")))
     for subject, record in recs.items():
-        errs = F.when(F.col("subject") == subject, errors_expr(F.col("json"), record, keycol)).otherwise(errs)
-    res = out.withColumn("errors", errs).withColumn("ok", F.size("errors") == 0)
+        errs = F.when(F.col("subject") == subject, staged_errors(record, keycol)).otherwise(errs)
+    res = drop_staged(staged.withColumn("errors", errs)).withColumn("ok", F.size("errors") == 0)
     res = res.withColumn("json", F.when(F.col("framed"), normalize_timestamp(F.col("json")))
                          .otherwise(F.col("json")))
     return res.drop("_raw")
