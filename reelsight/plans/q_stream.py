@@ -157,7 +157,7 @@ def q_stream_dedup(spark, sf):
 
 
 @register("stream_ingest", with_views("SELECT watch_id, watch_id % 10 <> 1 AS ok FROM watches", "watches"),
-          ids=("STR1", "STR2", "SNK1", "VAL3"))
+          ids=("STR1", "STR2", "SRC6", "SNK1", "VAL3"))
 def q_stream_ingest(spark, sf):
     run = _run_dir(spark, "ingest")
     msgs = q_io._watch_messages(spark, sf).join(td.watches(spark, sf).select("watch_id", "ts"), "watch_id")
