@@ -35,7 +35,8 @@ def offline_model(spark, sf):
 
 
 @register("ui_matrix", with_views("""
-SELECT uidx, iidx, sum(CASE WHEN rating > 3.5 THEN 1.0 ELSE 0.0 END) AS value FROM off_train GROUP BY uidx, iidx""",
+SELECT uidx, iidx, sum(CASE WHEN rating > 3.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) AS value
+FROM off_train GROUP BY uidx, iidx""",
     "off_train"), ids=("REC1", "PRJ5"))
 def q_ui_matrix(spark, sf):
     return als.ui_matrix(offline_parts(spark, sf)["train"])

@@ -87,7 +87,7 @@ def q_export_raw_fallback(spark, sf):
 
 
 @register("snapshot_dedup", with_views("""
-SELECT DISTINCT watch_id, user_id % 6 AS _kafka_partition, watch_id AS _kafka_offset,
+SELECT DISTINCT watch_id, CAST(user_id % 6 AS INTEGER) AS _kafka_partition, watch_id AS _kafka_offset,
        CAST(CAST(to_timestamp(ts) AS DATE) AS VARCHAR) AS dt
 FROM watches""", "watches"), ids=("SRC7", "STR3"))
 def q_snapshot_dedup(spark, sf):
@@ -179,7 +179,8 @@ def _watch_messages(spark, sf):
 
 
 @register("parse_events", with_views(f"""
-SELECT watch_id, watch_id % 2 = 0 AS framed, CASE WHEN watch_id % 2 = 0 THEN {WATCH_SCHEMA_ID} END AS schema_id,
+SELECT watch_id, watch_id % 2 = 0 AS framed,
+       CAST(CASE WHEN watch_id % 2 = 0 THEN {WATCH_SCHEMA_ID} END AS BIGINT) AS schema_id,
        'aerosparks.watch-value' AS subject, watch_id % 10 <> 1 AS ok,
        CASE WHEN watch_id % 10 = 1 THEN 1 ELSE 0 END AS n_errors,
        strftime(to_timestamp(ts), '%Y-%m-%dT%H:%M:%S') AS "timestamp"
@@ -218,8 +219,9 @@ def _rate_messages(spark, sf):
 
 @register("validate_records", with_views("""
 SELECT count(*) = 0 OR bool_and(l_linenumber <> 7 AND NOT (l_suppkey % 50 = 0)) AS ok, count(*) AS records,
-       sum(CASE WHEN l_linenumber = 7 OR l_suppkey % 50 = 0 THEN 1 ELSE 0 END) AS invalid,
-       sum((CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) + (CASE WHEN l_suppkey % 50 = 0 THEN 1 ELSE 0 END)) AS errors
+       CAST(sum(CASE WHEN l_linenumber = 7 OR l_suppkey % 50 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid,
+       CAST(sum((CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) + (CASE WHEN l_suppkey % 50 = 0 THEN 1 ELSE 0 END))
+            AS BIGINT) AS errors
 FROM interactions""", "interactions"), ids=("VAL5",))
 def q_validate_records(spark, sf):
     v = quality.validate_json(_rate_messages(spark, sf), "json", RATE_EVENT, "l_orderkey")

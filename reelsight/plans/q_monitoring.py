@@ -24,7 +24,8 @@ add_view("mon_win", """
     SELECT CAST(floor(epoch(ts) / 60) * 60 - 60 * k AS BIGINT) AS window_start, event_type, value
     FROM events CROSS JOIN (SELECT unnest(range(0, 5)) AS k) g""")
 add_view("mon_rate", """
-    SELECT window_start, count(*) AS requests, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS errors,
+    SELECT window_start, count(*) AS requests,
+           CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
            sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) / count(*) AS error_rate,
            count(*) / 300.0 AS rps
     FROM mon_win GROUP BY window_start""", ("mon_win",))

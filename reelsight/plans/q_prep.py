@@ -235,7 +235,7 @@ def q_exclude_seen(spark, sf):
 
 
 @register("activity_buckets", with_views("""
-SELECT bucket, count(*) AS users, sum(n_train) AS n_train FROM (
+SELECT bucket, count(*) AS users, CAST(sum(n_train) AS BIGINT) AS n_train FROM (
   SELECT user_id, count(*) AS n_train,
          CASE WHEN count(*) < 10 THEN 'cold(<10)' WHEN count(*) < 50 THEN 'warm(10-49)' ELSE 'hot(50+)' END AS bucket
   FROM holdout WHERE rn > 1 GROUP BY user_id) x

@@ -341,8 +341,8 @@ def q_fair_ndcg_by_bucket(spark, sf):
 WITH c AS (SELECT movie_id, count(*) AS watches FROM watches WHERE movie_id IS NOT NULL GROUP BY movie_id),
 n AS (SELECT greatest(1, CAST(floor(count(*) * 0.05) AS BIGINT)) AS n_top FROM c),
 r AS (SELECT *, row_number() OVER (ORDER BY watches DESC, movie_id) AS rk FROM c)
-SELECT (SELECT sum(watches) FROM c) AS total_watches, (SELECT count(*) FROM c) AS distinct_items,
-       n.n_top, sum(r.watches) AS top_watches, round(sum(r.watches) / (SELECT sum(watches) FROM c), 6) AS exposure
+SELECT CAST((SELECT sum(watches) FROM c) AS BIGINT) AS total_watches, (SELECT count(*) FROM c) AS distinct_items,
+       n.n_top, CAST(sum(r.watches) AS BIGINT) AS top_watches, round(sum(r.watches) / (SELECT sum(watches) FROM c), 6) AS exposure
 FROM r, n WHERE r.rk <= n.n_top GROUP BY n.n_top""", "watches"), ids=("AGG9",))
 def q_top5_exposure(spark, sf):
     return rounded(exposure.top_share_exposure(td.watches(spark, sf)))
@@ -353,8 +353,8 @@ WITH c AS (SELECT CAST(to_timestamp(ts) AS DATE) AS day, movie_id, count(*) AS w
            FROM watches WHERE movie_id IS NOT NULL GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY watches DESC, movie_id) AS rk,
              greatest(1, floor(count(*) OVER (PARTITION BY day) * 0.05)) AS n FROM c)
-SELECT CAST(day AS VARCHAR) AS day, sum(watches) AS total_watches, count(*) AS distinct_items,
-       sum(CASE WHEN rk <= n THEN watches ELSE 0 END) AS top_watches,
+SELECT CAST(day AS VARCHAR) AS day, CAST(sum(watches) AS BIGINT) AS total_watches, count(*) AS distinct_items,
+       CAST(sum(CASE WHEN rk <= n THEN watches ELSE 0 END) AS BIGINT) AS top_watches,
        round(sum(CASE WHEN rk <= n THEN watches ELSE 0 END) / sum(watches), 6) AS exposure
 FROM r GROUP BY day""", "watches"), ids=("AGG10", "PRJ9"))
 def q_top5_exposure_daily(spark, sf):
