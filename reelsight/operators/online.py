@@ -66,11 +66,13 @@ def watch_window_index(watches: DataFrame, horizon_s: int, keys: Sequence[str])
     """
     w = _width(horizon_s)
     clean = watches.select(*keys, F.col("ts").cast("bigint").alias("ts")).dropna()
-    here = clean.select(*keys, _bucket(F.col("ts"), w).alias("bucket"),
-                        F.col("ts").alias("max_here"), F.lit(None).cast("bigint").alias("min_next"))
-    nxt = clean.select(*keys, (_bucket(F.col("ts"), w) - 1).alias("bucket"),
-                       F.lit(None).cast("bigint").alias("max_here"), F.col("ts").alias("min_next"))
-    return (here.unionByName(nxt)
+    b = _bucket(F.col("ts"), w)
+    none = F.lit(None).cast("bigint")
+    # one scan: each watch is "latest here" for its bucket and "earliest next" for the one before
+    both = clean.select(*keys, F.explode(F.array(
+        F.struct(b.alias("bucket"), F.col("ts").alias("max_here"), none.alias("min_next")),
+        F.struct((b - 1).alias("bucket"), none.alias("max_here"), F.col("ts").alias("min_next")))).alias("_e"))
+    return (both.select(*keys, "_e.*")
                 .groupBy(*keys, "bucket")
                 .agg(F.max("max_here").alias("max_here"), F.min("min_next").alias("min_next")))
 
