@@ -7,8 +7,9 @@ materialises a user x item matrix.  Scoring uses MLlib's blocked top-k
 Excluding seen items needs more than ``k`` candidates per user.  Instead of
 asking every user for ``k + max_seen`` items (one heavy user would inflate
 every request), users are grouped into tiers by the size of their seen set
-(powers of two) and each tier asks for ``k + 2^tier`` items.  That is exact:
-a user with ``s`` seen items needs at most ``k + s`` candidates.
+(powers of two, the smallest tier covering up to 2^MIN_TIER seen items) and
+each tier asks for ``k + 2^tier`` items.  That is exact: a user with ``s``
+seen items needs at most ``k + s`` candidates.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from reelsight.session import checkpoint_dir
 
 # The reference's ALS configuration.
 FACTORS, REG, ITERS, THRESHOLD = 64, 0.01, 20, 3.5
+# Smallest seen-size tier: users with up to 2^MIN_TIER seen items share one
+# scoring job asking k + 2^MIN_TIER candidates (still exact for them).
+MIN_TIER = 6
 
 
 def ui_matrix(train: DataFrame, threshold: float = THRESHOLD, op: str = ">", user: str = "uidx",
@@ -79,13 +83,13 @@ def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int,
     counts = (users.select(user).distinct().join(s.groupBy(user).agg(F.count(F.lit(1)).alias("_s")), user, "left")
                    .select(user, F.coalesce("_s", F.lit(0)).alias("_s")))
     # one row per user, computed once and reused by every tier's scoring job
-    tiers = counts.withColumn("_tier", F.when(F.col("_s") == 0, 0)
-                              .otherwise(F.ceil(F.log2(F.col("_s") + 1))).cast("int")).persist()
+    tiers = counts.withColumn("_tier", F.greatest(F.lit(MIN_TIER), F.ceil(F.log2(F.col("_s") + 1)))
+                              .cast("int")).persist()
     present = sorted(r[0] for r in tiers.select("_tier").distinct().collect())  # at most ~log2(catalogue) values
     n_items = model.itemFactors.count()
     parts = []
     for t in present:
-        n = min(n_items, k + (0 if t == 0 else 2 ** t))
+        n = min(n_items, k + 2 ** t)
         tier_users = tiers.where(F.col("_tier") == t).select(user)
         parts.append(_long_recs(model.recommendForUserSubset(tier_users, n), user, item))
     if not parts:

@@ -69,8 +69,12 @@ def error_rate_alerts(log: DataFrame, limit: float = ERROR_RATE_LIMIT, for_s: in
 
 
 def bucket_index(latency_s: Column, bounds: Sequence[float] = LATENCY_BUCKETS) -> Column:
-    """Index of the first ``le`` bound >= latency; ``len(bounds)`` = +Inf."""
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < latency_s))
+    """Index of the first ``le`` bound >= latency; ``len(bounds)`` = +Inf.
+    A literal CASE chain, so it compiles with the rest of the stage."""
+    expr = F.when(latency_s <= F.lit(bounds[0]), F.lit(0))
+    for i, b in enumerate(bounds[1:], start=1):
+        expr = expr.when(latency_s <= F.lit(b), F.lit(i))
+    return expr.otherwise(F.lit(len(bounds)))
 
 
 def _cumulative(counts: Column) -> Column:
@@ -93,34 +97,36 @@ def latency_histogram(log: DataFrame, latency_ms: str = "latency_ms",
                           F.col("col.cum").alias("cumulative")))
 
 
-def p95_from_buckets(counts: Column, total: Column, q: float = 0.95,
+def p95_from_buckets(counts: list[Column], total: Column, q: float = 0.95,
                      bounds: Sequence[float] = LATENCY_BUCKETS) -> Column:
-    """Quantile estimate from per-bucket counts, linear inside the bucket,
-    like ``histogram_quantile``: falls in +Inf -> highest finite bound."""
-    cum = _cumulative(counts)
+    """Quantile estimate from per-bucket counts (one column per bucket,
+    +Inf last), linear inside the bucket like ``histogram_quantile``; a
+    quantile in +Inf gives the highest finite bound.  Running sums and the
+    bucket search are plain column arithmetic and CASE chains."""
+    cum, acc = [], None
+    for c in counts:
+        acc = c if acc is None else acc + c
+        cum.append(acc)
     rank = F.lit(q) * total
-    b = F.array_position(F.transform(cum, lambda c: c >= rank), True) - 1  # 0-based
-    ub = F.array(*[F.lit(x) for x in bounds])
-    upper = F.element_at(ub, (b + 1).cast("int"))
-    lower = F.when(b == 0, F.lit(0.0)).otherwise(F.element_at(ub, b.cast("int")))
-    prev = F.when(b == 0, F.lit(0)).otherwise(F.element_at(cum, b.cast("int")))
-    inbucket = F.element_at(counts, (b + 1).cast("int"))
-    est = lower + (upper - lower) * (rank - prev) / inbucket
-    return F.when(total == 0, F.lit(None).cast("double")) \
-            .when(b >= len(bounds), F.lit(float(bounds[-1]))) \
-            .otherwise(est)
+    est = F.lit(float(bounds[-1]))
+    for i in range(len(bounds) - 1, -1, -1):
+        lower = F.lit(0.0) if i == 0 else F.lit(float(bounds[i - 1]))
+        prev = F.lit(0) if i == 0 else cum[i - 1]
+        here = lower + (F.lit(float(bounds[i])) - lower) * (rank - prev) / counts[i]
+        est = F.when(cum[i] >= rank, here).otherwise(est)
+    return F.when(total == 0, F.lit(None).cast("double")).otherwise(est)
 
 
 def window_p95(log: DataFrame, latency_ms: str = "latency_ms", time_col: str = "event_time",
                bounds: Sequence[float] = LATENCY_BUCKETS) -> DataFrame:
     """Per sliding window: bucket counts and the histogram p95 (seconds)."""
-    idx = bucket_index(F.col(latency_ms) / 1000.0, bounds)
     w = F.window(F.col(time_col), WINDOW, SLIDE)
-    per = (log.where(F.col(latency_ms).isNotNull())
-              .groupBy(w.alias("w"))
-              .agg(*[F.sum(F.when(idx == i, 1).otherwise(0)).cast("bigint").alias(f"_b{i}")
-                     for i in range(len(bounds) + 1)], F.count(F.lit(1)).alias("requests")))
-    counts = F.array(*[F.col(f"_b{i}") for i in range(len(bounds) + 1)])
+    rows = (log.where(F.col(latency_ms).isNotNull())
+               .select(time_col, bucket_index(F.col(latency_ms) / 1000.0, bounds).alias("_b")))
+    per = (rows.groupBy(w.alias("w"))
+               .agg(*[F.sum(F.when(F.col("_b") == i, 1).otherwise(0)).cast("bigint").alias(f"_b{i}")
+                      for i in range(len(bounds) + 1)], F.count(F.lit(1)).alias("requests")))
+    counts = [F.col(f"_b{i}") for i in range(len(bounds) + 1)]
     return per.select(F.unix_timestamp("w.start").alias("window_start"), "requests",
                       p95_from_buckets(counts, F.col("requests"), 0.95, bounds).alias("p95_s"))
 

@@ -13,7 +13,9 @@ number of ``i`` with ``s_i - i < k``; then the list is positions
 computed in two bounded steps: a count per (user, block of positions) with a
 running sum over the user's blocks (at most catalogue/B rows per user), and
 a row number inside each (user, block) (at most B rows).  Only ``k + t``
-positions per user are ever generated.
+positions per user are ever generated, block by block, and after removing
+the ``t`` seen ones exactly ``k`` remain, so the final per-user ranking
+window holds at most ``k`` rows.
 """
 
 from __future__ import annotations
@@ -54,10 +56,16 @@ def popularity_recs(users: DataFrame, seen: DataFrame, ranking: DataFrame, k: in
              .withColumn("_i", F.col("_before") + F.col("_in")))
     relevant = idx.where(F.col(pos) - F.col("_i") < k).select(user, pos)
     t = relevant.groupBy(user).agg(F.count(F.lit(1)).alias("_t"))
-    gen = (users.select(user).distinct().join(t, user, "left")
-                .select(user, F.least(F.lit(k) + F.coalesce(F.col("_t"), F.lit(0)), n_items).alias("_L"))
-                .where(F.col("_L") >= 1)
-                .select(user, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_L").cast("bigint"))).alias(pos)))
+    # candidate positions 1..L per user, generated per block of BLOCK positions and spread by
+    # (user, block) before expanding, so a user with a long prefix is not expanded in one task
+    lens = (users.select(user).distinct().join(t, user, "left")
+                 .select(user, F.least(F.lit(k) + F.coalesce(F.col("_t"), F.lit(0)), n_items).alias("_L"))
+                 .where(F.col("_L") >= 1))
+    blocks = (lens.select(user, "_L", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                           F.floor((F.col("_L") - 1) / BLOCK))).alias("_blk"))
+                  .repartition(user, "_blk"))
+    gen = blocks.select(user, F.explode(F.sequence(F.col("_blk") * BLOCK + 1,
+                                                   F.least((F.col("_blk") + 1) * BLOCK, F.col("_L")))).alias(pos))
     unseen = gen.join(relevant, [user, pos], "left_anti")
     ranked = unseen.withColumn("rank", F.row_number().over(Window.partitionBy(user).orderBy(pos)))
     return ranked.where(F.col("rank") <= k).join(rk, pos).select(user, "rank", item, pos)
