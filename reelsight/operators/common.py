@@ -80,3 +80,39 @@ def global_cumsum(df: DataFrame, order: list, value: str, out: str, pin: bool =
     return (s.join(F.broadcast(offsets), "_pid")
              .withColumn(out, F.col("_off") + F.coalesce(F.sum(value).over(within), F.lit(0)))
              .drop("_mid", "_pid", "_off"))
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10000,
+                   max_band: int = 50_000_000) -> float | None:
+    """Exact linear-interpolation quantile (same value as ``percentile``)
+    without holding every distinct value in one task.
+
+    ``approx_percentile`` brackets the target rank (its rank error is at most
+    n / accuracy), one pass counts the rows below and inside the bracket, and
+    only the band inside is ranked with :func:`global_rank`.  Falls back to
+    ``percentile`` if the bracket misses or the band is too large.  Returns
+    a Python float (a handful of scalars reach the driver)."""
+    x = F.col(col).cast("double")
+    d = 2.0 / accuracy
+    lv = [max(0.0, q - d), min(1.0, q + d)]
+    s = df.agg(F.count(x).alias("n"), F.percentile_approx(x, lv, accuracy).alias("b")).first()
+    n = s["n"]
+    if not n:
+        return None
+    pos = q * (n - 1)
+    r0 = int(pos // 1)
+    r1 = min(r0 + 1, n - 1)
+    lo, hi = s["b"]
+    c = df.agg(F.count(F.when(x < lo, 1)).alias("below"),
+               F.count(F.when((x >= lo) & (x <= hi), 1)).alias("band")).first()
+    below, band = c["below"], c["band"]
+    if not (below <= r0 and r1 < below + band) or band > max_band:
+        return df.agg(F.percentile(x, F.lit(q))).first()[0]
+    ranked = global_rank(df.where((x >= lo) & (x <= hi)).select(x.alias("_x")), [F.col("_x").asc()], "_r")
+    want = {r0 - below + 1, r1 - below + 1}
+    vals = {r["_r"]: r["_x"] for r in ranked.where(F.col("_r").isin(*want)).collect()}
+    v0, v1 = vals[r0 - below + 1], vals[r1 - below + 1]
+    if r1 == r0:
+        return v0
+    # same interpolation as Spark's percentile
+    return (r1 - pos) * v0 + (pos - r0) * v1

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsight.functions.exprs import hash_uniform
-from reelsight.operators.common import dense_index
+from reelsight.operators.common import dense_index, exact_quantile
 
 
 def min_interactions(df: DataFrame, n: int = 5, user: str = "user_id") -> DataFrame:
@@ -33,13 +33,18 @@ def reindex(df: DataFrame, n: int = 5, user: str = "user_id", item: str = "item_
 
 
 def cutoff(df: DataFrame, q: float = 0.8, col: str = "timestamp", exact: bool = True,
-           accuracy: int = 100000) -> Column:
-    """Time cutoff at quantile ``q`` as a scalar-subquery column (JON3).
-
-    ``exact`` = linear interpolation like numpy (``percentile``, which keeps a
-    count per distinct value); ``exact=False`` uses ``percentile_approx`` with
-    bounded memory for very large inputs."""
+           accuracy: int = 100000, bounded_memory: bool = True) -> Column:
+    """Time cutoff at quantile ``q`` (JON3), truncated to an integer.
+
+    ``exact`` gives numpy's linear interpolation.  With ``bounded_memory``
+    (default) the exact value comes from :func:`exact_quantile` (a narrow
+    band ranked in a distributed sort) instead of ``percentile``, whose final
+    merge keeps every distinct timestamp in one task; the result is the same
+    number.  ``exact=False`` uses ``percentile_approx`` with ``accuracy``."""
     t = F.col(col).cast("double")
+    if exact and bounded_memory:
+        v = exact_quantile(df, col, q)
+        return F.lit(None).cast("bigint") if v is None else F.lit(int(v)).cast("bigint")
     p = F.percentile(t, F.lit(q)) if exact else F.percentile_approx(t, F.lit(q), accuracy)
     return df.select(p.cast("bigint").alias("cutoff")).scalar()
 

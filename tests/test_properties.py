@@ -101,3 +101,12 @@ def test_holdout_partitions_input(spark):
 def test_dense_index(spark):
     df = spark.createDataFrame([(x,) for x in (5, 3, 5, 9, 1, 3)], "u int")
     assert _rows(common.dense_index(df, "u", "idx"), "u", "idx") == [(1, 0), (3, 1), (5, 2), (9, 3)]
+
+
+def test_exact_quantile_equals_percentile(spark):
+    rnd = random.Random(9)
+    vals = [(float(rnd.choice([rnd.randint(0, 30), rnd.randint(0, 10 ** 6)])),) for _ in range(3000)]
+    df = spark.createDataFrame(vals, "v double")
+    for q in (0.0, 0.2, 0.5, 0.8, 0.999, 1.0):
+        want = df.agg(F.percentile("v", F.lit(q))).first()[0]
+        assert common.exact_quantile(df, "v", q) == want
