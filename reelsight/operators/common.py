@@ -112,7 +112,72 @@ def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10000,
     want = {r0 - below + 1, r1 - below + 1}
     vals = {r["_r"]: r["_x"] for r in ranked.where(F.col("_r").isin(*want)).collect()}
     v0, v1 = vals[r0 - below + 1], vals[r1 - below + 1]
-    if r1 == r0:
+    if r1 == r0 or pos == r0 or v0 == v1:
         return v0
     # same interpolation as Spark's percentile
     return (r1 - pos) * v0 + (pos - r0) * v1
+
+
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], accuracy: int = 10000,
+                    max_band: int = 50_000_000) -> list[float] | None:
+    """:func:`exact_quantile` for many levels in a fixed number of jobs: one
+    approximate pass brackets every level, one pass counts below/inside each
+    bracket, and one distributed ranking of the union of the bands (tagged
+    by level) yields the exact values.  Null for an empty column."""
+    x = F.col(col).cast("double")
+    d = 2.0 / accuracy
+    levels = [lv for q in qs for lv in (max(0.0, q - d), min(1.0, q + d))]
+    s = df.agg(F.count(x).alias("n"), F.percentile_approx(x, levels, accuracy).alias("b")).first()
+    n = s["n"]
+    if not n:
+        return None
+    b = s["b"]
+    brackets = [(b[2 * i], b[2 * i + 1]) for i in range(len(qs))]
+    cnt = df.agg(*[F.count(F.when(x < lo, 1)).alias(f"below{i}") for i, (lo, _) in enumerate(brackets)],
+                 *[F.count(F.when((x >= lo) & (x <= hi), 1)).alias(f"band{i}")
+                   for i, (lo, hi) in enumerate(brackets)]).first()
+    plan, total = [], 0
+    for i, q in enumerate(qs):
+        pos = q * (n - 1)
+        r0 = int(pos // 1)
+        r1 = min(r0 + 1, n - 1)
+        below, band = cnt[f"below{i}"], cnt[f"band{i}"]
+        if not (below <= r0 and r1 < below + band):
+            return [float(v) for v in df.agg(F.percentile(x, F.array(*[F.lit(q) for q in qs]))).first()[0]]
+        plan.append((i, pos, r0, r1, below))
+        total += band
+    if total > max_band:
+        return [float(v) for v in df.agg(F.percentile(x, F.array(*[F.lit(q) for q in qs]))).first()[0]]
+    bands = None
+    for i, (lo, hi) in enumerate(brackets):
+        part = df.where((x >= lo) & (x <= hi)).select(F.lit(i).alias("_q"), x.alias("_x"))
+        bands = part if bands is None else bands.unionByName(part)
+    # rank inside each band: order by (band, value), subtract the band's start
+    ranked = global_rank(bands, [F.col("_q").asc(), F.col("_x").asc()], "_r")
+    starts = ranked.groupBy("_q").agg(F.min("_r").alias("_s"))
+    want = [(i, r - below + 1) for i, _, r0, r1, below in plan for r in {r0, r1}]
+    picked = (ranked.join(F.broadcast(starts), "_q").withColumn("_k", F.col("_r") - F.col("_s") + 1)
+                    .where((F.col("_q").cast("bigint") * (1 << 40) + F.col("_k"))
+                           .isin(*[i * (1 << 40) + k for i, k in want]))
+                    .select("_q", "_k", "_x").collect())
+    got = {(r["_q"], r["_k"]): r["_x"] for r in picked}
+    out = []
+    for i, pos, r0, r1, below in plan:
+        v0, v1 = got[(i, r0 - below + 1)], got[(i, r1 - below + 1)]
+        out.append(v0 if (r1 == r0 or pos == r0 or v0 == v1) else (r1 - pos) * v0 + (pos - r0) * v1)
+    return out
+
+
+# Largest distinct count for which Spark's exact ``percentile`` (a value ->
+# count map merged in one task) is used directly; above it the band method.
+PERCENTILE_MAP_LIMIT = 1_000_000
+
+
+def high_cardinality(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> set[str]:
+    """Columns whose estimated distinct count exceeds ``limit`` (default
+    ``PERCENTILE_MAP_LIMIT``), one pass."""
+    if not cols:
+        return set()
+    limit = PERCENTILE_MAP_LIMIT if limit is None else limit
+    r = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
+    return {c for c in cols if (r[c] or 0) > limit}

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelsight.operators.common import exact_quantiles, high_cardinality
+
 # Default thresholds, bin counts and the zero-share floor.
 THRESHOLDS = {"psi": 0.2, "kl": 0.5}
 PSI_BINS, KL_BINS = 10, 20
@@ -44,12 +46,44 @@ def _edges_expr(value: Column, bins: int, approx: bool) -> Column:
     return F.when(F.size(e) < 2, F.array(v - 0.5, v + 0.5)).otherwise(e)
 
 
-def bin_edges(ref: DataFrame, columns: Sequence[str] = DEFAULT_COLUMNS, approx: bool = False) -> DataFrame:
+def bin_edges(ref: DataFrame, columns: Sequence[str] = DEFAULT_COLUMNS, approx: bool = False,
+              bounded_memory: bool = True) -> DataFrame:
     """Per column: ``edges_psi`` (10 bins) and ``edges_kl`` (20 bins) from the
-    unique reference quantiles; fewer than 2 -> ``[v - 0.5, v + 0.5]`` (DRF1)."""
-    return (_long(ref, columns).groupBy("column")
-            .agg(_edges_expr(F.col("value"), PSI_BINS, approx).alias("edges_psi"),
-                 _edges_expr(F.col("value"), KL_BINS, approx).alias("edges_kl")))
+    unique reference quantiles; fewer than 2 -> ``[v - 0.5, v + 0.5]`` (DRF1).
+
+    Columns with at most ``PERCENTILE_MAP_LIMIT`` distinct values (checked
+    with one ``approx_count_distinct`` pass) use one exact ``percentile``
+    aggregate; its value map is bounded by that count.  Columns above the
+    limit (e.g. user ids at scale) use :func:`exact_quantiles`, which ranks
+    only narrow bands around each level.  ``approx=True`` uses
+    ``percentile_approx``."""
+    present = [c for c in columns if c in ref.columns]
+    big = high_cardinality(ref, present) if (bounded_memory and not approx) else set()
+    small = [c for c in present if c not in big]
+    out = None
+    if small:
+        out = (_long(ref, small).groupBy("column")
+               .agg(_edges_expr(F.col("value"), PSI_BINS, approx).alias("edges_psi"),
+                    _edges_expr(F.col("value"), KL_BINS, approx).alias("edges_kl")))
+    if not big:
+        return out
+    lp, lk = quantile_levels(PSI_BINS), quantile_levels(KL_BINS)
+    levels = sorted(set(lp) | set(lk))
+    rows = []
+    for c in big:
+        vals = exact_quantiles(ref.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))), c, levels)
+        at = dict(zip(levels, vals))
+        rows.append((c, _unique_edges([at[q] for q in lp]), _unique_edges([at[q] for q in lk])))
+    banded = ref.sparkSession.createDataFrame(rows, "column string, edges_psi array<double>, edges_kl array<double>")
+    return banded if out is None else out.unionByName(banded)
+
+
+def _unique_edges(values: list[float]) -> list[float]:
+    e = sorted(set(values))
+    if len(e) < 2:
+        v = e[0] if e else 0.0
+        return [v - 0.5, v + 0.5]
+    return e
 
 
 def _bin_index(value: Column, edges: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsight.functions.exprs import hash_uniform
-from reelsight.operators.common import dense_index, exact_quantile
+from reelsight.operators.common import dense_index, exact_quantile, high_cardinality
 
 
 def min_interactions(df: DataFrame, n: int = 5, user: str = "user_id") -> DataFrame:
@@ -36,13 +36,14 @@ def cutoff(df: DataFrame, q: float = 0.8, col: str = "timestamp", exact: bool =
            accuracy: int = 100000, bounded_memory: bool = True) -> Column:
     """Time cutoff at quantile ``q`` (JON3), truncated to an integer.
 
-    ``exact`` gives numpy's linear interpolation.  With ``bounded_memory``
-    (default) the exact value comes from :func:`exact_quantile` (a narrow
-    band ranked in a distributed sort) instead of ``percentile``, whose final
-    merge keeps every distinct timestamp in one task; the result is the same
-    number.  ``exact=False`` uses ``percentile_approx`` with ``accuracy``."""
+    ``exact`` gives numpy's linear interpolation.  ``percentile`` merges a
+    map of every distinct value in one task, so with ``bounded_memory``
+    (default) a column with more than ``PERCENTILE_MAP_LIMIT`` distinct
+    values (one ``approx_count_distinct`` pass) uses :func:`exact_quantile`
+    instead (a narrow band ranked in a distributed sort; same number).
+    ``exact=False`` uses ``percentile_approx`` with ``accuracy``."""
     t = F.col(col).cast("double")
-    if exact and bounded_memory:
+    if exact and bounded_memory and high_cardinality(df, [col]):
         v = exact_quantile(df, col, q)
         return F.lit(None).cast("bigint") if v is None else F.lit(int(v)).cast("bigint")
     p = F.percentile(t, F.lit(q)) if exact else F.percentile_approx(t, F.lit(q), accuracy)

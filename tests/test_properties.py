@@ -110,3 +110,16 @@ def test_exact_quantile_equals_percentile(spark):
     for q in (0.0, 0.2, 0.5, 0.8, 0.999, 1.0):
         want = df.agg(F.percentile("v", F.lit(q))).first()[0]
         assert common.exact_quantile(df, "v", q) == want
+
+
+def test_drift_edges_band_path_equals_map_path(spark, monkeypatch):
+    from reelsight.operators import drift
+
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(rnd.randint(0, 400), rnd.random() * 5) for _ in range(3000)],
+                               "user_id int, rating double")
+    direct = {r["column"]: (r["edges_psi"], r["edges_kl"]) for r in drift.bin_edges(df, ["user_id", "rating"]).collect()}
+    monkeypatch.setattr(common, "PERCENTILE_MAP_LIMIT", 5)
+    banded = {r["column"]: (r["edges_psi"], r["edges_kl"]) for r in drift.bin_edges(df, ["user_id", "rating"]).collect()}
+    assert direct == banded
+    assert common.high_cardinality(df, ["user_id"]) == {"user_id"}
