@@ -175,13 +175,13 @@ def _watch_messages(spark, sf):
     frame = F.unhex(F.lit("00" + format(WATCH_SCHEMA_ID, "08x")))
     value = F.when(F.col("watch_id") % 2 == 0, F.concat(frame, F.encode(framed_body, "UTF-8"))) \
              .otherwise(F.encode(plain_body, "UTF-8"))
-    return w.select("watch_id", F.lit("aerosparks.watch").alias("topic"), value.alias("value"))
+    return w.select("watch_id", F.lit("reco.watch").alias("topic"), value.alias("value"))
 
 
 @register("parse_events", with_views(f"""
 SELECT watch_id, watch_id % 2 = 0 AS framed,
        CAST(CASE WHEN watch_id % 2 = 0 THEN {WATCH_SCHEMA_ID} END AS BIGINT) AS schema_id,
-       'aerosparks.watch-value' AS subject, watch_id % 10 <> 1 AS ok,
+       'reco.watch-value' AS subject, watch_id % 10 <> 1 AS ok,
        CASE WHEN watch_id % 10 = 1 THEN 1 ELSE 0 END AS n_errors,
        strftime(to_timestamp(ts), '%Y-%m-%dT%H:%M:%S') AS "timestamp"
 FROM watches""", "watches"), ids=("VAL3", "VAL4", "VAL7"))
@@ -234,20 +234,20 @@ def q_assert_valid(spark, sf):
     return quality.assert_valid(v.where(F.col("ok"))).select("l_orderkey", "l_linenumber", "ok")
 
 
-_TOPICS = {"click": "aerosparks.watch", "view": "aerosparks.reco_responses", "signup": "aerosparks.signup"}
+_TOPICS = {"click": "reco.watch", "view": "reco.reco_responses", "signup": "reco.signup"}
 
 
 @register("topic_subject", """
-SELECT DISTINCT CASE event_type WHEN 'click' THEN 'aerosparks.watch' WHEN 'view' THEN 'aerosparks.reco_responses'
-                WHEN 'signup' THEN 'aerosparks.signup' ELSE 'aerosparks.' || event_type END AS topic,
-       CASE event_type WHEN 'click' THEN 'aerosparks.watch-value' WHEN 'view' THEN 'aerosparks.reco_responses-value'
-            ELSE (CASE event_type WHEN 'signup' THEN 'aerosparks.signup' ELSE 'aerosparks.' || event_type END)
+SELECT DISTINCT CASE event_type WHEN 'click' THEN 'reco.watch' WHEN 'view' THEN 'reco.reco_responses'
+                WHEN 'signup' THEN 'reco.signup' ELSE 'reco.' || event_type END AS topic,
+       CASE event_type WHEN 'click' THEN 'reco.watch-value' WHEN 'view' THEN 'reco.reco_responses-value'
+            ELSE (CASE event_type WHEN 'signup' THEN 'reco.signup' ELSE 'reco.' || event_type END)
                  || '-value' END AS subject
 FROM events""", ids=("VAL7",))
 def q_topic_subject(spark, sf):
     e = td.table(spark, sf, "events")
     m = F.create_map(*[x for k, v in _TOPICS.items() for x in (F.lit(k), F.lit(v))])
-    topic = F.coalesce(m[F.col("event_type")], F.concat(F.lit("aerosparks."), F.col("event_type")))
+    topic = F.coalesce(m[F.col("event_type")], F.concat(F.lit("reco."), F.col("event_type")))
     return e.select(topic.alias("topic")).distinct().select("topic", wire.subject_for_topic("topic").alias("subject"))
 
 

@@ -68,19 +68,19 @@ RECO_SERVED_EVENT = (
     Field("ts", "long"),
 )
 
-# Topic -> schema subject pointers; unknown topics use
-# ``{topic}-value``.
+# Default topic -> schema subject pointers (a deployment passes its own);
+# topics without a pointer use ``{topic}-value``.
 SUBJECTS = {
-    "aerosparks.watch": "aerosparks.watch-value",
-    "aerosparks.rate": "aerosparks.rate-value",
-    "aerosparks.reco_requests": "aerosparks.reco_requests-value",
-    "aerosparks.reco_responses": "aerosparks.reco_responses-value",
+    "reco.watch": "reco.watch-value",
+    "reco.rate": "reco.rate-value",
+    "reco.reco_requests": "reco.reco_requests-value",
+    "reco.reco_responses": "reco.reco_responses-value",
 }
 RECORDS_BY_SUBJECT = {
-    "aerosparks.watch-value": WATCH_EVENT,
-    "aerosparks.rate-value": RATE_EVENT,
-    "aerosparks.reco_requests-value": RECO_REQUEST_TOPIC,
-    "aerosparks.reco_responses-value": RECO_RESPONSE_TOPIC,
+    "reco.watch-value": WATCH_EVENT,
+    "reco.rate-value": RATE_EVENT,
+    "reco.reco_requests-value": RECO_REQUEST_TOPIC,
+    "reco.reco_responses-value": RECO_RESPONSE_TOPIC,
 }
 
 _SPARK = {
