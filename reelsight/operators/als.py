@@ -20,7 +20,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsight.session import checkpoint_dir
+from reelsight.session import checkpoint_dir, materialize
 
 # The reference's ALS configuration.
 FACTORS, REG, ITERS, THRESHOLD = 64, 0.01, 20, 3.5
@@ -82,9 +82,9 @@ def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int,
     s = seen.select(user, item).distinct()
     counts = (users.select(user).distinct().join(s.groupBy(user).agg(F.count(F.lit(1)).alias("_s")), user, "left")
                    .select(user, F.coalesce("_s", F.lit(0)).alias("_s")))
-    # one row per user, computed once and reused by every tier's scoring job
-    tiers = counts.withColumn("_tier", F.greatest(F.lit(MIN_TIER), F.ceil(F.log2(F.col("_s") + 1)))
-                              .cast("int")).persist()
+    # one row per user, written once and read by every tier's scoring job
+    tiers = materialize(counts.withColumn("_tier", F.greatest(F.lit(MIN_TIER), F.ceil(F.log2(F.col("_s") + 1)))
+                                          .cast("int")), "als-tiers")
     present = sorted(r[0] for r in tiers.select("_tier").distinct().collect())  # at most ~log2(catalogue) values
     n_items = model.itemFactors.count()
     parts = []
