@@ -7,9 +7,10 @@ stage's ``docs``.  All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelsight.llm import simhash
+from reelsight.llm import bpe, simhash
 from reelsight.llm.tables import read, staged
 
 
@@ -19,8 +20,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.one_of_each(docs, shingle=4, max_bits=4)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every whole text instead of the text."""
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 STAGES = [
     ("near_duplicates", near_duplicates),
+    ("tokens", tokens),
 ]
 
 #: SQL has no XXH64 and no byte-pair encoding.

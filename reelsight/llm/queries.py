@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import simhash
+from reelsight.llm import bpe, simhash
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4-word shingles, links at 4 or fewer differing bits."""
     near = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded again."""
+    return bpe.digests(read(spark, sf_dir, "documents"),
+                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
