@@ -10,10 +10,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelsight.llm import bpe, simhash
+from reelsight.llm import bpe, line_quality, simhash
 from reelsight.llm.tables import read, staged
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or are depleted go; the others lose
+    the lines that too many documents of their source share."""
+    return line_quality.clean(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (4-word shingles, at
     most 4 differing bits): the one with the smallest doc_id."""
@@ -26,6 +32,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("tokens", tokens),
 ]

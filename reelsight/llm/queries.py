@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import bpe, html_extract, simhash
+from reelsight.llm import bpe, html_extract, line_quality, simhash
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,46 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, and cross-document line frequency with sources as hosts."""
+    return line_quality.judge(read(spark, sf_dir, "documents"))
+
+
+SQL["op4_quality"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t, text IS NULL AS no_text
+           FROM documents),
+w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, ws
+      FROM (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)),
+win AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, word, ws[i + 1], ws[i + 2]) AS n
+        FROM w WHERE i + 2 <= len(ws)),
+rep AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM win, (VALUES (0), (1), (2)) AS o(k)
+        WHERE n >= 2 GROUP BY rid),
+wc AS (SELECT rid, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY rid),
+l AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
+ln AS (SELECT rid, line, trim(regexp_replace(lower(line), '[^\p{L}]+', ' ', 'g')) AS norm FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+lh AS (SELECT rid, line, length(norm) AS lw, ('0x' || substr(md5(norm), 1, 15))::BIGINT AS h FROM ln),
+dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM lh GROUP BY rid),
+one AS (SELECT min(rid) AS rid FROM d GROUP BY doc_id, source, t, no_text),
+fam AS (SELECT rid, max(struct_pack(w := lw, h := h)).h AS family FROM lh WHERE rid IN (SELECT rid FROM one) GROUP BY rid),
+cnt AS (SELECT source, h, family, count(*) AS n
+        FROM (SELECT DISTINCT rid, h FROM lh) JOIN fam USING (rid) JOIN d USING (rid) GROUP BY ALL),
+bad AS (SELECT source, h FROM cnt GROUP BY ALL HAVING sum(n) > 20 AND max(n) < 0.5::DOUBLE * sum(n)),
+whole AS (SELECT rid, sum(lw) AS whole FROM lh GROUP BY rid),
+cut AS (SELECT rid, sum(lw) AS n_cut FROM lh JOIN d USING (rid)
+        JOIN bad ON bad.h = lh.h AND bad.source IS NOT DISTINCT FROM d.source GROUP BY rid),
+f AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+             length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+             coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             coalesce(n_cut, 0)::BIGINT AS n_cut_chars,
+             coalesce(whole, 0) AS whole
+      FROM d LEFT JOIN wc USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN cut USING (rid) LEFT JOIN whole USING (rid))
+SELECT * EXCLUDE (whole), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND whole - n_cut_chars >= 0.3::DOUBLE * whole AS kept
+FROM f
+"""
+
+
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again."""

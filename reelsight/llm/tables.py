@@ -9,7 +9,6 @@ from reelsight.session import materialize
 
 #: The characters that separate words: space and U+0009 to U+000D.
 SPACE = "\\x20\\x09-\\x0D"
-SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
