@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import bpe, html_extract, line_quality, simhash
+from reelsight.llm import bpe, html_extract, line_quality, mixing, simhash
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,33 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again."""
     return bpe.digests(read(spark, sf_dir, "documents"),
                        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 150 % of their words, weights 5, 2, 1."""
+    return mixing.plan(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op7_mixing"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                            md5(coalesce(doc_id::VARCHAR, 'null') || '|mix') AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS cap,
+             row_number() OVER (ORDER BY source NULLS LAST) - 1 AS idx FROM d GROUP BY source),
+w AS (SELECT *, CASE idx % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+lv AS (SELECT 0 AS round, sum(source_size)::DOUBLE * 1.5::DOUBLE / sum(weight)::DOUBLE AS level, -1::BIGINT AS capped FROM w
+       UNION ALL
+       SELECT round + 1, (SELECT (sum(source_size)::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) FILTER (cap <= lv.level * weight), 0)::DOUBLE)
+                          / sum(weight) FILTER (cap > lv.level * weight)::DOUBLE FROM w),
+              (SELECT count(*) FILTER (cap <= lv.level * weight) FROM w)
+       FROM lv WHERE round < 100 AND capped <> (SELECT count(*) FILTER (cap <= lv.level * weight) FROM w)),
+g AS (SELECT source, source_size, idx, least(cap::DOUBLE, (SELECT arg_max(level, round) FROM lv) * weight) AS target FROM w),
+q AS (SELECT d.doc_id, d.size, g.source_size, g.target, g.idx, row_number() OVER () AS rid,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS cum
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+c AS (SELECT rid, size, idx, source_size * k + cum AS c, (source_size * k + cum)::DOUBLE / target AS finish
+      FROM q, (VALUES (0), (1)) AS t(k) WHERE size > 0 AND target > 0),
+t AS (SELECT rid, size, sum(size) OVER (ORDER BY finish, idx, c ROWS UNBOUNDED PRECEDING) AS upto FROM c),
+k AS (SELECT rid, sum(size) AS taken FROM t WHERE upto <= (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE FROM g) GROUP BY rid)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN k USING (rid)
+"""
