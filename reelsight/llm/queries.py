@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import bpe, html_extract, line_quality, mixing, simhash
+from reelsight.llm import bpe, html_extract, line_quality, mixing, sharding, simhash
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,15 @@ t AS (SELECT rid, size, sum(size) OVER (ORDER BY finish, idx, c ROWS UNBOUNDED P
 k AS (SELECT rid, sum(size) AS taken FROM t WHERE upto <= (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE FROM g) GROUP BY rid)
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN k USING (rid)
 """
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents on 16 shards; slack 0, so that the row counts differ by
+    one at most."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keep = [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+            F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")]
+    placed = sharding.assign(read(spark, sf_dir, "documents"), sharding.Ring(shards=16), keep=keep)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
