@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import bpe, html_extract, line_quality, mixing, sharding, simhash
+from reelsight.llm import bpe, html_extract, line_quality, mixing, sharding, simhash, url_reputation
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,70 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(read(spark, sf_dir, "documents"), sharding.Ring(shards=16), keep=keep)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block",
+             "net/fr/": "block"}
+
+
+@query
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url by the rules, else by its host's reputation from the
+    labels of the documents that the pages show."""
+    pages = read(spark, sf_dir, "pages")
+    outcomes = url_reputation.labelled(pages, read(spark, sf_dir, "labels"))
+    return url_reputation.judge(pages, outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op9_urls"] = r"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+known AS (SELECT doc_id, max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad FROM labels
+          WHERE doc_id IS NOT NULL GROUP BY doc_id),
+o AS (SELECT host, bad FROM p LEFT JOIN known
+      ON known.doc_id = try_cast(nullif(regexp_extract(path, '/([0-9]{1,18})', 1), '') AS BIGINT)),
+hn AS (SELECT host, regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':[0-9]*$', '') AS name,
+              count(bad)::DOUBLE AS n, (count(*) FILTER (bad))::DOUBLE AS y FROM o GROUP BY host),
+h0 AS (SELECT *, regexp_extract(name, '([^.]*\.)?[^.]*$') AS two FROM hn),
+h AS (SELECT host, n, y,
+             CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz', 'com.br', 'co.in')
+                  THEN regexp_extract(name, '([^.]*\.)?([^.]*\.)?[^.]*$') ELSE two END AS domain,
+             CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz', 'com.br', 'co.in')
+                  THEN two ELSE regexp_extract(name, '[^.]*$') END AS suffix FROM h0),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y FROM h GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(y) AS y FROM d GROUP BY ALL),
+g AS (SELECT CASE WHEN sum(n) > 0 THEN sum(y) / sum(n) ELSE 0 END AS m FROM s),
+s1 AS (SELECT s.*, g.m FROM s, g),
+ks AS (SELECT CASE WHEN count(*) > 1 AND sum(n) - sum(n * n) / sum(n) > 0
+                    AND sum(n * (y / n - m) ** 2) > (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))
+               THEN least(200, greatest(2, (sum(y) / sum(n)) * (1 - sum(y) / sum(n)) * (sum(n) - sum(n * n) / sum(n))
+                    / (sum(n * (y / n - m) ** 2) - (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))) - 1))
+               ELSE 200 END AS k FROM s1 WHERE n > 0),
+s2 AS (SELECT suffix, (y + k * m) / (n + k) AS mean FROM s1, ks),
+d1 AS (SELECT d.*, s2.mean AS m FROM d JOIN s2 USING (suffix)),
+kd AS (SELECT CASE WHEN count(*) > 1 AND sum(n) - sum(n * n) / sum(n) > 0
+                    AND sum(n * (y / n - m) ** 2) > (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))
+               THEN least(200, greatest(2, (sum(y) / sum(n)) * (1 - sum(y) / sum(n)) * (sum(n) - sum(n * n) / sum(n))
+                    / (sum(n * (y / n - m) ** 2) - (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))) - 1))
+               ELSE 200 END AS k FROM d1 WHERE n > 0),
+d2 AS (SELECT domain, (y + k * m) / (n + k) AS mean FROM d1, kd),
+h1 AS (SELECT h.*, d2.mean AS m FROM h JOIN d2 USING (domain)),
+kh AS (SELECT CASE WHEN count(*) > 1 AND sum(n) - sum(n * n) / sum(n) > 0
+                    AND sum(n * (y / n - m) ** 2) > (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))
+               THEN least(200, greatest(2, (sum(y) / sum(n)) * (1 - sum(y) / sum(n)) * (sum(n) - sum(n * n) / sum(n))
+                    / (sum(n * (y / n - m) ** 2) - (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))) - 1))
+               ELSE 200 END AS k FROM h1 WHERE n > 0),
+h2 AS (SELECT host, (y + k * m) / (n + k) AS mean, n + k AS total FROM h1, kh),
+b AS (SELECT host, mean - 2 * sqrt(mean * (1 - mean) / (total + 1)) AS bound FROM h2),
+r AS (SELECT p.*, CASE
+        WHEN (host = 'www.example.com' OR suffix(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+        WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+        WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+        WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+        WHEN (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM p)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM r LEFT JOIN b USING (host)
+"""
