@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import bpe, html_extract, line_quality, mixing, sharding, simhash, url_reputation
+from reelsight.llm import bpe, html_extract, line_quality, mixing, prefix_forest, sharding, simhash, url_reputation
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,13 @@ FROM f
 """
 
 
+@query
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every vector whose id is divisible by 20."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return prefix_forest.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again."""
