@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import bpe, html_extract, line_quality, mixing, prefix_forest, sharding, simhash, url_reputation
+from reelsight.llm import bpe, html_extract, line_quality, mixing, prefix_forest, sharding, simhash, toxicity, url_reputation
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +134,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document; grades from the toxic labels."""
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    return toxicity.score(docs, toxicity.model(docs, labels))
+
+
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block",
              "net/fr/": "block"}
 
