@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelsight.llm import bpe, line_quality, mixing, simhash
+from reelsight.llm import bpe, line_quality, mixing, secret_scan, simhash
 from reelsight.llm.tables import read, staged
 
 
@@ -26,6 +26,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.one_of_each(docs, shingle=4, max_bits=4)
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark."""
+    return secret_scan.redact(docs, secret_scan.train(secret_scan.labelled_findings(spark)))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to 150 % of their words at weights 5, 2, 1; a document
     taken twice is there twice, one not taken is gone."""
@@ -40,6 +45,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
+    ("secrets", secrets),
     ("mix", mix),
     ("tokens", tokens),
 ]

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import bpe, html_extract, line_quality, mixing, prefix_forest, sharding, simhash, toxicity, url_reputation
+from reelsight.llm import bpe, html_extract, line_quality, mixing, prefix_forest, secret_scan, sharding, simhash, toxicity, url_reputation
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,13 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate in whole texts with the forest's verdict."""
+    forest = secret_scan.train(secret_scan.labelled_findings(spark))
+    return secret_scan.findings(read(spark, sf_dir, "documents"), forest)
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, and cross-document line frequency with sources as hosts."""
