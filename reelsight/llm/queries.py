@@ -180,22 +180,20 @@ h AS (SELECT host, n, y,
                   THEN two ELSE regexp_extract(name, '[^.]*$') END AS suffix FROM h0),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(y) AS y FROM d GROUP BY ALL),
-g AS (SELECT CASE WHEN sum(n) > 0 THEN sum(y) / sum(n) ELSE 0 END AS m FROM s),
-s1 AS (SELECT s.*, g.m FROM s, g),
+g AS (SELECT sum(n) AS gn, sum(y) AS gy FROM s),
+s1 AS (SELECT s.*, CASE WHEN gn > n THEN (gy - y) / (gn - n) WHEN gn > 0 THEN gy / gn ELSE 0 END AS m FROM s, g),
 ks AS (SELECT CASE WHEN count(*) > 1 AND sum(n) - sum(n * n) / sum(n) > 0
                     AND sum(n * (y / n - m) ** 2) > (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))
                THEN least(200, greatest(2, (sum(y) / sum(n)) * (1 - sum(y) / sum(n)) * (sum(n) - sum(n * n) / sum(n))
                     / (sum(n * (y / n - m) ** 2) - (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))) - 1))
                ELSE 200 END AS k FROM s1 WHERE n > 0),
-s2 AS (SELECT suffix, (y + k * m) / (n + k) AS mean FROM s1, ks),
-d1 AS (SELECT d.*, s2.mean AS m FROM d JOIN s2 USING (suffix)),
+d1 AS (SELECT d.*, (s1.y - d.y + ks.k * s1.m) / (s1.n - d.n + ks.k) AS m FROM d JOIN s1 USING (suffix), ks),
 kd AS (SELECT CASE WHEN count(*) > 1 AND sum(n) - sum(n * n) / sum(n) > 0
                     AND sum(n * (y / n - m) ** 2) > (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))
                THEN least(200, greatest(2, (sum(y) / sum(n)) * (1 - sum(y) / sum(n)) * (sum(n) - sum(n * n) / sum(n))
                     / (sum(n * (y / n - m) ** 2) - (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))) - 1))
                ELSE 200 END AS k FROM d1 WHERE n > 0),
-d2 AS (SELECT domain, (y + k * m) / (n + k) AS mean FROM d1, kd),
-h1 AS (SELECT h.*, d2.mean AS m FROM h JOIN d2 USING (domain)),
+h1 AS (SELECT h.*, (d1.y - h.y + kd.k * d1.m) / (d1.n - h.n + kd.k) AS m FROM h JOIN d1 USING (domain), kd),
 kh AS (SELECT CASE WHEN count(*) > 1 AND sum(n) - sum(n * n) / sum(n) > 0
                     AND sum(n * (y / n - m) ** 2) > (count(*) - 1) * (sum(y) / sum(n)) * (1 - sum(y) / sum(n))
                THEN least(200, greatest(2, (sum(y) / sum(n)) * (1 - sum(y) / sum(n)) * (sum(n) - sum(n * n) / sum(n))

@@ -3,8 +3,8 @@
 Labelled page outcomes (bad or not) are counted for each host.  Rates are
 shrunk down a tree: the suffix's rate towards that of all pages, the registered
 domain's towards its suffix's, the host's towards its domain's.  Each step is
-a beta-binomial posterior whose prior has the parent's posterior mean and a
-strength estimated from the spread of all rates of that level around their
+a beta-binomial posterior whose prior has the parent's posterior mean (from its
+other pages, so that none counts twice) and a strength estimated from the spread of all rates of that level around their
 parents (method of moments, within ``strength``).  A host without labels has
 its domain's rate, and so on up.  A page is blocked if the lower bound of the
 host's posterior, ``z`` standard deviations below its mean, is above ``limit``:
@@ -94,17 +94,23 @@ def reputations(outcomes: DataFrame, rep: Reputation = Reputation()) -> DataFram
     hosts = staged(hosts, "url-hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
-    all_n = tops.agg(F.sum("n").alias("n"), F.sum("y").alias("y")).first()
-    mean = (all_n["y"] or 0) / all_n["n"] if all_n["n"] else 0.0
-
-    def posterior(d: DataFrame) -> DataFrame:
-        return d.withColumn("mean", (F.col("y") + F.col("k") * F.col("m")) / (F.col("n") + F.col("k")))
-
-    tops = posterior(_shrunk(tops.withColumn("m", F.lit(float(mean))), "m", rep.strength))
-    up = tops.select(F.col("suffix").alias("_s"), F.col("mean").alias("m"))
-    domains = posterior(_shrunk(domains.join(up, F.col("suffix") == F.col("_s")), "m", rep.strength))
-    up = domains.select(F.col("domain").alias("_d"), F.col("mean").alias("m"))
-    hosts = posterior(_shrunk(hosts.join(up, F.col("domain") == F.col("_d")), "m", rep.strength))
+    every = tops.agg(F.sum("n").alias("n"), F.sum("y").alias("y")).first()
+    all_n, all_y = every["n"] or 0, every["y"] or 0
+    others = F.lit(all_n) - F.col("n")
+    tops = _shrunk(tops.withColumn("m", F.when(others > 0, (F.lit(all_y) - F.col("y")) / others)
+                                   .otherwise(F.lit(all_y / all_n if all_n else 0.0))), "m", rep.strength)
+
+    def under(level: DataFrame, parents: DataFrame, name: str) -> DataFrame:
+        """``level`` with the posterior mean of each row's parent, its own
+        pages left out, and the strength of the level."""
+        up = parents.select(F.col(name).alias("_p"), F.col("n").alias("pn"), F.col("y").alias("py"), F.col("k").alias("pk"),
+                            F.col("m").alias("pm"))
+        m = (F.col("py") - F.col("y") + F.col("pk") * F.col("pm")) / (F.col("pn") - F.col("n") + F.col("pk"))
+        j = level.join(up, F.col(name) == F.col("_p")).withColumn("m", m)
+        return _shrunk(j.select(*level.columns, "m"), "m", rep.strength)
+
+    domains = under(domains, tops, "suffix")
+    hosts = under(hosts, domains, "domain").withColumn("mean", (F.col("y") + F.col("k") * F.col("m")) / (F.col("n") + F.col("k")))
     total = F.col("n") + F.col("k")
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (total + 1))
     return hosts.select("host", "n", F.col("y").alias("bad"), "mean", (F.col("mean") - rep.z * sd).alias("bound"))
