@@ -7,7 +7,9 @@ fills in what is unset.  Local tests get a small ``local[*]`` session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,8 +62,10 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder and register it with the context.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; only when it is
-    unset (local tests) a private temporary folder is created.
+    The cluster names the folder in ``spark.checkpoint.dir``.  Only a local
+    session may do without: it gets a private temporary folder.  On any other
+    master a machine-local folder would scatter the files over the executors,
+    so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,15 +73,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="reelsight-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    """A path for an intermediate table of this application, under the
+    shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), "tables", spark.sparkContext.applicationId, name)
 
 
 def materialize(df, tag: str):
@@ -87,10 +93,18 @@ def materialize(df, tag: str):
     Used for intermediates that several later branches read (a split, a
     re-indexed table): each is computed exactly once, later plans start from
     files instead of repeating the upstream joins, and a lost executor only
-    re-reads files.  Every call writes a new folder."""
-    import uuid
-
+    re-reads files.  Every call writes a new folder; :func:`release` removes
+    them."""
     spark = df.sparkSession
     path = scratch_path(spark, f"mat-{tag}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables that this application has written.
+
+    To be called when the results that were read from them are written or
+    collected."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
