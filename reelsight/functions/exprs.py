@@ -30,17 +30,8 @@ def to_double_or(col: ColumnOrName, default: float = 0.0) -> Column:
     return F.coalesce(_c(col).try_cast("double"), F.lit(float(default)))
 
 
-def round6(col: ColumnOrName) -> Column:
-    return F.round(_c(col), 6)
-
-
 # ------------------------------------------------------------------ time --
 
-def epoch_seconds(col: ColumnOrName) -> Column:
-    """Whole epoch seconds of a TIMESTAMP / TIMESTAMP_NTZ column (floor)."""
-    return F.unix_timestamp(_c(col))
-
-
 def coerce_ts(col: ColumnOrName, numeric: bool | None = None) -> Column:
     """Timestamp -> epoch seconds (double).
 
@@ -178,24 +169,6 @@ def hash_uniform_sql(seed: int | str, *keys: str) -> str:
     return f"(CAST(('0x' || substr(md5({inner}), 1, 8)) AS BIGINT) / 4294967296.0)"
 
 
-# Cumulative Poisson(1) probabilities P(X <= n), n = 0..7
-# (e^-1 * sum 1/k!).  A uniform below entry n maps to n.
-POISSON1_CDF = tuple(sum(math.exp(-1.0) / math.factorial(k) for k in range(n + 1)) for n in range(8))
-
-
-def poisson1(u: Column) -> Column:
-    """Inverse-CDF Poisson(1) draw from a uniform column (capped at 8)."""
-    expr = F.lit(8)
-    for n in reversed(range(len(POISSON1_CDF))):
-        expr = F.when(u < F.lit(POISSON1_CDF[n]), F.lit(n)).otherwise(expr)
-    return expr
-
-
-def poisson1_sql(u: str) -> str:
-    whens = " ".join(f"WHEN {u} < {p!r} THEN {n}" for n, p in enumerate(POISSON1_CDF))
-    return f"(CASE {whens} ELSE 8 END)"
-
-
 def ideal_dcg(n: ColumnOrName) -> Column:
     """``sum_{i=1..n} 1/log2(i+1)``; 0 for n <= 0."""
     c = _c(n)

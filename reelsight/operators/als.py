@@ -1,15 +1,9 @@
 """Collaborative filtering with MLlib ALS (REC1-REC4, REC8, SNK4).
 
 Training data is the long interaction table; MLlib's blocked ALS never
-materialises a user x item matrix.  Scoring uses MLlib's blocked top-k
-(``recommendForUserSubset``), which keeps only the best items per block.
-
-Excluding seen items needs more than ``k`` candidates per user.  Instead of
-asking every user for ``k + max_seen`` items (one heavy user would inflate
-every request), users are grouped into tiers by the size of their seen set
-(powers of two, the smallest tier covering up to 2^MIN_TIER seen items) and
-each tier asks for ``k + 2^tier`` items.  That is exact: a user with ``s``
-seen items needs at most ``k + s`` candidates.
+materialises a user x item matrix.  Top-k lists without seen items come from
+blocked scoring that masks a block's seen pairs before its top-k, so every
+block emits k rows for each user.
 """
 
 from __future__ import annotations
@@ -20,13 +14,12 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsight.session import checkpoint_dir, materialize
+from reelsight.session import checkpoint_dir
 
 # The reference's ALS configuration.
 FACTORS, REG, ITERS, THRESHOLD = 64, 0.01, 20, 3.5
-# Smallest seen-size tier: users with up to 2^MIN_TIER seen items share one
-# scoring job asking k + 2^MIN_TIER candidates (still exact for them).
-MIN_TIER = 6
+# Users or items of a scoring block.
+BLOCK = 2048
 
 
 def ui_matrix(train: DataFrame, threshold: float = THRESHOLD, op: str = ">", user: str = "uidx",
@@ -76,31 +69,75 @@ def recommend_serving(model: ALSModel, users: DataFrame, k: int, n_items: int |
     return _long_recs(model.recommendForUserSubset(users.select(user).distinct(), kk), user, item)
 
 
+def _best_of_block(k: int):
+    """The k best unseen items of one item block for each user of one user
+    block, by a product of two bounded matrices."""
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        seen = right.filter(pc.equal(right.column("kind"), "seen"))
+        items = right.filter(pc.equal(right.column("kind"), "item")).sort_by("id")
+        names, kinds = ["u", "i", "score"], [pa.int64(), pa.int64(), pa.float64()]
+        if not left.num_rows or not items.num_rows:
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+
+        def matrix(t):
+            flat = t.column("v").combine_chunks().flatten()
+            return np.asarray(flat, dtype=np.float64).reshape(t.num_rows, -1)
+
+        left = left.sort_by("id")
+        u, i = np.asarray(left.column("id")), np.asarray(items.column("id"))
+        score = matrix(left) @ matrix(items).T
+        su, si = np.asarray(seen.column("u")), np.asarray(seen.column("id"))
+        at_u, at_i = np.searchsorted(u, su), np.searchsorted(i, si)
+        known = (at_u < len(u)) & (at_i < len(i))
+        known[known] &= (u[at_u[known]] == su[known]) & (i[at_i[known]] == si[known])
+        score[at_u[known], at_i[known]] = -np.inf
+        # stable: of equal scores the smaller id
+        top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+        rows = np.repeat(np.arange(len(u)), top.shape[1])
+        got = score[rows, top.ravel()]
+        ok = np.isfinite(got)
+        return pa.table([pa.array(u[rows][ok], kinds[0]), pa.array(i[top.ravel()][ok], kinds[1]),
+                         pa.array(got[ok], kinds[2])], names=names)
+
+    return run
+
+
+def top_unseen(users: DataFrame, items: DataFrame, seen: DataFrame, k: int, user: str = "uidx",
+               item: str = "iidx") -> DataFrame:
+    """(user, rank, item, score): the ``k`` unseen items with the largest
+    factor product for each user; ties to the smaller item id.
+
+    ``users`` and ``items`` are (id, features).  Both are dealt into blocks of
+    at most about ``BLOCK`` rows; a block pair masks the pairs of ``seen`` that
+    fall into it before it takes its top k, so it emits at most k rows for
+    each user however much the user has seen, and the best of all blocks are
+    merged."""
+    n_u, n_i = users.count(), items.count()
+    ub, ib = max(1, -(-n_u // BLOCK)), max(1, -(-n_i // BLOCK))
+    deal = lambda c, m: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(m)).cast("int")
+    each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    vec = F.col("features").cast("array<double>").alias("v")
+    left = users.select(F.col("id").cast("long").alias("id"), vec, deal("id", ub).alias("ub"), each(ib).alias("ib"))
+    cat = items.select(F.lit("item").alias("kind"), F.col("id").cast("long").alias("id"), F.lit(-1).cast("long").alias("u"),
+                       vec, each(ub).alias("ub"), deal("id", ib).alias("ib"))
+    old = seen.select(F.lit("seen").alias("kind"), F.col(item).cast("long").alias("id"), F.col(user).cast("long").alias("u"),
+                      F.array().cast("array<double>").alias("v"), deal(user, ub).alias("ub"), deal(item, ib).alias("ib"))
+    found = left.groupBy("ub", "ib").cogroup(cat.unionByName(old).groupBy("ub", "ib")).applyInArrow(
+        _best_of_block(int(k)), "u long, i long, score double")
+    w = Window.partitionBy("u").orderBy(F.col("score").desc(), F.col("i").asc())
+    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                 .select(F.col("u").alias(user), "rank", F.col("i").alias(item), "score"))
+
+
 def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int,
                      user: str = "uidx", item: str = "iidx") -> DataFrame:
-    """Top-k unseen items per known user (REC3), exact, via seen-size tiers."""
-    s = seen.select(user, item).distinct()
-    counts = (users.select(user).distinct().join(s.groupBy(user).agg(F.count(F.lit(1)).alias("_s")), user, "left")
-                   .select(user, F.coalesce("_s", F.lit(0)).alias("_s")))
-    # one row per user, written once and read by every tier's scoring job
-    tiers = materialize(counts.withColumn("_tier", F.greatest(F.lit(MIN_TIER), F.ceil(F.log2(F.col("_s") + 1)))
-                                          .cast("int")), "als-tiers")
-    present = sorted(r[0] for r in tiers.select("_tier").distinct().collect())  # at most ~log2(catalogue) values
-    n_items = model.itemFactors.count()
-    parts = []
-    for t in present:
-        n = min(n_items, k + 2 ** t)
-        tier_users = tiers.where(F.col("_tier") == t).select(user)
-        parts.append(_long_recs(model.recommendForUserSubset(tier_users, n), user, item))
-    if not parts:
-        return users.select(user).limit(0)
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    kept = cand.join(s, [user, item], "left_anti")
-    w = Window.partitionBy(user).orderBy(F.col("rank").asc())
-    return (kept.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-                .select(user, F.col("_r").alias("rank"), item, "score"))
+    """Top-k unseen items of every user the model knows (REC3)."""
+    wanted = users.select(F.col(user).alias("id")).distinct()
+    return top_unseen(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, seen, k, user, item)
 
 
 def recommend_hybrid(cf: DataFrame, popular: DataFrame, user: str = "uidx") -> DataFrame:

@@ -1,17 +1,13 @@
 """Distributed building blocks used by several operators.
 
-``global_rank`` numbers the rows of a DataFrame 1..N in a total order
-without a single-partition window: Spark's range-partitioned sort orders the
-rows across partitions, ``monotonically_increasing_id`` gives
-``(partition << 33) + position`` in that order, and a table with one row per
-partition (a proven size bound) turns it into contiguous numbers.
-
-Both uses of the ids (per-partition counts and the rows themselves) read the
-same range-partitioned exchange, which Spark plans once and reuses; with a
-total order (callers always end the order with a unique key) the sorted
-partitions and therefore the ids are identical in both, also when a stage is
-recomputed after an executor loss.  ``pin=True`` additionally writes the
-sorted frame to the shared checkpoint folder to cut a long lineage.
+``global_rank`` numbers the rows of a DataFrame 1..N in a total order, and
+``global_cumsum`` adds up a column in that order, without a single-partition
+window.  The range-sorted rows are written once, each with
+``(partition << 33) + position``; the per-partition counts or sums (a table
+with one row per partition) and the rows themselves are both read from those
+files.  So the offsets always belong to the partitions of the rows, whatever
+columns a branch prunes, and whether or not Spark reuses an exchange or
+recomputes a lost task.
 """
 
 from __future__ import annotations
@@ -21,30 +17,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsight.session import checkpoint_dir
+from reelsight.session import materialize
 
 _LOW33 = (1 << 33) - 1
 
 
-def global_rank(df: DataFrame, order: Sequence[Column | str], out: str = "rank",
-                pin: bool = False) -> DataFrame:
+def placed(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """The rows in ``order``, written with their place ``_mid``."""
+    return materialize(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()), "placed")
+
+
+def _offsets(placed: DataFrame, amount: Column) -> DataFrame:
+    """Per partition, the sum of ``amount`` over the partitions before it.
+    One row per partition: a single ordered window over it is cheap."""
+    sums = placed.groupBy(F.shiftright("_mid", 33).alias("_pid")).agg(F.sum(amount).alias("_s"))
+    before = F.sum("_s").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    return F.broadcast(sums.select("_pid", F.coalesce(before, F.lit(0)).alias("_off")))
+
+
+def global_rank(df: DataFrame, order: Sequence[Column | str], out: str = "rank") -> DataFrame:
     """Add ``out`` = 1-based row number of each row in ``order``.
 
     ``order`` must be a total order (end it with a unique key) for the
     numbers to be reproducible.
     """
-    s = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    if pin:
-        checkpoint_dir(df.sparkSession)
-        s = s.checkpoint(eager=True)
-    pid = F.shiftright(F.col("_mid"), 33)
-    counts = s.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: a single ordered window over it is cheap
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    return (s.join(F.broadcast(offsets), pid == F.col("_pid"))
+    s = placed(df, order)
+    return (s.join(_offsets(s, F.lit(1)), F.shiftright("_mid", 33) == F.col("_pid"))
              .withColumn(out, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW33)) + F.lit(1))
              .drop("_mid", "_pid", "_off"))
 
@@ -56,128 +54,55 @@ def dense_index(df: DataFrame, col: str, out: str) -> DataFrame:
     return global_rank(ids, [F.col(col).asc()], "_r").select(col, (F.col("_r") - 1).alias(out))
 
 
-def top_n_flag(counts: DataFrame, n_col: Column, order: Sequence[Column | str], out: str) -> DataFrame:
-    """Flag the first ``n_col`` rows of ``counts`` in ``order``."""
-    ranked = global_rank(counts, order, "_r")
-    return ranked.withColumn(out, F.col("_r") <= n_col).drop("_r")
-
-
-def global_cumsum(df: DataFrame, order: list, value: str, out: str, pin: bool = False) -> DataFrame:
-    """Exclusive running sum of ``value`` in a total ``order`` without a
-    single-partition window: range-sorted partitions, per-partition totals
-    (one row each, broadcast) and a window inside each partition."""
-    s = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    if pin:
-        checkpoint_dir(df.sparkSession)
-        s = s.checkpoint(eager=True)
-    pid = F.shiftright(F.col("_mid"), 33)
-    s = s.withColumn("_pid", pid)
-    totals = s.groupBy("_pid").agg(F.sum(value).alias("_tot"))
-    offsets = totals.select("_pid", F.coalesce(
-        F.sum("_tot").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
+def global_cumsum(df: DataFrame, order: list, value: str, out: str) -> DataFrame:
+    """Exclusive running sum of ``value`` in a total ``order``: sums of the
+    partitions before, and a window inside each partition."""
+    s = placed(df, order)
     within = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
-    return (s.join(F.broadcast(offsets), "_pid")
+    return (s.withColumn("_pid", F.shiftright("_mid", 33)).join(_offsets(s, F.col(value)), "_pid")
              .withColumn(out, F.col("_off") + F.coalesce(F.sum(value).over(within), F.lit(0)))
              .drop("_mid", "_pid", "_off"))
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10000,
-                   max_band: int = 50_000_000) -> float | None:
-    """Exact linear-interpolation quantile (same value as ``percentile``)
-    without holding every distinct value in one task.
-
-    ``approx_percentile`` brackets the target rank (its rank error is at most
-    n / accuracy), one pass counts the rows below and inside the bracket, and
-    only the band inside is ranked with :func:`global_rank`.  Falls back to
-    ``percentile`` if the bracket misses or the band is too large.  Returns
-    a Python float (a handful of scalars reach the driver)."""
-    x = F.col(col).cast("double")
-    d = 2.0 / accuracy
-    lv = [max(0.0, q - d), min(1.0, q + d)]
-    s = df.agg(F.count(x).alias("n"), F.percentile_approx(x, lv, accuracy).alias("b")).first()
-    n = s["n"]
-    if not n:
-        return None
-    pos = q * (n - 1)
-    r0 = int(pos // 1)
-    r1 = min(r0 + 1, n - 1)
-    lo, hi = s["b"]
-    c = df.agg(F.count(F.when(x < lo, 1)).alias("below"),
-               F.count(F.when((x >= lo) & (x <= hi), 1)).alias("band")).first()
-    below, band = c["below"], c["band"]
-    if not (below <= r0 and r1 < below + band) or band > max_band:
-        return df.agg(F.percentile(x, F.lit(q))).first()[0]
-    ranked = global_rank(df.where((x >= lo) & (x <= hi)).select(x.alias("_x")), [F.col("_x").asc()], "_r")
-    want = {r0 - below + 1, r1 - below + 1}
-    vals = {r["_r"]: r["_x"] for r in ranked.where(F.col("_r").isin(*want)).collect()}
-    v0, v1 = vals[r0 - below + 1], vals[r1 - below + 1]
-    if r1 == r0 or pos == r0 or v0 == v1:
-        return v0
-    # same interpolation as Spark's percentile
-    return (r1 - pos) * v0 + (pos - r0) * v1
-
-
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], accuracy: int = 10000,
-                    max_band: int = 50_000_000) -> list[float] | None:
-    """:func:`exact_quantile` for many levels in a fixed number of jobs: one
-    approximate pass brackets every level, one pass counts below/inside each
-    bracket, and one distributed ranking of the union of the bands (tagged
-    by level) yields the exact values.  Null for an empty column."""
-    x = F.col(col).cast("double")
-    d = 2.0 / accuracy
-    levels = [lv for q in qs for lv in (max(0.0, q - d), min(1.0, q + d))]
-    s = df.agg(F.count(x).alias("n"), F.percentile_approx(x, levels, accuracy).alias("b")).first()
-    n = s["n"]
-    if not n:
-        return None
-    b = s["b"]
-    brackets = [(b[2 * i], b[2 * i + 1]) for i in range(len(qs))]
-    cnt = df.agg(*[F.count(F.when(x < lo, 1)).alias(f"below{i}") for i, (lo, _) in enumerate(brackets)],
-                 *[F.count(F.when((x >= lo) & (x <= hi), 1)).alias(f"band{i}")
-                   for i, (lo, hi) in enumerate(brackets)]).first()
-    plan, total = [], 0
-    for i, q in enumerate(qs):
-        pos = q * (n - 1)
-        r0 = int(pos // 1)
-        r1 = min(r0 + 1, n - 1)
-        below, band = cnt[f"below{i}"], cnt[f"band{i}"]
-        if not (below <= r0 and r1 < below + band):
-            return [float(v) for v in df.agg(F.percentile(x, F.array(*[F.lit(q) for q in qs]))).first()[0]]
-        plan.append((i, pos, r0, r1, below))
-        total += band
-    if total > max_band:
-        return [float(v) for v in df.agg(F.percentile(x, F.array(*[F.lit(q) for q in qs]))).first()[0]]
-    bands = None
-    for i, (lo, hi) in enumerate(brackets):
-        part = df.where((x >= lo) & (x <= hi)).select(F.lit(i).alias("_q"), x.alias("_x"))
-        bands = part if bands is None else bands.unionByName(part)
-    # rank inside each band: order by (band, value), subtract the band's start
-    ranked = global_rank(bands, [F.col("_q").asc(), F.col("_x").asc()], "_r")
-    starts = ranked.groupBy("_q").agg(F.min("_r").alias("_s"))
-    want = [(i, r - below + 1) for i, _, r0, r1, below in plan for r in {r0, r1}]
-    picked = (ranked.join(F.broadcast(starts), "_q").withColumn("_k", F.col("_r") - F.col("_s") + 1)
-                    .where((F.col("_q").cast("bigint") * (1 << 40) + F.col("_k"))
-                           .isin(*[i * (1 << 40) + k for i, k in want]))
-                    .select("_q", "_k", "_x").collect())
-    got = {(r["_q"], r["_k"]): r["_x"] for r in picked}
-    out = []
-    for i, pos, r0, r1, below in plan:
-        v0, v1 = got[(i, r0 - below + 1)], got[(i, r1 - below + 1)]
-        out.append(v0 if (r1 == r0 or pos == r0 or v0 == v1) else (r1 - pos) * v0 + (pos - r0) * v1)
+def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> dict[str, list[float] | None]:
+    """Exact linear-interpolation quantiles (the values of ``percentile``) of
+    each column, null and NaN left out; None for a column without values.
+
+    One scan counts the rows of each (column, value); the counts are added up
+    in order, and the rows that hold the wanted ranks are picked.  Neither a
+    value map nor a column is gathered in one task.  One row per column
+    reaches the driver."""
+    if not columns:
+        return {}
+    rows = (df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+              .unpivot([], list(columns), "column", "value")
+              .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    counts = rows.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    c = materialize(global_cumsum(counts, [F.col("column"), F.col("value")], "n", "upto"), "quantiles")
+    spans = {r["column"]: (r["start"], r["n"]) for r in
+             c.groupBy("column").agg(F.min("upto").alias("start"), F.sum("n").alias("n")).collect()}
+    ranks = {k: [(q * (n - 1), int(q * (n - 1) // 1)) for q in qs] for k, (_, n) in spans.items()}
+    wanted = {k: sorted({r + d for _, r in v for d in (0, 1)}) for k, v in ranks.items()}
+    found: dict[str, dict[int, float]] = {}
+    if spans:
+        hit = F.lit(False)
+        for k, want in wanted.items():
+            start = spans[k][0]
+            at = F.lit(False)
+            for r in want:
+                at = at | ((F.col("upto") <= F.lit(start + r)) & (F.lit(start + r) < F.col("upto") + F.col("n")))
+            hit = hit | ((F.col("column") == k) & at)
+        for row in c.where(hit).collect():  # at most two rows for each level and column
+            lo = row["upto"] - spans[row["column"]][0]
+            found.setdefault(row["column"], {}).update(
+                {r: row["value"] for r in wanted[row["column"]] if lo <= r < lo + row["n"]})
+    out: dict[str, list[float] | None] = {k: None for k in columns}
+    for k, places in ranks.items():
+        vals = []
+        for pos, r0 in places:
+            r1 = min(r0 + 1, spans[k][1] - 1)
+            v0, v1 = found[k][r0], found[k][r1]
+            # same interpolation as Spark's percentile
+            vals.append(v0 if pos == r0 or v0 == v1 else (r1 - pos) * v0 + (pos - r0) * v1)
+        out[k] = vals
     return out
-
-
-# Largest distinct count for which Spark's exact ``percentile`` (a value ->
-# count map merged in one task) is used directly; above it the band method.
-PERCENTILE_MAP_LIMIT = 1_000_000
-
-
-def high_cardinality(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> set[str]:
-    """Columns whose estimated distinct count exceeds ``limit`` (default
-    ``PERCENTILE_MAP_LIMIT``), one pass."""
-    if not cols:
-        return set()
-    limit = PERCENTILE_MAP_LIMIT if limit is None else limit
-    r = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
-    return {c for c in cols if (r[c] or 0) > limit}

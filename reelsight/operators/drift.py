@@ -1,10 +1,9 @@
 """Distribution drift: quantile bin edges, PSI, KL and a drift report
 (DRF1-DRF5).
 
-All columns are handled in one pass: both frames are unpivoted to
-``(column, value)``, edges are one aggregate per column (one row per
-column, at most 21 numbers), and bin counts are one ``groupBy`` whose
-partial aggregation collapses the rows map-side.
+All columns are handled in one pass: edges come from the counts of the
+distinct values (one scan, at most 21 numbers for each column), and bin counts
+are one ``groupBy`` whose partial aggregation collapses the rows map-side.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.operators.common import exact_quantiles, high_cardinality
+from reelsight.operators.common import exact_quantiles
 
 # Default thresholds, bin counts and the zero-share floor.
 THRESHOLDS = {"psi": 0.2, "kl": 0.5}
@@ -38,44 +37,19 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
               .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def _edges_expr(value: Column, bins: int, approx: bool) -> Column:
-    levels = F.array(*[F.lit(q) for q in quantile_levels(bins)])
-    q = F.percentile_approx(value, levels, 100000) if approx else F.percentile(value, levels)
-    e = F.array_sort(F.array_distinct(q))
-    v = F.coalesce(e[0], F.lit(0.0))
-    return F.when(F.size(e) < 2, F.array(v - 0.5, v + 0.5)).otherwise(e)
-
-
-def bin_edges(ref: DataFrame, columns: Sequence[str] = DEFAULT_COLUMNS, approx: bool = False,
-              bounded_memory: bool = True) -> DataFrame:
+def bin_edges(ref: DataFrame, columns: Sequence[str] = DEFAULT_COLUMNS) -> DataFrame:
     """Per column: ``edges_psi`` (10 bins) and ``edges_kl`` (20 bins) from the
-    unique reference quantiles; fewer than 2 -> ``[v - 0.5, v + 0.5]`` (DRF1).
-
-    Columns with at most ``PERCENTILE_MAP_LIMIT`` distinct values (checked
-    with one ``approx_count_distinct`` pass) use one exact ``percentile``
-    aggregate; its value map is bounded by that count.  Columns above the
-    limit (e.g. user ids at scale) use :func:`exact_quantiles`, which ranks
-    only narrow bands around each level.  ``approx=True`` uses
-    ``percentile_approx``."""
+    unique reference quantiles; fewer than 2 -> ``[v - 0.5, v + 0.5]``
+    (DRF1).  All columns and levels come from one scan."""
     present = [c for c in columns if c in ref.columns]
-    big = high_cardinality(ref, present) if (bounded_memory and not approx) else set()
-    small = [c for c in present if c not in big]
-    out = None
-    if small:
-        out = (_long(ref, small).groupBy("column")
-               .agg(_edges_expr(F.col("value"), PSI_BINS, approx).alias("edges_psi"),
-                    _edges_expr(F.col("value"), KL_BINS, approx).alias("edges_kl")))
-    if not big:
-        return out
     lp, lk = quantile_levels(PSI_BINS), quantile_levels(KL_BINS)
     levels = sorted(set(lp) | set(lk))
     rows = []
-    for c in big:
-        vals = exact_quantiles(ref.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))), c, levels)
-        at = dict(zip(levels, vals))
-        rows.append((c, _unique_edges([at[q] for q in lp]), _unique_edges([at[q] for q in lk])))
-    banded = ref.sparkSession.createDataFrame(rows, "column string, edges_psi array<double>, edges_kl array<double>")
-    return banded if out is None else out.unionByName(banded)
+    for c, vals in exact_quantiles(ref, present, levels).items():
+        if vals is not None:
+            at = dict(zip(levels, vals))
+            rows.append((c, _unique_edges([at[q] for q in lp]), _unique_edges([at[q] for q in lk])))
+    return ref.sparkSession.createDataFrame(rows, "column string, edges_psi array<double>, edges_kl array<double>")
 
 
 def _unique_edges(values: list[float]) -> list[float]:
@@ -143,11 +117,10 @@ def bin_shares(ref: DataFrame, cur: DataFrame, edges: DataFrame,
                         floor(share("ref_n", "ref_t")).alias("r"), floor(share("cur_n", "cur_t")).alias("c")))
 
 
-def drift_metrics(ref: DataFrame, cur: DataFrame, columns: Sequence[str] = DEFAULT_COLUMNS,
-                  approx: bool = False) -> DataFrame:
+def drift_metrics(ref: DataFrame, cur: DataFrame, columns: Sequence[str] = DEFAULT_COLUMNS) -> DataFrame:
     """Per column present on both sides: ``psi`` (DRF2) and ``kl`` (DRF3)."""
     both = [c for c in columns if c in ref.columns and c in cur.columns]
-    edges = bin_edges(ref, both, approx)
+    edges = bin_edges(ref, both)
     sh = bin_shares(ref, cur, edges, both)
     term = F.when(F.col("kind") == "psi", (F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))) \
             .otherwise(F.col("r") * F.log(F.col("r") / F.col("c")))
@@ -176,4 +149,5 @@ def drift_table(ref: DataFrame, cur: DataFrame, columns: Sequence[str] = DEFAULT
     m = drift_metrics(ref, cur, columns)
     return (wanted.join(m, "column", "left")
                   .select("column", F.round("psi", 6).alias("psi"), F.round("kl", 6).alias("kl"),
+                          F.lit(lim["psi"]).alias("psi_threshold"), F.lit(lim["kl"]).alias("kl_threshold"),
                           ((F.col("psi") > lim["psi"]) | (F.col("kl") > lim["kl"])).alias("flag")))

@@ -8,12 +8,11 @@ cost does not grow with the number of responses beyond that one pass.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsight.functions.exprs import hash_uniform, normal_cdf
+from reelsight.session import materialize
 
 ALPHA = 0.05
 
@@ -84,29 +83,59 @@ def z_test(rates: DataFrame, arm_a: str = "A", arm_b: str = "B") -> DataFrame:
                     (F.col("succ_a") / F.col("n_a") - F.col("succ_b") / F.col("n_b")).alias("delta"))
 
 
-def binomial_draw(n: Column, p: Column, u1: Column, u2: Column) -> Column:
-    """Binomial(n, p) draw by the normal approximation (Box-Muller on two
-    hashed uniforms), rounded and clipped to [0, n]."""
-    zn = F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
-    x = F.round(n * p + F.sqrt(n * p * (1 - p)) * zn)
-    return F.least(F.greatest(x, F.lit(0.0)), n.cast("double"))
+#: Standard deviations around the mean that a binomial table covers; what is
+#: outside has a probability below 1e-30.
+REACH = 12
+
+
+def binomial_table(c: DataFrame, successes: str, n: str) -> DataFrame:
+    """(k, cdf) of Binomial(n, successes / n) for the one row of ``c``.
+
+    The probabilities follow from the ratios of neighbours, added up as
+    logarithms from the lower end and scaled to 1; the table has about
+    ``2 * REACH`` standard deviations of rows."""
+    p = F.col(successes) / F.col(n)
+    sd = F.sqrt(F.col(n) * p * (1 - p))
+    lo = F.greatest(F.lit(0), F.floor(F.col(successes) - REACH * sd - REACH)).cast("long")
+    hi = F.least(F.col(n), F.ceil(F.col(successes) + REACH * sd + REACH)).cast("long")
+    inner = (F.col(successes) > 0) & (F.col(successes) < F.col(n))
+    ks = c.where(F.col(n) > 0).select(successes, n, F.explode(F.when(inner, F.sequence(lo, hi)).otherwise(
+        F.array(F.col(successes).cast("long")))).alias("k"), F.when(inner, lo).otherwise(F.col(successes)).alias("lo"))
+    ratio = F.when(F.col("k") == F.col("lo"), F.lit(0.0)).otherwise(
+        F.log((F.col(n) - F.col("k") + 1) / F.col("k") * (p / (1 - p))))
+    up = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    logs = ks.select("k", F.sum(ratio).over(up).alias("l"))
+    weight = logs.select("k", F.exp(F.col("l") - F.max("l").over(Window.partitionBy())).alias("w"))
+    return weight.select("k", (F.sum("w").over(up) / F.sum("w").over(Window.partitionBy())).alias("cdf"))
+
+
+def binomial_draws(table: DataFrame, replicates: int, seed: int, tag: str) -> DataFrame:
+    """(rep, k): for each replicate the smallest k whose cdf reaches a hashed
+    uniform: an exact inverse draw.  Draws and table are merged by value;
+    both are bounded (replicates, table rows)."""
+    u = F.lit(1.0) - hash_uniform(seed, F.lit(tag), F.col("rep"))
+    reps = table.sparkSession.range(1, int(replicates) + 1).select(F.col("id").cast("int").alias("rep"))
+    both = reps.select(u.alias("v"), "rep", F.lit(None).cast("long").alias("k"), F.lit(1).alias("kind")).unionByName(
+        table.select(F.col("cdf").alias("v"), F.lit(None).cast("int").alias("rep"), "k", F.lit(0).alias("kind")))
+    down = Window.orderBy(F.desc("v"), "kind").rowsBetween(Window.unboundedPreceding, 0)
+    top = table.select(F.max("k")).scalar()  # a uniform above the last, rounded cdf
+    return both.withColumn("k", F.coalesce(F.min("k").over(down), top)).where("kind = 1").select("rep", "k")
 
 
 def bootstrap_ci(rates: DataFrame, replicates: int = 2000, seed: int = 42, alpha: float = ALPHA,
                  arm_a: str = "A", arm_b: str = "B") -> DataFrame:
     """Percentile CI of the rate difference from a parametric bootstrap:
     each replicate redraws both arms' successes from Binomial(n, rate)
-    (EXP5).  Replicates are ``sequence(1, B)`` rows; the cost depends on B,
-    not on the log size."""
-    c = _counts(rates, arm_a, arm_b)
-    reps = c.select("*", F.explode(F.sequence(F.lit(1), F.lit(int(replicates)))).alias("rep"))
-    u = lambda tag: F.lit(1.0) - hash_uniform(seed, F.lit(tag), F.col("rep"))
-    ra = F.col("succ_a") / F.col("n_a")
-    rb = F.col("succ_b") / F.col("n_b")
-    d = reps.select(
-        (binomial_draw(F.col("n_a"), ra, u("a1"), u("a2")) / F.col("n_a")
-         - binomial_draw(F.col("n_b"), rb, u("b1"), u("b2")) / F.col("n_b")).alias("delta"))
-    pct = F.percentile(F.col("delta"), F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2)))
+    (EXP5).  The cost depends on the replicates, not on the log size."""
+    c = materialize(_counts(rates, arm_a, arm_b), "ab-counts")  # one row
+    n = c.first()
+    draw = lambda s, m, tag: binomial_draws(binomial_table(c, s, m), replicates, seed, tag)
+    a = draw("succ_a", "n_a", "a").withColumnRenamed("k", "ka")
+    b = draw("succ_b", "n_b", "b").withColumnRenamed("k", "kb")
+    d = a.join(b, "rep").select(F.try_divide(F.col("ka").cast("double"), F.lit(n["n_a"])).alias("ra"),
+                                F.try_divide(F.col("kb").cast("double"), F.lit(n["n_b"])).alias("rb"))
+    # the differences of all replicates are a bounded list
+    pct = F.percentile(F.col("ra") - F.col("rb"), F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2)))
     return d.agg(pct[0].alias("ci_lo"), pct[1].alias("ci_hi"), F.count(F.lit(1)).alias("replicates"))
 
 

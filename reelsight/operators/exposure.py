@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsight.functions.exprs import ideal_dcg
@@ -41,16 +41,20 @@ def top_share_exposure_daily(events: DataFrame, day: Column, item: str = "movie_
 
 
 def daily_top_share(per: DataFrame, item: str = "movie_id", share: float = 0.05) -> DataFrame:
-    """Top-share exposure from ``(day, item, watches)`` counts.  The rank
-    window is partitioned by day: a group holds the distinct items of one
-    day (bounded by the catalogue), not its events."""
-    w = Window.partitionBy("day")
-    ranked = (per.withColumn("_r", F.row_number().over(w.orderBy(F.col("watches").desc(), F.col(item))))
-                 .withColumn("_n", F.greatest(F.lit(1), F.floor(F.count(F.lit(1)).over(w) * F.lit(share)))))
-    return (ranked.groupBy("day")
-                  .agg(F.sum("watches").alias("total_watches"), F.count(F.lit(1)).alias("distinct_items"),
-                       F.sum(F.when(F.col("_r") <= F.col("_n"), F.col("watches")).otherwise(0)).alias("top_watches"))
-                  .withColumn("exposure", F.col("top_watches") / F.col("total_watches")))
+    """Top-share exposure from ``(day, item, watches)`` counts.
+
+    Items are numbered over all days at once, in the order (day, watches
+    descending, item); a day's items are a run of numbers, so its top ones
+    need no window over the day."""
+    ranked = global_rank(per, [F.col("day"), F.col("watches").desc(), F.col(item)], "_r")
+    days = ranked.groupBy("day").agg(F.min("_r").alias("_first"), F.sum("watches").alias("total_watches"),
+                                     F.count(F.lit(1)).alias("distinct_items"))
+    n = F.greatest(F.lit(1), F.floor(F.col("distinct_items") * F.lit(share)))
+    top = (ranked.join(days.select("day", (F.col("_first") + n).alias("_end")), "day").where(F.col("_r") < F.col("_end"))
+                 .groupBy("day").agg(F.sum("watches").alias("top_watches")))
+    return (days.drop("_first").join(top, "day")
+                .select("day", "total_watches", "distinct_items", "top_watches",
+                        (F.col("top_watches") / F.col("total_watches")).alias("exposure")))
 
 
 def top_items(events: DataFrame, n: int = 10, item: str = "movie_id") -> DataFrame:
@@ -60,7 +64,9 @@ def top_items(events: DataFrame, n: int = 10, item: str = "movie_id") -> DataFra
 
 
 def freq_topn(df: DataFrame, col: str, n: int = 20) -> DataFrame:
-    """Normalised frequency of the ``n`` most common values (AGG12)."""
+    """Normalised frequency of the ``n`` most common values (AGG12); nulls
+    neither count nor rank."""
+    df = df.where(F.col(col).isNotNull())
     total = df.select(F.count(F.lit(1))).scalar()
     return (df.groupBy(col).agg(F.count(F.lit(1)).alias("cnt"))
               .orderBy(F.col("cnt").desc(), F.col(col).asc()).limit(n)
@@ -77,9 +83,13 @@ def freq_align(ref: DataFrame, cur: DataFrame, key: str = "value", val: str = "f
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width density histogram between min and max (AGG13): the last
-    bin is closed; ``density = count / (n * width)``."""
+    bin is closed; ``density = count / (n * width)``.  A constant column is
+    spread over [v - 0.5, v + 0.5], as numpy does; a column without values
+    has null edges and density, and counts of 0."""
     x = F.col(col).cast("double")
-    st = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"))).scalar()
+    same = F.min(x) == F.max(x)
+    st = df.select(F.struct((F.min(x) - F.when(same, 0.5).otherwise(0.0)).alias("lo"),
+                            (F.max(x) + F.when(same, 0.5).otherwise(0.0)).alias("hi"), F.count(x).alias("n"))).scalar()
     lo, hi, n = st.getField("lo"), st.getField("hi"), st.getField("n")
     width = (hi - lo) / F.lit(bins)
     b = F.least(F.floor((x - lo) / width), F.lit(bins - 1)).cast("int")
@@ -88,20 +98,23 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     return (grid.join(counts, "bin", "left")
                 .select("bin", (lo + F.col("bin") * width).alias("lo"), (lo + (F.col("bin") + 1) * width).alias("hi"),
                         F.coalesce(F.col("count"), F.lit(0)).alias("count"))
-                .withColumn("density", F.col("count") / (n * width)))
+                .withColumn("density", F.try_divide(F.col("count").cast("double"), n * width)))
 
 
 def exposure_by_tier(recs: DataFrame, tiers: DataFrame, item: str = "item_id") -> DataFrame:
     """Share of recommendation slots per popularity tier, all three tiers
-    present (EVAL8)."""
-    t = (recs.join(tiers.select(item, "tier"), item, "left")
-             .withColumn("tier", F.coalesce(F.col("tier"), F.lit("Tail"))))
-    total = recs.select(F.count(F.lit(1))).scalar()
-    counts = t.groupBy("tier").agg(F.count(F.lit(1)).alias("slots"))
+    present (EVAL8); without any slot the shares are 0.  Slots are counted per
+    item before the tiers are joined, so popular items meet as one row."""
+    per = recs.groupBy(item).agg(F.count(F.lit(1)).alias("_c"))
+    t = (per.join(tiers.select(item, "tier"), item, "left")
+            .withColumn("tier", F.coalesce(F.col("tier"), F.lit("Tail"))))
+    counts = t.groupBy("tier").agg(F.sum("_c").alias("slots"))
+    total = F.coalesce(counts.select(F.sum("slots")).scalar(), F.lit(0))
     grid = recs.sparkSession.createDataFrame([(x,) for x in TIERS], "tier string")
     return (grid.join(counts, "tier", "left")
                 .select("tier", F.coalesce(F.col("slots"), F.lit(0)).alias("slots"),
-                        (F.coalesce(F.col("slots"), F.lit(0)) / total).alias("share")))
+                        F.coalesce(F.try_divide(F.coalesce(F.col("slots"), F.lit(0)).cast("double"), total), F.lit(0.0))
+                         .alias("share")))
 
 
 def exposure_s1(shares: DataFrame, limit: float = S1_LIMIT) -> DataFrame:

@@ -29,15 +29,24 @@ WINDOW, SLIDE = "5 minutes", "1 minute"
 
 
 def sliding_windows(log: DataFrame, time_col: str = "event_time", window: str = WINDOW,
-                    slide: str = SLIDE) -> DataFrame:
+                    slide: str = SLIDE, by: Sequence[str] = ()) -> DataFrame:
     """Requests, 5xx errors, error rate and requests/s per sliding window
-    (MON1); ``window_start`` in epoch seconds."""
-    w = F.window(F.col(time_col), window, slide)
+    (MON1), for each value of ``by``; ``window_start`` in epoch seconds.
+
+    A batch is first counted per slide (all its rows share their windows),
+    so only one row per slide is repeated for each window; a stream is
+    counted per window at once."""
     secs = _seconds(window)
-    return (log.groupBy(w.alias("w"))
-               .agg(F.count(F.lit(1)).alias("requests"),
-                    F.sum(F.when(F.col("status") >= 500, 1).otherwise(0)).alias("errors"))
-               .select(F.unix_timestamp("w.start").alias("window_start"), "requests", "errors",
+    one, bad = F.count(F.lit(1)), F.sum(F.when(F.col("status") >= 500, 1).otherwise(0))
+    if not log.isStreaming:
+        per = log.where(F.col(time_col).isNotNull()).groupBy(F.window(F.col(time_col), slide).alias("w"), *by).agg(
+            one.alias("n"), bad.alias("e"))
+        log, time_col = per.select(F.col("w.start").alias("_t"), "n", "e", *by), "_t"
+        one, bad = F.sum("n"), F.sum("e")
+    w = F.window(F.col(time_col), window, slide)
+    return (log.groupBy(w.alias("w"), *by)
+               .agg(one.alias("requests"), bad.alias("errors"))
+               .select(*by, F.unix_timestamp("w.start").alias("window_start"), "requests", "errors",
                        (F.col("errors") / F.col("requests")).alias("error_rate"),
                        (F.col("requests") / F.lit(float(secs))).alias("rps")))
 
@@ -120,12 +129,15 @@ def p95_from_buckets(counts: list[Column], total: Column, q: float = 0.95,
 def window_p95(log: DataFrame, latency_ms: str = "latency_ms", time_col: str = "event_time",
                bounds: Sequence[float] = LATENCY_BUCKETS) -> DataFrame:
     """Per sliding window: bucket counts and the histogram p95 (seconds)."""
-    w = F.window(F.col(time_col), WINDOW, SLIDE)
+    n = len(bounds) + 1
     rows = (log.where(F.col(latency_ms).isNotNull())
                .select(time_col, bucket_index(F.col(latency_ms) / 1000.0, bounds).alias("_b")))
-    per = (rows.groupBy(w.alias("w"))
-               .agg(*[F.sum(F.when(F.col("_b") == i, 1).otherwise(0)).cast("bigint").alias(f"_b{i}")
-                      for i in range(len(bounds) + 1)], F.count(F.lit(1)).alias("requests")))
+    slide = (rows.groupBy(F.window(F.col(time_col), SLIDE).alias("s"))  # once per slide, then per window
+                 .agg(*[F.count(F.when(F.col("_b") == i, 1)).alias(f"_b{i}") for i in range(n)],
+                      F.count(F.lit(1)).alias("requests"))
+                 .withColumn("_t", F.col("s.start")))
+    per = (slide.groupBy(F.window("_t", WINDOW, SLIDE).alias("w"))
+                .agg(*[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(n)], F.sum("requests").alias("requests")))
     counts = [F.col(f"_b{i}") for i in range(len(bounds) + 1)]
     return per.select(F.unix_timestamp("w.start").alias("window_start"), "requests",
                       p95_from_buckets(counts, F.col("requests"), 0.95, bounds).alias("p95_s"))

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.functions.exprs import parse_movie_ids
+from reelsight.operators.common import exact_quantiles
 
 
 def _width(horizon_s: int) -> int:
@@ -44,16 +44,6 @@ def with_request_id(responses: DataFrame, key_cols: Sequence[str] | None = None)
     return responses.withColumn("request_id", F.monotonically_increasing_id())
 
 
-def ensure_id_list(responses: DataFrame, col: str = "movie_ids") -> DataFrame:
-    """Parse a textual id list (JSON or delimited) into ``array<bigint>``."""
-    dtype = dict(responses.dtypes)[col]
-    if dtype.startswith("array"):
-        return responses.withColumn(col, F.col(col).cast("array<bigint>"))
-    if dtype in ("bigint", "int", "smallint", "double", "float"):
-        return responses.withColumn(col, F.array(F.col(col).cast("bigint")))
-    return responses.withColumn(col, parse_movie_ids(col))
-
-
 def _bucket(ts: Column, width: int) -> Column:
     return F.floor(ts / F.lit(width)).cast("bigint")
 
@@ -106,17 +96,10 @@ def response_success(responses: DataFrame, watches: DataFrame, horizon_s: int) -
                      .withColumn("success", F.when(F.col("first_hit").isNotNull(), 1).otherwise(0)))
 
 
-def latency_percentiles(df: DataFrame, col: str = "latency_ms", approx: bool = False,
-                        accuracy: int = 10000) -> list[Column]:
-    """p50 / p95 aggregate columns (linear interpolation; nulls skipped).
-
-    ``approx=True`` switches to ``percentile_approx`` (bounded memory per
-    group) for very large logs."""
-    if approx:
-        p = F.percentile_approx(F.col(col).cast("double"), [0.5, 0.95], accuracy)
-    else:
-        p = F.percentile(F.col(col).cast("double"), F.array(F.lit(0.5), F.lit(0.95)))
-    return [p[0].alias("latency_p50"), p[1].alias("latency_p95")]
+def latency_percentiles(df: DataFrame, col: str = "latency_ms") -> list[Column]:
+    """p50 / p95 as constants (linear interpolation; nulls skipped)."""
+    p = exact_quantiles(df, [col], [0.5, 0.95])[col] or [None, None]
+    return [F.lit(v).cast("double").alias(n) for n, v in zip(("latency_p50", "latency_p95"), p)]
 
 
 def success_at_k_cols(k_values: Sequence[int]) -> list[Column]:
@@ -125,26 +108,26 @@ def success_at_k_cols(k_values: Sequence[int]) -> list[Column]:
 
 
 def online_summary(responses: DataFrame, watches: DataFrame, horizon_s: int,
-                   k_values: Sequence[int] = (5, 10, 20), approx_latency: bool = False) -> DataFrame:
+                   k_values: Sequence[int] = (5, 10, 20)) -> DataFrame:
     """One row: horizon, response count, success rate over all responses,
     success@k for each k > 0, latency p50 / p95."""
     scored = response_success(responses, watches, horizon_s)
     aggs = [F.count(F.lit(1)).alias("total_responses"),
             F.avg(F.col("success").cast("double")).alias("success_rate"),
             *success_at_k_cols(k_values)]
-    if "latency_ms" in responses.columns:
-        aggs += latency_percentiles(scored, approx=approx_latency)
-    return scored.agg(*aggs).select(F.lit(int(horizon_s)).cast("bigint").alias("horizon_s"), "*")
+    late = latency_percentiles(responses) if "latency_ms" in responses.columns else []
+    return scored.agg(*aggs).select(F.lit(int(horizon_s)).cast("bigint").alias("horizon_s"), "*", *late)
 
 
 def success_at_k(responses: DataFrame, watches: DataFrame, horizon_s: int,
                  k_values: Sequence[int] = (5, 10, 20)) -> DataFrame:
-    """Long form ``(k, success_rate)``; one join for all k (first-hit position)."""
-    scored = response_success(responses, watches, horizon_s).select("first_hit")
+    """Long form ``(k, success_rate)``: one join and one aggregate for all k
+    (first-hit position); no responses give no rows."""
     ks = [k for k in k_values if k > 0]
-    return (scored.select(F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"), "first_hit")
-                  .groupBy("k")
-                  .agg(F.avg(F.when(F.col("first_hit") <= F.col("k"), 1.0).otherwise(0.0)).alias("success_rate")))
+    one = response_success(responses, watches, horizon_s).agg(*success_at_k_cols(ks))
+    return (one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"success_at_{k}").alias("success_rate"))
+                                           for k in ks])).alias("r"))
+               .select("r.k", "r.success_rate").where(F.col("success_rate").isNotNull()))
 
 
 def proxy_kpi_parts(responses: DataFrame, watches: DataFrame, horizon_s: int) -> DataFrame:

@@ -51,12 +51,6 @@ def _check(f: Field, val: Column, sch: Column) -> Column:
     return F.when(missing, null_msg).when(~ok, bad_msg)
 
 
-def field_error(v: Column, f: Field) -> Column:
-    """Error text for one field of a parsed record, or null when valid."""
-    val = F.try_variant_get(v, f"$.{f.name}", "variant")
-    return _check(f, val, F.schema_of_variant(val))
-
-
 def _label(errs: Column, key: Column | None) -> Column:
     if key is None:
         return errs
@@ -64,14 +58,6 @@ def _label(errs: Column, key: Column | None) -> Column:
     return F.transform(errs, lambda e: F.concat(label, e))
 
 
-def errors_expr(json_text: Column, record: tuple[Field, ...], key: Column | None = None) -> Column:
-    """``array<string>`` of every contract violation of a JSON record;
-    unparsable JSON is one error; ``key`` labels each message."""
-    v = F.try_parse_json(json_text)
-    errs = F.array_compact(F.array(*[field_error(v, f) for f in record]))
-    return _label(F.when(v.isNull(), F.array(F.lit("invalid JSON"))).otherwise(errs), key)
-
-
 def stage_fields(df: DataFrame, json_col: str, names: Iterable[str]) -> DataFrame:
     """Parse once and extract each named field (value and type name) into
     its own column.  Separate projections keep Spark from re-parsing the
@@ -111,10 +97,10 @@ def validation_summary(validated: DataFrame) -> DataFrame:
 
 
 def assert_valid(validated: DataFrame) -> DataFrame:
-    """Fail the job on the first invalid record (VAL6): the check runs
-    inside the plan (``assert_true``), so nothing is collected."""
-    return validated.withColumn(
-        "_check", F.assert_true(F.col("ok"), F.concat_ws("; ", F.col("errors"))))
+    """Fail the job on the first invalid record (VAL6).  The check is a
+    filter, so no later projection can prune it, and nothing is collected."""
+    bad = F.raise_error(F.concat(F.lit("invalid record: "), F.concat_ws("; ", F.col("errors")))).cast("boolean")
+    return validated.where(F.when(F.col("ok"), F.lit(True)).otherwise(bad))
 
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "input") -> DataFrame:

@@ -73,10 +73,15 @@ def user_metrics(recs: DataFrame, truth: DataFrame, k_values: Sequence[int] = (5
                     ndcg.cast("double").alias("ndcg"), mapk.cast("double").alias("map"))
 
 
-def overall(metrics: DataFrame) -> DataFrame:
-    """Mean of every metric per k over evaluated users (EVAL6)."""
-    return metrics.groupBy("k").agg(*[F.avg(m).alias(m) for m in METRICS],
-                                    F.count(F.lit(1)).alias("users"))
+def overall(metrics: DataFrame, k_values: Sequence[int] = ()) -> DataFrame:
+    """Mean of every metric per k over evaluated users (EVAL6); each of
+    ``k_values`` has a row, with null means if no user was evaluated."""
+    got = metrics.groupBy("k").agg(*[F.avg(m).alias(m) for m in METRICS],
+                                   F.count(F.lit(1)).alias("users"))
+    if not k_values:
+        return got
+    grid = metrics.sparkSession.createDataFrame([(int(k),) for k in k_values], "k int")
+    return grid.join(got, "k", "left").withColumn("users", F.coalesce("users", F.lit(0)))
 
 
 def by_bucket(metrics: DataFrame, buckets: DataFrame, user: str = "uidx",

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from reelsight.operators.common import global_rank
 
 BLOCK = 256
+SPREAD = 32
 
 # Cold-service fallback list and fair re-rank parameters.
 FALLBACK_ITEMS = (50, 172, 1, 99, 87)
@@ -68,13 +69,18 @@ def popularity_recs(users: DataFrame, seen: DataFrame, ranking: DataFrame, k: in
                                                    F.least((F.col("_blk") + 1) * BLOCK, F.col("_L")))).alias(pos))
     unseen = gen.join(relevant, [user, pos], "left_anti")
     ranked = unseen.withColumn("rank", F.row_number().over(Window.partitionBy(user).orderBy(pos)))
-    return ranked.where(F.col("rank") <= k).join(rk, pos).select(user, "rank", item, pos)
+    # all users share about the first k positions: each position is entered SPREAD times, and
+    # users are dealt over the entries; positions that no list can reach are left out
+    reach = lens.select(F.max("_L")).scalar()
+    top = (rk.where(F.col(pos) <= reach)
+             .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))))
+    dealt = ranked.where(F.col("rank") <= k).withColumn("_s", F.pmod(F.xxhash64(user), F.lit(SPREAD)).cast("int"))
+    return dealt.join(top, [pos, "_s"]).select(user, "rank", item, pos)
 
 
 def popularity_tiers(ranking: DataFrame, item: str = "item_id", pos: str = "pos") -> DataFrame:
     """Head = first int(0.2 n) positions, Mid up to int(0.5 n), Tail the
-    rest (REC10).  Items missing from the ranking are Tail (see
-    :func:`tier_of`)."""
+    rest (REC10).  Items missing from the ranking count as Tail."""
     n = ranking.select(F.count(F.lit(1))).scalar()
     head = F.floor(n * F.lit(HEAD_SHARE))
     mid = F.floor(n * F.lit(MID_SHARE))
@@ -82,11 +88,6 @@ def popularity_tiers(ranking: DataFrame, item: str = "item_id", pos: str = "pos"
                           .otherwise("Tail").alias("tier"))
 
 
-def tier_of(df: DataFrame, tiers: DataFrame, item: str = "item_id") -> DataFrame:
-    return (df.join(tiers.select(item, "tier"), item, "left")
-              .withColumn("tier", F.coalesce(F.col("tier"), F.lit("Tail"))))
-
-
 def pop_norm(counts: DataFrame, count_col: str = "pop_count") -> Column:
     """``(c - min) / (max - min + 1e-9)`` as a column over ``counts`` (REC11)."""
     stats = counts.select(F.struct(F.min(count_col).alias("lo"), F.max(count_col).alias("hi"))).scalar()
@@ -97,13 +98,15 @@ def pop_norm(counts: DataFrame, count_col: str = "pop_count") -> Column:
 def fair_rerank(users: DataFrame, seen: DataFrame, ranking: DataFrame, k: int,
                 user: str = "user_id", item: str = "item_id",
                 candidate_mult: int = FAIR_CANDIDATE_MULT, beta_pop: float = FAIR_BETA_POP,
-                tail_boost: float = FAIR_TAIL_BOOST) -> DataFrame:
+                tail_boost: float = FAIR_TAIL_BOOST, cands: DataFrame | None = None) -> DataFrame:
     """Popularity candidates (k * mult) re-scored as
     ``1/rank - beta * pop_norm + boost * [Tail]``, best k kept; ties keep
-    the base order (REC9).  ``ranking`` needs ``(item, pos, pop_count)``."""
+    the base order (REC9).  ``ranking`` needs ``(item, pos, pop_count)``;
+    ``cands`` are the popularity candidates, if they exist already."""
     tiers = popularity_tiers(ranking, item)
     norm = ranking.select(item, pop_norm(ranking).alias("_pn"))
-    cands = popularity_recs(users, seen, ranking, k * candidate_mult, user, item)
+    if cands is None:
+        cands = popularity_recs(users, seen, ranking, k * candidate_mult, user, item)
     scored = (cands.join(norm, item, "left").join(tiers.select(item, "tier"), item, "left")
                    .withColumn("_score", F.lit(1.0) / F.col("rank")
                                - F.lit(beta_pop) * F.coalesce(F.col("_pn"), F.lit(0.0))

@@ -7,10 +7,10 @@ artifact name or null, ``metrics`` a ``map<string, double>``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsight.operators.common import global_rank
+from reelsight.operators.common import placed
 
 
 def version_parts(df: DataFrame, col: str = "version") -> DataFrame:
@@ -71,35 +71,28 @@ def active_info(registry: DataFrame, now: Column) -> DataFrame:
 
 
 def active_version_asof(requests: DataFrame, activations: DataFrame, ts: str = "ts",
-                        at: str = "activated_at", bucket_s: int = 86400) -> DataFrame:
+                        at: str = "activated_at") -> DataFrame:
     """For each request, the version activated last at or before its time
-    (REG4); null before the first activation.
-
-    Activations become intervals ``[t_i, t_{i+1})`` (previous one found by
-    an equi join on the distributed row number).  Intervals are expanded to
-    the ``bucket_s`` buckets they cover and requests join on (bucket, range):
-    each request meets only the intervals of its own bucket."""
-    a = activations.select("version", F.col(at).cast("bigint").alias("t0")).where(F.col("t0").isNotNull())
-    r = global_rank(a, [F.col("t0").asc(), F.col("version").asc()], "_r")
-    nxt = r.select((F.col("_r") - 1).alias("_r"), F.col("t0").alias("t1"))
-    span = requests.select(F.struct(F.min(F.col(ts).cast("bigint")).alias("lo"),
-                                    F.max(F.col(ts).cast("bigint")).alias("hi"))).scalar()
-    end = F.greatest(span.getField("hi"), F.col("t0")) + 1
-    first = a.select(F.min("t0")).scalar()
-    after = (r.join(nxt, "_r", "left").withColumn("t1", F.coalesce(F.col("t1"), end))
-              .select("version", "t0", "t1"))
-    # requests before the first activation see no version
-    before = (a.sparkSession.range(1)
-                .select(F.lit(None).cast("string").alias("version"), span.getField("lo").alias("t0"),
-                        F.coalesce(first, span.getField("hi") + 1).alias("t1")))
-    iv = (after.unionByName(before).where(F.col("t1") > F.col("t0"))
-               .select("version", "t0", "t1",
-                       F.explode(F.sequence(F.floor(F.col("t0") / bucket_s),
-                                            F.floor((F.col("t1") - 1) / bucket_s))).alias("_b")))
-    q = requests.withColumn("_b", F.floor(F.col(ts).cast("bigint") / bucket_s))
-    return (q.join(iv, "_b")
-             .where((F.col(ts) >= F.col("t0")) & (F.col(ts) < F.col("t1")))
-             .drop("_b", "t0", "t1"))
+    (REG4); null before the first activation and for a request without time.
+    Of versions activated at one time the last by name counts.
+
+    Activations and requests are range-sorted together by time and written
+    once.  Each partition carries its last version on within itself; what
+    holds at its start comes from a table with one row per partition."""
+    cols = requests.columns
+    a = activations.select(F.col(at).cast("bigint").alias("_t"), F.lit(0).alias("_kind"), F.col("version").alias("_v"))
+    q = requests.where(F.col(ts).isNotNull()).withColumns(
+        {"_t": F.col(ts).cast("bigint"), "_kind": F.lit(1), "_v": F.lit(None).cast("string")})
+    s = placed(q.unionByName(a.where("_t is not null"), allowMissingColumns=True),
+               [F.col("_t").asc(), F.col("_kind").asc(), F.col("_v").asc()]).withColumn("_pid", F.shiftright("_mid", 33))
+    last = s.groupBy("_pid").agg(F.max_by("_v", F.when(F.col("_kind") == 0, F.col("_mid"))).alias("_last"))
+    start = last.select("_pid", F.last("_last", ignorenulls=True).over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_start"))
+    here = F.last("_v", ignorenulls=True).over(
+        Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0))
+    known = (s.withColumn("_here", here).where(F.col("_kind") == 1).join(F.broadcast(start), "_pid")
+              .select(*cols, F.coalesce("_here", "_start").alias("version")))
+    return known.unionByName(requests.where(F.col(ts).isNull()).select(*cols, F.lit(None).cast("string").alias("version")))
 
 
 def parse_metadata_text(text: Column | str) -> Column:

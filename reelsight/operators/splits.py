@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsight.functions.exprs import hash_uniform
-from reelsight.operators.common import dense_index, exact_quantile, high_cardinality
+from reelsight.operators.common import dense_index, exact_quantiles
 
 
 def min_interactions(df: DataFrame, n: int = 5, user: str = "user_id") -> DataFrame:
@@ -32,28 +32,16 @@ def reindex(df: DataFrame, n: int = 5, user: str = "user_id", item: str = "item_
     return kept.join(umap, user).join(imap, item)
 
 
-def cutoff(df: DataFrame, q: float = 0.8, col: str = "timestamp", exact: bool = True,
-           accuracy: int = 100000, bounded_memory: bool = True) -> Column:
-    """Time cutoff at quantile ``q`` (JON3), truncated to an integer.
+def cutoff(df: DataFrame, q: float = 0.8, col: str = "timestamp") -> Column:
+    """Time cutoff at quantile ``q`` (numpy's linear interpolation), truncated
+    to an integer, as a constant; null without times (JON3)."""
+    v = exact_quantiles(df, [col], [q])[col]
+    return F.lit(None if v is None else int(v[0])).cast("bigint")
 
-    ``exact`` gives numpy's linear interpolation.  ``percentile`` merges a
-    map of every distinct value in one task, so with ``bounded_memory``
-    (default) a column with more than ``PERCENTILE_MAP_LIMIT`` distinct
-    values (one ``approx_count_distinct`` pass) uses :func:`exact_quantile`
-    instead (a narrow band ranked in a distributed sort; same number).
-    ``exact=False`` uses ``percentile_approx`` with ``accuracy``."""
-    t = F.col(col).cast("double")
-    if exact and bounded_memory and high_cardinality(df, [col]):
-        v = exact_quantile(df, col, q)
-        return F.lit(None).cast("bigint") if v is None else F.lit(int(v)).cast("bigint")
-    p = F.percentile(t, F.lit(q)) if exact else F.percentile_approx(t, F.lit(q), accuracy)
-    return df.select(p.cast("bigint").alias("cutoff")).scalar()
 
-
-def chrono_split(df: DataFrame, q: float = 0.8, col: str = "timestamp",
-                 exact: bool = True) -> tuple[DataFrame, DataFrame]:
+def chrono_split(df: DataFrame, q: float = 0.8, col: str = "timestamp") -> tuple[DataFrame, DataFrame]:
     """train = ``t <= cutoff``, test = ``t > cutoff`` (JON3)."""
-    c = cutoff(df, q, col, exact)
+    c = cutoff(df, q, col)
     return df.where(F.col(col) <= c), df.where(F.col(col) > c)
 
 
@@ -89,7 +77,10 @@ def last_item_holdout(df: DataFrame, order_cols: Sequence[str], user: str = "uid
                 .select(user, "_p.*"))
     test = picked.select(user, "true_item", ts)
     marks = picked.select(user, *[F.col(f"_o_{c}").alias(c) for c in order_cols])
-    train = df.join(marks, [user, *order_cols], "left_anti")
+    same = F.lit(True)
+    for c in (user, *order_cols):  # null-safe: the test row of a user without times leaves train, too
+        same = same & df[c].eqNullSafe(marks[c])
+    train = df.join(marks, same, "left_anti")
     return train, test
 
 

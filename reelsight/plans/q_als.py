@@ -8,30 +8,31 @@ and the cold-start ranking are deterministic and have oracles.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import functions as F
 
 from reelsight.functions.exprs import items_text
 from reelsight.operators import als, features, ranking, recommend
-from reelsight.plans.oracle_views import with_views
-from reelsight.plans.q_ranking import KS, fair_parts, offline_parts
+from reelsight.plans.oracle_views import add_view, with_views
+from reelsight.plans.q_ranking import KS, Offline, fair_parts
 from reelsight.plans.registry import register, rounded
-from reelsight.session import scratch_path
+from reelsight.session import materialize, scratch_path
 from reelsight.sources import sinks, testdata as td
 
-_MODELS: dict = {}
+def offline_model(p):
+    """ALS fitted on the train split of an offline flow."""
+    return als.train_als(als.ui_matrix(p.train), seed=42)
 
 
-def offline_model(spark, sf):
-    """ALS fitted on the offline flow's train split (cached per session
-    and input folder; fitting is the expensive step)."""
-    key = (id(spark), sf)
-    if key not in _MODELS:
-        p = offline_parts(spark, sf)
-        ui = als.ui_matrix(p["train"])
-        _MODELS[key] = als.train_als(ui, seed=42)
-    return _MODELS[key]
+def als_recs(spark, sf, k: int):
+    """The flow, its model and the top-k unseen lists of its users."""
+    p = Offline(spark, sf)
+    model = offline_model(p)
+    return p, model, als.recommend_unseen(model, p.users, p.train, k)
+
+
+add_view("als_ui", "SELECT DISTINCT uidx, iidx FROM off_train WHERE rating > 3.5", ("off_train",))
 
 
 @register("ui_matrix", with_views("""
@@ -39,50 +40,94 @@ SELECT uidx, iidx, sum(CASE WHEN rating > 3.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST
 FROM off_train GROUP BY uidx, iidx""",
     "off_train"), ids=("REC1", "PRJ5"))
 def q_ui_matrix(spark, sf):
-    return als.ui_matrix(offline_parts(spark, sf)["train"])
+    return als.ui_matrix(Offline(spark, sf).train)
 
 
-@register("als_factors", None, ids=("REC2",))
+@register("als_factors", with_views("""
+SELECT 'user' AS kind, uidx AS id, 64 AS dims, true AS finite FROM (SELECT DISTINCT uidx FROM als_ui)
+UNION ALL SELECT 'item', iidx, 64, true FROM (SELECT DISTINCT iidx FROM als_ui)""", "als_ui"), ids=("REC2",))
 def q_als_factors(spark, sf):
-    f = als.factor_table(offline_model(spark, sf))
+    f = als.factor_table(offline_model(Offline(spark, sf))).withColumn("id", F.col("id").cast("bigint"))
     return f.select("kind", "id", F.size("features").alias("dims"), als.finite_features().alias("finite"))
 
 
 @register("als_topk", None, ids=("REC3", "JON9"))
 def q_als_topk(spark, sf):
-    p = offline_parts(spark, sf)
-    return als.recommend_unseen(offline_model(spark, sf), p["users"], p["train"], max(KS))
+    return als_recs(spark, sf, max(KS))[2]
+
+
+# What SQL can say about lists whose factors no other engine reproduces: who
+# gets one, how long it is, that ranks count from 1 and no seen item is in it.
+_LISTS = """
+SELECT u.uidx, least({k}, {n}) AS n_items, CAST(1 AS INTEGER) AS first_rank, CAST(least({k}, {n}) AS INTEGER) AS last_rank,
+       CAST(0 AS BIGINT) AS n_seen
+FROM (SELECT uidx FROM off_eu WHERE uidx IN (SELECT uidx FROM als_ui)) u,
+     (SELECT count(DISTINCT iidx) AS items FROM als_ui) i
+LEFT JOIN (SELECT uidx, count(*) AS seen FROM (SELECT DISTINCT uidx, iidx FROM off_train
+           WHERE iidx IN (SELECT iidx FROM als_ui)) GROUP BY uidx) s ON s.uidx = u.uidx
+WHERE {n} > 0"""
+
+
+def _list_facts(recs, seen):
+    s = seen.select("uidx", "iidx").distinct().withColumn("_seen", F.lit(1))
+    return (recs.join(s, ["uidx", "iidx"], "left").groupBy("uidx")
+                .agg(F.countDistinct("iidx").alias("n_items"), F.min("rank").cast("int").alias("first_rank"),
+                     F.max("rank").cast("int").alias("last_rank"), F.count("_seen").alias("n_seen")))
+
+
+@register("als_topk_facts", with_views(_LISTS.format(k=20, n="(i.items - coalesce(s.seen, 0))"), "off_eu", "als_ui", "off_train"),
+          ids=("REC3", "JON9"))
+def q_als_topk_facts(spark, sf):
+    p, _, recs = als_recs(spark, sf, max(KS))
+    return _list_facts(recs, p.train)
 
 
 @register("als_topk_serving", None, ids=("REC4",))
 def q_als_topk_serving(spark, sf):
-    p = offline_parts(spark, sf)
-    return als.recommend_serving(offline_model(spark, sf), p["users"], max(KS))
+    p = Offline(spark, sf)
+    return als.recommend_serving(offline_model(p), p.users, max(KS))
+
+
+@register("als_serving_facts", with_views("""
+SELECT uidx, least(1000000, (SELECT count(DISTINCT iidx) FROM als_ui)) AS n_items, CAST(1 AS INTEGER) AS first_rank
+FROM off_eu WHERE uidx IN (SELECT uidx FROM als_ui)""", "off_eu", "als_ui"), ids=("REC4",))
+def q_als_serving_facts(spark, sf):
+    """A k beyond the catalogue is clamped to it."""
+    p = Offline(spark, sf)
+    recs = als.recommend_serving(offline_model(p), p.users, 1_000_000)
+    return recs.groupBy(F.col("uidx").cast("bigint").alias("uidx")).agg(
+        F.countDistinct("iidx").alias("n_items"), F.min("rank").cast("int").alias("first_rank"))
+
+
+def _holdout(p, model):
+    """Hit rate over every user with a holdout item (no rating filter)."""
+    users = p.test.select("uidx")
+    return rounded(ranking.hit_rate(als.recommend_unseen(model, users, p.train, 20), p.test, 20))
 
 
 @register("als_hr_at_k", None, ids=("EVAL5", "REC2"))
 def q_als_hr_at_k(spark, sf):
-    p = offline_parts(spark, sf)
-    recs = als.recommend_unseen(offline_model(spark, sf), p["users"], p["train"], 20)
-    targets = p["test"].join(p["users"], "uidx", "left_semi")
-    return rounded(ranking.hit_rate(recs, targets, 20))
+    p = Offline(spark, sf)
+    return _holdout(p, offline_model(p))
 
 
 @register("als_offline_overall", None, ids=("EVAL6", "REC3"))
 def q_als_offline_overall(spark, sf):
-    p = offline_parts(spark, sf)
-    recs = als.recommend_unseen(offline_model(spark, sf), p["users"], p["train"], max(KS))
-    m = ranking.user_metrics(recs, p["truth"], KS, users=p["users"])
-    return rounded(ranking.overall(m))
+    p, _, recs = als_recs(spark, sf, max(KS))
+    return rounded(ranking.overall(ranking.user_metrics(recs, p.truth, KS, users=p.users), KS))
 
 
 @register("recommend_hybrid", None, ids=("REC8",))
 def q_recommend_hybrid(spark, sf):
-    p = offline_parts(spark, sf)
-    model = offline_model(spark, sf)
-    known = model.userFactors.select(F.col("id").alias("uidx"))
-    cf = als.recommend_unseen(model, p["users"].join(known, "uidx", "left_semi"), p["train"], 20)
-    return als.recommend_hybrid(cf.drop("score"), p["recs"])
+    p, _, cf = als_recs(spark, sf, 20)
+    return als.recommend_hybrid(cf.drop("score"), p.recs)
+
+
+@register("hybrid_facts", with_views("""
+SELECT uidx, CASE WHEN uidx IN (SELECT uidx FROM als_ui) THEN 'cf' ELSE 'popularity' END AS source FROM off_eu""",
+    "off_eu", "als_ui"), ids=("REC8",))
+def q_hybrid_facts(spark, sf):
+    return q_recommend_hybrid(spark, sf).select("uidx", "source").distinct()
 
 
 @register("factor_norm_rank", """
@@ -125,18 +170,41 @@ def q_recommend_fallback_no_model(spark, sf):
 
 @register("offline_report", None, ids=("SNK3",))
 def q_offline_report(spark, sf):
-    p = offline_parts(spark, sf)
-    m = ranking.user_metrics(p["recs"], p["truth"], KS, users=p["users"])
-    b = ranking.by_bucket(m, features.activity_buckets(p["train"], "uidx"), "uidx",
+    p = Offline(spark, sf)
+    m = materialize(ranking.user_metrics(p.recs, p.truth, KS, users=p.users), "report-metrics")
+    b = ranking.by_bucket(m, features.activity_buckets(p.train, "uidx"), "uidx",
                           (features.COLD, features.WARM, features.HOT))
-    return sinks.report_json(rounded(ranking.overall(m)), rounded(b))
+    return sinks.report_json(rounded(ranking.overall(m, KS)), rounded(b))
+
+
+@register("offline_report_numbers", with_views("""
+SELECT CAST(k AS INTEGER) AS k, round(avg(recall), 6) AS recall, round(avg(ndcg), 6) AS ndcg, count(*) AS users
+FROM off_metrics GROUP BY k""", "off_metrics"), ids=("SNK3",))
+def q_offline_report_numbers(spark, sf):
+    """The numbers of the nested report, read back from its JSON."""
+    r = q_offline_report(spark, sf).select(F.from_json(
+        "report", "overall array<struct<k:int,recall:double,ndcg:double,users:bigint>>").alias("r"))
+    return r.select(F.inline("r.overall"))
 
 
 @register("registry_publish", None, ids=("SNK4",))
 def q_registry_publish(spark, sf):
-    tag = hashlib.sha1(sf.encode()).hexdigest()[:10]
-    reg_dir = scratch_path(spark, f"registry-{tag}")
-    hr = q_als_hr_at_k(spark, sf).first()
-    row = als.publish(offline_model(spark, sf), reg_dir, "v0.1",
-                      {"hr@20": float(hr["hr_at_20"] or 0.0), "ndcg@20": float(hr["ndcg_at_20"] or 0.0)})
+    row = _published(spark, sf)
     return row.select("version", "sha256", F.size(F.map_keys("metrics")).alias("n_metrics"))
+
+
+def _published(spark, sf):
+    reg_dir = scratch_path(spark, f"registry-{uuid.uuid4().hex[:12]}")
+    p = Offline(spark, sf)
+    model = offline_model(p)
+    hr = _holdout(p, model).first()
+    return als.publish(model, reg_dir, "v0.1",
+                       {"hr@20": float(hr["hr_at_20"] or 0.0), "ndcg@20": float(hr["ndcg_at_20"] or 0.0)})
+
+
+@register("registry_publish_facts", "SELECT 'v0.1' AS version, 2 AS n_metrics, 64 AS digest_length, true AS dated",
+          ids=("SNK4",))
+def q_registry_publish_facts(spark, sf):
+    return _published(spark, sf).select(
+        "version", F.size(F.map_keys("metrics")).alias("n_metrics"), F.length("sha256").alias("digest_length"),
+        F.col("created_at").isNotNull().alias("dated"))

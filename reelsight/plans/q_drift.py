@@ -104,7 +104,8 @@ def q_drift_flag(spark, sf):
 
 
 @register("drift_table", with_views("""
-SELECT w.col AS "column", round(m.psi, 6) AS psi, round(m.kl, 6) AS kl, m.psi > 0.2 OR m.kl > 0.5 AS flag
+SELECT w.col AS "column", round(m.psi, 6) AS psi, round(m.kl, 6) AS kl, 0.2::DOUBLE AS psi_threshold,
+       0.5::DOUBLE AS kl_threshold, m.psi > 0.2 OR m.kl > 0.5 AS flag
 FROM (SELECT unnest(['user_id', 'movie_id', 'rating', 'genre']) AS col) w
 LEFT JOIN drift_metrics m ON m.col = w.col""", "drift_metrics"), ids=("DRF5",))
 def q_drift_table(spark, sf):

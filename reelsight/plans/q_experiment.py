@@ -4,19 +4,19 @@ provenance trace)."""
 
 from __future__ import annotations
 
-import math
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reelsight.functions.exprs import hash_uniform_sql, items_text, normal_cdf_sql
-from reelsight.operators import experiment, online, recommend, splits, features
+from reelsight.operators import als, experiment, features, online, recommend, splits
 from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.q_online import _HIT_SQL, WEEK
 from reelsight.plans.q_prep import ratings
-from reelsight.plans.registry import register, rounded
+from reelsight.plans.registry import PLANS, register, rounded
+from reelsight.session import materialize
 from reelsight.sources import testdata as td
 
-B_REPS = 200
+B_REPS = 2000
 
 add_view("arms", """
     SELECT *, CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS arm FROM responses""", ("responses",))
@@ -48,19 +48,30 @@ def _z_sql() -> str:
 add_view("ab_z", _z_sql(), ("ab_counts",))
 
 
-def _draw_sql(n: str, p: str, t1: str, t2: str) -> str:
-    u = lambda t: f"(1.0 - {hash_uniform_sql(42, repr(t), 'rep')})"
-    zn = f"(sqrt(-2.0 * ln({u(t1)})) * cos({2.0 * math.pi!r} * {u(t2)}))"
-    x = f"round({n} * {p} + sqrt({n} * {p} * (1 - {p})) * {zn})"
-    return f"least(greatest({x}, 0.0), CAST({n} AS DOUBLE))"
+def _table_sql(arm: str) -> str:
+    """(k, cdf) of the arm's binomial, from log-gamma probabilities."""
+    return f"""
+    SELECT k, sum(w) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) / sum(w) OVER () AS cdf FROM (
+      SELECT k, exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(s / n) + (n - k) * ln(1 - s / n)) AS w
+      FROM (SELECT succ_{arm}::DOUBLE AS s, n_{arm}::DOUBLE AS n, unnest(range(1, n_{arm}::BIGINT)) AS k FROM ab_counts) x
+      WHERE s > 0 AND s < n) y"""
+
+
+def _draw_sql(arm: str) -> str:
+    return f"""
+    SELECT r.rep, t.k FROM (SELECT rep, 1.0 - {hash_uniform_sql(42, repr(arm), 'rep')} AS u
+                            FROM (SELECT unnest(range(1, {B_REPS + 1})) AS rep) g) r
+    ASOF JOIN ab_table_{arm} t ON r.u <= t.cdf"""
 
 
-add_view("ab_boot", f"""
-    WITH r AS (SELECT c.*, g.rep FROM ab_counts c CROSS JOIN (SELECT unnest(range(1, {B_REPS + 1})) AS rep) g),
-    d AS (SELECT {_draw_sql('n_a', '(succ_a / n_a)', 'a1', 'a2')} / n_a
-                 - {_draw_sql('n_b', '(succ_b / n_b)', 'b1', 'b2')} / n_b AS delta FROM r)
+for _arm in "ab":
+    add_view(f"ab_table_{_arm}", _table_sql(_arm), ("ab_counts",))
+    add_view(f"ab_draw_{_arm}", _draw_sql(_arm), (f"ab_table_{_arm}",))
+add_view("ab_boot", """
+    WITH d AS (SELECT a.k / c.n_a - b.k / c.n_b AS delta
+               FROM ab_draw_a a JOIN ab_draw_b b USING (rep), ab_counts c)
     SELECT quantile_cont(delta, 0.025) AS ci_lo, quantile_cont(delta, 0.975) AS ci_hi, count(*) AS replicates
-    FROM d""", ("ab_counts",))
+    FROM d""", ("ab_counts", "ab_draw_a", "ab_draw_b"))
 
 
 def labelled(spark, sf, horizon=WEEK):
@@ -103,7 +114,7 @@ SELECT round(z.p_two_sided, 6) AS p_two_sided, round(b.ci_lo, 6) AS ci_lo, round
             WHEN z.p_two_sided < 0.05 AND b.ci_hi < 0 THEN 'ship B' ELSE 'inconclusive' END AS decision
 FROM ab_z z, ab_boot b""", "ab_z", "ab_boot"), ids=("EXP6",))
 def q_ab_decision(spark, sf):
-    rates = experiment.arm_rates(labelled(spark, sf))
+    rates = materialize(experiment.arm_rates(labelled(spark, sf)), "ab-rates")
     p = experiment.z_test(rates).select("p_two_sided").scalar()
     ci = experiment.bootstrap_ci(rates, B_REPS)
     out = ci.select(p.alias("p_two_sided"), "ci_lo", "ci_hi")
@@ -111,42 +122,94 @@ def q_ab_decision(spark, sf):
                                                                   F.col("ci_hi"))))
 
 
+# Model names of the arms, list length, build provenance.
+VERSIONS = {"A": "als_v1", "B": "pop_v1"}
+K_RESP = 20
+BUILD = {"pipeline_git_sha": "git_sha_example_abcdef", "container_image_digest": "sha256:container_digest_example_123456"}
+
+
+def provenance(spark, sf):
+    """The snapshot id of the training data, and the build columns."""
+    snap = PLANS["snapshot_id"].fn(spark, sf).first()["data_snapshot_id"]
+    return {"data_snapshot_id": snap, **BUILD}
+
+
+add_view("ab_snapshot", f"SELECT data_snapshot_id FROM ({PLANS['snapshot_id'].oracle}) z", ())
+_PROV_SQL = ", ".join(f"'{v}' AS {k}" for k, v in BUILD.items())
+
+
 @register("provenance_trace", with_views(f"""
 WITH {_HIT_SQL.format(h=3600).strip()}
-SELECT a.request_id, a.user_id, a.arm, a.ts, CASE WHEN h.first_hit IS NOT NULL THEN 1 ELSE 0 END AS success
-FROM arms a LEFT JOIN hit h ON h.request_id = a.request_id
-ORDER BY {hash_uniform_sql(42, 'a.request_id')}, a.request_id LIMIT 3""", "arms", "resp_items", "watches"),
+SELECT a.request_id, a.user_id, a.arm, CASE a.arm WHEN 'A' THEN 'als_v1' ELSE 'pop_v1' END AS model_version,
+       s.data_snapshot_id, {_PROV_SQL}, a.ts, CAST({K_RESP} AS INTEGER) AS k,
+       array_to_string(a.movie_ids, ',') AS movie_ids, CASE WHEN h.first_hit IS NOT NULL THEN 1 ELSE 0 END AS success
+FROM arms a LEFT JOIN hit h ON h.request_id = a.request_id, ab_snapshot s
+ORDER BY {hash_uniform_sql(42, 'a.request_id')}, a.request_id LIMIT 3""", "arms", "resp_items", "watches", "ab_snapshot"),
     ids=("EXP7", "EXP8"))
 def q_provenance_trace(spark, sf):
-    lab = labelled(spark, sf, 3600).select("request_id", "user_id", "arm", "ts", "success")
-    return experiment.provenance_trace(lab, 3)
+    lab = labelled(spark, sf, 3600)
+    mv = F.create_map(*[F.lit(x) for kv in VERSIONS.items() for x in kv])
+    cols = lab.select("request_id", "user_id", "arm", mv[F.col("arm")].alias("model_version"),
+                      *[F.lit(v).alias(k) for k, v in provenance(spark, sf).items()], "ts", F.lit(K_RESP).alias("k"),
+                      items_text("movie_ids").alias("movie_ids"), "success")
+    return experiment.provenance_trace(cols, 3)
 
 
 add_view("ab_users", "SELECT DISTINCT user_id FROM responses", ("responses",))
+# arm A: a user's factors are the mean of those of the distinct items they liked
+add_view("ab_profile", """
+    SELECT p.user_id, list(p.x ORDER BY p.d) AS f FROM (
+      SELECT l.user_id, e.d, avg(e.x) AS x
+      FROM (SELECT DISTINCT user_id, item_id FROM fair_train WHERE rating >= 3.5 AND user_id IN (SELECT user_id FROM ab_users)) l
+      JOIN (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings) e
+        ON e.vec_id = l.item_id
+      GROUP BY l.user_id, e.d) p GROUP BY p.user_id""", ("fair_train", "ab_users"))
 add_view("ab_lists", """
     SELECT 'A' AS arm, user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS movie_ids FROM (
-      SELECT e.user_id, r.item_id, row_number() OVER (PARTITION BY e.user_id ORDER BY r.pos) AS rank
-      FROM ab_users e CROSS JOIN fair_rank r
-      WHERE NOT EXISTS (SELECT 1 FROM fair_train t WHERE t.user_id = e.user_id AND t.item_id = r.item_id)) x
+      SELECT u.user_id, e.vec_id AS item_id, row_number() OVER (PARTITION BY u.user_id ORDER BY
+               round(list_dot_product(u.f, e.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS rank
+      FROM ab_profile u CROSS JOIN embeddings e
+      WHERE NOT EXISTS (SELECT 1 FROM fair_train t WHERE t.user_id = u.user_id AND t.item_id = e.vec_id)) x
     WHERE rank <= 20 GROUP BY user_id
     UNION ALL
-    SELECT 'B', u.user_id, (SELECT string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY pos) FROM fair_rank
-                            WHERE pos <= 20) FROM ab_users u""", ("ab_users", "fair_rank", "fair_train"))
+    SELECT 'B', user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) FROM (
+      SELECT e.user_id, r.item_id, row_number() OVER (PARTITION BY e.user_id ORDER BY r.pos) AS rank
+      FROM ab_users e CROSS JOIN fair_rank r
+      WHERE NOT EXISTS (SELECT 1 FROM fair_train t WHERE t.user_id = e.user_id AND t.item_id = r.item_id)) y
+    WHERE rank <= 20 GROUP BY user_id""", ("ab_users", "ab_profile", "fair_rank", "fair_train"))
+
+
+def profile_factors(train, factors, users):
+    """(id, features): for each user the mean factors of the distinct items
+    rated 3.5 or more; users without such an item have no row."""
+    liked = (train.where(F.col("rating") >= 3.5).join(users, "user_id", "left_semi")
+                  .select("user_id", "item_id").distinct().join(factors, F.col("item_id") == F.col("item")))
+    each = liked.select("user_id", F.posexplode(F.col("features").cast("array<double>")).alias("d", "x"))
+    mean = each.groupBy("user_id", "d").agg(F.avg("x").alias("x"))
+    return mean.groupBy(F.col("user_id").alias("id")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("d", "x"))), lambda p: p["x"]).alias("features"))
 
 
-@register("ab_responses", with_views("""
-SELECT a.request_id, a.user_id, a.arm, l.movie_ids,
-       CASE WHEN a.arm = 'A' THEN 'cf_v1' ELSE 'pop_v1' END AS model_version,
+@register("ab_responses", with_views(f"""
+SELECT a.request_id, a.ts + 1 AS ts, a.user_id, a.arm, l.movie_ids, CAST({K_RESP} AS INTEGER) AS k,
+       CASE WHEN a.arm = 'A' THEN 'als_v1' ELSE 'pop_v1' END AS model_version, s.data_snapshot_id, {_PROV_SQL},
        CAST(a.latency_ms AS DOUBLE) AS latency_ms, 200 AS status
-FROM arms a LEFT JOIN ab_lists l ON l.user_id = a.user_id AND l.arm = a.arm""", "arms", "ab_lists"),
-    ids=("EXP2",))
+FROM arms a LEFT JOIN ab_lists l ON l.user_id = a.user_id AND l.arm = a.arm, ab_snapshot s""",
+    "arms", "ab_lists", "ab_snapshot"), ids=("EXP2",))
 def q_ab_responses(spark, sf):
+    """Arm A: unseen items by factor product; arm B: popular unseen items."""
     train, _ = splits.chrono_split(ratings(spark, sf))
     rank = features.popularity_positive(train)
-    req = experiment.assign_arm(td.responses(spark, sf)).select("request_id", "user_id", "arm", "latency_ms")
+    req = experiment.assign_arm(td.responses(spark, sf)).select("request_id", "ts", "user_id", "arm", "latency_ms")
     users = req.select("user_id").distinct()
-    recs_a = recommend.popularity_recs(users, train, rank, 20)
-    recs_b = recommend.popularity_recs(users, train.limit(0), rank, 20)
-    out = experiment.ab_responses(req, {"A": recs_a, "B": recs_b}, {}, {"A": "cf_v1", "B": "pop_v1"})
-    return out.select("request_id", "user_id", "arm", items_text("movie_ids").alias("movie_ids"), "model_version",
+    items = td.item_factors(spark, sf)
+    # a margin beyond k lets products that differ in the last digits be ordered by item id
+    wide = als.top_unseen(profile_factors(train, items, users), items.select(F.col("item").alias("id"), "features"), train,
+                          K_RESP + 10, "user_id", "item_id")
+    w = Window.partitionBy("user_id").orderBy(F.round("score", 9).desc(), "item_id")
+    recs_a = wide.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= K_RESP)
+    recs_b = recommend.popularity_recs(users, train, rank, K_RESP)
+    out = experiment.ab_responses(req, {"A": recs_a, "B": recs_b}, provenance(spark, sf), VERSIONS)
+    return out.select("request_id", (F.col("ts") + 1).alias("ts"), "user_id", "arm", items_text("movie_ids").alias("movie_ids"),
+                      F.lit(K_RESP).alias("k"), "model_version", "data_snapshot_id", *BUILD,
                       F.col("latency_ms").cast("double").alias("latency_ms"), F.lit(200).alias("status"))

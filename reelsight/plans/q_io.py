@@ -9,12 +9,13 @@ it back with the operator under test.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelsight.functions.exprs import coerce_ts, floor_minute, items_text, parse_movie_ids
-from reelsight.operators import quality
+from reelsight.operators import clean, online, quality
 from reelsight.plans.oracle_views import with_views
 from reelsight.plans.registry import register, rounded
 from reelsight.session import scratch_path
@@ -23,8 +24,7 @@ from reelsight.sources.schemas import RATE_EVENT, WATCH_EVENT
 
 
 def _scratch(spark, sf, name):
-    tag = hashlib.sha1(sf.encode()).hexdigest()[:10]
-    return scratch_path(spark, f"{name}-{tag}")
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 # ---------------------------------------------------------------- sources --
@@ -52,19 +52,25 @@ def q_src_events(spark, sf):
 
 
 @register("union_by_name", with_views("""
-SELECT user_id, item_id, CASE WHEN l_linenumber % 2 = 1 THEN rating END AS rating,
-       CASE WHEN l_linenumber % 2 = 0 THEN ts END AS ts
+SELECT user_id, item_id, CASE WHEN l_linenumber % 5 IN (0, 1, 3) THEN rating END AS rating,
+       CASE WHEN l_linenumber % 5 IN (1, 2, 4) THEN ts END AS ts,
+       CASE WHEN l_linenumber % 5 = 4 THEN l_linenumber END AS line
 FROM interactions""", "interactions"), ids=("SRC3", "JON14"))
 def q_union_by_name(spark, sf):
     base = _scratch(spark, sf, "mixed")
     i = td.interactions(spark, sf)
-    (i.where(F.col("l_linenumber") % 2 == 1)
-      .select(F.col("user_id").alias(" User_ID "), F.col("item_id").alias("Item_Id"), F.col("rating").alias("RATING"))
-      .write.mode("overwrite").option("header", True).csv(base + "/csv/part"))
-    (i.where(F.col("l_linenumber") % 2 == 0).select("user_id", "item_id", "ts")
-      .write.mode("overwrite").parquet(base + "/parquet/nested/part"))
+    kind = F.col("l_linenumber") % 5
+    # three CSV headers, of other names and orders, and two Parquet schemas
+    csv = {0: [F.col("user_id").alias(" User_ID "), F.col("item_id").alias("Item_Id"), F.col("rating").alias("RATING")],
+           1: [F.col("ts"), F.col("rating"), F.col("user_id").alias("USER_ID"), F.col("item_id")],
+           2: [F.col("item_id").alias("ITEM_ID"), F.col("ts").alias("TS"), F.col("user_id")]}
+    for n, cols in csv.items():
+        i.where(kind == n).select(*cols).write.mode("overwrite").option("header", True).csv(f"{base}/csv/part{n}")
+    i.where(kind == 3).select("user_id", "item_id", "rating").write.mode("overwrite").parquet(base + "/parquet/nested/a")
+    (i.where(kind == 4).select("item_id", F.col("user_id").alias("User_Id"), "ts", F.col("l_linenumber").alias("line"))
+      .write.mode("overwrite").parquet(base + "/parquet/nested/b"))
     t = readers.load_table(spark, [base + "/csv", base + "/parquet"])
-    return t.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("item_id").cast("bigint").alias("item_id"),
+    return t.select(F.col("line").cast("bigint").alias("line"), F.col("user_id").cast("bigint").alias("user_id"), F.col("item_id").cast("bigint").alias("item_id"),
                     F.col("rating").cast("double").alias("rating"), F.col("ts").cast("bigint").alias("ts"))
 
 
@@ -228,10 +234,13 @@ def q_validate_records(spark, sf):
     return quality.validation_summary(v)
 
 
-@register("assert_valid", None, ids=("VAL6",))
+@register("assert_valid", with_views("SELECT l_orderkey, l_linenumber FROM interactions", "interactions"), ids=("VAL6",))
 def q_assert_valid(spark, sf):
-    v = quality.validate_json(_rate_messages(spark, sf), "json", RATE_EVENT)
-    return quality.assert_valid(v.where(F.col("ok"))).select("l_orderkey", "l_linenumber", "ok")
+    i = td.interactions(spark, sf)
+    text = F.to_json(F.struct(F.lit("rate").alias("event"), "user_id", F.col("item_id").alias("movie_id"), "rating",
+                              F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp")))
+    v = quality.validate_json(i.select("l_orderkey", "l_linenumber", text.alias("json")), "json", RATE_EVENT)
+    return quality.assert_valid(v).select("l_orderkey", "l_linenumber")
 
 
 _TOPICS = {"click": "reco.watch", "view": "reco.reco_responses", "signup": "reco.signup"}
@@ -298,3 +307,68 @@ def q_floor_minute(spark, sf):
 SELECT request_id, array_to_string(movie_ids, ',') AS items FROM responses""", "responses"), ids=("PRJ11",))
 def q_items_text(spark, sf):
     return td.responses(spark, sf).select("request_id", items_text("movie_ids").alias("items"))
+
+
+# ---------------------------------------------- optional and derived inputs --
+
+@register("src_dat_ratings", with_views("""
+SELECT user_id, item_id, rating, ts AS "timestamp" FROM interactions""", "interactions"), ids=("SRC8",))
+def q_src_dat_ratings(spark, sf):
+    path = _scratch(spark, sf, "ratings-dat")
+    i = td.interactions(spark, sf)
+    i.select(F.concat_ws("::", *[F.col(c).cast("string") for c in ("user_id", "item_id", "rating", "ts")]).alias("value")
+             ).write.mode("overwrite").text(path)
+    return readers.read_dat(spark, path, "ratings")
+
+
+@register("src_dat_movies", """
+SELECT p_partkey AS item_id, p_name || ' (' || p_size || ')' AS title, p_brand || ',' || p_type AS genres FROM part""",
+          ids=("SRC8",))
+def q_src_dat_movies(spark, sf):
+    path = _scratch(spark, sf, "movies-dat")
+    p = td.table(spark, sf, "part")
+    title = F.concat("p_name", F.lit(" ("), F.col("p_size").cast("string"), F.lit(")"))
+    p.select(F.concat_ws("::", F.col("p_partkey").cast("string"), title, F.concat_ws("|", "p_brand", "p_type")).alias("value")
+             ).write.mode("overwrite").text(path)
+    return readers.read_dat(spark, path, "movies").select("item_id", "title", F.concat_ws(",", "genres").alias("genres"))
+
+
+@register("optional_movies", """
+SELECT p_partkey AS item_id, p_name AS title, true AS present FROM part""", ids=("SRC9",))
+def q_optional_movies(spark, sf):
+    """The movies table where there is one, none of it where there is not."""
+    path = _scratch(spark, sf, "movies-csv")
+    td.table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title")
+                                       ).write.mode("overwrite").option("header", True).csv(path)
+    schema = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("title", T.StringType())])
+    there = readers.read_optional(spark, path, schema, header=True).withColumn("present", F.lit(True))
+    gone = readers.read_optional(spark, path + "-none", schema, header=True).withColumn("present", F.lit(False))
+    return there.unionByName(gone)
+
+
+@register("generated_request_id", with_views("""
+SELECT count(*) AS requests, count(DISTINCT (user_id, ts, movie_ids[1])) AS ids FROM responses""", "responses"), ids=("JON12",))
+def q_generated_request_id(spark, sf):
+    """Requests without an id get one from their content."""
+    r = td.responses(spark, sf).withColumn("first", F.col("movie_ids")[0]).select("user_id", "ts", "first", "latency_ms")
+    w = online.with_request_id(r, ["user_id", "ts", "first"])
+    return w.agg(F.count(F.lit(1)).alias("requests"), F.countDistinct("request_id").alias("ids"))
+
+
+@register("default_rating", with_views("""
+SELECT user_id, item_id, CAST(1.0 AS DOUBLE) AS rating FROM interactions""", "interactions"), ids=("PRJ4",))
+def q_default_rating(spark, sf):
+    return clean.default_rating(td.interactions(spark, sf).select("user_id", "item_id"))
+
+
+@register("missing_columns", """
+SELECT 'ratings missing required columns: [''timestamp'']' AS error, count(*) AS "rows" FROM lineitem""", ids=("VAL8",))
+def q_missing_columns(spark, sf):
+    """The gate names the columns that an input lacks."""
+    li = td.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
+    try:
+        quality.require_columns(li, ("user_id", "item_id", "timestamp"), "ratings")
+        said = None
+    except ValueError as e:
+        said = str(e)
+    return li.agg(F.lit(said).alias("error"), F.count(F.lit(1)).alias("rows"))

@@ -294,3 +294,16 @@ SELECT round(sum(pos * (neg_below + neg * 0.5)) / (sum(pos) * sum(neg)), 6) AS a
        CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c""", ids=("AGG16",))
 def q_auc(spark, sf):
     return rounded(features.auc(td.scores(spark, sf)))
+
+
+@register("auc_price", """
+WITH g AS (SELECT CAST(l_extendedprice AS DOUBLE) AS s, count(*) FILTER (WHERE l_returnflag = 'R') AS pos,
+                  count(*) FILTER (WHERE l_returnflag <> 'R') AS neg FROM lineitem GROUP BY 1),
+c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+SELECT round(sum(pos * (below + neg * 0.5::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)::DOUBLE), 6) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c""", ids=("AGG16",))
+def q_auc_price(spark, sf):
+    """Nearly as many scores as rows: the running sum spans partitions."""
+    li = td.table(spark, sf, "lineitem")
+    return rounded(features.auc(li.select((F.col("l_returnflag") == "R").cast("int").alias("y_true"),
+                                          F.col("l_extendedprice").cast("double").alias("y_score"))))

@@ -4,8 +4,9 @@ fairness plans (REC7, REC9-11, EVAL1-10, AGG9-13, JON13).
 Offline flow (the reference's offline evaluation, with the deterministic
 popularity recommender standing in for ALS so an SQL oracle exists):
 ratings -> users with >= 5 rows + dense ids -> last-item holdout -> truth
-(holdout item, rating >= 3.5) -> <= 5000 users by seeded hash -> top-20
-popular unseen items -> precision / recall / NDCG / MAP at 5, 10, 20.
+(holdout item, rating >= 3.5) -> top-20 popular unseen items of every user
+with truth -> precision / recall / NDCG / MAP at 5, 10, 20; hit rate over
+every user with a holdout item.
 
 Fairness flow (the notebook's fairness cells): 0.8-quantile time split,
 popularity of positive train rows, base top-k vs. fair re-rank.
@@ -13,9 +14,11 @@ popularity of positive train rows, base top-k vs. fair re-rank.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
-from reelsight.functions.exprs import event_day, hash_uniform_sql
+from reelsight.functions.exprs import event_day
 from reelsight.operators import exposure, features, ranking, recommend, splits
 from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.q_prep import ORDER, ORDER_SQL, ratings
@@ -44,19 +47,18 @@ add_view("off_truth", """
     SELECT t.uidx, t.true_item AS iidx, count(*) AS copies
     FROM off_test t JOIN off_d d ON d.uidx = t.uidx AND d.iidx = t.true_item
     WHERE d.rating >= 3.5 GROUP BY t.uidx, t.true_item""", ("off_test", "off_d"))
-add_view("off_eu", f"""
-    SELECT uidx FROM (SELECT DISTINCT uidx FROM off_truth)
-    ORDER BY {hash_uniform_sql(42, 'uidx')}, uidx LIMIT 5000""", ("off_truth",))
+add_view("off_eu", "SELECT DISTINCT uidx FROM off_truth", ("off_truth",))
 add_view("off_rank", """
     SELECT iidx, pop_count, row_number() OVER (ORDER BY pop_count DESC, iidx) AS pos
     FROM (SELECT iidx, count(*) AS pop_count FROM off_train WHERE rating >= 3.5 GROUP BY iidx)""",
          ("off_train",))
-add_view("off_recs", """
+add_view("off_all_recs", """
     SELECT uidx, iidx, rank, pos FROM (
       SELECT e.uidx, r.iidx, r.pos, row_number() OVER (PARTITION BY e.uidx ORDER BY r.pos) AS rank
-      FROM off_eu e CROSS JOIN off_rank r
+      FROM off_test e CROSS JOIN off_rank r
       WHERE NOT EXISTS (SELECT 1 FROM off_train t WHERE t.uidx = e.uidx AND t.iidx = r.iidx)) x
-    WHERE rank <= 20""", ("off_eu", "off_rank", "off_train"))
+    WHERE rank <= 20""", ("off_test", "off_rank", "off_train"))
+add_view("off_recs", "SELECT * FROM off_all_recs WHERE uidx IN (SELECT uidx FROM off_eu)", ("off_all_recs", "off_eu"))
 add_view("ideal", """
     SELECT i AS n, sum(1.0 / log2(i + 1)) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) AS idcg
     FROM range(1, 101) t(i)""")
@@ -100,31 +102,49 @@ metrics_view("off_metrics_svc", "off_recs", "off_truth", "off_eu", "uidx", "iidx
 
 # ----------------------------------------------------------- spark flows --
 
-def offline_parts(spark, sf):
-    """The offline flow's shared tables, each written once (see
-    :func:`reelsight.session.materialize`)."""
-    d = materialize(splits.reindex(ratings(spark, sf), 5), "offline-d")
-    train, test = splits.last_item_holdout(d, ORDER, user="uidx", item="iidx")
-    train, test = materialize(train, "offline-train"), materialize(test, "offline-test")
-    truth = materialize(splits.truth_sets(test, d, 3.5), "offline-truth")
-    users = splits.sample_users(truth, 5000, 42, "uidx")
-    rank = materialize(features.popularity_positive(train, 3.5, item="iidx", user="uidx"), "offline-rank")
-    recs = recommend.popularity_recs(users, train, rank, max(KS), user="uidx", item="iidx")
-    return dict(d=d, train=train, test=test, truth=truth, users=users, ranking=rank, recs=recs)
+class Offline:
+    """The offline flow, built as far as a query needs it.  Only the
+    re-indexed ratings are written (all later steps read them)."""
+
+    def __init__(self, spark, sf):
+        keep = ratings(spark, sf).select("user_id", "item_id", "rating", "timestamp",
+                                         *[c for c in ORDER if c not in ("user_id", "item_id", "rating", "timestamp")])
+        self.d = materialize(splits.reindex(keep, 5), "offline-d")
+        self.train, self.test = splits.last_item_holdout(self.d, ORDER, user="uidx", item="iidx")
+
+    @cached_property
+    def truth(self):
+        return splits.truth_sets(self.test, self.d, 3.5)
+
+    @cached_property
+    def users(self):
+        """All users with truth."""
+        return self.truth.select("uidx").distinct()
+
+    @cached_property
+    def ranking(self):
+        return features.popularity_positive(self.train, 3.5, item="iidx", user="uidx")
+
+    def popular(self, users):
+        return recommend.popularity_recs(users, self.train, self.ranking, max(KS), user="uidx", item="iidx")
+
+    @cached_property
+    def recs(self):
+        return self.popular(self.users)
 
 
 def offline_metrics(spark, sf, service: bool = False):
-    p = offline_parts(spark, sf)
+    p = Offline(spark, sf)
     if service:
-        return ranking.user_metrics(p["recs"], p["truth"], KS, precision_denominator="returned",
-                                    truth_as_list=False, users=p["users"])
-    return ranking.user_metrics(p["recs"], p["truth"], KS, users=p["users"])
+        return ranking.user_metrics(p.recs, p.truth, KS, precision_denominator="returned",
+                                    truth_as_list=False, users=p.users)
+    return ranking.user_metrics(p.recs, p.truth, KS, users=p.users)
 
 
 @register("recommend_popularity", with_views("SELECT uidx, rank, iidx FROM off_recs", "off_recs"),
           ids=("REC7", "JON9"))
 def q_recommend_popularity(spark, sf):
-    return offline_parts(spark, sf)["recs"].select("uidx", F.col("rank").cast("bigint").alias("rank"), "iidx")
+    return Offline(spark, sf).recs.select("uidx", F.col("rank").cast("bigint").alias("rank"), "iidx")
 
 
 for _key, _metric, _svc, _ids in (("precision_at_k", "precision", False, ("EVAL1",)),
@@ -149,7 +169,7 @@ SELECT CAST(k AS INTEGER) AS k, round(avg(precision), 6) AS precision, round(avg
        round(avg(ndcg), 6) AS ndcg, round(avg(map), 6) AS map, count(*) AS users
 FROM off_metrics GROUP BY k""", "off_metrics"), ids=("EVAL6", "SNK3"))
 def q_offline_overall(spark, sf):
-    return rounded(ranking.overall(offline_metrics(spark, sf)).withColumn("k", F.col("k").cast("int")))
+    return rounded(ranking.overall(offline_metrics(spark, sf), KS).withColumn("k", F.col("k").cast("int")))
 
 
 @register("offline_by_bucket", with_views("""
@@ -164,24 +184,23 @@ SELECT g.bucket, CAST(g.k AS INTEGER) AS k, round(a.precision, 6) AS precision,
        round(a.ndcg, 6) AS ndcg, round(a.map, 6) AS map, coalesce(a.users, 0) AS users
 FROM g LEFT JOIN a ON a.bucket = g.bucket AND a.k = g.k""", "off_metrics", "off_train"), ids=("EVAL7", "AGG4"))
 def q_offline_by_bucket(spark, sf):
-    p = offline_parts(spark, sf)
-    m = ranking.user_metrics(p["recs"], p["truth"], KS, users=p["users"])
-    b = features.activity_buckets(p["train"], "uidx")
+    p = Offline(spark, sf)
+    m = ranking.user_metrics(p.recs, p.truth, KS, users=p.users)
+    b = features.activity_buckets(p.train, "uidx")
     out = ranking.by_bucket(m, b, "uidx", (features.COLD, features.WARM, features.HOT))
     return rounded(out.withColumn("k", F.col("k").cast("int")))
 
 
 @register("hr_at_k", with_views("""
-WITH h AS (SELECT r.uidx, min(r.rank) AS hit_rank FROM off_recs r JOIN off_test t
+WITH h AS (SELECT r.uidx, min(r.rank) AS hit_rank FROM off_all_recs r JOIN off_test t
              ON t.uidx = r.uidx AND t.true_item = r.iidx GROUP BY r.uidx)
 SELECT round(avg(CASE WHEN h.hit_rank IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS hr_at_20,
        round(avg(coalesce(1.0 / log2(h.hit_rank + 1), 0.0)), 6) AS ndcg_at_20, count(*) AS users
-FROM off_eu e JOIN off_test t ON t.uidx = e.uidx LEFT JOIN h ON h.uidx = e.uidx""",
-    "off_recs", "off_test", "off_eu"), ids=("EVAL5",))
+FROM off_test t LEFT JOIN h ON h.uidx = t.uidx""",
+    "off_all_recs", "off_test"), ids=("EVAL5",))
 def q_hr_at_k(spark, sf):
-    p = offline_parts(spark, sf)
-    targets = p["test"].join(p["users"], "uidx", "left_semi")
-    return rounded(ranking.hit_rate(p["recs"], targets, 20))
+    p = Offline(spark, sf)
+    return rounded(ranking.hit_rate(p.popular(p.test.select("uidx")), p.test, 20))
 
 
 # ---------------------------------------------------------- fairness flow --
@@ -225,17 +244,17 @@ add_view("fair_fair10", _fair_sql(10), ("fair_cand", "fair_tier"))
 
 
 def fair_parts(spark, sf):
-    """The fairness flow's split and ranking, each written once."""
+    """The fairness flow's split (written once) and ranking."""
     train, test = split_tables(spark, sf)
     users = test.select("user_id").distinct()
-    rank = materialize(features.popularity_positive(train, 3.5), "fair-rank")
+    rank = features.popularity_positive(train, 3.5)
     return dict(train=train, test=test, users=users, ranking=rank)
 
 
 def split_tables(spark, sf):
     """0.8-quantile time split written once with a flag; train and test are
     filters on that table (pushed into the parquet scan)."""
-    r = ratings(spark, sf)
+    r = ratings(spark, sf).select("user_id", "item_id", "rating", "timestamp")
     flagged = materialize(r.withColumn("is_train", F.col("timestamp") <= splits.cutoff(r, 0.8)), "split")
     return (flagged.where(F.col("is_train")).drop("is_train"), flagged.where(~F.col("is_train")).drop("is_train"))
 
@@ -264,8 +283,8 @@ SELECT g.tier, count(t.tier) AS slots, round(count(t.tier) / (SELECT count(*) FR
 FROM g LEFT JOIN t ON t.tier = g.tier GROUP BY g.tier"""
 
 
-def _exposure(spark, sf, which: str):
-    p = fair_parts(spark, sf)
+def _exposure(spark, sf, which: str, p=None):
+    p = p or fair_parts(spark, sf)
     if which == "base":
         recs = recommend.popularity_recs(p["users"], p["train"], p["ranking"], 20)
     else:
@@ -294,8 +313,9 @@ s AS (SELECT 'base' AS recommender, tier, count(*) / (SELECT count(*) FROM b) AS
 SELECT recommender, round(max(share), 6) AS max_share, max(share) <= 0.4 AS s1_met FROM s GROUP BY recommender""",
     "fair_base", "fair_fair", "fair_tier"), ids=("EVAL9",))
 def q_exposure_s1(spark, sf):
-    b = exposure.exposure_s1(_exposure(spark, sf, "base")).select(F.lit("base").alias("recommender"), "*")
-    f = exposure.exposure_s1(_exposure(spark, sf, "fair")).select(F.lit("fair").alias("recommender"), "*")
+    p = fair_parts(spark, sf)
+    b = exposure.exposure_s1(_exposure(spark, sf, "base", p)).select(F.lit("base").alias("recommender"), "*")
+    f = exposure.exposure_s1(_exposure(spark, sf, "fair", p)).select(F.lit("fair").alias("recommender"), "*")
     return rounded(b.unionByName(f))
 
 
@@ -327,8 +347,11 @@ SELECT s.bucket, round(s.ndcg_base, 6) AS ndcg_base, round(s.ndcg_fair, 6) AS nd
 FROM s, r""", "fair_base10", "fair_fair10", "fair_truth", "fair_train", "ideal"), ids=("EVAL10", "AGG5"))
 def q_fair_ndcg_by_bucket(spark, sf):
     p = fair_parts(spark, sf)
-    base = recommend.popularity_recs(p["users"], p["train"], p["ranking"], 10)
-    fair = recommend.fair_rerank(p["users"], p["train"], p["ranking"], 10)
+    # the candidates of the fair list are the base list, carried on
+    cands = materialize(recommend.popularity_recs(p["users"], p["train"], p["ranking"],
+                                                  10 * recommend.FAIR_CANDIDATE_MULT), "fair-cands")
+    base = cands.where(F.col("rank") <= 10)
+    fair = recommend.fair_rerank(p["users"], p["train"], p["ranking"], 10, cands=cands)
     truth = p["test"].where(F.col("rating") >= 3.5).select("user_id", "item_id")
     buckets = features.positive_buckets(p["train"], p["users"])
     buckets = buckets.where(F.col("bucket") != features.UNKNOWN)

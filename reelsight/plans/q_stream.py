@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsight.operators import exposure
-from reelsight.plans import q_io, q_monitoring, q_online
-from reelsight.plans.oracle_views import with_views
+from reelsight.plans import q_io, q_online
+from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.registry import PLANS, register, rounded
 from reelsight.session import scratch_path
 from reelsight.sources import testdata as td
@@ -108,14 +108,14 @@ def q_stream_request_rate(spark, sf):
     return rounded(spark.read.parquet(out).where(F.col("window_start") < F.lit(10 ** 12)))
 
 
-def _request_rate_stream(spark, sf):
+def _request_rate_stream(spark, sf, by=()):
     run = _run_dir(spark, "rate")
-    log = td.request_log(spark, sf).drop("event_time")
+    log = td.request_log(spark, sf).drop("event_time").withColumn("service", F.expr(SERVICE))
     far = _far(log)
     sentinel = _sentinel_like(log, far, status=F.lit(200))
     stage_chunks(log, f"{run}/in", sentinel=sentinel)
     s = _with_time(sp.read_stream(spark, f"{run}/in", log.schema, max_files_per_trigger=1))
-    rates = sp.request_rate_stream(s)
+    rates = sp.request_rate_stream(s, by=by)
     sp.run_available(rates.writeStream.format("parquet").option("path", f"{run}/out")
                      .option("checkpointLocation", f"{run}/ckpt"))
     # drop the sentinel's windows
@@ -125,15 +125,34 @@ def _request_rate_stream(spark, sf):
     return clean, run
 
 
-@register("stream_alert", with_views(
-    "SELECT 'reco-api' AS service, run_start, fired_at FROM ("
-    + q_monitoring._runs_sql("SELECT window_start FROM mon_rate WHERE error_rate > 0.05") + ") z WHERE fires",
-    "mon_rate"), ids=("STR7", "MON2"))
+#: The log's requests belong to four services.
+SERVICE = "concat('svc-', pmod(user_id, 4))"
+add_view("mon_rate_svc", """
+    SELECT 'svc-' || (user_id % 4) AS service, CAST(floor(epoch(ts) / 60) * 60 - 60 * k AS BIGINT) AS window_start,
+           avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) AS error_rate
+    FROM events CROSS JOIN (SELECT unnest(range(0, 5)) AS k) g GROUP BY ALL""")
+
+
+@register("stream_alert", with_views("""
+WITH f AS (SELECT service, window_start FROM mon_rate_svc WHERE error_rate > 0.05),
+isl AS (SELECT *, floor(window_start / 60) - row_number() OVER (PARTITION BY service ORDER BY window_start) AS g FROM f),
+r AS (SELECT service, min(window_start) AS run_start, max(window_start) AS run_end FROM isl GROUP BY service, g)
+SELECT service, run_start, run_start + 600 AS fired_at FROM r WHERE run_end - run_start >= 600""", "mon_rate_svc"),
+    ids=("STR7", "MON2"))
 def q_stream_alert(spark, sf):
-    windows, run = _request_rate_stream(spark, sf)
-    schema = spark.read.parquet(windows).schema
-    flagged = sp.read_stream(spark, windows, schema).where(F.col("error_rate") > 0.05)
-    alerts = sp.alert_stream(flagged)
+    """Alerts for each service, the windows fed in several batches in which
+    times are mixed within the delay."""
+    windows, run = _request_rate_stream(spark, sf, by=("service",))
+    w = spark.read.parquet(windows)
+    flagged = w.where(F.col("error_rate") > 0.05).select("service", "window_start")
+    last = flagged.agg(F.max("window_start")).first()[0] or 0  # one number
+    # eight batches of time spans, each holding the odd minutes of the span before
+    span = (last - (flagged.agg(F.min("window_start")).first()[0] or 0)) // CHUNKS + 1
+    late = F.col("window_start") + F.when(F.floor(F.col("window_start") / 60) % 2 == 1, span).otherwise(0)
+    stage_chunks(flagged.withColumn("_at", late), f"{run}/flagged", ts="_at", sentinel=spark.createDataFrame(
+        [("", last + 10 * span + SENTINEL_GAP_S, last)], "service string, window_start bigint, _at bigint"))
+    s = sp.read_stream(spark, f"{run}/flagged", "service string, window_start bigint", max_files_per_trigger=1)
+    alerts = sp.alert_stream(s, delay=f"{4 * span} seconds")
     sp.run_available(alerts.writeStream.format("parquet").option("path", f"{run}/alerts")
                      .option("checkpointLocation", f"{run}/ckpt-alerts"))
     return spark.read.parquet(f"{run}/alerts").select("service", "run_start", "fired_at")
@@ -163,8 +182,8 @@ def q_stream_ingest(spark, sf):
     msgs = q_io._watch_messages(spark, sf).join(td.watches(spark, sf).select("watch_id", "ts"), "watch_id")
     stage_chunks(msgs, f"{run}/in")
     s = sp.read_stream(spark, f"{run}/in", msgs.schema, max_files_per_trigger=2)
-    sp.run_available(sp.ingest(s, f"{run}/out", f"{run}/ckpt", key="watch_id",
-                               date_col=None).option("checkpointLocation", f"{run}/ckpt"))
+    s = s.withColumn("date", F.to_date(F.timestamp_seconds("ts")))
+    sp.run_available(sp.ingest(s, f"{run}/out", f"{run}/ckpt", key="watch_id", date_col="date"))
     good = spark.read.parquet(f"{run}/out/good/parquet").select("watch_id", F.lit(True).alias("ok"))
     bad = spark.read.parquet(f"{run}/out/quarantine").select("watch_id", F.lit(False).alias("ok"))
     return good.unionByName(bad)

@@ -9,12 +9,12 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelsight.functions.exprs import event_day
-from reelsight.operators.clean import lower_columns
 from reelsight.operators.quality import require_columns
 
 RATING_COLUMNS = ("user_id", "item_id", "rating", "timestamp")
@@ -71,26 +71,42 @@ def events_to_interactions(events: DataFrame) -> DataFrame:
     return canonical_ratings(events, ("user_id", "item_id", "timestamp"), "event batch")
 
 
+def _csv_frames(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One frame for each distinct header among the CSV files under
+    ``path``; the executors read the headers, the driver gets file names."""
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+                  .where(F.col("_metadata.file_block_start") == 0)
+                  .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("i")))
+    first = lines.groupBy("file").agg(F.min_by("value", "i").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [spark.read.option("header", True).csv(list(g["files"])) for g in groups if g["header"]]
+
+
+def _by_lower_name(df: DataFrame) -> DataFrame:
+    """Columns stripped and lower-cased; those that then share a name are
+    one column, the first non-null value."""
+    same: dict[str, list[str]] = {}
+    for c in df.columns:
+        same.setdefault(c.strip().lower(), []).append(c)
+    return df.select(*[F.coalesce(*[F.col(f"`{c}`") for c in cs]).alias(n) for n, cs in same.items()])
+
+
 def load_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """CSV and Parquet files under ``paths`` (files or folders, recursive),
-    headers stripped and lower-cased, concatenated by name with missing
-    columns null (SRC3, JON14).  A missing path is an error."""
+    each with its own columns, headers stripped and lower-cased, concatenated
+    by name with missing columns null (SRC3, JON14).  A missing path is an
+    error."""
     frames: list[DataFrame] = []
     for p in paths:
         if not _exists(spark, p):
             raise FileNotFoundError(p)
-        for fmt, glob in (("csv", "*.csv"), ("parquet", "*.parquet")):
-            reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-            if fmt == "csv":
-                reader = reader.option("header", True)
-            try:
-                df = reader.format(fmt).load(p)
-            except Exception as e:  # no file of this format under p
-                if "UNABLE_TO_INFER_SCHEMA" in str(e) or "Unable to infer schema" in str(e) \
-                        or "PATH_NOT_FOUND" in str(e):
-                    continue
+        frames += [_by_lower_name(f) for f in _csv_frames(spark, p)]
+        try:
+            frames.append(_by_lower_name(spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+                                         .option("pathGlobFilter", "*.parquet").parquet(p)))
+        except AnalysisException as e:  # no Parquet file under p
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-            frames.append(lower_columns(df))
     if not frames:
         return spark.createDataFrame([], T.StructType([]))
     out = frames[0]
@@ -179,7 +195,3 @@ def read_dat(spark: SparkSession, path: str, kind: str) -> DataFrame:
         occ = F.create_map(*[x for k, v in OCCUPATIONS.items() for x in (F.lit(k), F.lit(v))])
         return df.withColumn("age_group", ages[F.col("age")]).withColumn("occupation_name", occ[F.col("occupation")])
     return df
-
-
-def path_join(*parts: str) -> str:
-    return os.path.join(*parts)

@@ -9,6 +9,7 @@ re-runs its tasks without leaving partial files behind.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -77,12 +78,15 @@ def publish_metadata(spark, registry_dir: str, version: str, artifact_dir: str,
     created_at (UTC ISO), artifact path, a digest over the artifact files
     and the metrics map.  Returns the row."""
     digests = file_digests(spark, artifact_dir)
-    digest = digests.select(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(F.concat_ws(":", "path", "sha256")))),
+    # one number for each file of the artifact (file count, not data, sized); paths relative to it
+    at = F.regexp_extract("path", "/" + re.escape(artifact_dir.rstrip("/").rsplit("/", 1)[-1]) + "/(.*)$", 1)
+    digest = digests.select(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(F.concat_ws(":", at, "sha256")))),
                                    256).alias("sha256"))
     meta = {"version": version, "artifact": artifact_dir, **(extra or {})}
     m = F.create_map(*[x for k, v in metrics.items() for x in (F.lit(k), F.lit(float(v)))])
     row = digest.select(*[F.lit(v).alias(k) for k, v in meta.items()],
                         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
                         "sha256", m.alias("metrics"))
-    row.write.mode("append").parquet(registry_dir)
-    return row
+    entry = spark.createDataFrame(row.collect(), row.schema)  # the one row that is stored is the one returned
+    entry.write.mode("append").parquet(registry_dir)
+    return entry

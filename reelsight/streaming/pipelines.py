@@ -42,14 +42,11 @@ def kafka_stream(spark, servers: str, topics: str, starting: str = "earliest",
                            F.col("key"), F.col("value"))
 
 
-def run_available(stream_writer, timeout_s: int = 600):
-    """Process everything available now, then stop."""
+def run_available(stream_writer):
+    """Process everything available now, however long it takes; an error of
+    the query is raised here."""
     q = stream_writer.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-    if q.exception():
-        raise q.exception()
+    q.awaitTermination()
     return q
 
 
@@ -60,7 +57,10 @@ def ingest(messages: DataFrame, out_dir: str, checkpoint: str, key: str | None =
     Each micro-batch writes good messages partitioned by topic and date
     (SNK1) and quarantined ones with their errors; both are also partitioned
     by the batch id and written with dynamic partition overwrite, so a
-    replayed batch replaces its own output instead of duplicating it."""
+    replayed batch replaces its own output instead of duplicating it.
+    ``date_col`` names the event's date: with it a replay meets its own
+    folder also on a later day; without it the date is that of processing,
+    and replays are only safe within a day."""
     parsed = wire.parse_events(messages, key=key)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -112,25 +112,28 @@ def exposure_stream(watches: DataFrame, delay: str = "1 day") -> DataFrame:
                    .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "movie_id", "watches"))
 
 
-def request_rate_stream(log: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Sliding 5-minute request / error counts, late rows past the watermark
-    dropped (STR6)."""
-    return monitoring.sliding_windows(log.withWatermark("event_time", delay))
+def request_rate_stream(log: DataFrame, delay: str = "10 minutes", by: tuple[str, ...] = ()) -> DataFrame:
+    """Sliding 5-minute request / error counts, for each value of ``by``;
+    late rows past the watermark dropped (STR6)."""
+    return monitoring.sliding_windows(log.withWatermark("event_time", delay), by=by)
 
 
-ALERT_STATE = T.StructType([T.StructField("run_start", T.LongType()), T.StructField("last", T.LongType()),
-                            T.StructField("fired", T.BooleanType())])
+ALERT_STATE = T.StructType([T.StructField("pending", T.ArrayType(T.LongType())), T.StructField("run_start", T.LongType()),
+                            T.StructField("last", T.LongType()), T.StructField("fired", T.BooleanType())])
 ALERT_OUT = T.StructType([T.StructField("service", T.StringType()), T.StructField("run_start", T.LongType()),
                           T.StructField("fired_at", T.LongType())])
 
 
 def _track_runs(step_s: int, for_s: int):
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        run_start, last, fired = state.get if state.exists else (None, None, False)
-        starts = sorted(int(x) for b in batches for x in b["window_start"])
+        pending, run_start, last, fired = state.get if state.exists else ([], None, None, False)
+        waiting = set(pending or ())
+        for b in batches:
+            waiting.update(int(x) for x in b["window_start"])
+        done = state.getCurrentWatermarkMs() // 1000  # no earlier window can come any more
         out = []
-        for t in starts:
-            if last is not None and t == last:
+        for t in sorted(x for x in waiting if x < done):
+            if last is not None and t <= last:
                 continue
             if last is None or t != last + step_s:
                 run_start, fired = t, False
@@ -138,19 +141,27 @@ def _track_runs(step_s: int, for_s: int):
             if not fired and t - run_start >= for_s:
                 out.append((key[0], run_start, run_start + for_s))
                 fired = True
-        state.update((run_start, last, fired))
+        rest = sorted(x for x in waiting if x >= done)
+        state.update((rest, run_start, last, fired))
+        if rest:  # come back when the watermark has passed the first of them
+            state.setTimeoutTimestamp(max(rest[0] * 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if out:
             yield pd.DataFrame(out, columns=["service", "run_start", "fired_at"])
     return fn
 
 
-def alert_stream(flagged_windows: DataFrame, service: str = "reco-api", step_s: int = 60,
-                 for_s: int = monitoring.FOR_S) -> DataFrame:
-    """Sustained-condition alert (STR7): per service, consecutive flagged
-    evaluation windows are tracked in state; an alert is emitted once when
-    a run reaches ``for_s``.  Input rows are per-window aggregates (one per
-    minute), so the state per service is three numbers."""
-    return (flagged_windows.withColumn("service", F.lit(service))
+def alert_stream(flagged_windows: DataFrame, service: str = "service", step_s: int = 60,
+                 for_s: int = monitoring.FOR_S, delay: str = "10 minutes") -> DataFrame:
+    """Sustained-condition alert (STR7): for each value of the ``service``
+    column, runs of consecutive flagged evaluation windows; an alert is
+    emitted once when a run reaches ``for_s``.
+
+    Windows may arrive in any order and in any batches: they wait in the
+    state until the watermark (``delay`` behind the latest window) has passed
+    them, and are then followed in time order.  The state of a service is its
+    windows within the delay and three numbers."""
+    timed = flagged_windows.withColumn("_t", F.timestamp_seconds("window_start")).withWatermark("_t", delay)
+    return (timed.select(F.col(service).alias("service"), "window_start", "_t")
             .groupBy("service")
             .applyInPandasWithState(_track_runs(step_s, for_s), ALERT_OUT, ALERT_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+                                    GroupStateTimeout.EventTimeTimeout))

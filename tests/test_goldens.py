@@ -152,38 +152,3 @@ def test_online_summary_empty_latency(spark):
 def test_map_k_zero_is_zero(spark):
     assert _metrics(spark, [1, 2], [1], 0)["map"] == 0.0
     assert math.isfinite(_metrics(spark, [1, 2], [1], 0)["precision"])
-
-
-class _State:
-    """Minimal stand-in for GroupState to drive the alert state function."""
-
-    def __init__(self):
-        self.value = None
-
-    @property
-    def exists(self):
-        return self.value is not None
-
-    @property
-    def get(self):
-        return self.value
-
-    def update(self, v):
-        self.value = v
-
-
-def test_alert_state_fires_once_per_run_across_batches():
-    import pandas as pd
-
-    from reelsight.streaming.pipelines import _track_runs
-
-    fn = _track_runs(60, 600)
-    st = _State()
-    first = [t * 60 for t in range(0, 6)]            # minutes 0..5
-    second = [t * 60 for t in range(6, 14)] + [3600]  # 6..13, then a new run at minute 60
-    out1 = list(fn(("svc",), iter([pd.DataFrame({"window_start": first[::-1]})]), st))
-    out2 = list(fn(("svc",), iter([pd.DataFrame({"window_start": second})]), st))
-    assert out1 == []
-    rows = [tuple(r) for df in out2 for r in df.itertuples(index=False)]
-    assert rows == [("svc", 0, 600)]
-    assert st.value == (3600, 3600, False)

@@ -3,9 +3,12 @@ on random data (including one user holding a third of all rows)."""
 
 import random
 
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from reelsight.operators import common, online, recommend, registry, splits
+from reelsight.operators import common, features, online, recommend, registry, splits
 
 
 def _rows(df, *cols):
@@ -78,7 +81,7 @@ def test_asof_matches_definition(spark):
     reqs = [(i, rnd.randint(-50000, 500000)) for i in range(400)]
     a = spark.createDataFrame(acts, "version string, activated_at long")
     q = spark.createDataFrame(reqs, "request_id int, ts long")
-    got = dict(_rows(registry.active_version_asof(q, a, bucket_s=3600), "request_id", "version"))
+    got = dict(_rows(registry.active_version_asof(q, a), "request_id", "version"))
     for rid, t in reqs:
         before = [(at, v) for v, at in acts if at <= t]
         assert got[rid] == (max(before)[1] if before else None), rid
@@ -103,23 +106,163 @@ def test_dense_index(spark):
     assert _rows(common.dense_index(df, "u", "idx"), "u", "idx") == [(1, 0), (3, 1), (5, 2), (9, 3)]
 
 
-def test_exact_quantile_equals_percentile(spark):
+def test_exact_quantiles_equal_percentile(spark):
     rnd = random.Random(9)
-    vals = [(float(rnd.choice([rnd.randint(0, 30), rnd.randint(0, 10 ** 6)])),) for _ in range(3000)]
-    df = spark.createDataFrame(vals, "v double")
-    for q in (0.0, 0.2, 0.5, 0.8, 0.999, 1.0):
-        want = df.agg(F.percentile("v", F.lit(q))).first()[0]
-        assert common.exact_quantile(df, "v", q) == want
-
-
-def test_drift_edges_band_path_equals_map_path(spark, monkeypatch):
-    from reelsight.operators import drift
-
-    rnd = random.Random(4)
-    df = spark.createDataFrame([(rnd.randint(0, 400), rnd.random() * 5) for _ in range(3000)],
-                               "user_id int, rating double")
-    direct = {r["column"]: (r["edges_psi"], r["edges_kl"]) for r in drift.bin_edges(df, ["user_id", "rating"]).collect()}
-    monkeypatch.setattr(common, "PERCENTILE_MAP_LIMIT", 5)
-    banded = {r["column"]: (r["edges_psi"], r["edges_kl"]) for r in drift.bin_edges(df, ["user_id", "rating"]).collect()}
-    assert direct == banded
-    assert common.high_cardinality(df, ["user_id"]) == {"user_id"}
+    vals = [(float(rnd.choice([rnd.randint(0, 30), rnd.randint(0, 10 ** 6)])), rnd.choice([None, float("nan"), 1.5, 2.5]), None)
+            for _ in range(3000)]
+    df = spark.createDataFrame(vals, "v double, w double, n double")
+    qs = [0.0, 0.2, 0.5, 0.8, 0.999, 1.0]
+    got = common.exact_quantiles(df, ["v", "w", "n"], qs)
+    for c in ("v", "w"):
+        ok = df.where(F.col(c).isNotNull() & ~F.isnan(c))
+        assert got[c] == list(ok.agg(F.percentile(c, F.array(*[F.lit(q) for q in qs]))).first()[0])
+    assert got["n"] is None and common.exact_quantiles(df, [], qs) == {}
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_running_sum_and_rank_over_many_partitions(spark, reuse):
+    """Offsets belong to the partitions of the rows, with a column that only
+    one branch reads and with and without exchange reuse."""
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        rng = np.random.default_rng(8)
+        n = 400_000
+        score, label = rng.permutation(n * 3)[:n] / 7.0, rng.integers(0, 2, n)
+        df = spark.createDataFrame(pd.DataFrame({"y_score": score, "y_true": label, "extra": score.astype(str)}))
+        got = features.auc(df).first()
+        ranks = np.empty(n)
+        ranks[np.argsort(score)] = np.arange(1, n + 1)
+        pos = int(label.sum())
+        want = (ranks[label == 1].sum() - pos * (pos + 1) / 2) / (pos * (n - pos))
+        assert abs(got["auc"] - want) < 1e-12
+        r = common.global_rank(df, [F.col("y_score").desc()], "r").agg(F.countDistinct("r"), F.min("r"), F.max("r")).first()
+        assert tuple(r) == (n, 1, n)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_unseen_lists_match_definition(spark):
+    from reelsight.operators import als
+
+    rng = np.random.default_rng(3)
+    users, items = rng.normal(size=(40, 6)), rng.normal(size=(90, 6))
+    items[7] = items[3]  # a tie
+    seen = [(u, int(i)) for u in range(40) for i in rng.choice(90, size=u * 2, replace=False)] + [(99, 1), (1, 999)]
+    table = lambda m: spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "id int, features array<float>")
+    als.BLOCK, old = 16, als.BLOCK
+    try:
+        got = als.top_unseen(table(users), table(items), spark.createDataFrame(seen, "uidx int, iidx int"), 20).collect()
+    finally:
+        als.BLOCK = old
+    known = {}
+    for u, i in seen:
+        known.setdefault(u, set()).add(i)
+    score = users.astype("float32").astype(float) @ items.astype("float32").astype(float).T
+    for u in range(40):
+        mine = [(r["rank"], r["iidx"]) for r in got if r["uidx"] == u]
+        left = sorted((i for i in range(90) if i not in known.get(u, ())), key=lambda i: (-score[u, i], i))[:20]
+        assert sorted(mine) == list(enumerate(left, 1))
+
+
+def test_alerts_do_not_depend_on_batch_order(spark, tmp_path):
+    """Twelve flagged minutes in a row fire once, in order or swapped, for
+    each service, and a gap keeps another from firing."""
+    from reelsight.streaming import pipelines as sp
+
+    rows = {"a": [60 * i for i in range(100, 112)], "b": [60 * i for i in range(100, 112) if i != 105]}
+    chunks = [[(s, t) for s, v in rows.items() for t in v if t // 60 % 3 == k] for k in (2, 0, 1)] + [[("end", 10 ** 6)]]
+    path = str(tmp_path / "in")
+    for c in chunks:
+        spark.createDataFrame(c, "service string, window_start bigint").coalesce(1).write.mode("append").parquet(path)
+    s = sp.read_stream(spark, path, "service string, window_start bigint", max_files_per_trigger=1)
+    sp.run_available(sp.alert_stream(s, delay="1 hour").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+                     .option("checkpointLocation", str(tmp_path / "ckpt")))
+    got = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert got == [("a", 6000, 6600)]
+
+
+def test_replay_after_midnight_replaces_itself(spark, tmp_path):
+    """The same batch written twice lands in the folder of its event date."""
+    from reelsight.sources import sinks
+
+    df = spark.createDataFrame([("t", 1, 0, "2024-05-01")], "topic string, x int, batch_id long, day string")
+    for _ in range(2):
+        sinks.write_batch(df.drop("day"), str(tmp_path), "t", ("parquet",), date=F.to_date(F.lit("2024-05-01")),
+                          mode="overwrite", extra_partitions=("batch_id",))
+    assert spark.read.parquet(f"{tmp_path}/parquet").count() == 1
+
+
+def test_invalid_record_fails_also_after_select(spark):
+    from reelsight.operators import quality
+    from reelsight.sources.schemas import WATCH_EVENT
+
+    good = '{"event": "watch", "user_id": 1, "movie_id": 2, "timestamp": "2024-01-01T00:00:00Z", "platform": null}'
+    df = spark.createDataFrame([(1, good), (2, '{"event": "watch", "user_id": "x"}')], "id int, j string")
+    v = quality.validate_json(df, "j", WATCH_EVENT)
+    with pytest.raises(Exception, match="invalid record"):
+        quality.assert_valid(v).select("id").collect()
+    assert quality.assert_valid(v.where("id = 1")).select("id").count() == 1
+
+
+def test_edge_cases_of_reports(spark):
+    from reelsight.operators import drift, exposure, ranking, registry
+
+    df = spark.createDataFrame([(1, 2.0), (1, 2.0), (None, None)], "g int, x double")
+    assert [tuple(r) for r in exposure.freq_topn(df, "g").collect()] == [("1", 1.0)]
+    h = exposure.histogram(df, "x", 4).orderBy("bin").collect()
+    assert [(r["lo"], r["count"], r["density"]) for r in h] == [(1.5, 0, 0.0), (1.75, 0, 0.0), (2.0, 2, 4.0), (2.25, 0, 0.0)]
+    tiers = spark.createDataFrame([(1, "Head")], "item_id int, tier string")
+    none = exposure.exposure_by_tier(spark.createDataFrame([], "item_id int"), tiers).collect()
+    assert sorted((r["tier"], r["slots"], r["share"]) for r in none) == [("Head", 0, 0.0), ("Mid", 0, 0.0), ("Tail", 0, 0.0)]
+    empty = spark.createDataFrame([], "uidx int, k int, precision double, recall double, ndcg double, map double")
+    assert sorted((r["k"], r["map"], r["users"]) for r in ranking.overall(empty, (5, 10)).collect()) == [(5, None, 0), (10, None, 0)]
+    req = spark.createDataFrame([(1, 5), (2, None), (3, 20)], "request_id int, ts long")
+    act = spark.createDataFrame([("v0.1", 10), ("v0.2", None)], "version string, activated_at long")
+    assert sorted((r["request_id"], r["version"]) for r in registry.active_version_asof(req, act).collect()) == [
+        (1, None), (2, None), (3, "v0.1")]
+    t = drift.drift_table(df, df, ("x", "zz")).collect()
+    assert sorted((r["column"], r["psi"], r["psi_threshold"], r["kl_threshold"], r["flag"]) for r in t) == [
+        ("x", 0.0, 0.2, 0.5, False), ("zz", None, 0.2, 0.5, None)]
+
+
+def test_binomial_table_is_the_binomial(spark):
+    from math import comb
+
+    from reelsight.operators import experiment
+
+    c = spark.createDataFrame([(2, 6), (0, 4), (4, 4), (300, 1000)], "s long, n long")
+    for s, n in ((2, 6), (300, 1000)):
+        got = {r["k"]: r["cdf"] for r in experiment.binomial_table(c.where(f"s = {s} and n = {n}"), "s", "n").collect()}
+        p, acc = s / n, 0.0
+        for k in range(n + 1):
+            acc += comb(n, k) * p ** k * (1 - p) ** (n - k)
+            if k in got:
+                assert abs(got[k] - acc) < 1e-9
+    for s in (0, 4):
+        assert [tuple(r) for r in experiment.binomial_table(c.where(f"s = {s} and n = 4"), "s", "n").collect()] == [(s, 1.0)]
+    draws = experiment.binomial_draws(experiment.binomial_table(c.where("s = 300"), "s", "n"), 2000, 1, "x").agg(
+        F.avg("k"), F.stddev("k"), F.count("k")).first()
+    assert abs(draws[0] - 300) < 1.5 and abs(draws[1] - 14.49) < 1 and draws[2] == 2000
+
+
+def test_shared_folder_is_required_off_local(monkeypatch, spark):
+    from reelsight import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
