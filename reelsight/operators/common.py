@@ -75,8 +75,20 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float])
     if not columns:
         return {}
     rows = (df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-              .unpivot([], list(columns), "column", "value")
-              .where(F.col("value").isNotNull() & ~F.isnan("value")))
+              .unpivot([], list(columns), "column", "value"))
+    return {c: None for c in columns} | _value_quantiles(rows, qs)
+
+
+def group_quantiles(df: DataFrame, by: str, col: str, qs: Sequence[float]) -> dict[str, list[float]]:
+    """:func:`exact_quantiles` of ``col`` for each value of ``by`` (as text).
+    For a column of few values: one row per group reaches the driver."""
+    rows = df.select(F.col(by).cast("string").alias("column"), F.col(col).cast("double").alias("value"))
+    return _value_quantiles(rows.where(F.col("column").isNotNull()), qs)
+
+
+def _value_quantiles(rows: DataFrame, qs: Sequence[float]) -> dict[str, list[float]]:
+    """Quantiles of ``value`` for each ``column`` that has values."""
+    rows = rows.where(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = rows.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     c = materialize(global_cumsum(counts, [F.col("column"), F.col("value")], "n", "upto"), "quantiles")
     spans = {r["column"]: (r["start"], r["n"]) for r in
@@ -96,7 +108,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float])
             lo = row["upto"] - spans[row["column"]][0]
             found.setdefault(row["column"], {}).update(
                 {r: row["value"] for r in wanted[row["column"]] if lo <= r < lo + row["n"]})
-    out: dict[str, list[float] | None] = {k: None for k in columns}
+    out: dict[str, list[float]] = {}
     for k, places in ranks.items():
         vals = []
         for pos, r0 in places:

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.operators.common import exact_quantiles
+from reelsight.operators.common import exact_quantiles, group_quantiles
 
 
 def _width(horizon_s: int) -> int:
@@ -102,6 +102,16 @@ def latency_percentiles(df: DataFrame, col: str = "latency_ms") -> list[Column]:
     return [F.lit(v).cast("double").alias(n) for n, v in zip(("latency_p50", "latency_p95"), p)]
 
 
+def latency_by_group(df: DataFrame, by: str, col: str = "latency_ms") -> DataFrame:
+    """(by, latency_p50, latency_p95) for each value of a column of few
+    values."""
+    got = group_quantiles(df, by, col, [0.5, 0.95])
+    rows = [(k, *v) for k, v in got.items()]
+    known = df.sparkSession.createDataFrame(rows, "_k string, latency_p50 double, latency_p95 double")
+    groups = df.select(by).distinct()
+    return groups.join(known, groups[by].cast("string") == known["_k"], "left").drop("_k")
+
+
 def success_at_k_cols(k_values: Sequence[int]) -> list[Column]:
     return [F.avg(F.when(F.col("first_hit") <= k, 1.0).otherwise(0.0)).alias(f"success_at_{k}")
             for k in k_values if k > 0]

@@ -65,8 +65,7 @@ SELECT event_type,
        round(quantile_cont(value, 0.95), 6) AS latency_p95
 FROM events GROUP BY event_type""", ids=("AGG6",))
 def q_latency_percentiles(spark, sf):
-    log = td.request_log(spark, sf)
-    return rounded(log.groupBy("event_type").agg(*online.latency_percentiles(log)))
+    return rounded(online.latency_by_group(td.request_log(spark, sf), "event_type"))
 
 
 _PROXY_SQL = """
