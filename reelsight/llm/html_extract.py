@@ -11,8 +11,10 @@ The span with the greatest weight holds the main text.
 Where the densest line of this span stands in an element that marks an article
 (article, main, or a block named as content), the span is widened or cut
 to that element, so that short first and last paragraphs are neither lost nor
-joined by neighbours; in pages without such marks the surge and dive points
-themselves decide, and a heading right before the surge belongs to the text.
+joined by neighbours.  In pages without such marks the lowest block around
+the densest line that holds nine tenths of the span's weight takes that place;
+if only the body does, the surge and dive points themselves decide, and a
+heading right before the surge belongs to the text.
 """
 
 from __future__ import annotations
@@ -231,6 +233,30 @@ def surges(weights: list[int], window: int = 3, share: float = 0.15) -> list[tup
     return spans
 
 
+def _block_of(got: list, lo: int, hi: int, peak: int, share: float = 0.9) -> list[int]:
+    """The lines of the lowest element around the densest line that holds
+    ``share`` of the span's weight; none if only the body does."""
+    whole = sum(max(0, x[1]) for x in got[lo:hi])
+    held: dict[int, int] = {}
+    for _, w, at, _ in got[lo:hi]:
+        while w > 0 and at is not None:
+            held[id(at)] = held.get(id(at), 0) + w
+            at = at.up
+    block = got[peak][2]
+    while block is not None and (block.tag not in BLOCK or block.tag in ("p", "li", "td", "tr", *HEADING)
+                                 or held.get(id(block), 0) < share * whole):
+        block = block.up
+    if block is None or block.tag in ("body", "html", ""):
+        return []
+    mine = []
+    for i, (_, _, at, _) in enumerate(got):
+        while at is not None and at is not block:
+            at = at.up
+        if at is block:
+            mine.append(i)
+    return mine
+
+
 def main_text(page: str, window: int = 3, share: float = 0.15) -> str:
     """The main text of one page: its blocks joined by newlines."""
     got = lines(page)
@@ -249,6 +275,10 @@ def main_text(page: str, window: int = 3, share: float = 0.15) -> str:
             article = marked[0]
     if article:
         return "\n".join(t for t, wt, node, _ in got if wt >= 0 and node.article == article)
+    inside = _block_of(got, lo, hi, peak)
+    if inside:
+        texts = [i for i in inside if weights[i] > 0]
+        return "\n".join(got[i][0] for i in inside if weights[i] >= 0 and texts[0] <= i <= texts[-1])
     if lo and got[lo - 1][3] and weights[lo - 1] >= 0:
         lo -= 1
     return "\n".join(t for t, wt, *_ in got[lo:hi] if wt >= 0)

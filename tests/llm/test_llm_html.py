@@ -32,6 +32,15 @@ def test_surge_and_dive_without_marks():
     assert got[0] == "Title" and len(got) == 7 and got[-1].startswith("Paragraph 5")
 
 
+def test_block_without_marks():
+    """Short paragraphs of an unmarked block stay, what is around it goes."""
+    body = "<h1>Title</h1><p>Short.</p>" + "".join(f"<div><p>A paragraph {i} that is long enough to be found as text.</p></div>" for i in range(5))
+    page = ("<body><div><a href=x>Home</a> <a href=y>News</a></div><div>Tagline of site</div><div>" + body + "<p>Bye.</p></div>"
+            "<div><a href=q>link</a></div><div>All rights kept</div></body>")
+    got = main_text(page).split("\n")
+    assert got[:2] == ["Title", "Short."] and got[-1] == "Bye." and len(got) == 8
+
+
 def test_surges():
     assert surges([0, 0, 0, 50, 60, 2, 55, 0, 0, 0, 0, 9], 3, 0.15) == [(3, 7)]
     assert surges([], 3) == [] and surges([0, 0], 3) == []
