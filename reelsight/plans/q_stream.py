@@ -1,10 +1,10 @@
 """Streaming plans (STR1-STR7), each checked against its batch twin.
 
 The input table is staged as a sequence of time-ordered file chunks (about
-eight, whatever the data size) so the stream sees several micro-batches; a
-final chunk holds a sentinel event far in the future that moves the
-watermark past every real event, which flushes outer-join misses and open
-windows.  Sentinel rows are removed from the result.  Every run gets fresh
+eight, whatever the data size) so the stream sees several micro-batches.
+Windows that are still open at the end of the input are read from the last
+update of each.  Only the alert plan ends its input with a marker row of no
+service, since its windows wait for the watermark.  Every run gets fresh
 checkpoint and output folders under the session's shared checkpoint folder.
 """
 
@@ -19,7 +19,7 @@ from reelsight.operators import exposure
 from reelsight.plans import q_io, q_online
 from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.registry import PLANS, register, rounded
-from reelsight.session import scratch_path
+from reelsight.session import materialize, scratch_path
 from reelsight.sources import testdata as td
 from reelsight.streaming import pipelines as sp
 
@@ -31,9 +31,10 @@ def _run_dir(spark, name):
     return scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stage_chunks(df: DataFrame, path: str, ts: str = "ts", sentinel: DataFrame | None = None) -> None:
+def stage_chunks(df: DataFrame, path: str, ts: str = "ts", sentinel: DataFrame | None = None) -> str:
     """Write ``df`` as time-ordered chunks, one write per chunk (so file
-    times follow event time), then the sentinel chunk."""
+    times follow event time), then the sentinel chunk.  Returns the delay
+    within which the files of a chunk, each a batch, may mix times."""
     span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()  # two scalars
     lo, hi = int(span["lo"]), int(span["hi"])
     width = max(1, (hi - lo) // CHUNKS + 1)
@@ -42,26 +43,7 @@ def stage_chunks(df: DataFrame, path: str, ts: str = "ts", sentinel: DataFrame |
         df.where((F.col(ts) >= a) & (F.col(ts) < b)).write.mode("append").parquet(path)
     if sentinel is not None:
         sentinel.write.mode("append").parquet(path)
-
-
-def _sentinel_like(df: DataFrame, ts_value: F.Column, **overrides) -> DataFrame:
-    """One row with the schema of ``df``: ids -1, time ``ts_value``."""
-    row = df.limit(1)
-    cols = []
-    for c, t in df.dtypes:
-        if c in overrides:
-            cols.append(overrides[c].cast(t).alias(c))
-        elif c == "ts":
-            cols.append(ts_value.cast(t).alias(c))
-        elif t in ("bigint", "int"):
-            cols.append(F.lit(-1).cast(t).alias(c))
-        else:
-            cols.append(F.col(c))
-    return row.select(*cols)
-
-
-def _far(df: DataFrame, ts: str = "ts") -> F.Column:
-    return df.select(F.max(ts) + SENTINEL_GAP_S).scalar()
+    return f"{max(width, 86400)} seconds"
 
 
 def _with_time(df: DataFrame) -> DataFrame:
@@ -76,53 +58,44 @@ def q_stream_success(spark, sf):
     run = _run_dir(spark, "success")
     resp = td.responses(spark, sf)
     wat = td.watches(spark, sf)
-    far = _far(resp.unionByName(wat.select("ts"), allowMissingColumns=True))
-    stage_chunks(resp, f"{run}/in/responses", sentinel=_sentinel_like(
-        resp, far, movie_ids=F.array(F.lit(-1))))
-    stage_chunks(wat, f"{run}/in/watches", sentinel=_sentinel_like(wat, far))
+    delay = max(stage_chunks(resp, f"{run}/in/responses"), stage_chunks(wat, f"{run}/in/watches"),
+                key=lambda d: int(d.split()[0]))
     r = _with_time(sp.read_stream(spark, f"{run}/in/responses", resp.schema, max_files_per_trigger=1))
     w = _with_time(sp.read_stream(spark, f"{run}/in/watches", wat.schema, max_files_per_trigger=1))
-    out = sp.success_stream(r, w, q_online.DAY)
+    out = sp.success_stream(r, w, q_online.DAY, delay)
     sp.run_available(out.writeStream.format("parquet").option("path", f"{run}/out")
                      .option("checkpointLocation", f"{run}/ckpt"))
-    res = spark.read.parquet(f"{run}/out").where(F.col("request_id") >= 0)
-    return res.groupBy("request_id").agg(F.max(F.col("hit").cast("int")).alias("success"))
+    # hits are out at once; responses still waiting for one have none so far
+    hits = spark.read.parquet(f"{run}/out").where("hit").select("request_id").distinct().withColumn("hit", F.lit(1))
+    return resp.select("request_id").join(hits, "request_id", "left").select(
+        "request_id", F.coalesce("hit", F.lit(0)).alias("success"))
 
 
 @register("stream_exposure", PLANS["top5_exposure_daily"].oracle, ids=("STR5", "AGG10"))
 def q_stream_exposure(spark, sf):
     run = _run_dir(spark, "exposure")
     wat = td.watches(spark, sf)
-    stage_chunks(wat, f"{run}/in", sentinel=_sentinel_like(wat, _far(wat)))
+    delay = stage_chunks(wat, f"{run}/in")
     s = _with_time(sp.read_stream(spark, f"{run}/in", wat.schema, max_files_per_trigger=1))
-    counts = sp.exposure_stream(s)
-    sp.run_available(counts.writeStream.format("parquet").option("path", f"{run}/out")
-                     .option("checkpointLocation", f"{run}/ckpt"))
-    per = spark.read.parquet(f"{run}/out").where(F.col("movie_id") >= 0)
+    counts = sp.exposure_stream(s, delay)
+    sp.run_available(sp.write_updates(counts, f"{run}/out", f"{run}/ckpt"))
+    per = sp.latest(spark.read.parquet(f"{run}/out"), ("day", "movie_id")).where(F.col("movie_id").isNotNull())
     return rounded(exposure.daily_top_share(per))
 
 
 @register("stream_request_rate", PLANS["request_rate"].oracle, ids=("STR6", "MON1"))
 def q_stream_request_rate(spark, sf):
-    out, _ = _request_rate_stream(spark, sf)
-    return rounded(spark.read.parquet(out).where(F.col("window_start") < F.lit(10 ** 12)))
+    return rounded(_request_rate_stream(spark, sf)[0])
 
 
 def _request_rate_stream(spark, sf, by=()):
     run = _run_dir(spark, "rate")
     log = td.request_log(spark, sf).drop("event_time").withColumn("service", F.expr(SERVICE))
-    far = _far(log)
-    sentinel = _sentinel_like(log, far, status=F.lit(200))
-    stage_chunks(log, f"{run}/in", sentinel=sentinel)
+    delay = stage_chunks(log, f"{run}/in")
     s = _with_time(sp.read_stream(spark, f"{run}/in", log.schema, max_files_per_trigger=1))
-    rates = sp.request_rate_stream(s, by=by)
-    sp.run_available(rates.writeStream.format("parquet").option("path", f"{run}/out")
-                     .option("checkpointLocation", f"{run}/ckpt"))
-    # drop the sentinel's windows
-    real = spark.read.parquet(f"{run}/out").where(F.col("window_start") < far - 3600)
-    clean = f"{run}/windows"
-    real.write.parquet(clean)
-    return clean, run
+    rates = sp.request_rate_stream(s, delay, by=by)
+    sp.run_available(sp.write_updates(rates, f"{run}/out", f"{run}/ckpt"))
+    return sp.latest(spark.read.parquet(f"{run}/out"), (*by, "window_start")), run
 
 
 #: The log's requests belong to four services.
@@ -142,9 +115,8 @@ SELECT service, run_start, run_start + 600 AS fired_at FROM r WHERE run_end - ru
 def q_stream_alert(spark, sf):
     """Alerts for each service, the windows fed in several batches in which
     times are mixed within the delay."""
-    windows, run = _request_rate_stream(spark, sf, by=("service",))
-    w = spark.read.parquet(windows)
-    flagged = w.where(F.col("error_rate") > 0.05).select("service", "window_start")
+    w, run = _request_rate_stream(spark, sf, by=("service",))
+    flagged = materialize(w.where(F.col("error_rate") > 0.05).select("service", "window_start"), "flagged")
     last = flagged.agg(F.max("window_start")).first()[0] or 0  # one number
     # eight batches of time spans, each holding the odd minutes of the span before
     span = (last - (flagged.agg(F.min("window_start")).first()[0] or 0)) // CHUNKS + 1
