@@ -1,7 +1,7 @@
 import pytest
 
 
-@pytest.fixture(scope="package", autouse=True)
+@pytest.fixture(scope="module", autouse=True)
 def few_partitions(spark):
     """The tables of these tests are tiny; most of their time is tasks."""
     before = spark.conf.get("spark.sql.shuffle.partitions")

@@ -8,6 +8,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_setup import few_partitions  # noqa: F401
 from reelsight.llm import bpe
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

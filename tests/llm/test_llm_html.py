@@ -2,6 +2,7 @@
 
 import pytest
 
+from llm_setup import few_partitions  # noqa: F401
 from reelsight.llm.html_extract import extract, main_text, surges
 
 ARTICLE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>

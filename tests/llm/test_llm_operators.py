@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pytest
 
+from llm_setup import few_partitions  # noqa: F401
 from reelsight.llm import line_quality, mixing, prefix_forest, secret_scan, sharding, toxicity, url_reputation
 from reelsight.llm.tables import running
 

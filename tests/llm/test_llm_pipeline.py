@@ -4,6 +4,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
+from llm_setup import few_partitions  # noqa: F401
 from reelsight.llm import bpe, line_quality, mixing, secret_scan, simhash
 from test_llm_queries import DOCS, odd_docs
 

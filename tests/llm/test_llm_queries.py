@@ -4,6 +4,7 @@ with nulls, blanks, ties, repeated rows, extra columns, and no rows."""
 import duckdb
 import pytest
 
+from llm_setup import few_partitions  # noqa: F401
 from reelsight.llm.queries import QUERIES, SQL
 from tools.oracle_check import canon
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_setup import few_partitions  # noqa: F401
 from reelsight.llm import simhash
 from reelsight.llm.components import components
 
