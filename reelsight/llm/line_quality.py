@@ -4,12 +4,11 @@ Lines are normalised (lower case, runs of other characters than letters to
 one space) and hashed.  For each host the distinct documents that
 hold a line are counted.  A line is removed from the documents of a host if
 more than ``max_docs`` documents of that host hold it and it is not merely
-part of copied documents: no single text family (documents with the same
-longest line) makes up ``max_family`` of its documents.  Without this
-condition all copies of a clean document would be rejected together, and
-none would be left for the near-duplicate stage to keep.  A document is
-depleted, and rejected, if less than ``min_left`` of the characters of its
-normalised lines remain.
+part of copies of one text: no single text family (documents with the same
+set of lines) makes up ``max_family`` of its documents.  For one line this is
+the same as comparing its documents' other lines, so a line that dominates its
+documents is no family by itself.  A document is depleted, and rejected, if
+less than ``min_left`` of the characters of its normalised lines remain.
 
 Only DataFrame functions are used.
 """
@@ -96,13 +95,12 @@ def base(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: st
 def common_lines(counted: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(_host, h): the lines to remove, from the result of :func:`base`.
 
-    Repeated rows count as one document.  The copies of a line are counted
-    by (host, line, family) before any of them meet, so a line that a third
-    of all documents hold moves as one row for each task."""
+    Repeated rows count as one document.  The copies of a line are counted by
+    (host, line, family), then summed by (host, line); both counts are
+    combined before the shuffle."""
     one = counted.select("ka", "kb", "_host", "_lines").dropDuplicates(["ka", "kb"])
-    longest = F.array_max(F.transform("_lines", lambda x: F.struct(x["w"].alias("w"), x["h"].alias("h"))))["h"]
-    lines = one.select("_host", longest.alias("_family"),
-                       F.explode(F.array_distinct(F.transform("_lines", lambda x: x["h"]))).alias("h"))
+    hashes = F.array_sort(F.array_distinct(F.transform("_lines", lambda x: x["h"])))
+    lines = one.select("_host", F.xxhash64(hashes).alias("_family"), F.explode(hashes).alias("h"))
     families = lines.groupBy("_host", "h", "_family").agg(F.count(F.lit(1)).alias("n"))
     totals = families.groupBy("_host", "h").agg(F.sum("n").alias("n_docs"), F.max("n").alias("most"))
     return totals.where((F.col("n_docs") > rules.max_docs)
