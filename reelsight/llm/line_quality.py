@@ -10,6 +10,12 @@ the same as comparing its documents' other lines, so a line that dominates its
 documents is no family by itself.  A document is depleted, and rejected, if
 less than ``min_left`` of the characters of its normalised lines remain.
 
+Many near copies of a text with an edit each deplete one another.  So that one
+is left for the near-duplicate stage, a depleted document stays whole if it is
+the first (by key) of the near copies that hold some removed line.  A depleted
+document counts as a near copy if beside its longest removed line, too, at
+least ``min_copied`` of it is removed; documents that one line depletes are not.
+
 Only DataFrame functions are used.
 """
 
@@ -32,6 +38,7 @@ class Rules:
     max_docs: int = 20
     max_family: float = 0.5
     min_left: float = 0.3
+    min_copied: float = 0.5
 
 
 def normal(line: Column) -> Column:
@@ -112,19 +119,34 @@ def _judged(docs: DataFrame, rules: Rules, host: str, text: str) -> tuple[DataFr
     lose lines."""
     counted = staged(base(docs, rules, host, text), "quality-base")
     common = staged(common_lines(counted, rules), "quality-lines")
-    held = counted.select("ka", "kb", "_host", F.explode("_lines").alias("x")).select("ka", "kb", "_host", "x.h", "x.w")
+    held = counted.select("ka", "kb", "_host", "base_failed", _whole().alias("whole"), F.explode("_lines").alias("x")).select(
+        "ka", "kb", "_host", "base_failed", "whole", "x.h", "x.w")
     c = common.select(F.col("_host").alias("_ch"), F.col("h").alias("_h"))
     hit = held.join(c, (F.col("h") == F.col("_h")) & F.col("_host").eqNullSafe(F.col("_ch")), "left_semi")
-    cut = hit.groupBy("ka", "kb").agg(F.sum("w").alias("_n"), F.collect_set("h").alias("cut"))
+    cut = hit.groupBy("ka", "kb", "_host", "base_failed", "whole").agg(
+        F.sum("w").alias("_n"), F.max("w").alias("longest"), F.collect_set("h").alias("cut"))
     # a repeated row has met its lines as often as it occurs
     times = counted.groupBy("ka", "kb").agg(F.count(F.lit(1)).alias("times"))
-    cut = cut.join(times, ["ka", "kb"]).select("ka", "kb", (F.col("_n") / F.col("times")).cast("long").alias("n_cut"), "cut")
-    return counted, cut
+    cut = cut.join(times, ["ka", "kb"]).withColumn("n_cut", (F.col("_n") / F.col("times")).cast("long"))
+    cut = staged(cut.drop("_n", "times"), "quality-cut")
+    # near copies that deplete one another: the first with each line loses nothing
+    n_cut, longest, whole = F.col("n_cut"), F.col("longest"), F.col("whole")
+    copies = cut.where(~F.col("base_failed") & (whole - n_cut < rules.min_left * whole) & (n_cut > longest)
+                       & (n_cut - longest >= rules.min_copied * (whole - longest)))
+    first = copies.select("_host", F.struct("ka", "kb").alias("k"), F.explode("cut").alias("h")).groupBy("_host", "h").agg(F.min("k").alias("k"))
+    first = first.select(F.col("k.ka").alias("_a"), F.col("k.kb").alias("_b")).distinct()
+    cut = cut.join(first, (F.col("ka") == F.col("_a")) & (F.col("kb") == F.col("_b")), "left_anti")
+    return counted, cut.select("ka", "kb", "n_cut", "cut")
+
+
+def _whole() -> Column:
+    """Characters of a document's normalised lines."""
+    return F.aggregate("_lines", F.lit(0).cast("long"), lambda a, x: a + x["w"])
 
 
 def _left(rules: Rules) -> Column:
     """Whether enough of a document remains."""
-    whole = F.aggregate("_lines", F.lit(0).cast("long"), lambda a, x: a + x["w"])
+    whole = _whole()
     return whole - F.coalesce(F.col("n_cut"), F.lit(0)) >= rules.min_left * whole
 
 

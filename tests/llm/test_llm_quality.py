@@ -27,3 +27,29 @@ def test_one_long_shared_line_depletes(spark):
     rest = {i: words(rng, 70) for i in range(300)}
     assert kept(spark, [(i, f"{shared}\n{rest[i]}") for i in range(300)]) == rest
 
+
+def test_template_pages_lose_their_lines(spark):
+    rng = random.Random(2)
+    template = [words(rng, 40 - 5 * i) for i in range(4)]
+    out = kept(spark, [(i, "\n".join([*template, words(rng, 12)])) for i in range(300)])
+    assert len(out) == 1  # indistinguishable from near copies: one of them is left
+
+
+def test_near_copies_leave_one(spark):
+    rng = random.Random(3)
+    lines = [words(rng, 15) for _ in range(12)]
+    rows = []
+    for i in range(1000):
+        mine = list(lines)
+        at = rng.randrange(12)
+        mine[at] = mine[at][:-7] + words(rng, 1)
+        rows.append((i, "\n".join(mine)))
+    other = [words(rng, 14) for _ in range(10)]  # another text, with lines of the first
+    for i in range(1000, 1400):
+        mine = lines[:2] + list(other)
+        mine[rng.randrange(2, 12)] += " " + words(rng, 1)
+        rows.append((i, "\n".join(mine)))
+    out = kept(spark, rows)
+    texts = dict(rows)
+    assert 1 <= sum(i < 1000 for i in out) <= 12 and 1 <= sum(i >= 1000 for i in out) <= 12
+    assert all(out[i] == texts[i] for i in out)
