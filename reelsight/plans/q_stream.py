@@ -137,11 +137,12 @@ def q_stream_dedup(spark, sf):
     run = _run_dir(spark, "dedup")
     rep = td.replayed(spark, sf)
     originals = rep.dropDuplicates(["_kafka_topic", "_kafka_partition", "_kafka_offset"])
-    stage_chunks(originals, f"{run}/in")
+    # the tail of replays reaches back to the first chunk
+    delay = f"{CHUNKS * int(stage_chunks(originals, f'{run}/in').split()[0])} seconds"
     # replays arrive after everything else, as a redelivered tail
     rep.where(F.col("watch_id") % 10 == 0).write.mode("append").parquet(f"{run}/in")
     s = _with_time(sp.read_stream(spark, f"{run}/in", rep.schema, max_files_per_trigger=1))
-    d = sp.dedupe_stream(s)
+    d = sp.dedupe_stream(s, delay=delay)
     sp.run_available(d.writeStream.format("parquet").option("path", f"{run}/out")
                      .option("checkpointLocation", f"{run}/ckpt"))
     return spark.read.parquet(f"{run}/out").select("watch_id", "_kafka_partition", "_kafka_offset")
