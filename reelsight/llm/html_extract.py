@@ -10,7 +10,7 @@ The span with the greatest weight holds the main text.
 
 Where the densest line of this span stands in an element that marks an article
 (article, main, or a block named as content), the span is widened or cut
-to that element, so that short first and last paragraphs are neither lost nor
+to that element and its siblings with the same name, so that short first and last paragraphs are neither lost nor
 joined by neighbours.  In pages without such marks the lowest block around
 the densest line that holds nine tenths of the span's weight takes that place;
 if only the body does, the surge and dive points themselves decide, and a
@@ -39,7 +39,8 @@ DROP = frozenset("nav footer aside form script style select button dialog menu h
                  "textarea title svg math object canvas video audio map datalist search".split())
 #: Elements that end an open paragraph.
 CLOSES_P = BLOCK - {"option", "optgroup", "html", "body", "head"}
-#: Words in class, id or role that name something other than the text.
+#: Words in class, id or role that name something other than the text; an
+#: element goes if one of its names does so and none names the text.
 DROP_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense adbox adslot banner sponsor sponsored promo promotion "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager "
@@ -50,6 +51,11 @@ DROP_NAMES = frozenset(
     "share sharing social toc search form contentinfo complementary dialog".split())
 #: Words in class, id, role or itemprop that name the text.
 KEEP_NAMES = frozenset("article articlebody main maincontent content post postbody entry story body".split())
+#: Names of readers' comments, which are articles in some pages.
+COMMENT_NAMES = frozenset("comment comments reply".split())
+#: Words before what an element has or lacks, and last words that tell a state.
+NOT_IT = frozenset("no not non has have with without hide".split())
+STATES = frozenset("open opened closed enabled disabled on off allowed available".split())
 
 TOKEN = re.compile(
     r"<!--(?:.*?)(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -62,27 +68,41 @@ WORD = re.compile(r"[a-z]+")
 class _Node:
     """An open element: what its text counts as."""
 
-    __slots__ = ("tag", "dropped", "article", "up", "link")
+    __slots__ = ("tag", "dropped", "article", "up", "link", "marks")
 
     def __init__(self, tag, up, dropped=False, article=0, link=False):
         self.tag, self.up, self.dropped, self.article, self.link = tag, up, dropped, article, link
+        self.marks = None  # numbers of the marked blocks in it, by mark
 
 
-def _names(attrs: str) -> tuple[set[str], bool]:
-    """Words in class, id, role and itemprop; whether the element is hidden."""
-    found, hidden = set(), False
+def _names(attrs: str) -> tuple[frozenset[str], bool, bool, bool]:
+    """Of class, id, role and itemprop: the names of the text, whether one
+    names something else, whether one names a reader's comment; and whether
+    the element is hidden.
+
+    Each name is taken as a whole: 'article-footer' is a footer, not text.
+    What follows no-, has-, with- and the like tells what the element is not,
+    and names such as comments-open tell a state; neither drops anything."""
+    text, other, comment, hidden = set(), False, False, False
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id", "role", "itemprop"):
             for part in value.split():
                 words = WORD.findall(part)
-                found.update(words)
-                found.add("".join(words))
+                words = words[:next((i for i, w in enumerate(words) if w in NOT_IT), len(words))]
+                if len(words) > 1 and words[-1] in STATES:
+                    continue
+                names = {*words, "".join(words)}
+                if names & DROP_NAMES:
+                    other = True
+                    comment = comment or bool(names & COMMENT_NAMES)
+                elif names & KEEP_NAMES:
+                    text.add("-".join(words))
         elif name == "style" and "display:none" in value.replace(" ", ""):
             hidden = True
     if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attrs):
         hidden = True
-    return found, hidden
+    return frozenset(text), other, comment, hidden
 
 
 def lines(page: str) -> list[tuple[str, int, object, bool]]:
@@ -180,17 +200,23 @@ def lines(page: str) -> list[tuple[str, int, object, bool]]:
                     at = at.up
         if tag in VOID or attrs.rstrip().endswith("/") and tag not in BLOCK and tag not in RAW:
             continue
-        names, hidden = _names(attrs) if attrs.strip() else (set(), False)
+        names, other, comment, hidden = _names(attrs) if attrs.strip() else (frozenset(), False, False, False)
         inside = node.article
-        dropped = tag in DROP or hidden or bool(names & DROP_NAMES) and tag not in ("html", "body", "article", "main") \
-            or tag in ("article", "section", "div") and bool(names & {"comment", "comments", "reply"})
+        other = other and not names
+        dropped = tag in DROP or hidden or other and (comment and tag == "article" or tag not in ("html", "body", "article", "main"))
         if tag == "header" and not inside:
             dropped = True
         article = inside
-        if not dropped and (tag in ("article", "main") or names & KEEP_NAMES and tag in ("div", "section", "td")):
-            if not inside:
+        if not dropped and not inside:
+            if tag in ("article", "main"):
                 article_no += 1
                 article = article_no
+            elif names and tag in ("div", "section", "td"):  # siblings with one mark are one text
+                node.marks = node.marks or {}
+                if names not in node.marks:
+                    article_no += 1
+                    node.marks[names] = article_no
+                article = node.marks[names]
         node = _Node(tag, node, dropped, article, tag == "a" or node.link)
         if tag in ("article", "main") and node.up is not root:
             # an article inside a form that wraps the page, or in a menu left open
