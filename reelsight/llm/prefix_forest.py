@@ -6,19 +6,25 @@ to the vectors with the longest common prefix, then all trees ascend together,
 one bit of prefix less at a time, until at least the wanted number of different
 candidates is reached; those are scored exactly.
 
+Signs of projections know angles only, and the wanted is the inner product.  So
+the rows of a chunk are cut into bands of similar length, and within a band,
+whose longest vector has length M, a vector x is hashed as (x, sqrt(M*M - |x|*|x|))
+and a query as (q, 0): all hashed rows are of length M, and the angle falls as
+the inner product grows.  Scores use the vectors themselves.
+
 The vectors are dealt by id into chunks of about ``chunk`` rows, each of which
 holds one forest; the queries, in blocks of ``block``, visit every chunk, and
 the best of all chunks are merged.  So a vector is stored once whatever the
 number of trees, no prefix that many vectors share can fill a task, and memory
-is bounded by a chunk and a block.  The candidates wanted of a chunk are
-``share`` of its rows.  Vectors without any structure (independent directions
+is bounded by a chunk and a block.  The candidates wanted of a band are
+``share`` of its rows, and ``least`` rows of a chunk, the longest first, at least.  Vectors without any structure (independent directions
 in 64 dimensions) need over half of the rows for a recall above 0.9 with any sign
 hash; vectors in clusters need far less.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +41,8 @@ class Forest:
     chunk: int = 16_384
     block: int = 4_096
     seed: int = 7
+    #: Lengths within a band differ by this factor at most.
+    spread: float = 1.25
 
 
 def usable(vec: Column) -> Column:
@@ -44,26 +52,31 @@ def usable(vec: Column) -> Column:
 
 
 class Trees:
-    """The forest of one chunk."""
+    """The forest of one band of a chunk."""
 
     def __init__(self, x, forest: Forest):
         import numpy as np
 
         self.x, self.f = x, forest
-        self.planes = np.random.default_rng(forest.seed).normal(size=(forest.trees, x.shape[1], forest.bits))
+        rng = np.random.default_rng(forest.seed)
+        self.planes = np.concatenate([rng.normal(size=(forest.trees, x.shape[1], forest.bits)),
+                                      rng.normal(size=(forest.trees, 1, forest.bits))], axis=1)
+        squares = (x * x).sum(axis=1)
+        rest = np.sqrt(squares.max(initial=0.0) - squares)[:, None]
         self.order, self.codes = [], []
         for p in self.planes:
-            c = self.hash(x, p)
+            c = self.hash(x, p, rest)
             o = np.argsort(c, kind="stable")
             self.order.append(o)
             self.codes.append(c[o])
         self.mask = np.zeros(len(x), dtype=bool)
 
-    def hash(self, x, plane):
+    def hash(self, x, plane, rest=0.0):
+        """The signs of (x, rest); a query has no rest."""
         import numpy as np
 
         weights = np.left_shift(np.uint64(1), np.arange(self.f.bits - 1, -1, -1, dtype=np.uint64))
-        return ((x @ plane) > 0).astype(np.uint64) @ weights
+        return ((x @ plane[:-1] + rest * plane[-1:]) > 0).astype(np.uint64) @ weights
 
     def candidates(self, q):
         """For each query, the rows met when the trees have ascended far
@@ -103,12 +116,42 @@ class Trees:
         return got
 
 
+def bands(x, spread: float):
+    """Row numbers of ``x`` by length: in each band within a factor of
+    ``spread`` of the longest one."""
+    import numpy as np
+
+    top = np.abs(x).max(axis=1)
+    size = np.log(top) + np.log(np.sqrt(((x / top[:, None]) ** 2).sum(axis=1)))  # without overflow
+    left = np.argsort(-size, kind="stable")
+    while len(left):
+        n = int(np.searchsorted(-size[left], np.log(spread) - size[left[0]], side="right"))
+        yield np.sort(left[:n])
+        left = left[n:]
+
+
+def candidates(x, q, forest: Forest):
+    """For each query, the rows of one chunk met in the forests of its bands."""
+    import numpy as np
+
+    met: list[list] = [[] for _ in range(len(q))]
+    least = forest.least  # goes to the longest vectors first
+    for rows in bands(x, forest.spread):
+        part = replace(forest, least=least)
+        least = max(0, least - len(rows))
+        mine = x if len(rows) == len(x) else x[rows]
+        # to length 1 at most: squares of hashed vectors neither overflow nor vanish
+        for i, found in Trees(mine / np.abs(mine).max(), part).candidates(q).items():
+            met[i].append(rows[found])
+    return {i: np.sort(np.concatenate(found)) for i, found in enumerate(met) if found}
+
+
 def best(x, ids, q, q_ids, k: int, forest: Forest):
     """(query id, id, score) of the k best candidates of one chunk."""
     import numpy as np
 
     out_q, out_i, out_s = [], [], []
-    for i, found in Trees(x, forest).candidates(q).items():
+    for i, found in candidates(x, q, forest).items():
         found = found[ids[found] != q_ids[i]]
         if not len(found):
             continue
