@@ -32,3 +32,11 @@ def test_recall_of_unequal_lengths(spark, tmp_path, lengths):
     x, rng = directions(8_000)
     size = np.where(np.arange(len(x)) % 100 == 1, 10.0, 1.0) if lengths == "few long" else np.exp(2 * rng.normal(size=len(x)))
     assert recall(spark, tmp_path, x * size[:, None]) >= 0.95
+
+
+def test_recall_of_the_production_forest(spark, tmp_path):
+    x, _ = directions(20_000)  # two chunks
+    assert len(x) > prefix_forest.Forest().chunk
+    found = recall(spark, tmp_path, x)
+    print("recall", found)
+    assert found >= 0.95
