@@ -1,7 +1,9 @@
 """Quality rules: base counts of a text, and cross-document line frequency.
 
-Lines are normalised (lower case, runs of other characters than letters to
-one space) and hashed.  For each host the distinct documents that
+Lines are normalised and hashed: :func:`clean` compares lower case with single
+spaces, so lines that differ in a figure or sign are different lines;
+:func:`judge` compares letters only, as the SQL of its query states.  Lines
+whose normal form is empty are never removed.  For each host the distinct documents that
 hold a line are counted.  A line is removed from the documents of a host if
 more than ``max_docs`` documents of that host hold it and it is not merely
 part of copies of one text: no single text family (documents with the same
@@ -21,6 +23,7 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,10 +45,16 @@ class Rules:
 
 
 def normal(line: Column) -> Column:
-    """A line as it is compared across documents."""
+    """A line as it is compared across documents: its letters."""
     return F.trim(F.regexp_replace(F.lower(line), "[^\\p{L}]+", " "))
 
 
+def exact(line: Column) -> Column:
+    """A line as it is compared where lines are removed from texts: case and
+    white space apart, every character counts."""
+    return F.trim(F.regexp_replace(F.lower(line), "[\\s\\p{Z}]+", " "))
+
+
 def line_hash(norm: Column) -> Column:
     """60 bits of a normalised line's MD5."""
     return F.conv(F.substring(F.md5(norm), 1, 15), 16, 10).cast("long")
@@ -64,7 +73,8 @@ def _repeated(ws: Column) -> Column:
     return F.when(F.size(ws) < 3, F.array().cast("array<struct<h:bigint,i:int>>")).otherwise(F.sort_array(hashed))
 
 
-def base(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: str = "text") -> DataFrame:
+def base(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: str = "text",
+         form: Callable[[Column], Column] = normal) -> DataFrame:
     """doc_id, _host, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, the row's key (ka, kb), and _lines: the
     hashes of the normalised lines with their characters, each."""
@@ -80,7 +90,7 @@ def base(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: st
                      F.lit(0)).cast("long").alias("n_symbols"),
                  (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
                  _repeated(F.col("_w")).alias("_s"),
-                 F.transform(F.transform("_l", normal), lambda x: F.struct(
+                 F.transform(F.transform("_l", form), lambda x: F.struct(
                      line_hash(x).alias("h"), F.length(x).cast("long").alias("w"))).alias("_lines"))
     s = F.col("_s")
 
@@ -105,7 +115,7 @@ def common_lines(counted: DataFrame, rules: Rules = Rules()) -> DataFrame:
     Repeated rows count as one document.  The copies of a line are counted by
     (host, line, family), then summed by (host, line); both counts are
     combined before the shuffle."""
-    one = counted.select("ka", "kb", "_host", "_lines").dropDuplicates(["ka", "kb"])
+    one = counted.select("ka", "kb", "_host", F.filter("_lines", lambda x: x["w"] > 0).alias("_lines")).dropDuplicates(["ka", "kb"])
     hashes = F.array_sort(F.array_distinct(F.transform("_lines", lambda x: x["h"])))
     lines = one.select("_host", F.xxhash64(hashes).alias("_family"), F.explode(hashes).alias("h"))
     families = lines.groupBy("_host", "h", "_family").agg(F.count(F.lit(1)).alias("n"))
@@ -114,10 +124,10 @@ def common_lines(counted: DataFrame, rules: Rules = Rules()) -> DataFrame:
                         & (F.col("most") < rules.max_family * F.col("n_docs"))).select("_host", "h")
 
 
-def _judged(docs: DataFrame, rules: Rules, host: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _judged(docs: DataFrame, rules: Rules, host: str, text: str, form: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
     """Base counts of every row, and (ka, kb, n_cut, cut) of the rows that
     lose lines."""
-    counted = staged(base(docs, rules, host, text), "quality-base")
+    counted = staged(base(docs, rules, host, text, form), "quality-base")
     common = staged(common_lines(counted, rules), "quality-lines")
     held = counted.select("ka", "kb", "_host", "base_failed", _whole().alias("whole"), F.explode("_lines").alias("x")).select(
         "ka", "kb", "_host", "base_failed", "whole", "x.h", "x.w")
@@ -157,7 +167,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: s
     A null text has no words and fails; a null host is a host of its own;
     rows with null ids and repeated rows are judged like any other (repeated
     ones count as one document); an empty table gives no rows."""
-    counted, cut = _judged(docs, rules, host, text)
+    counted, cut = _judged(docs, rules, host, text, normal)
     c = cut.select(F.col("ka").alias("_a"), F.col("kb").alias("_b"), "n_cut")
     j = counted.join(c, (F.col("ka") == F.col("_a")) & (F.col("kb") == F.col("_b")), "left")
     n_cut = F.coalesce(F.col("n_cut"), F.lit(0))
@@ -170,7 +180,7 @@ def clean(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: s
     """``docs`` without the rejected rows, and their texts without the
     removed lines (``length``, if there is such a column, counted anew).
     Other columns, rows that lose nothing and repeated rows stay as they are."""
-    counted, cut = _judged(docs, rules, host, text)
+    counted, cut = _judged(docs, rules, host, text, exact)
     c = cut.select(F.col("ka").alias("_a"), F.col("kb").alias("_b"), "n_cut", "cut")
     j = counted.join(c, (F.col("ka") == F.col("_a")) & (F.col("kb") == F.col("_b")), "left")
     stay = j.where(~F.col("base_failed") & _left(rules)).select(
@@ -179,7 +189,7 @@ def clean(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: s
     named = docs.withColumn("_k", key)
     kept = named.join(stay, (F.col("_k.a") == F.col("_a")) & (F.col("_k.b") == F.col("_b")))
     rest = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x: ~(
-        x.rlike(f"[^{SPACE}]") & F.array_contains("_cut", line_hash(normal(x))))), "\n")
+        x.rlike(f"[^{SPACE}]") & F.array_contains("_cut", line_hash(exact(x))))), "\n")
     out = kept.withColumn(text, F.when(F.col("_cut").isNull(), F.col(text)).otherwise(rest))
     if length in docs.columns and length != text:
         kind = docs.schema[length].dataType

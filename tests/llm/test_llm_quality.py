@@ -53,3 +53,11 @@ def test_near_copies_leave_one(spark):
     texts = dict(rows)
     assert 1 <= sum(i < 1000 for i in out) <= 12 and 1 <= sum(i >= 1000 for i in out) <= 12
     assert all(out[i] == texts[i] for i in out)
+
+
+def test_lines_of_figures_stay(spark):
+    rng = random.Random(4)
+    rows = [(i, f"{words(rng, 60)}\n{1000 + i} | {i * 7} | {i}\nPrice: {i},499\n}}\n\u00a0\nTotal 5") for i in range(40)]
+    out = {r.doc_id: r.text for r in line_quality.clean(spark.createDataFrame([(i, t, "h", len(t)) for i, t in rows], SCHEMA)).collect()}
+    # only what all forty hold in the same characters goes
+    assert out == {i: t.replace("\n}\n", "\n").replace("\nTotal 5", "") for i, t in rows}
