@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import bpe, html_extract, line_quality, mixing, prefix_forest, secret_scan, sharding, simhash, toxicity, url_reputation
+from reelsight.llm import (bpe, html_extract, infill, line_quality, mixing, prefix_forest, secret_scan, sharding, simhash, toxicity,
+                           url_reputation)
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +213,24 @@ SELECT page_id, host, path, rule,
             WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM r LEFT JOIN b USING (host)
 """
+
+
+@query
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text cut, arranged and restored."""
+    return infill.digests(read(spark, sf_dir, "documents"))
+
+
+SQL["op13_infill"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
+h AS (SELECT doc_id, t, length(t) AS n, ('0x' || substr(k, 1, 8))::BIGINT AS h1, ('0x' || substr(k, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(k, 17, 8))::BIGINT AS h3, ('0x' || substr(k, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1, n - b) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p
+"""
