@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import (bpe, html_extract, infill, line_quality, mixing, prefix_forest, secret_scan, sharding, simhash, toxicity,
-                           url_reputation)
+from reelsight.llm import (bpe, html_extract, infill, line_quality, mixing, prefix_forest, secret_scan, sharding, simhash, spelling,
+                           toxicity, url_reputation)
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,6 +215,12 @@ FROM r LEFT JOIN b USING (host)
 """
 
 
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with its near words and its form."""
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 @query
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text cut, arranged and restored."""
