@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsight.llm import (bpe, html_extract, infill, line_quality, mixing, prefix_forest, secret_scan, sharding, simhash, spelling,
-                           toxicity, url_reputation)
+from reelsight.llm import (bpe, html_extract, infill, line_quality, mixing, prefix_forest, secret_scan, sharding, shingle_join, simhash,
+                           spelling, toxicity, url_reputation)
 from reelsight.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,6 +221,13 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents"))
 
 
+@query
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked at a Jaccard similarity of 0.9 of their 3-word
+    shingles."""
+    return shingle_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text cut, arranged and restored."""
