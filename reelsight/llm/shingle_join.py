@@ -19,11 +19,15 @@ the cheapest of those that keep neighbourhoods, as long as that lowers the cost.
 The units of a band always add up to its differences plus one: no exchange loses
 a link.
 
-Equal sets collapse first.  Entries are verified on whole texts.  Every entry
-starts with a star: all members against its least one.  Members of an entry that
-are then in different components meet stars around other members, and what is
-still apart is verified pair by pair.  So a group of copies costs its members,
-not its pairs, and no link between components is lost.
+Equal sets collapse first.  Every entry starts with a star: all members against
+its least one.  Members of an entry that are then in different components meet a
+star around another member, and what is still apart is verified pair by pair.  So
+a group of copies costs its members, not its pairs, and no link between
+components is lost.
+
+Verification is exact, on whole texts.  Before it, pairs that cannot be similar
+are dropped by parities: every shingle flips one of 1,024 bits of its set, so two
+sets differ in at least as many shingles as their parities in bits.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ from pyspark.sql import functions as F
 from reelsight.llm.components import components
 from reelsight.llm.tables import row_key, staged
 
+#: 64-bit words of a set's parities.
+PARITY = 16
 C1, C2, C3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
 
@@ -51,7 +57,7 @@ class Near:
     spare: int = 16
     swaps: int = 64
     row_cost: float = 1.0
-    stars: int = 4
+    stars: int = 2
 
     def differences(self, sizes: int) -> int:
         return sizes * (self.den - self.num) // (self.den + self.num)
@@ -110,17 +116,26 @@ def signature(tokens, band: int, segments: int, spare: int):
     return (mixed(sums + salt).view(np.int64), mixed(sums[at[i]] - tokens[i] + salt[at[i]]).view(np.int64), at[i].astype(np.int32))
 
 
+def parities(tokens):
+    """The bits that an odd number of shingles flip."""
+    import numpy as np
+
+    bit = mixed(tokens ^ np.uint64(C3)) >> np.uint64(54)
+    odd = np.bincount(bit.astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def sets(docs: DataFrame, near: Near = Near(), text: str = "text") -> DataFrame:
-    """doc_id, row key (ka, kb), n (set size), digest (d1, d2), and for the
+    """doc_id, row key (ka, kb), n (set size), digest (d1, d2), parities, and for the
     own band and the one below (band -1: none) subset keys, neighbourhood keys
     and their segments; of every row."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        names = ["doc_id", "ka", "kb", "n", "d1", "d2", "band", "subsets", "dels", "del_seg", "low", "low_subsets", "low_dels", "low_del_seg"]
+        names = ["doc_id", "ka", "kb", "n", "d1", "d2", "parity", "band", "subsets", "dels", "del_seg", "low", "low_subsets", "low_dels", "low_del_seg"]
         longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), longs, longs, ints, pa.int32(), longs, longs, ints]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), longs, pa.int32(), longs, longs, ints, pa.int32(), longs, longs, ints]
         none = (-1, [], [], [])
         bands: list = []
 
@@ -133,7 +148,7 @@ def sets(docs: DataFrame, near: Near = Near(), text: str = "text") -> DataFrame:
                 tokens = shingles(t.as_py() or b"", near.shingle)
                 n = len(tokens)
                 if not n:
-                    rows.append((0, 0, 0, *none, *none))
+                    rows.append((0, 0, 0, [], *none, *none))
                     continue
                 if not bands or bands[-1][1] < n:
                     bands = near.bands(2 * n)
@@ -141,7 +156,7 @@ def sets(docs: DataFrame, near: Near = Near(), text: str = "text") -> DataFrame:
                 below = g - 1 if g and near.least(n) <= bands[g - 1][1] else -1
                 d1 = tokens.sum(dtype=np.uint64).view(np.int64)
                 d2 = mixed(tokens ^ np.uint64(C2)).sum(dtype=np.uint64).view(np.int64)
-                rows.append((n, int(d1), int(d2), *signed(tokens, g), *signed(tokens, below)))
+                rows.append((n, int(d1), int(d2), parities(tokens), *signed(tokens, g), *signed(tokens, below)))
             cols = list(zip(*rows)) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], *[pa.array(c, k) for c, k in zip(cols, kinds)]], names=names)
 
@@ -149,7 +164,7 @@ def sets(docs: DataFrame, near: Near = Near(), text: str = "text") -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("k"), F.col(text).cast("binary").alias("t"))
     part = "{0}band int, {1}subsets array<long>, {1}dels array<long>, {1}del_seg array<int>"
     return rows.select("doc_id", F.col("k.a").alias("ka"), F.col("k.b").alias("kb"), "t").mapInArrow(
-        run, "doc_id long, ka long, kb long, n long, d1 long, d2 long, " + part.format("", "") + ", "
+        run, "doc_id long, ka long, kb long, n long, d1 long, d2 long, parity array<long>, " + part.format("", "") + ", "
         + part.format("low_", "low_").replace("low_band", "low"))
 
 
@@ -223,44 +238,47 @@ def verified(pairs: DataFrame, texts: DataFrame, near: Near = Near()) -> DataFra
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _components(links: DataFrame, nodes: DataFrame, tag: str) -> DataFrame:
-    """(rec, comp) of every node."""
-    root = components(links, tag)
-    return staged(nodes.join(root, nodes.rec == root.node, "left").select("rec", F.coalesce("root", "rec").alias("comp")), tag)
+def _possible(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
+    """The distinct pairs (a, b) whose parities do not rule them out."""
+    def side(name):
+        return classes.select(F.col("rec").alias(name), F.col("n").alias(f"n{name}"), F.col("parity").alias(f"p{name}"))
+
+    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    most = F.floor((F.col("na") + F.col("nb")) * (near.den - near.num) / (near.den + near.num))
+    return (pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+                 .where(differ <= most).select("a", "b"))
 
 
-def _links(members: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
+def _links(members: DataFrame, classes: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     """(rec, comp) of the sets that share a key with another, from (key, rec,
     n, home, whole)."""
-    nodes = staged(members.select("rec").distinct(), "shingle-nodes")
+    comp = staged(members.select("rec").distinct().withColumn("comp", F.col("rec")), "shingle-comp")
     fits = ((F.col("n") * near.den >= F.col("hn") * near.num) & (F.col("hn") * near.den >= F.col("n") * near.num))
-    links, comp = None, nodes.withColumn("comp", F.col("rec"))
-    for i in range(near.stars):
-        open_ = members.join(comp, "rec")
-        if i:  # entries whose members are not all in one component yet
-            apart = open_.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-            open_ = open_.join(apart, "key", "left_semi")
-        open_ = staged(open_, "shingle-open")
-        # the middle of the star: a whole subset of the band, another one each round
-        order = F.struct((F.xxhash64("rec", F.lit(i)) if i else F.col("rec")).alias("o"), F.col("rec").alias("hub"),
-                         F.col("n").alias("hn"), F.col("comp").alias("hc"))
-        hubs = open_.where("whole and home").groupBy("key").agg(F.min(order).alias("m")).select("key", "m.*")
-        pairs = open_.join(hubs, "key").where((F.col("comp") != F.col("hc")) & fits).select(
-            F.least("rec", "hub").alias("b"), F.greatest("rec", "hub").alias("a")).distinct()
-        found = staged(verified(pairs, texts, near), "shingle-links")
-        links = found if links is None else links.unionByName(found)
-        if found.isEmpty():
-            break
-        comp = _components(links, nodes, f"shingle-cc{i}")
-    last = members.join(comp, "rec")
-    apart = last.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    left = staged(last.join(apart, "key", "left_semi"), "shingle-apart")
-    right = left.select("key", F.col("rec").alias("hub"), F.col("n").alias("hn"), F.col("home").alias("hh"),
-                        F.col("whole").alias("hw"), F.col("comp").alias("hc"))
-    pairs = left.join(right, "key").where((F.col("rec") > F.col("hub")) & (F.col("comp") != F.col("hc")) & fits
-                                          & (F.col("whole") | F.col("hw")) & (F.col("home") | F.col("hh")))
-    found = staged(verified(pairs.select(F.col("rec").alias("a"), F.col("hub").alias("b")).distinct(), texts, near), "shingle-links")
-    return _components(links.unionByName(found), nodes, "shingle-cc")
+    for i in range(near.stars + 1):
+        # entries whose members are not all in one component yet
+        named = members.join(comp, "rec")
+        apart = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        left = staged(named.join(apart, "key", "left_semi"), "shingle-apart")
+        if i < near.stars:
+            # the middle of the star: a whole subset of the band, another one each round
+            order = F.struct((F.xxhash64("rec", F.lit(i)) if i else F.col("rec")).alias("o"), F.col("rec").alias("hub"),
+                             F.col("n").alias("hn"), F.col("comp").alias("hc"))
+            right = left.where("whole and home").groupBy("key").agg(F.min(order).alias("m")).select("key", "m.*")
+            which = F.lit(True)
+        else:
+            right = left.select("key", F.col("rec").alias("hub"), F.col("n").alias("hn"), F.col("comp").alias("hc"),
+                                F.col("home").alias("hh"), F.col("whole").alias("hw"))
+            which = (F.col("rec") > F.col("hub")) & (F.col("whole") | F.col("hw")) & (F.col("home") | F.col("hh"))
+        met = left.join(right, "key").where((F.col("comp") != F.col("hc")) & fits & which)
+        pairs = _possible(met.select(F.greatest("rec", "hub").alias("a"), F.least("rec", "hub").alias("b")), classes, near)
+        found = verified(staged(pairs, "shingle-pairs"), texts, near)
+        # components of components: only what the new links join
+        names = comp.withColumnRenamed("rec", "r")
+        joined = (found.join(names, found.a == names.r).select("b", F.col("comp").alias("ca"))
+                       .join(names, F.col("b") == F.col("r")).select(F.col("ca").alias("a"), F.col("comp").alias("b")))
+        root = components(joined, f"shingle-cc{i}")
+        comp = staged(comp.join(root, comp.comp == root.node, "left").select("rec", F.coalesce("root", "comp").alias("comp")), "shingle-comp")
+    return comp
 
 
 def near_duplicates(docs: DataFrame, near: Near = Near(), text: str = "text") -> DataFrame:
@@ -278,7 +296,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), text: str = "text") ->
     named = staged(firsts.withColumn("rec", F.monotonically_increasing_id()), "shingle-classes")
     speak = named.select("rec", F.col("k.ka").alias("_a"), F.col("k.kb").alias("_b"))
     speaking = rows.where("band >= 0 or low >= 0").dropDuplicates(["ka", "kb"]).join(
-        speak, (F.col("ka") == F.col("_a")) & (F.col("kb") == F.col("_b"))).select("rec", "n", *mine)
+        speak, (F.col("ka") == F.col("_a")) & (F.col("kb") == F.col("_b"))).select("rec", "n", "parity", *mine)
     classes = staged(speaking, "shingle-signed")
     index = _index(classes, near)
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("f"), F.max(F.col("whole") & F.col("home")).alias("homes")).where("f > 1 and homes")
@@ -288,7 +306,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), text: str = "text") ->
     whole = docs.select(key.alias("_k"), F.col(text).cast("binary").alias("t"))
     texts = staged(whole.join(wanted, (F.col("_k.a") == F.col("_a")) & (F.col("_k.b") == F.col("_b")))
                         .select("rec", "t").dropDuplicates(["rec"]), "shingle-texts")
-    comp = _links(members, texts, near)
+    comp = _links(members, classes, texts, near)
     of = named.join(comp, "rec", "left").withColumn("comp", F.coalesce("comp", "rec"))
     least = of.groupBy("comp").agg(F.min("first").alias("component_id"))
     told = of.join(least, "comp").select(F.col("n").alias("_n"), F.col("d1").alias("_1"), F.col("d2").alias("_2"), "component_id")
