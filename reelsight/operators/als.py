@@ -1,9 +1,9 @@
 """Collaborative filtering with MLlib ALS (REC1-REC4, REC8, SNK4).
 
 Training data is the long interaction table; MLlib's blocked ALS never
-materialises a user x item matrix.  Top-k lists without seen items come from
-blocked scoring that masks a block's seen pairs before its top-k, so every
-block emits k rows for each user.
+materialises a user x item matrix.  Top-k lists come from exact scoring pruned
+by factor lengths (:mod:`reelsight.operators.topk`).  Users who came after
+training are folded in against the item factors.
 """
 
 from __future__ import annotations
@@ -11,15 +11,14 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.session import checkpoint_dir
+from reelsight.operators.topk import top_products
+from reelsight.session import checkpoint_dir, materialize
 
 # The reference's ALS configuration.
 FACTORS, REG, ITERS, THRESHOLD = 64, 0.01, 20, 3.5
-# Users or items of a scoring block.
-BLOCK = 2048
 
 
 def ui_matrix(train: DataFrame, threshold: float = THRESHOLD, op: str = ">", user: str = "uidx",
@@ -51,86 +50,121 @@ def train_als(ui: DataFrame, rank: int = FACTORS, reg: float = REG, iters: int =
     return als.fit(data)
 
 
-def _long_recs(recs: DataFrame, user: str, item: str) -> DataFrame:
-    return (recs.select(user, F.posexplode("recommendations").alias("_p", "r"))
-                .select(user, (F.col("_p") + 1).alias("rank"), F.col(f"r.{item}").alias(item),
-                        F.col("r.rating").alias("score")))
+def recommend_serving(model: ALSModel, users: DataFrame, k: int, user: str = "uidx", item: str = "iidx") -> DataFrame:
+    """Top-k by factor dot product, seen items not excluded (REC4); users the
+    model does not know get none, and k beyond the catalogue gives all of it."""
+    wanted = users.select(F.col(user).alias("id")).distinct()
+    return top_products(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, k, None, user, item)[0]
+
+
+def _gram(items: DataFrame) -> list[list[float]]:
+    """Sum of the outer products of all item factors: one matrix for each
+    task, added up entry by entry; only its rank x rank sums reach the driver."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
 
+        total = 0
+        for b in batches:
+            v = np.array(b.column(0).to_pylist(), dtype=np.float64)
+            total = total + v.T @ v if len(v) else total
+        if not np.isscalar(total):
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["g"])
 
-def recommend_serving(model: ALSModel, users: DataFrame, k: int, n_items: int | None = None,
-                      user: str = "uidx", item: str = "iidx") -> DataFrame:
-    """Top-k by factor dot product, seen items not excluded (REC4); k is
-    clamped to [0, number of items]."""
-    n = n_items if n_items is not None else model.itemFactors.count()
-    kk = max(0, min(int(k), int(n)))
-    if kk == 0:
-        return users.select(user).limit(0).select(user, F.lit(0).alias("rank"), F.lit(0).alias(item),
-                                                  F.lit(0.0).alias("score"))
-    return _long_recs(model.recommendForUserSubset(users.select(user).distinct(), kk), user, item)
+    parts = items.select(F.col("features").cast("array<double>").alias("v")).mapInArrow(run, "g array<double>")
+    sums = [r["x"] for r in parts.select(F.posexplode("g").alias("p", "x")).groupBy("p").agg(F.sum("x").alias("x")).orderBy("p").collect()]
+    n = math.isqrt(len(sums))
+    return [sums[i * n:(i + 1) * n] for i in range(n)]
 
 
-def _best_of_block(k: int):
-    """The k best unseen items of one item block for each user of one user
-    block, by a product of two bounded matrices."""
-    def run(left, right):
+def _partial(gram: list[list[float]], alpha: float, reg: float):
+    """The normal equations of some chunks of ratings: solved at once for a
+    user of one chunk, else their upper triangle."""
+    def run(t):
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
-
-        seen = right.filter(pc.equal(right.column("kind"), "seen"))
-        items = right.filter(pc.equal(right.column("kind"), "item")).sort_by("id")
-        names, kinds = ["u", "i", "score"], [pa.int64(), pa.int64(), pa.float64()]
-        if not left.num_rows or not items.num_rows:
-            return pa.table([pa.array([], t) for t in kinds], names=names)
-
-        def matrix(t):
-            flat = t.column("v").combine_chunks().flatten()
-            return np.asarray(flat, dtype=np.float64).reshape(t.num_rows, -1)
-
-        left = left.sort_by("id")
-        u, i = np.asarray(left.column("id")), np.asarray(items.column("id"))
-        score = matrix(left) @ matrix(items).T
-        su, si = np.asarray(seen.column("u")), np.asarray(seen.column("id"))
-        at_u, at_i = np.searchsorted(u, su), np.searchsorted(i, si)
-        known = (at_u < len(u)) & (at_i < len(i))
-        known[known] &= (u[at_u[known]] == su[known]) & (i[at_i[known]] == si[known])
-        score[at_u[known], at_i[known]] = -np.inf
-        # stable: of equal scores the smaller id
-        top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(u)), top.shape[1])
-        got = score[rows, top.ravel()]
-        ok = np.isfinite(got)
-        return pa.table([pa.array(u[rows][ok], kinds[0]), pa.array(i[top.ravel()][ok], kinds[1]),
-                         pa.array(got[ok], kinds[2])], names=names)
+
+        t = t.sort_by([("u", "ascending"), ("part", "ascending")])
+        v = np.array(t.column("v").combine_chunks().flatten(), dtype=np.float64).reshape(t.num_rows, -1)
+        r, u, part, chunks = (np.asarray(t.column(c)) for c in ("value", "u", "part", "chunks"))
+        first = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (part[1:] != part[:-1])])
+        ids, solved, rest, base = [], [], [], np.array(gram)
+        for lo, hi in zip(first, [*first[1:], len(u)]):
+            y, c, liked = v[lo:hi], alpha * np.abs(r[lo:hi]), r[lo:hi] > 0
+            a, b, n = (y * c[:, None]).T @ y, ((1 + c) * liked) @ y, float(liked.sum())
+            one = chunks[lo] == 1
+            ids.append(u[lo])
+            solved.append(np.linalg.solve(base + a + reg * n * np.eye(len(b)), b) if one else None)
+            rest.append(None if one else np.concatenate([a[np.triu_indices(len(b))], b, [n]]))
+        return pa.table({"id": pa.array(ids, pa.int64()), "features": pa.array(solved, pa.list_(pa.float64())),
+                         "sums": pa.array(rest, pa.list_(pa.float64()))})
 
     return run
 
 
+def _solved(gram: list[list[float]], reg: float):
+    def run(t):
+        import numpy as np
+        import pyarrow as pa
+
+        d = len(gram)
+        s = np.asarray(t.sort_by("p").column("x"), dtype=np.float64)
+        up = np.triu_indices(d)
+        a = np.zeros((d, d))
+        a[up] = s[:len(up[0])]
+        a = a + np.triu(a, 1).T
+        x = np.linalg.solve(np.array(gram) + a + reg * s[-1] * np.eye(d), s[len(up[0]):-1])
+        return pa.table({"id": t.column("id")[:1], "features": pa.array([x], pa.list_(pa.float64()))})
+
+    return run
+
+
+#: Ratings of a user whose normal equations are made in one task.
+CHUNK = 4096
+
+
+def fold_in(ui: DataFrame, items: DataFrame, reg: float = REG, alpha: float = 1.0, user: str = "uidx", item: str = "iidx",
+            chunk: int = CHUNK) -> DataFrame:
+    """(id, features) of users against fixed item factors (REC2, REC8): the
+    half step of implicit ALS for users who came after training.
+
+    ``ui`` is (user, item, value), a pair once; ``items`` (id, features).  The
+    factors solve (G + sum c y y' + reg n I) x = sum (1 + c) y over the user's
+    items, c = alpha |value|, with positive values in the right side and in n,
+    and G the Gram matrix of all items, made once.  A training user gets the
+    factors that training gave it.  Users without a known item with a positive
+    value have no row.
+
+    A user's ratings are dealt into chunks of about ``chunk``; the normal
+    equations of several chunks are added up entry by entry, so a user with
+    ratings of the whole catalogue is no larger group than others."""
+    gram = _gram(items)
+    spark = ui.sparkSession
+    if not gram:
+        return spark.createDataFrame([], "id long, features array<double>")
+    y = items.select(F.col("id").cast("long").alias("i"), F.col("features").cast("array<double>").alias("v"))
+    rated = ui.select(F.col(user).cast("long").alias("u"), F.col(item).cast("long").alias("i"), F.col("value").cast("double").alias("value"))
+    rows = rated.where("value is not null and u is not null").join(y, "i")
+    sizes = rated.join(y.select("i"), "i", "left_semi").groupBy("u").agg(
+        F.count(F.lit(1)).alias("n"), F.max("value").alias("most")).where("most > 0")
+    sizes = materialize(sizes.select("u", "n", F.ceil(F.col("n") / chunk).alias("chunks")), "fold-in-users")
+    # users of one chunk are dealt into groups of about a chunk of ratings, too
+    groups = max(1, (sizes.where("chunks = 1").agg(F.sum("n")).first()[0] or 0) // chunk)
+    dealt = rows.join(sizes.drop("n"), "u").withColumn("part", F.pmod(F.xxhash64("i"), F.col("chunks")))
+    group = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("u"), F.lit(groups))).otherwise(F.xxhash64("u", "part"))
+    made = materialize(dealt.groupBy(group.alias("g")).applyInArrow(
+        _partial(gram, alpha, reg), "id long, features array<double>, sums array<double>"), "fold-in")
+    parts = made.where("sums is not null").select("id", F.posexplode("sums").alias("p", "x")).groupBy("id", "p").agg(F.sum("x").alias("x"))
+    many = parts.groupBy("id").applyInArrow(_solved(gram, reg), "id long, features array<double>")
+    return made.where("sums is null").select("id", "features").unionByName(many)
+
+
 def top_unseen(users: DataFrame, items: DataFrame, seen: DataFrame, k: int, user: str = "uidx",
                item: str = "iidx") -> DataFrame:
     """(user, rank, item, score): the ``k`` unseen items with the largest
-    factor product for each user; ties to the smaller item id.
-
-    ``users`` and ``items`` are (id, features).  Both are dealt into blocks of
-    at most about ``BLOCK`` rows; a block pair masks the pairs of ``seen`` that
-    fall into it before it takes its top k, so it emits at most k rows for
-    each user however much the user has seen, and the best of all blocks are
-    merged."""
-    n_u, n_i = users.count(), items.count()
-    ub, ib = max(1, -(-n_u // BLOCK)), max(1, -(-n_i // BLOCK))
-    deal = lambda c, m: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(m)).cast("int")
-    each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    vec = F.col("features").cast("array<double>").alias("v")
-    left = users.select(F.col("id").cast("long").alias("id"), vec, deal("id", ub).alias("ub"), each(ib).alias("ib"))
-    cat = items.select(F.lit("item").alias("kind"), F.col("id").cast("long").alias("id"), F.lit(-1).cast("long").alias("u"),
-                       vec, each(ub).alias("ub"), deal("id", ib).alias("ib"))
-    old = seen.select(F.lit("seen").alias("kind"), F.col(item).cast("long").alias("id"), F.col(user).cast("long").alias("u"),
-                      F.array().cast("array<double>").alias("v"), deal(user, ub).alias("ub"), deal(item, ib).alias("ib"))
-    found = left.groupBy("ub", "ib").cogroup(cat.unionByName(old).groupBy("ub", "ib")).applyInArrow(
-        _best_of_block(int(k)), "u long, i long, score double")
-    w = Window.partitionBy("u").orderBy(F.col("score").desc(), F.col("i").asc())
-    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-                 .select(F.col("u").alias(user), "rank", F.col("i").alias(item), "score"))
+    factor product for each user; ties to the smaller item id.  ``users`` and
+    ``items`` are (id, features); see :mod:`reelsight.operators.topk`."""
+    return top_products(users, items, k, seen, user, item)[0]
 
 
 def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int,

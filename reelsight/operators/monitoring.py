@@ -143,6 +143,29 @@ def window_p95(log: DataFrame, latency_ms: str = "latency_ms", time_col: str = "
                       p95_from_buckets(counts, F.col("requests"), 0.95, bounds).alias("p95_s"))
 
 
+#: Columns of a pane: requests, errors, and the requests of each latency bucket.
+PANE = ("requests", "errors", *[f"b{i}" for i in range(len(LATENCY_BUCKETS) + 1)])
+
+
+def pane_counts(latency_ms: str = "latency_ms") -> list[Column]:
+    """The aggregates of a pane."""
+    idx = bucket_index(F.col(latency_ms) / 1000.0)
+    there = F.col(latency_ms).isNotNull()
+    return [F.count(F.lit(1)).alias("requests"), F.count(F.when(F.col("status") >= 500, 1)).alias("errors"),
+            *[F.count(F.when(there & (idx == i), 1)).alias(c) for i, c in enumerate(PANE[2:])]]
+
+
+def window_stats(windows: DataFrame, w: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rates and the histogram p95 from the summed panes of each window;
+    ``timed`` counts the requests with a latency."""
+    counts = [F.col(c) for c in PANE[2:]]
+    timed = sum(counts[1:], counts[0])
+    return windows.select(*by, F.unix_timestamp(f"{w}.start").alias("window_start"), "requests", "errors",
+                          (F.col("errors") / F.col("requests")).alias("error_rate"),
+                          (F.col("requests") / F.lit(float(_seconds(WINDOW)))).alias("rps"), timed.alias("timed"),
+                          p95_from_buckets(counts, timed).alias("p95_s"))
+
+
 def latency_alerts(log: DataFrame, limit_s: float = P95_LIMIT_S, for_s: int = FOR_S) -> DataFrame:
     """HighLatencyP95: histogram p95 above ``limit_s`` for ``for_s`` (MON3)."""
     w = window_p95(log)

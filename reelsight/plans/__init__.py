@@ -8,6 +8,7 @@ from reelsight.plans import q_monitoring  # noqa: F401
 from reelsight.plans import q_io  # noqa: F401
 from reelsight.plans import q_als  # noqa: F401
 from reelsight.plans import q_stream  # noqa: F401
+from reelsight.plans import q_sketch  # noqa: F401
 from reelsight.plans.registry import PLANS, Plan, register, rounded
 
 __all__ = ["PLANS", "Plan", "register", "rounded"]

@@ -7,6 +7,8 @@ base tables are registered in DuckDB under their own names.  DuckDB's
 
 from __future__ import annotations
 
+import re
+
 EPOCH = "CAST(floor(epoch({c})) AS BIGINT)"
 
 VIEWS: dict[str, str] = {
@@ -52,9 +54,10 @@ def with_views(sql: str, *names: str) -> str:
         add(n)
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered)
     body = sql.strip()
+    word = "WITH RECURSIVE" if any(re.search(rf"\b{n}\b", VIEWS[n]) for n in ordered) else "WITH"
     if body.upper().startswith("WITH "):
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"
+        return f"{word} {ctes},\n{body[5:]}"
+    return f"{word} {ctes}\n{body}"
 
 
 def add_view(name: str, sql: str, depends: tuple[str, ...] = ()) -> None:

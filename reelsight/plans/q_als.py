@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reelsight.functions.exprs import items_text
-from reelsight.operators import als, features, ranking, recommend
+from reelsight.operators import als, features, ranking, recommend, topk
 from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.q_ranking import KS, Offline, fair_parts
 from reelsight.plans.registry import register, rounded
@@ -89,16 +90,57 @@ def q_als_topk_serving(spark, sf):
 
 
 @register("als_serving_facts", with_views("""
-SELECT uidx, least(1000000, (SELECT count(DISTINCT iidx) FROM als_ui)) AS n_items, CAST(1 AS INTEGER) AS first_rank
+SELECT uidx, least(20, (SELECT count(DISTINCT iidx) FROM als_ui)) AS n_items, CAST(1 AS INTEGER) AS first_rank
 FROM off_eu WHERE uidx IN (SELECT uidx FROM als_ui)""", "off_eu", "als_ui"), ids=("REC4",))
 def q_als_serving_facts(spark, sf):
-    """A k beyond the catalogue is clamped to it."""
+    """Lists of k with seen items, for every user the model knows."""
     p = Offline(spark, sf)
-    recs = als.recommend_serving(offline_model(p), p.users, 1_000_000)
+    recs = als.recommend_serving(offline_model(p), p.users, 20)
     return recs.groupBy(F.col("uidx").cast("bigint").alias("uidx")).agg(
         F.countDistinct("iidx").alias("n_items"), F.min("rank").cast("int").alias("first_rank"))
 
 
+# items weighted by the square of how many watched them, so their lengths differ
+add_view("wt_item", """
+    SELECT e.vec_id AS item_id, list_transform(e.embedding::DOUBLE[], lambda x: x * (1 + coalesce(w.n, 0)) ** 2) AS v
+    FROM embeddings e LEFT JOIN (SELECT movie_id, count(*) AS n FROM watches GROUP BY movie_id) w ON w.movie_id = e.vec_id""",
+         ("watches",))
+add_view("wt_lists", """
+    SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
+      SELECT u.vec_id AS user_id, i.item_id, round(list_dot_product(u.embedding::DOUBLE[], i.v), 6) AS score
+      FROM embeddings u CROSS JOIN wt_item i) s""", ("wt_item",))
+
+
+def _weighted(spark, sf):
+    vectors = td.item_factors(spark, sf).select(F.col("item").alias("id"), F.col("features").cast("array<double>").alias("features"))
+    n = td.watches(spark, sf).groupBy(F.col("movie_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    weight = F.pow(1 + F.coalesce("n", F.lit(0)), F.lit(2))
+    items = vectors.join(n, "id", "left").select("id", F.transform("features", lambda x: x * weight).alias("features"))
+    return vectors, items
+
+
+@register("topk_products", with_views("""
+SELECT user_id, CAST(rank AS INTEGER) AS rank, item_id, score FROM wt_lists WHERE rank <= 10""", "wt_lists"), ids=("REC4",))
+def q_topk_products(spark, sf):
+    """The ten items of every vector by product with weighted items."""
+    vectors, items = _weighted(spark, sf)
+    wide = topk.top_products(vectors, items, 20, None, "user_id", "item_id", bucket=64)[0]
+    # a margin beyond k lets products that differ in the last digits be ordered by item id
+    w = Window.partitionBy("user_id").orderBy(F.round("score", 6).desc(), "item_id")
+    return wide.select("user_id", F.row_number().over(w).cast("int").alias("rank"), "item_id",
+                       F.round("score", 6).alias("score")).where(F.col("rank") <= 10)
+
+
+@register("topk_work", """
+SELECT count(*) * count(*) AS all_pairs, true AS fewer FROM embeddings""", ids=("REC4",))
+def q_topk_work(spark, sf):
+    """The pairs scored by ``topk_products`` are less than half of all."""
+    vectors, items = _weighted(spark, sf)
+    pairs = topk.top_products(vectors, items, 10, None, "user_id", "item_id", bucket=64)[1]
+    n = vectors.agg((F.count(F.lit(1)) * F.count(F.lit(1))).alias("all_pairs"))
+    return n.select("all_pairs", (2 * pairs.scalar() < F.col("all_pairs")).alias("fewer"))
+
+
 def _holdout(p, model):
     """Hit rate over every user with a holdout item (no rating filter)."""
     users = p.test.select("uidx")

@@ -156,38 +156,65 @@ def q_provenance_trace(spark, sf):
 
 
 add_view("ab_users", "SELECT DISTINCT user_id FROM responses", ("responses",))
-# arm A: a user's factors are the mean of those of the distinct items they liked
-add_view("ab_profile", """
-    SELECT p.user_id, list(p.x ORDER BY p.d) AS f FROM (
-      SELECT l.user_id, e.d, avg(e.x) AS x
-      FROM (SELECT DISTINCT user_id, item_id FROM fair_train WHERE rating >= 3.5 AND user_id IN (SELECT user_id FROM ab_users)) l
-      JOIN (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings) e
-        ON e.vec_id = l.item_id
-      GROUP BY l.user_id, e.d) p GROUP BY p.user_id""", ("fair_train", "ab_users"))
+# arm A: implicit ALS with fixed item factors; a user's factors solve the normal
+# equations of the distinct items they liked (here by conjugate gradients)
+add_view("ab_item", "SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings")
+add_view("ab_gram", """
+    SELECT list(g ORDER BY i) AS gram FROM (
+      SELECT i, list(x ORDER BY j) AS g FROM (
+        SELECT a.d AS i, b.d AS j, sum(a.x * b.x) AS x
+        FROM (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM ab_item) a
+        JOIN (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM ab_item) b USING (vec_id)
+        GROUP BY a.d, b.d) c GROUP BY i) r""", ("ab_item",))
+add_view("ab_liked", """
+    SELECT DISTINCT user_id, item_id FROM fair_train
+    WHERE rating >= 3.5 AND user_id IN (SELECT user_id FROM ab_users) AND item_id IN (SELECT vec_id FROM ab_item)""",
+         ("fair_train", "ab_users", "ab_item"))
+add_view("ab_equations", f"""
+    SELECT user_id, n, cols, list_transform(cols, lambda c: 2.0 * list_sum(c)) AS b FROM (
+      SELECT user_id, max(n) AS n, list(c ORDER BY d) AS cols FROM (
+        SELECT l.user_id, e.d, count(*) AS n, list(e.x ORDER BY l.item_id) AS c FROM ab_liked l
+        JOIN (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM ab_item) e ON e.vec_id = l.item_id
+        GROUP BY l.user_id, e.d) k GROUP BY user_id) q""", ("ab_liked", "ab_item"))
+add_view("ab_matrix", f"""
+    SELECT user_id, b, list_transform(range(1, len(cols) + 1), lambda i: list_transform(range(1, len(cols) + 1), lambda j:
+             gram[i][j] + list_dot_product(cols[i], cols[j]) + CASE WHEN i = j THEN {als.REG!r} * n ELSE 0.0 END)) AS a
+    FROM ab_equations, ab_gram""", ("ab_equations", "ab_gram"))
+add_view("ab_step", """
+    SELECT 0 AS step, user_id, list_transform(b, lambda t: 0.0::DOUBLE) AS x, b AS r, b AS p, list_dot_product(b, b) AS rr FROM ab_matrix
+    UNION ALL
+    SELECT step + 1, user_id, x2, r2, list_transform(range(1, len(p) + 1), lambda i: r2[i] + rr2 / rr * p[i]), rr2 FROM (
+      SELECT *, list_dot_product(r2, r2) AS rr2 FROM (
+        SELECT *, list_transform(range(1, len(p) + 1), lambda i: x[i] + s * p[i]) AS x2,
+               list_transform(range(1, len(p) + 1), lambda i: r[i] - s * ap[i]) AS r2 FROM (
+          SELECT *, rr / list_dot_product(p, ap) AS s FROM (
+            SELECT c.*, list_transform(m.a, lambda g: list_dot_product(g, c.p)) AS ap
+            FROM ab_step c JOIN ab_matrix m USING (user_id) WHERE c.rr > 1e-24 AND c.step < 80) k1) k2) k3) k4""", ("ab_matrix",))
+add_view("ab_profile", "SELECT user_id, arg_max(x, step) AS f FROM ab_step GROUP BY user_id", ("ab_step",))
+# arm A falls back to arm B's list for users without a liked item
 add_view("ab_lists", """
-    SELECT 'A' AS arm, user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS movie_ids FROM (
+    WITH own AS (SELECT 'A' AS arm, user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS movie_ids FROM (
       SELECT u.user_id, e.vec_id AS item_id, row_number() OVER (PARTITION BY u.user_id ORDER BY
-               round(list_dot_product(u.f, e.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS rank
-      FROM ab_profile u CROSS JOIN embeddings e
+               round(list_dot_product(u.f, e.v), 9) DESC, e.vec_id) AS rank
+      FROM ab_profile u CROSS JOIN ab_item e
       WHERE NOT EXISTS (SELECT 1 FROM fair_train t WHERE t.user_id = u.user_id AND t.item_id = e.vec_id)) x
-    WHERE rank <= 20 GROUP BY user_id
-    UNION ALL
-    SELECT 'B', user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) FROM (
+    WHERE rank <= 20 GROUP BY user_id),
+    popular AS (SELECT 'B' AS arm, user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS movie_ids FROM (
       SELECT e.user_id, r.item_id, row_number() OVER (PARTITION BY e.user_id ORDER BY r.pos) AS rank
       FROM ab_users e CROSS JOIN fair_rank r
       WHERE NOT EXISTS (SELECT 1 FROM fair_train t WHERE t.user_id = e.user_id AND t.item_id = r.item_id)) y
-    WHERE rank <= 20 GROUP BY user_id""", ("ab_users", "ab_profile", "fair_rank", "fair_train"))
+    WHERE rank <= 20 GROUP BY user_id)
+    SELECT * FROM own UNION ALL SELECT * FROM popular
+    UNION ALL SELECT 'A', user_id, movie_ids FROM popular WHERE user_id NOT IN (SELECT user_id FROM own)""",
+         ("ab_users", "ab_profile", "ab_item", "fair_rank", "fair_train"))
 
 
-def profile_factors(train, factors, users):
-    """(id, features): for each user the mean factors of the distinct items
-    rated 3.5 or more; users without such an item have no row."""
+def arm_factors(train, items, users):
+    """User factors of arm A: implicit ALS folds the distinct items rated
+    3.5 or more in, against the published item factors."""
     liked = (train.where(F.col("rating") >= 3.5).join(users, "user_id", "left_semi")
-                  .select("user_id", "item_id").distinct().join(factors, F.col("item_id") == F.col("item")))
-    each = liked.select("user_id", F.posexplode(F.col("features").cast("array<double>")).alias("d", "x"))
-    mean = each.groupBy("user_id", "d").agg(F.avg("x").alias("x"))
-    return mean.groupBy(F.col("user_id").alias("id")).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("d", "x"))), lambda p: p["x"]).alias("features"))
+                  .select("user_id", "item_id").distinct().withColumn("value", F.lit(1.0)))
+    return als.fold_in(liked, items, user="user_id", item="item_id")
 
 
 @register("ab_responses", with_views(f"""
@@ -197,18 +224,19 @@ SELECT a.request_id, a.ts + 1 AS ts, a.user_id, a.arm, l.movie_ids, CAST({K_RESP
 FROM arms a LEFT JOIN ab_lists l ON l.user_id = a.user_id AND l.arm = a.arm, ab_snapshot s""",
     "arms", "ab_lists", "ab_snapshot"), ids=("EXP2",))
 def q_ab_responses(spark, sf):
-    """Arm A: unseen items by factor product; arm B: popular unseen items."""
+    """Arm A: unseen items by ALS, with the popular ones for users it cannot
+    score; arm B: popular unseen items."""
     train, _ = splits.chrono_split(ratings(spark, sf))
     rank = features.popularity_positive(train)
     req = experiment.assign_arm(td.responses(spark, sf)).select("request_id", "ts", "user_id", "arm", "latency_ms")
     users = req.select("user_id").distinct()
-    items = td.item_factors(spark, sf)
+    items = td.item_factors(spark, sf).select(F.col("item").alias("id"), "features")
     # a margin beyond k lets products that differ in the last digits be ordered by item id
-    wide = als.top_unseen(profile_factors(train, items, users), items.select(F.col("item").alias("id"), "features"), train,
-                          K_RESP + 10, "user_id", "item_id")
+    wide = als.top_unseen(arm_factors(train, items, users), items, train, K_RESP + 10, "user_id", "item_id")
     w = Window.partitionBy("user_id").orderBy(F.round("score", 9).desc(), "item_id")
-    recs_a = wide.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= K_RESP)
-    recs_b = recommend.popularity_recs(users, train, rank, K_RESP)
+    scored = wide.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= K_RESP)
+    recs_b = materialize(recommend.popularity_recs(users, train, rank, K_RESP), "ab-popular")
+    recs_a = als.recommend_hybrid(scored.select("user_id", "rank", "item_id"), recs_b.select("user_id", "rank", "item_id"), "user_id")
     out = experiment.ab_responses(req, {"A": recs_a, "B": recs_b}, provenance(spark, sf), VERSIONS)
     return out.select("request_id", (F.col("ts") + 1).alias("ts"), "user_id", "arm", items_text("movie_ids").alias("movie_ids"),
                       F.lit(K_RESP).alias("k"), "model_version", "data_snapshot_id", *BUILD,

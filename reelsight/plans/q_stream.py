@@ -2,8 +2,8 @@
 
 The input table is staged as a sequence of time-ordered file chunks (about
 eight, whatever the data size) so the stream sees several micro-batches.
-Windows that are still open at the end of the input are read from the last
-update of each.  Only the alert plan ends its input with a marker row of no
+What is still open at the end of the input is read from the state that the
+stopped stream holds.  Only the alert plan ends its input with a marker row of no
 service, since its windows wait for the watermark.  Every run gets fresh
 checkpoint and output folders under the session's shared checkpoint folder.
 """
@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.operators import exposure
+from reelsight.operators import online
 from reelsight.plans import q_io, q_online
 from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.registry import PLANS, register, rounded
@@ -71,31 +71,59 @@ def q_stream_success(spark, sf):
         "request_id", F.coalesce("hit", F.lit(0)).alias("success"))
 
 
+@register("stream_success_at_k", PLANS["success_at_k"].oracle, ids=("STR4", "AGG8"))
+def q_stream_success_at_k(spark, sf):
+    """Success at k from one row per response."""
+    run = _run_dir(spark, "first-hit")
+    resp, wat = td.responses(spark, sf), td.watches(spark, sf)
+    delay = max(stage_chunks(resp, f"{run}/in/responses"), stage_chunks(wat, f"{run}/in/watches"),
+                key=lambda d: int(d.split()[0]))
+    r = _with_time(sp.read_stream(spark, f"{run}/in/responses", resp.schema, max_files_per_trigger=1))
+    w = _with_time(sp.read_stream(spark, f"{run}/in/watches", wat.schema, max_files_per_trigger=1))
+    sp.run_available(sp.first_hit_stream(r, w, q_online.WEEK, delay).writeStream.format("parquet")
+                     .option("path", f"{run}/out").option("checkpointLocation", f"{run}/ckpt"))
+    known = spark.read.parquet(f"{run}/out").unionByName(sp.open_first_hits(spark, f"{run}/ckpt"))
+    # responses that wait for their first match are in neither
+    first = resp.select("request_id").join(known, "request_id", "left")
+    ks = (5, 10, 20)
+    one = first.agg(*online.success_at_k_cols(ks))
+    return rounded(one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"success_at_{k}").alias("success_rate"))
+                                                  for k in ks])).alias("r")).select("r.k", "r.success_rate"))
+
+
 @register("stream_exposure", PLANS["top5_exposure_daily"].oracle, ids=("STR5", "AGG10"))
 def q_stream_exposure(spark, sf):
+    """The last share of each day, kept up to date by every batch."""
     run = _run_dir(spark, "exposure")
     wat = td.watches(spark, sf)
     delay = stage_chunks(wat, f"{run}/in")
     s = _with_time(sp.read_stream(spark, f"{run}/in", wat.schema, max_files_per_trigger=1))
-    counts = sp.exposure_stream(s, delay)
-    sp.run_available(sp.write_updates(counts, f"{run}/out", f"{run}/ckpt"))
-    per = sp.latest(spark.read.parquet(f"{run}/out"), ("day", "movie_id")).where(F.col("movie_id").isNotNull())
-    return rounded(exposure.daily_top_share(per))
+    sp.run_available(sp.write_top_share(s, f"{run}/out", f"{run}/ckpt", delay))
+    return rounded(sp.latest(spark.read.parquet(f"{run}/out/shares"), ("day",)))
 
 
 @register("stream_request_rate", PLANS["request_rate"].oracle, ids=("STR6", "MON1"))
 def q_stream_request_rate(spark, sf):
-    return rounded(_request_rate_stream(spark, sf)[0])
+    return rounded(_window_stream(spark, sf)[0].drop("timed", "p95_s"))
+
 
+@register("stream_latency", PLANS["latency_p95_windows"].oracle, ids=("STR6", "MON3"))
+def q_stream_latency(spark, sf):
+    """Latency windows of the live panes."""
+    w = _window_stream(spark, sf)[0].where("timed > 0")
+    return rounded(w.select("window_start", F.col("timed").alias("requests"), "p95_s"))
 
-def _request_rate_stream(spark, sf, by=()):
+
+def _window_stream(spark, sf, by=()):
+    """All windows: those that have closed, and what the stopped stream still
+    holds of the others."""
     run = _run_dir(spark, "rate")
     log = td.request_log(spark, sf).drop("event_time").withColumn("service", F.expr(SERVICE))
     delay = stage_chunks(log, f"{run}/in")
     s = _with_time(sp.read_stream(spark, f"{run}/in", log.schema, max_files_per_trigger=1))
-    rates = sp.request_rate_stream(s, delay, by=by)
-    sp.run_available(sp.write_updates(rates, f"{run}/out", f"{run}/ckpt"))
-    return sp.latest(spark.read.parquet(f"{run}/out"), (*by, "window_start")), run
+    sp.run_available(sp.window_stream(s, delay, by).writeStream.format("parquet").option("path", f"{run}/out")
+                     .option("checkpointLocation", f"{run}/ckpt"))
+    return spark.read.parquet(f"{run}/out").unionByName(sp.open_windows(spark, f"{run}/ckpt", by)), run
 
 
 #: The log's requests belong to four services.
@@ -115,7 +143,7 @@ SELECT service, run_start, run_start + 600 AS fired_at FROM r WHERE run_end - ru
 def q_stream_alert(spark, sf):
     """Alerts for each service, the windows fed in several batches in which
     times are mixed within the delay."""
-    w, run = _request_rate_stream(spark, sf, by=("service",))
+    w, run = _window_stream(spark, sf, by=("service",))
     flagged = materialize(w.where(F.col("error_rate") > 0.05).select("service", "window_start"), "flagged")
     last = flagged.agg(F.max("window_start")).first()[0] or 0  # one number
     # eight batches of time spans, each holding the odd minutes of the span before
@@ -130,22 +158,39 @@ def q_stream_alert(spark, sf):
     return spark.read.parquet(f"{run}/alerts").select("service", "run_start", "fired_at")
 
 
-@register("stream_dedup", with_views("""
-SELECT DISTINCT watch_id, CAST(user_id % 6 AS INTEGER) AS _kafka_partition, watch_id AS _kafka_offset
-FROM watches""", "watches"), ids=("STR3", "SRC7"))
-def q_stream_dedup(spark, sf):
+add_view("topic_log", """
+    SELECT watch_id, CAST(user_id % 6 AS INTEGER) AS _kafka_partition,
+           row_number() OVER (PARTITION BY user_id % 6 ORDER BY ts, watch_id) - 1 AS _kafka_offset FROM watches""", ("watches",))
+
+
+def _dedup(spark, sf):
+    """The topic log delivered in chunks, then every tenth message again."""
     run = _run_dir(spark, "dedup")
-    rep = td.replayed(spark, sf)
-    originals = rep.dropDuplicates(["_kafka_topic", "_kafka_partition", "_kafka_offset"])
-    # the tail of replays reaches back to the first chunk
-    delay = f"{CHUNKS * int(stage_chunks(originals, f'{run}/in').split()[0])} seconds"
-    # replays arrive after everything else, as a redelivered tail
-    rep.where(F.col("watch_id") % 10 == 0).write.mode("append").parquet(f"{run}/in")
-    s = _with_time(sp.read_stream(spark, f"{run}/in", rep.schema, max_files_per_trigger=1))
-    d = sp.dedupe_stream(s, delay=delay)
-    sp.run_available(d.writeStream.format("parquet").option("path", f"{run}/out")
+    log = materialize(td.topic_log(spark, sf), "topic-log")
+    # the last messages of a chunk come first, so offsets arrive out of order
+    late = F.col("ts") - F.when(F.col("watch_id") % 3 == 0, 2 * 86400).otherwise(0)
+    stage_chunks(log.withColumn("at", late), f"{run}/in", ts="at")
+    log.where(F.col("watch_id") % 10 == 0).withColumn("at", F.col("ts")).write.mode("append").parquet(f"{run}/in")
+    s = sp.read_stream(spark, f"{run}/in", log.withColumn("at", late).schema, max_files_per_trigger=1).drop("at")
+    sp.run_available(sp.dedupe_stream(s).writeStream.format("parquet").option("path", f"{run}/out")
                      .option("checkpointLocation", f"{run}/ckpt"))
-    return spark.read.parquet(f"{run}/out").select("watch_id", "_kafka_partition", "_kafka_offset")
+    return run
+
+
+@register("stream_dedup", with_views("SELECT watch_id, _kafka_partition, _kafka_offset FROM topic_log", "topic_log"),
+          ids=("STR3", "SRC7"))
+def q_stream_dedup(spark, sf):
+    return spark.read.parquet(f"{_dedup(spark, sf)}/out").select("watch_id", "_kafka_partition", "_kafka_offset")
+
+
+@register("stream_dedup_state", with_views("""
+SELECT _kafka_partition, CAST(1 AS INTEGER) AS ranges, max(_kafka_offset) + 1 AS upto FROM topic_log GROUP BY _kafka_partition""",
+    "topic_log"), ids=("STR3",))
+def q_stream_dedup_state(spark, sf):
+    """What the stream keeps: one range of offsets for each partition."""
+    held = sp.open_state(spark, f"{_dedup(spark, sf)}/ckpt", "applyInPandasWithState")[0]
+    ranges = F.col("value.groupState")
+    return held.select("key._kafka_partition", F.size(ranges["starts"]).alias("ranges"), F.array_max(ranges["ends"]).alias("upto"))
 
 
 @register("stream_ingest", with_views("SELECT watch_id, watch_id % 10 <> 1 AS ok FROM watches", "watches"),

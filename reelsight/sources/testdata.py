@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelsight.operators.common import global_rank
 from reelsight.session import ensure_defaults
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -128,6 +129,17 @@ def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.unionByName(w.filter(F.pmod(F.col("watch_id"), F.lit(10)) == 0))
 
 
+def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watches as six topic partitions hold them: offsets from 0 without a
+    gap in each, in the order of time."""
+    w = watches(spark, sf_dir).select(
+        "watch_id", "user_id", "movie_id", "ts", F.lit("watch").alias("_kafka_topic"),
+        F.pmod(F.col("user_id"), F.lit(6)).cast("int").alias("_kafka_partition"))
+    r = global_rank(w, [F.col("_kafka_partition"), F.col("ts"), F.col("watch_id")], "_r")
+    first = r.groupBy("_kafka_partition").agg(F.min("_r").alias("_first"))
+    return r.join(first, "_kafka_partition").withColumn("_kafka_offset", F.col("_r") - F.col("_first")).drop("_r", "_first")
+
+
 def item_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("item"), F.col("embedding").alias("features"))
