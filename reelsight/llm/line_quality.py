@@ -1,10 +1,9 @@
 """Quality rules: base counts of a text, and cross-document line frequency.
 
-Lines are normalised and hashed: :func:`clean` compares lower case with single
-spaces, so lines that differ in a figure or sign are different lines;
-:func:`judge` compares letters only, as the SQL of its query states.  Lines
-whose normal form is empty are never removed.  For each host the distinct documents that
-hold a line are counted.  A line is removed from the documents of a host if
+Lines are normalised and hashed: lower case and single spaces, so lines that
+differ in a figure or sign are different lines.  Lines whose normal form is
+empty are never removed.  For each host the distinct documents that hold a line
+are counted.  A line is removed from the documents of a host if
 more than ``max_docs`` documents of that host hold it and it is not merely
 part of copies of one text: no single text family (documents with the same
 set of lines) makes up ``max_family`` of its documents.  For one line this is
@@ -14,7 +13,8 @@ less than ``min_left`` of the characters of its normalised lines remain.
 
 Many near copies of a text with an edit each deplete one another.  So that one
 is left for the near-duplicate stage, a depleted document stays whole if it is
-the first (by key) of the near copies that hold some removed line.  A depleted
+the first (by id, then hash of the text) of the near copies that hold some
+removed line.  A depleted
 document counts as a near copy if beside its longest removed line, too, at
 least ``min_copied`` of it is removed; documents that one line depletes are not.
 
@@ -23,13 +23,12 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.llm.tables import SPACE, row_key, staged, words
+from reelsight.llm.tables import SPACE, counted_anew, packed, row_key, staged, unpacked, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -45,14 +44,9 @@ class Rules:
 
 
 def normal(line: Column) -> Column:
-    """A line as it is compared across documents: its letters."""
-    return F.trim(F.regexp_replace(F.lower(line), "[^\\p{L}]+", " "))
-
-
-def exact(line: Column) -> Column:
-    """A line as it is compared where lines are removed from texts: case and
-    white space apart, every character counts."""
-    return F.trim(F.regexp_replace(F.lower(line), "[\\s\\p{Z}]+", " "))
+    """A line as it is compared across documents: case and white space
+    apart, every character counts."""
+    return F.trim(F.regexp_replace(F.lower(line), "[\\t-\\r\\p{Z}]+", " "))
 
 
 def line_hash(norm: Column) -> Column:
@@ -73,24 +67,24 @@ def _repeated(ws: Column) -> Column:
     return F.when(F.size(ws) < 3, F.array().cast("array<struct<h:bigint,i:int>>")).otherwise(F.sort_array(hashed))
 
 
-def base(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: str = "text",
-         form: Callable[[Column], Column] = normal) -> DataFrame:
+def base(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: str = "text") -> DataFrame:
     """doc_id, _host, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, the row's key (ka, kb), and _lines: the
-    hashes of the normalised lines with their characters, each."""
+    n_repeat_words, base_failed, the row's key (ka, kb) and hash of the text
+    (_th), and _lines: the hashes of the normalised lines with their
+    characters, each."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     key = row_key(F.col("doc_id"), F.col(host), F.col(text))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("_host"),
                     key.alias("_k"), t.alias("_t"))
-    d = d.select("doc_id", "_host", F.col("_k.a").alias("ka"), F.col("_k.b").alias("kb"), "_t", words(F.col("_t")).alias("_w"),
+    d = d.select("doc_id", "_host", F.col("_k.a").alias("ka"), F.col("_k.b").alias("kb"), line_hash(F.col("_t")).alias("_th"), "_t", words(F.col("_t")).alias("_w"),
                  F.filter(F.split("_t", "\n"), lambda x: x.rlike(f"[^{SPACE}]")).alias("_l"))
-    d = d.select("doc_id", "_host", "ka", "kb", F.size("_w").cast("long").alias("n_words"),
+    d = d.select("doc_id", "_host", "ka", "kb", "_th", F.size("_w").cast("long").alias("n_words"),
                  F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
                  sum((F.octet_length("_t") - F.octet_length(F.replace("_t", F.lit(c), F.lit(""))) for c in SYMBOLS),
                      F.lit(0)).cast("long").alias("n_symbols"),
                  (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
                  _repeated(F.col("_w")).alias("_s"),
-                 F.transform(F.transform("_l", form), lambda x: F.struct(
+                 F.transform(F.transform("_l", normal), lambda x: F.struct(
                      line_hash(x).alias("h"), F.length(x).cast("long").alias("w"))).alias("_lines"))
     s = F.col("_s")
 
@@ -124,16 +118,16 @@ def common_lines(counted: DataFrame, rules: Rules = Rules()) -> DataFrame:
                         & (F.col("most") < rules.max_family * F.col("n_docs"))).select("_host", "h")
 
 
-def _judged(docs: DataFrame, rules: Rules, host: str, text: str, form: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+def _judged(docs: DataFrame, rules: Rules, host: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Base counts of every row, and (ka, kb, n_cut, cut) of the rows that
     lose lines."""
-    counted = staged(base(docs, rules, host, text, form), "quality-base")
+    counted = staged(base(docs, rules, host, text), "quality-base")
     common = staged(common_lines(counted, rules), "quality-lines")
-    held = counted.select("ka", "kb", "_host", "base_failed", _whole().alias("whole"), F.explode("_lines").alias("x")).select(
-        "ka", "kb", "_host", "base_failed", "whole", "x.h", "x.w")
+    one = ["ka", "kb", "doc_id", "_th", "_host", "base_failed"]
+    held = counted.select(*one, _whole().alias("whole"), F.explode("_lines").alias("x")).select(*one, "whole", "x.h", "x.w")
     c = common.select(F.col("_host").alias("_ch"), F.col("h").alias("_h"))
     hit = held.join(c, (F.col("h") == F.col("_h")) & F.col("_host").eqNullSafe(F.col("_ch")), "left_semi")
-    cut = hit.groupBy("ka", "kb", "_host", "base_failed", "whole").agg(
+    cut = hit.groupBy(*one, "whole").agg(
         F.sum("w").alias("_n"), F.max("w").alias("longest"), F.collect_set("h").alias("cut"))
     # a repeated row has met its lines as often as it occurs
     times = counted.groupBy("ka", "kb").agg(F.count(F.lit(1)).alias("times"))
@@ -143,7 +137,8 @@ def _judged(docs: DataFrame, rules: Rules, host: str, text: str, form: Callable[
     n_cut, longest, whole = F.col("n_cut"), F.col("longest"), F.col("whole")
     copies = cut.where(~F.col("base_failed") & (whole - n_cut < rules.min_left * whole) & (n_cut > longest)
                        & (n_cut - longest >= rules.min_copied * (whole - longest)))
-    first = copies.select("_host", F.struct("ka", "kb").alias("k"), F.explode("cut").alias("h")).groupBy("_host", "h").agg(F.min("k").alias("k"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_th", "ka", "kb").alias("k")
+    first = copies.select("_host", place, F.explode("cut").alias("h")).groupBy("_host", "h").agg(F.min("k").alias("k"))
     first = first.select(F.col("k.ka").alias("_a"), F.col("k.kb").alias("_b")).distinct()
     cut = cut.join(first, (F.col("ka") == F.col("_a")) & (F.col("kb") == F.col("_b")), "left_anti")
     return counted, cut.select("ka", "kb", "n_cut", "cut")
@@ -167,7 +162,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: s
     A null text has no words and fails; a null host is a host of its own;
     rows with null ids and repeated rows are judged like any other (repeated
     ones count as one document); an empty table gives no rows."""
-    counted, cut = _judged(docs, rules, host, text, normal)
+    counted, cut = _judged(docs, rules, host, text)
     c = cut.select(F.col("ka").alias("_a"), F.col("kb").alias("_b"), "n_cut")
     j = counted.join(c, (F.col("ka") == F.col("_a")) & (F.col("kb") == F.col("_b")), "left")
     n_cut = F.coalesce(F.col("n_cut"), F.lit(0))
@@ -180,18 +175,13 @@ def clean(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: s
     """``docs`` without the rejected rows, and their texts without the
     removed lines (``length``, if there is such a column, counted anew).
     Other columns, rows that lose nothing and repeated rows stay as they are."""
-    counted, cut = _judged(docs, rules, host, text, exact)
+    counted, cut = _judged(docs, rules, host, text)
     c = cut.select(F.col("ka").alias("_a"), F.col("kb").alias("_b"), "n_cut", "cut")
     j = counted.join(c, (F.col("ka") == F.col("_a")) & (F.col("kb") == F.col("_b")), "left")
-    stay = j.where(~F.col("base_failed") & _left(rules)).select(
-        F.col("ka").alias("_a"), F.col("kb").alias("_b"), F.col("cut").alias("_cut")).dropDuplicates(["_a", "_b"])
-    key = row_key(F.col("doc_id"), F.col(host), F.col(text))
-    named = docs.withColumn("_k", key)
-    kept = named.join(stay, (F.col("_k.a") == F.col("_a")) & (F.col("_k.b") == F.col("_b")))
-    rest = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x: ~(
-        x.rlike(f"[^{SPACE}]") & F.array_contains("_cut", line_hash(exact(x))))), "\n")
-    out = kept.withColumn(text, F.when(F.col("_cut").isNull(), F.col(text)).otherwise(rest))
-    if length in docs.columns and length != text:
-        kind = docs.schema[length].dataType
-        out = out.withColumn(length, F.when(F.col("_cut").isNull(), F.col(length)).otherwise(F.length(text).cast(kind)))
-    return out.select(*docs.columns)
+    stay = j.where(~F.col("base_failed") & _left(rules)).select("ka", "kb", "cut").dropDuplicates(["ka", "kb"])
+    kept = packed(docs, row_key(F.col("doc_id"), F.col(host), F.col(text))).join(stay, ["ka", "kb"])
+    was = F.col("row")[text]
+    rest = F.array_join(F.filter(F.split(was, "\n"), lambda x: ~(
+        x.rlike(f"[^{SPACE}]") & F.array_contains("cut", line_hash(normal(x))))), "\n")
+    now = F.when(F.col("cut").isNull(), was).otherwise(rest)
+    return unpacked(kept, docs, {text: now} | counted_anew(docs, text, length, now, F.col("cut").isNotNull()))

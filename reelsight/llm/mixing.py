@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.llm.tables import n_words, row_key, running, staged
+from reelsight.llm.tables import n_words, packed, row_key, running, staged, unpacked
 
 
 @dataclass(frozen=True)
@@ -63,14 +63,15 @@ def targets(sources: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def plan(docs: DataFrame, mix: Mix = Mix(), text: str = "text", source: str = "source",
-         with_key: bool = False) -> DataFrame:
+         key: Column | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target (the source's), copies and
-    taken (copies times size) of every row; with its key (ka, kb) on demand.
+    taken (copies times size) of every row; with the parts of ``key`` (ka,
+    kb) if one is given.
 
     Null texts and texts without words have size 0 and are never taken;
     null sources are one source, the last; null ids are ordered like an id.
     Repeated rows are queued separately.  An empty table gives no rows."""
-    key = row_key(F.col("doc_id"), F.col(source), F.col(text))
+    with_key = key is not None
     order = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("|" + mix.seed)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
                        n_words(F.col(text)).alias("size"), order.alias("h"),
@@ -104,12 +105,10 @@ def plan(docs: DataFrame, mix: Mix = Mix(), text: str = "text", source: str = "s
 
 def apply(docs: DataFrame, mix: Mix = Mix(), text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` as the mix takes them: a row as often as it is taken."""
-    chosen = (plan(docs, mix, text, source, with_key=True).where("copies > 0")
-              .groupBy("ka", "kb").agg(F.sum("copies").alias("_copies"))
-              .select(F.col("ka").alias("_a"), F.col("kb").alias("_b"), "_copies"))
-    key = row_key(F.col("doc_id"), F.col(source), F.col(text))
-    named = docs.withColumn("_k", key).withColumns({"_ka": F.col("_k.a"), "_kb": F.col("_k.b")}).drop("_k")
-    kept = named.join(chosen, (F.col("_ka") == F.col("_a")) & (F.col("_kb") == F.col("_b")))
-    # rows equal in id, source and text have their copies added up
-    one = kept.dropDuplicates(["_ka", "_kb"])
-    return one.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    key = row_key(*[docs[f"`{c}`"] for c in docs.columns])
+    chosen = (plan(docs, mix, text, source, key).where("copies > 0")
+              .groupBy("ka", "kb").agg(F.sum("copies").alias("copies")))
+    # rows equal in every column have their copies added up
+    kept = packed(docs, key).join(chosen, ["ka", "kb"]).dropDuplicates(["ka", "kb"])
+    times = kept.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("i"))
+    return unpacked(times, docs)

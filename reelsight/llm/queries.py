@@ -55,34 +55,47 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op4_quality"] = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t, text IS NULL AS no_text
            FROM documents),
-w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, ws
+w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
       FROM (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)),
-win AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, word, ws[i + 1], ws[i + 2]) AS n
-        FROM w WHERE i + 2 <= len(ws)),
+nxt AS (SELECT rid, i, word, lead(word, 1) OVER o AS word2, lead(word, 2) OVER o AS word3
+        FROM w WINDOW o AS (PARTITION BY rid ORDER BY i)),
+win AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, word, word2, word3) AS n FROM nxt WHERE word3 IS NOT NULL),
 rep AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM win, (VALUES (0), (1), (2)) AS o(k)
         WHERE n >= 2 GROUP BY rid),
 wc AS (SELECT rid, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY rid),
 l AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
-ln AS (SELECT rid, line, trim(regexp_replace(lower(line), '[^\p{L}]+', ' ', 'g')) AS norm FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+ln AS (SELECT rid, line, trim(regexp_replace(lower(line), '[\t-\r\p{Z}]+', ' ', 'g')) AS norm FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 lh AS (SELECT rid, line, length(norm) AS lw, ('0x' || substr(md5(norm), 1, 15))::BIGINT AS h FROM ln),
 dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM lh GROUP BY rid),
-one AS (SELECT min(rid) AS rid FROM d GROUP BY doc_id, source, t, no_text),
-fam AS (SELECT rid, max(struct_pack(w := lw, h := h)).h AS family FROM lh WHERE rid IN (SELECT rid FROM one) GROUP BY rid),
-cnt AS (SELECT source, h, family, count(*) AS n
-        FROM (SELECT DISTINCT rid, h FROM lh) JOIN fam USING (rid) JOIN d USING (rid) GROUP BY ALL),
-bad AS (SELECT source, h FROM cnt GROUP BY ALL HAVING sum(n) > 20 AND max(n) < 0.5::DOUBLE * sum(n)),
-whole AS (SELECT rid, sum(lw) AS whole FROM lh GROUP BY rid),
-cut AS (SELECT rid, sum(lw) AS n_cut FROM lh JOIN d USING (rid)
-        JOIN bad ON bad.h = lh.h AND bad.source IS NOT DISTINCT FROM d.source GROUP BY rid),
-f AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+f AS (SELECT d.rid, d.doc_id, d.source, ('0x' || substr(md5(t), 1, 15))::BIGINT AS th, coalesce(n_words, 0) AS n_words,
+             coalesce(word_chars, 0)::BIGINT AS word_chars,
              length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
              coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-             coalesce(n_cut, 0)::BIGINT AS n_cut_chars,
-             coalesce(whole, 0) AS whole
-      FROM d LEFT JOIN wc USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN cut USING (rid) LEFT JOIN whole USING (rid))
-SELECT * EXCLUDE (whole), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND whole - n_cut_chars >= 0.3::DOUBLE * whole AS kept
-FROM f
+             coalesce(n_words, 0) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * coalesce(n_words, 0) AS base_failed
+      FROM d LEFT JOIN wc USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid)),
+-- a line counts once for each distinct document, whose family is the set of its lines
+one AS (SELECT min(rid) AS rid FROM d GROUP BY doc_id, source, t, no_text),
+dl AS (SELECT DISTINCT rid, h FROM lh WHERE lw > 0 AND rid IN (SELECT rid FROM one)),
+fam AS (SELECT rid, md5(string_agg(h::VARCHAR, ',' ORDER BY h)) AS family FROM dl GROUP BY rid),
+cnt AS (SELECT source, h, family, count(*) AS n FROM dl JOIN fam USING (rid) JOIN d USING (rid) GROUP BY source, h, family),
+bad AS (SELECT source, h FROM cnt GROUP BY source, h HAVING sum(n) > 20 AND max(n) < 0.5::DOUBLE * sum(n)),
+whole AS (SELECT rid, sum(lw) AS whole FROM lh GROUP BY rid),
+hit AS (SELECT lh.rid, d.source, lh.h, lh.lw FROM lh JOIN d USING (rid)
+        JOIN bad ON bad.h = lh.h AND bad.source IS NOT DISTINCT FROM d.source),
+cut AS (SELECT rid, sum(lw) AS n_cut, max(lw) AS longest FROM hit GROUP BY rid),
+-- near copies that deplete one another: the first that holds a removed line stays whole
+copies AS (SELECT cut.rid, f.source, row_number() OVER (ORDER BY f.doc_id IS NULL, f.doc_id, f.th) AS place,
+                  f.doc_id, f.th, f.source AS host
+           FROM cut JOIN whole USING (rid) JOIN f USING (rid)
+           WHERE NOT base_failed AND whole - n_cut < 0.3::DOUBLE * whole AND n_cut > longest
+             AND n_cut - longest >= 0.5::DOUBLE * (whole - longest)),
+firsts AS (SELECT min(c.place) AS place FROM (SELECT DISTINCT rid, h FROM hit) x JOIN copies c USING (rid) GROUP BY c.source, x.h),
+spared AS (SELECT DISTINCT c.doc_id, c.th, c.host FROM copies c JOIN firsts USING (place)),
+lost AS (SELECT f.rid, n_cut FROM cut JOIN f USING (rid) WHERE NOT EXISTS (
+           SELECT 1 FROM spared s WHERE s.doc_id IS NOT DISTINCT FROM f.doc_id AND s.th = f.th AND s.host IS NOT DISTINCT FROM f.source))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, coalesce(n_cut, 0)::BIGINT AS n_cut_chars, base_failed,
+       NOT base_failed AND coalesce(whole, 0) - coalesce(n_cut, 0) >= 0.3::DOUBLE * coalesce(whole, 0) AS kept
+FROM f LEFT JOIN lost USING (rid) LEFT JOIN whole USING (rid)
 """
 
 

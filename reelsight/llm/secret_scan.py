@@ -1,8 +1,9 @@
 """Secret scan: candidate strings, and a random forest that removes the false
 positives.
 
-Candidates are values assigned to a name that speaks of credentials, and
-strings of 16 or more key characters with a letter and a digit.  The forest
+Candidates are values assigned to a name that speaks of credentials, passwords
+in urls, whole blocks of private keys, and strings of 16 or more key characters
+with a letter and a digit.  The forest
 sees length, character transitions, dictionary coverage, path features and the
 neighbouring words of each candidate; it is trained on labelled findings
 (columns before, name, value, after, label) and turned into one SQL
@@ -21,6 +22,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reelsight.llm.tables import counted_anew, packed, row_key, unpacked
+
 # Words of credential names, of other identifiers near long
 # strings, prefixes of issued keys, and common words of identifiers.
 CREDENTIAL = "token|secret|passwd|password|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential"
@@ -48,9 +51,13 @@ DICTIONARY = (
     "user value version video view wait web week width window word work world write year zone").split()
 
 KEY = "[A-Za-z0-9_+/=~-]"
-ASSIGN = f"(?i:{CREDENTIAL})[A-Za-z0-9_]*[\"']?\\s{{0,3}}(?:=>|=|:)\\s{{0,3}}[\"']?"
+ASSIGN = f"(?i:{CREDENTIAL})[A-Za-z0-9_-]*[\"']?\\s{{0,3}}(?:=>|=|:)\\s{{0,3}}[\"']?"
 VALUE = "[^\\s\"'<>,;]{6,}"
-PATTERN = f"{ASSIGN}{VALUE}|(?<!{KEY})(?={KEY}{{16}})(?={KEY}*[0-9])(?={KEY}*[A-Za-z]){KEY}{{16,}}"
+BLOCK = ("-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----(?:\\s{1,4}[A-Za-z-]{1,40}: [^\\n]{0,200}){0,4}"
+         "[A-Za-z0-9+/=\\s]*+-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
+USER = "://[^\\s/:@\"'<>]{1,64}:"
+LOGIN = f"{USER}[^\\s/@\"'<>]{{4,}}(?=@[A-Za-z0-9\\[])"
+PATTERN = f"{BLOCK}|{LOGIN}|{ASSIGN}{VALUE}|(?<!{KEY})(?={KEY}{{16}})(?={KEY}*[0-9])(?={KEY}*[A-Za-z]){KEY}{{16,}}"
 
 
 @dataclass(frozen=True)
@@ -66,14 +73,15 @@ class Scan:
 
 def named(found: Column) -> tuple[Column, Column]:
     """(name part, value part) of a match."""
-    value = F.regexp_extract(found, f"^{ASSIGN}({VALUE})$", 1)
+    pattern = f"^(?:{ASSIGN}({VALUE})|{USER}([^\\s]+))$"
+    value = F.concat(F.regexp_extract(found, pattern, 1), F.regexp_extract(found, pattern, 2))
     value = F.when(value == "", found).otherwise(value)
     return F.substring(found, F.lit(1), F.length(found) - F.length(value)), value
 
 
 FEATURES = ("length", "transitions", "classes", "digits", "upper", "hex", "distinct", "dictionary", "vowels", "slashes",
             "dots", "path_before", "path_like", "credential", "credential_near", "benign_near", "quoted", "issued",
-            "placeholder", "dashes", "repeats")
+            "placeholder", "dashes", "repeats", "login", "block")
 
 
 def features(before: Column, name: Column, value: Column, after: Column) -> dict[str, Column]:
@@ -111,6 +119,8 @@ def features(before: Column, name: Column, value: Column, after: Column) -> dict
         "placeholder": flag(F.lower(value).rlike(PLACEHOLDER)),
         "dashes": left_out("[_-]"),
         "repeats": left_out("(.)(?=\\1)") / n,
+        "login": flag(name.startswith("://")),
+        "block": flag(value.startswith("-----BEGIN ")),
     }
 
 
@@ -159,6 +169,19 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
         (0, F.concat(prose, pick("p", ["order ", "tracking ", "invoice ", "isbn "])), none,
          F.concat(F.upper(cut(word("p"), F.lit(2))), F.translate(h("p"), "abcdef", "012345")).substr(1, 18), F.lit(" ")),
     ]
+    kinds += [
+        (1, F.concat(prose, pick("q", ["postgres", "https", "mongodb+srv", "amqp"])), F.concat(F.lit("://"), word("q1"), F.lit(":")),
+         F.concat(word("q2"), cut(b64("q"), size("q", 3, 20))), F.lit("@d")),
+        (0, F.concat(prose, pick("r", ["postgres", "https", "redis"])), F.concat(F.lit("://"), word("r1"), F.lit(":")),
+         pick("r2", ["password", "<password>", "${PASSWORD}", "your_password", "xxxxxxxx", "changeme", "example"]), F.lit("@h")),
+        (1, prose, none, F.concat(F.lit("-----BEGIN "), pick("s", ["RSA ", "EC ", "OPENSSH ", ""]), F.lit("PRIVATE KEY-----\n"),
+                                  pick("s0", ["", "", "Proc-Type: 4,ENCRYPTED\n\n"]),
+                                  F.repeat(F.concat(b64("s1"), F.lit("\n")), size("sn", 1, 12)),
+                                  F.repeat(F.concat(b64("s2"), cut(b64("s3"), F.lit(21)), F.lit("\n")), size("sm", 1, 20)),
+                                  cut(b64("s4"), size("s", 4, 43)), F.lit("=\n-----END PRIVATE KEY-----")), F.lit("\n")),
+        (1, prose, F.concat(pick("t", ["secret-key: ", "api-key=", "client-secret-value: \"", "access-token = "])),
+         cut(b64("t"), size("t", 8, 24)), after),
+    ]
     rec = [F.struct(F.lit(k).alias("label"), b.alias("before"), n.alias("name"), v.alias("value"), a.alias("after"))
            for k, b, n, v, a in kinds]
     one = F.get(F.array(*rec), F.pmod(i, F.lit(len(kinds))).cast("int"))
@@ -248,13 +271,11 @@ def redact(docs: DataFrame, forest: str, scan: Scan = Scan(), text: str = "text"
            mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret replaced by ``mark`` (``length``, if there is
     such a column, counted anew where the text changed).  No row goes."""
-    c = _candidates(docs, forest, scan, text)
+    rows = packed(docs, row_key(F.col("doc_id")))
+    c = _candidates(rows.select("row", F.col("row")[text].alias("_t")), forest, scan, "_t")
     hits = F.coalesce(F.exists("_found", lambda x: x["score"] > scan.limit), F.lit(False))
     parts = F.transform("_found", lambda x, i: F.concat(
         F.get("_pieces", i), x["name"], F.when(x["score"] > scan.limit, F.lit(mark)).otherwise(x["value"])))
     clean = F.concat(F.array_join(parts, ""), F.get("_pieces", F.size("_found")))
-    out = c.withColumn("_hits", hits).withColumn(text, F.when(F.col("_hits"), clean).otherwise(F.col(text)))
-    if length in docs.columns and length != text:
-        kind = docs.schema[length].dataType
-        out = out.withColumn(length, F.when(F.col("_hits"), F.length(text).cast(kind)).otherwise(F.col(length)))
-    return out.select(*docs.columns)
+    made = c.select("row", hits.alias("hits"), F.when(hits, clean).otherwise(F.col("_t")).alias("now"))
+    return unpacked(made, docs, {text: F.col("now")} | counted_anew(docs, text, length, F.col("now"), F.col("hits")))

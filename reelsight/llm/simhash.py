@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsight.llm.components import components
-from reelsight.llm.tables import row_key, staged
+from reelsight.llm.tables import packed, row_key, staged, unpacked
 
 BITS = 64
 SEED = 42
@@ -218,8 +218,6 @@ def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, text: str
     rows, classes = _classes(docs, shingle, max_bits, text)
     best = (rows.join(classes, F.col("fp") == F.col("_fp"))
                 .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "ka", "kb")).alias("k")))
-    keep = best.select(F.col("k.ka").alias("_ka"), F.col("k.kb").alias("_kb"))
-    key = row_key(F.col("doc_id"), F.col(text))
-    named = docs.withColumn("_k", key).withColumns({"_a": F.col("_k.a"), "_b": F.col("_k.b")}).drop("_k")
-    kept = named.join(keep, (F.col("_a") == F.col("_ka")) & (F.col("_b") == F.col("_kb")), "left_semi")
-    return kept.dropDuplicates(["_a", "_b"]).drop("_a", "_b")
+    keep = best.select("k.ka", "k.kb")
+    kept = packed(docs, row_key(F.col("doc_id"), F.col(text))).join(keep, ["ka", "kb"], "left_semi")
+    return unpacked(kept.dropDuplicates(["ka", "kb"]), docs)

@@ -42,6 +42,26 @@ def row_key(*cols: Column) -> Column:
     return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit("key"), *reversed(parts)).alias("b"))
 
 
+def packed(docs: DataFrame, key: Column) -> DataFrame:
+    """(row, ka, kb): all columns of ``docs`` in one struct, beside the row's
+    :func:`row_key`, so that no name of a helper can meet one of theirs."""
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), key.alias("k"))
+    return rows.select("row", F.col("k.a").alias("ka"), F.col("k.b").alias("kb"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, new: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of ``docs`` from ``row``, those of ``new`` replaced."""
+    return rows.select(*[(new or {}).get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def counted_anew(docs: DataFrame, text: str, length: str, now: Column, changed: Column) -> dict[str, Column]:
+    """The column ``length``, if ``docs`` has it, with the characters of the
+    text ``now`` where it has changed."""
+    if length not in docs.columns or length == text:
+        return {}
+    return {length: F.when(changed, F.length(now).cast(docs.schema[length].dataType)).otherwise(F.col("row")[length])}
+
+
 def running(df: DataFrame, group: list[str], order: list[str], value: str | None, tag: str,
             out: str = "before") -> DataFrame:
     """Add ``out``: the sum of ``value`` (None: the number) of the rows before

@@ -147,8 +147,8 @@ def model(docs: DataFrame, labels: DataFrame, n_grades: int | None = None, p: Or
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.int32()))],
                                              names=["id", "grade", "cols"])
 
-    chosen = (docs.join(some, docs.doc_id.cast("long") == some["_id"])
-                  .select(F.col("_id").alias("id"), "grade", F.col(text).alias("t")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).alias("t"))
+    chosen = texts.join(some, texts.id == some["_id"]).select("id", "grade", "t")
     made = staged(chosen.mapInArrow(columns, "id long, grade int, cols array<int>")
                   .dropDuplicates(["id"]), "toxic-features")
 

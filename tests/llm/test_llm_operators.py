@@ -1,6 +1,7 @@
 """The other operators against brute force, their promises, and held-out
 accuracy."""
 
+import base64
 import hashlib
 import math
 import random
@@ -274,6 +275,20 @@ def test_findings_and_redaction(spark, forest):
     assert text["4"] == (texts[3][1], 3) and text["2"] == (None, None) and text["3"] == ("", 0)
 
 
+def test_urls_dashed_names_and_key_blocks(spark, forest):
+    f, _ = forest
+    lines = [base64.b64encode(hashlib.sha384(b"%d" % i).digest()).decode() for i in range(20)]
+    key = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + "\n".join(lines) + "==\n-----END RSA PRIVATE KEY-----"
+    texts = [(1, "see postgres://admin:hunter2pwX9@db.example.org/x now"), (2, 'secret-key: "q8Zk3LmP0x7Rt2"'), (3, f"head\n{key}\ntail"),
+             (4, "open http://localhost:8080/a@b or http://h:80/ there"), (5, "the private key of a person, and secret things: none")]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in texts], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r.text for r in secret_scan.redact(df, f).collect()}
+    assert got[1] == "see postgres://admin:[SECRET]@db.example.org/x now"
+    assert got[2] == 'secret-key: "[SECRET]"'
+    assert got[3] == "head\n[SECRET]\ntail"
+    assert got[4] == texts[3][1] and got[5] == texts[4][1]
+
+
 def test_one_class_gives_a_constant(spark):
     rows = secret_scan.labelled_findings(spark, 200)
     assert secret_scan.train(rows.where("label = 1")) == "1.0" and secret_scan.train(rows.limit(0)) == "0.0"

@@ -23,6 +23,12 @@ def odd_docs():
     for i in range(60):
         body = " ".join(word(1000 * i + j) for j in range(60))
         rows.append((i, f"Title {i}\n{body}\n{BOILER}\n{BOILER.upper()}", "en", "a" if i % 3 else "b"))
+    # lines that do go: a long shared line, near copies, lines of figures
+    shared = " ".join(word(77_000 + j) for j in range(80))
+    rows += [(1000 + i, f"{shared}\n" + " ".join(word(90_000 + 10 * i + j) for j in range(9)), "en", "long") for i in range(30)]
+    lines = [" ".join(word(80_000 + 20 * k + j) for j in range(15)) for k in range(9)]
+    rows += [(2000 + i, "\n".join(x + (f" {word(95_000 + i)}" if k == i % 9 else "") for k, x in enumerate(lines)), "en", None) for i in range(50)]
+    rows += [(3000 + i, " ".join(word(120_000 + 70 * i + j) for j in range(60)) + f"\nPrice {i},499\nPrice 5\n| 7 | 8 |\n\u00a0\nE", "en", "f") for i in range(30)]
     rows += [(100, None, None, None), (101, "", "en", "a"), (102, " \t\n ", "en", None), (103, "x y z " * 40, "en", "c"),
              (104, "a b c d e f g", "en", "a"), (105, "### $$$ <p> | " * 30, "en", ""), (None, "no id " + "q r s t u " * 30, "de", "é"),
              (7, rows[7][1], "en", "a"), (7, rows[7][1], "en", "a"), (106, "long " + " ".join(f"v{k}" for k in range(30_000)), "en", "a"),
@@ -105,5 +111,8 @@ def test_boilerplate_and_bad_hosts(spark, odd):
     assert kept[0].kept and kept[1].kept  # they lose only the shared line
     assert kept[1].n_cut_chars > 0 and kept[0].n_cut_chars == 0  # few documents of host b
     assert kept[100].n_words == 0 and not kept[100].kept
+    assert not any(kept[1000 + i].kept for i in range(30))
+    assert 1 <= sum(kept[2000 + i].kept for i in range(50)) <= 9
+    assert {kept[3000 + i].n_cut_chars for i in range(30)} == {17} and all(kept[3000 + i].kept for i in range(30))
     said = {r.host: r.verdict for r in QUERIES["op9_urls"](spark, odd).collect() if r.rule is None}
     assert said["bad.org"] == "block" and said["h.org"] == "allow" and said["spam.org"] == "allow"
