@@ -10,6 +10,7 @@ checkpoint and output folders under the session's shared checkpoint folder.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,7 @@ from reelsight.plans import q_io, q_online
 from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.registry import PLANS, register, rounded
 from reelsight.session import materialize, scratch_path
+from reelsight.sources import segments
 from reelsight.sources import testdata as td
 from reelsight.streaming import pipelines as sp
 
@@ -193,6 +195,41 @@ def q_stream_dedup_state(spark, sf):
     return held.select("key._kafka_partition", F.size(ranges["starts"]).alias("ranges"), F.array_max(ranges["ends"]).alias("upto"))
 
 
+def _topic(spark, sf):
+    """The topic log as segments, the first half and then the rest."""
+    path = f"{_run_dir(spark, 'topic')}/segments"
+    log = materialize(td.topic_log(spark, sf).withColumn("dt", F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd")), "topic-log")
+    middle = log.agg(F.avg("ts")).first()[0]
+    return path, log, [log.where(F.col("ts") < middle), log.where(F.col("ts") >= middle)]
+
+
+_TOPIC = "watch_id long, _kafka_partition int, _kafka_offset long"
+
+
+@register("stream_topic", with_views("SELECT watch_id, _kafka_partition, _kafka_offset FROM topic_log", "topic_log"), ids=("SRC6", "STR3"))
+def q_stream_topic(spark, sf):
+    """A stream by offsets that stops after the first half of the topic and
+    goes on from its checkpoint when the rest is there."""
+    path, log, halves = _topic(spark, sf)
+    out = f"{path.removesuffix('/segments')}/out"
+    for part in halves:
+        segments.write_segments(part, path, size=1000)
+        s = segments.read_topic(spark, path, _TOPIC, stream=True)
+        sp.run_available(s.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/ckpt"))
+    return spark.read.schema(_TOPIC).parquet(f"{out}/rows")
+
+
+@register("topic_bounds", with_views("""
+SELECT watch_id, _kafka_partition, _kafka_offset FROM topic_log
+WHERE _kafka_offset >= 2 * _kafka_partition AND _kafka_offset < 10 + 5 * _kafka_partition""", "topic_log"), ids=("SRC5", "SRC6"))
+def q_topic_bounds(spark, sf):
+    """A batch between given offsets of each partition."""
+    path, log, _ = _topic(spark, sf)
+    segments.write_segments(log, path, size=1000)
+    return segments.read_topic(spark, path, _TOPIC, startingOffsets=json.dumps({p: 2 * p for p in range(6)}),
+                               endingOffsets=json.dumps({p: 10 + 5 * p for p in range(6)}))
+
+
 @register("stream_ingest", with_views("SELECT watch_id, watch_id % 10 <> 1 AS ok FROM watches", "watches"),
           ids=("STR1", "STR2", "SRC6", "SNK1", "VAL3"))
 def q_stream_ingest(spark, sf):

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from reelsight.functions.exprs import event_day
 from reelsight.operators.quality import require_columns
+from reelsight.session import materialize
+from reelsight.sources.files import files, first_lines
 
 RATING_COLUMNS = ("user_id", "item_id", "rating", "timestamp")
 # Case-insensitive header aliases of ratings files.
@@ -72,14 +74,13 @@ def events_to_interactions(events: DataFrame) -> DataFrame:
 
 
 def _csv_frames(spark: SparkSession, path: str) -> list[DataFrame]:
-    """One frame for each distinct header among the CSV files under
-    ``path``; the executors read the headers, the driver gets file names."""
-    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
-                  .where(F.col("_metadata.file_block_start") == 0)
-                  .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("i")))
-    first = lines.groupBy("file").agg(F.min_by("value", "i").alias("header"))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    return [spark.read.option("header", True).csv(list(g["files"])) for g in groups if g["header"]]
+    """One frame for each distinct header among the CSV files under ``path``.
+    Tasks read the first line of each file and no more; the driver gets a
+    row for each file name, as Spark's reader wants them."""
+    heads = materialize(first_lines(files(spark, path, "*.csv")).where("line <> ''"), "headers")
+    kinds = [r["line"] for r in heads.select("line").distinct().orderBy("line").collect()]
+    return [spark.read.option("header", True).csv([r["path"] for r in heads.where(F.col("line") == k).select("path").orderBy("path").toLocalIterator()])
+            for k in kinds]
 
 
 def _by_lower_name(df: DataFrame) -> DataFrame:

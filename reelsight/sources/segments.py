@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,9 @@ def _open(path: str):
     """(file system, path in it); local paths and the stores Arrow knows."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), re.sub("^file:(//)?", "", path)
+    return fs.FileSystem.from_uri(quote(path, safe="/:@+,=~"))
 
 
 def segments(path: str) -> dict[int, list[tuple[int, str]]]:
@@ -83,10 +86,11 @@ class _Reading:
     """What batches and streams share."""
 
     def __init__(self, options: dict, schema):
-        self.path, self.options, self.fields = options["path"], options, schema
+        self.options = {k.lower(): v for k, v in options.items()}
+        self.path, self.fields = self.options["path"], schema
 
     def wanted(self, name: str, word: str) -> dict[int, int]:
-        said = self.options.get(name, word)
+        said = self.options.get(name.lower(), word)
         return {} if said == word else {int(k): int(v) for k, v in json.loads(said).items()}
 
     def available(self) -> dict[int, int]:
@@ -104,11 +108,13 @@ class _Reading:
                     out.append(Segment(p, a, b, [f for s, f in files if s == first]))
         return out
 
-    def read(self, part: Segment) -> Iterator:
+    def read(self, part: Segment | None) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
         from pyarrow import parquet
 
+        if part is None:  # nothing to read
+            return
         store, _ = _open(self.path)
         names = [f.name for f in self.fields]
         for f in part.files:
@@ -137,7 +143,7 @@ class _Stream(_Reading, DataSourceStreamReader):
         """All there is, or as far as the limit allows beyond what was told
         last; partitions share the limit evenly."""
         end = self.available()
-        limit = int(self.options.get("maxOffsetsPerTrigger", "0"))
+        limit = int(self.options.get("maxoffsetspertrigger", "0"))
         if limit and self.told is not None:
             each = max(1, limit // max(1, len(end)))
             end = {p: min(o, self.told.get(p, 0) + each) for p, o in end.items()}

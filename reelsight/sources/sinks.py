@@ -9,12 +9,13 @@ re-runs its tasks without leaving partial files behind.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelsight.sources.files import artifact_digest
+
 
 def write_batch(df: DataFrame, out_dir: str, topic: str, formats: Sequence[str] = ("parquet", "csv"),
                 date: Column | None = None, mode: str = "append",
@@ -65,23 +66,12 @@ def report_json(overall: DataFrame, by_bucket: DataFrame | None = None) -> DataF
                     .alias("report"))
 
 
-def file_digests(spark, path: str) -> DataFrame:
-    """sha256 of every file under ``path`` (SNK4), computed by the
-    executors that read the bytes."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
-
-
 def publish_metadata(spark, registry_dir: str, version: str, artifact_dir: str, metrics: dict[str, float],
                      extra: dict[str, str] | None = None) -> DataFrame:
     """Append one registry row for a published artifact (SNK4): version,
     created_at (UTC ISO), artifact path, a digest over the artifact files
     and the metrics map.  Returns the row."""
-    digests = file_digests(spark, artifact_dir)
-    # one number for each file of the artifact (file count, not data, sized); paths relative to it
-    at = F.regexp_extract("path", "/" + re.escape(artifact_dir.rstrip("/").rsplit("/", 1)[-1]) + "/(.*)$", 1)
-    digest = digests.select(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(F.concat_ws(":", at, "sha256")))),
-                                   256).alias("sha256"))
+    digest = spark.createDataFrame([(artifact_digest(spark, artifact_dir),)], "sha256 string")
     meta = {"version": version, "artifact": artifact_dir, **(extra or {})}
     m = F.create_map(*[x for k, v in metrics.items() for x in (F.lit(k), F.lit(float(v)))])
     row = digest.select(*[F.lit(v).alias(k) for k, v in meta.items()],
