@@ -51,6 +51,9 @@ DROP_NAMES = frozenset(
     "share sharing social toc search form contentinfo complementary dialog".split())
 #: Words in class, id, role or itemprop that name the text.
 KEEP_NAMES = frozenset("article articlebody main maincontent content post postbody entry story body".split())
+#: Names that win over those of the text: adverts and readers' comments.
+STRONG_NAMES = frozenset("ad ads advert adverts advertisement advertising adsense adbox adslot sponsor sponsored promo "
+                         "comment comments reply replies respond disqus".split())
 #: Names of readers' comments, which are articles in some pages.
 COMMENT_NAMES = frozenset("comment comments reply".split())
 #: Words before what an element has or lacks, and last words that tell a state.
@@ -59,20 +62,28 @@ STATES = frozenset("open opened closed enabled disabled on off allowed available
 
 TOKEN = re.compile(
     r"<!--(?:.*?)(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+    # a quote opens a value after = only; elsewhere it is an ordinary character
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?)*+)>", re.S)
 LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
-ATTR = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""")
 WORD = re.compile(r"[a-z]+")
 
 
 class _Node:
     """An open element: what its text counts as."""
 
-    __slots__ = ("tag", "dropped", "article", "up", "link", "marks")
+    __slots__ = ("tag", "dropped", "named", "article", "up", "link", "marks", "gone", "heading", "depth")
 
-    def __init__(self, tag, up, dropped=False, article=0, link=False):
-        self.tag, self.up, self.dropped, self.article, self.link = tag, up, dropped, article, link
+    def __init__(self, tag, up, dropped=False, article=0, link=False, named=False):
+        self.tag, self.up, self.dropped, self.article, self.link, self.named = tag, up, dropped, article, link, named
         self.marks = None  # numbers of the marked blocks in it, by mark
+        self.depth = 0 if up is None else up.depth + 1
+        self.heading = tag in HEADING or up is not None and up.heading
+        self.inherit()
+
+    def inherit(self):
+        """Whether it or an element around it is dropped."""
+        self.gone = self.dropped or self.up is not None and self.up.gone
 
 
 def _names(attrs: str) -> tuple[frozenset[str], bool, bool, bool]:
@@ -82,11 +93,14 @@ def _names(attrs: str) -> tuple[frozenset[str], bool, bool, bool]:
 
     Each name is taken as a whole: 'article-footer' is a footer, not text.
     What follows no-, has-, with- and the like tells what the element is not,
-    and names such as comments-open tell a state; neither drops anything."""
-    text, other, comment, hidden = set(), False, False, False
+    and names such as comments-open tell a state; neither drops anything.  A
+    name of an advert or of readers' comments takes away the names of the text."""
+    text, other, comment, hidden, strong = set(), False, False, False, False
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id", "role", "itemprop"):
+        if name == "hidden":
+            hidden = True
+        elif name in ("class", "id", "role", "itemprop"):
             for part in value.split():
                 words = WORD.findall(part)
                 words = words[:next((i for i, w in enumerate(words) if w in NOT_IT), len(words))]
@@ -95,14 +109,13 @@ def _names(attrs: str) -> tuple[frozenset[str], bool, bool, bool]:
                 names = {*words, "".join(words)}
                 if names & DROP_NAMES:
                     other = True
+                    strong = strong or bool(names & STRONG_NAMES)
                     comment = comment or bool(names & COMMENT_NAMES)
                 elif names & KEEP_NAMES:
                     text.add("-".join(words))
         elif name == "style" and "display:none" in value.replace(" ", ""):
             hidden = True
-    if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attrs):
-        hidden = True
-    return frozenset(text), other, comment, hidden
+    return frozenset() if strong else frozenset(text), other, comment, hidden
 
 
 def lines(page: str) -> list[tuple[str, int, object, bool]]:
@@ -131,13 +144,8 @@ def lines(page: str) -> list[tuple[str, int, object, bool]]:
         if buf:
             t = " ".join("".join(buf).split())
             if t:
-                dropped, heading, at = False, False, block_owner
-                while at is not None:
-                    dropped = dropped or at.dropped
-                    heading = heading or at.tag in HEADING
-                    at = at.up
-                weight = -1 if dropped else max(0, len(t.replace(" ", "")) - linked)
-                out.append((t, weight, block_owner, heading))
+                weight = -1 if block_owner.gone else max(0, len(t.replace(" ", "")) - linked)
+                out.append((t, weight, block_owner, block_owner.heading))
             buf.clear()
         linked = 0
 
@@ -203,6 +211,7 @@ def lines(page: str) -> list[tuple[str, int, object, bool]]:
         names, other, comment, hidden = _names(attrs) if attrs.strip() else (frozenset(), False, False, False)
         inside = node.article
         other = other and not names
+        named = other and not hidden and tag in ("div", "section", "td")
         dropped = tag in DROP or hidden or other and (comment and tag == "article" or tag not in ("html", "body", "article", "main"))
         if tag == "header" and not inside:
             dropped = True
@@ -217,14 +226,17 @@ def lines(page: str) -> list[tuple[str, int, object, bool]]:
                     article_no += 1
                     node.marks[names] = article_no
                 article = node.marks[names]
-        node = _Node(tag, node, dropped, article, tag == "a" or node.link)
-        if tag in ("article", "main") and node.up is not root:
-            # an article inside a form that wraps the page, or in a menu left open
-            at = node.up
+        node = _Node(tag, node, dropped, article, tag == "a" or node.link, named)
+        if tag in ("article", "main") and node.up.gone and not dropped:
+            # an article inside a form that wraps the page, in a menu left open, or in a block with an odd name
+            way, at = [node], node.up
             while at is not root:
-                if at.dropped and at.tag in ("form", "nav", "header"):
+                if at.dropped and (at.tag in ("form", "nav", "header") or at.named):
                     at.dropped = False
+                way.append(at)
                 at = at.up
+            for at in reversed(way):
+                at.inherit()
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, pos)
             node = node.up
@@ -263,24 +275,28 @@ def _block_of(got: list, lo: int, hi: int, peak: int, share: float = 0.9) -> lis
     """The lines of the lowest element around the densest line that holds
     ``share`` of the span's weight; none if only the body does."""
     whole = sum(max(0, x[1]) for x in got[lo:hi])
-    held: dict[int, int] = {}
-    for _, w, at, _ in got[lo:hi]:
-        while w > 0 and at is not None:
-            held[id(at)] = held.get(id(at), 0) + w
+    nodes: dict[int, _Node] = {}  # all elements around lines, each met once
+    for _, _, at, _ in got:
+        while at is not None and id(at) not in nodes:
+            nodes[id(at)] = at
             at = at.up
+    inner_first = sorted(nodes.values(), key=lambda x: -x.depth)
+    held = dict.fromkeys(nodes, 0)
+    for _, w, at, _ in got[lo:hi]:
+        held[id(at)] += max(0, w)
+    for x in inner_first:
+        if x.up is not None:
+            held[id(x.up)] += held[id(x)]
     block = got[peak][2]
     while block is not None and (block.tag not in BLOCK or block.tag in ("p", "li", "td", "tr", *HEADING)
-                                 or held.get(id(block), 0) < share * whole):
+                                 or held[id(block)] < share * whole):
         block = block.up
     if block is None or block.tag in ("body", "html", ""):
         return []
-    mine = []
-    for i, (_, _, at, _) in enumerate(got):
-        while at is not None and at is not block:
-            at = at.up
-        if at is block:
-            mine.append(i)
-    return mine
+    inside: dict[int, bool] = {}
+    for x in reversed(inner_first):
+        inside[id(x)] = x is block or x.up is not None and inside[id(x.up)]
+    return [i for i, (_, _, at, _) in enumerate(got) if inside[id(at)]]
 
 
 def main_text(page: str, window: int = 3, share: float = 0.15) -> str:
