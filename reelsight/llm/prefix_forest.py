@@ -17,7 +17,7 @@ holds one forest; the queries, in blocks of ``block``, visit every chunk, and
 the best of all chunks are merged.  So a vector is stored once whatever the
 number of trees, no prefix that many vectors share can fill a task, and memory
 is bounded by a chunk and a block.  The candidates wanted of a band are
-``share`` of its rows, and ``least`` rows of a chunk, the longest first, at least.  Vectors without any structure (independent directions
+``share`` of its rows, and ``least`` times k rows of a chunk, the longest first, at least.  Vectors without any structure (independent directions
 in 64 dimensions) need over half of the rows for a recall above 0.9 with any sign
 hash; vectors in clusters need far less.
 """
@@ -37,7 +37,7 @@ class Forest:
     trees: int = 24
     bits: int = 32
     share: float = 0.6
-    least: int = 2_000
+    least: int = 10
     chunk: int = 16_384
     block: int = 4_096
     seed: int = 7
@@ -130,12 +130,12 @@ def bands(x, spread: float):
         left = left[n:]
 
 
-def candidates(x, q, forest: Forest):
+def candidates(x, q, forest: Forest, k: int):
     """For each query, the rows of one chunk met in the forests of its bands."""
     import numpy as np
 
     met: list[list] = [[] for _ in range(len(q))]
-    least = forest.least  # goes to the longest vectors first
+    least = forest.least * k  # goes to the longest vectors first
     for rows in bands(x, forest.spread):
         part = replace(forest, least=least)
         least = max(0, least - len(rows))
@@ -151,7 +151,7 @@ def best(x, ids, q, q_ids, k: int, forest: Forest):
     import numpy as np
 
     out_q, out_i, out_s = [], [], []
-    for i, found in candidates(x, q, forest).items():
+    for i, found in candidates(x, q, forest, k).items():
         found = found[ids[found] != q_ids[i]]
         if not len(found):
             continue
@@ -176,21 +176,20 @@ def search(base: DataFrame, queries: DataFrame, k: int = 20, forest: Forest = Fo
     largest inner product found for each of ``queries``, nearest first, ties
     to the smaller vec_id; rank counts from 1.
 
-    Vectors that are null, zero, of another length than most, or hold a null
-    or non-finite component, and rows without an id take no part.  Rows with a
-    query's own id are no candidates for it.  Of rows that share an id, the
-    one whose vector hashes least counts.  A query with fewer than ``k``
-    candidates gets them all; empty tables give no rows."""
+    Vectors that are null, zero, or hold a null or non-finite component, and
+    rows without an id take no part.  Vectors of each number of components are
+    searched by themselves.  Rows with a query's own id are no candidates for
+    it; other rows that share an id are candidates each.  Of queries that share
+    an id, the one whose vector hashes least counts.  A query with fewer than
+    ``k`` candidates gets them all; empty tables give no rows."""
     def ready(df: DataFrame) -> DataFrame:
         d = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vec).cast("array<double>").alias("v"))
-        d = d.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-        return d.groupBy("vec_id").agg(F.min_by("v", F.xxhash64("v")).alias("v"))
-
-    b, q = staged(ready(base), "forest-base"), staged(ready(queries), "forest-queries")
-    sizes = b.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    dim, n = (sizes["d"], sizes["n"]) if sizes else (0, 0)
-    b, q = b.where(F.size("v") == dim), q.where(F.size("v") == dim)
-    chunks, blocks = max(1, -(-n // forest.chunk)), max(1, -(-q.count() // forest.block))
+        return d.where(F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("d", F.size("v"))
+
+    b = staged(ready(base), "forest-base")
+    one = ready(queries).groupBy("vec_id").agg(F.min_by(F.struct("v", "d"), F.xxhash64("v")).alias("r"))
+    q = staged(one.select("vec_id", "r.*"), "forest-queries")
+    chunks, blocks = max(1, -(-b.count() // forest.chunk)), max(1, -(-q.count() // forest.block))
     deal = lambda m, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(m)).cast("int")
     left = b.withColumn("chunk", deal(chunks, "chunk")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = q.withColumn("block", deal(blocks, "block")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
@@ -211,7 +210,8 @@ def search(base: DataFrame, queries: DataFrame, k: int = 20, forest: Forest = Fo
         got = best(matrix(left), np.asarray(left.column("vec_id")), matrix(right), np.asarray(right.column("vec_id")), k, forest)
         return pa.table([pa.array(c, t) for c, t in zip(got, kinds)], names=names)
 
-    found = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInArrow(
+    keys = ["d", "chunk", "block"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         run, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(

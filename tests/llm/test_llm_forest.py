@@ -40,3 +40,26 @@ def test_recall_of_the_production_forest(spark, tmp_path):
     found = recall(spark, tmp_path, x)
     print("recall", found)
     assert found >= 0.95
+
+
+def test_every_length_and_every_row(spark):
+    """Vectors of two numbers of components, and rows that share an id."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(300)] + [(1000 + i, rng.normal(size=3).tolist()) for i in range(30)]
+    rows += [(7, rng.normal(size=16).tolist()), (8, rows[8][1]), (20, rng.normal(size=16).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = prefix_forest.Forest(share=1.0, chunk=64)
+    got = {}
+    for r in prefix_forest.search(df, df.where("vec_id % 20 = 0 and vec_id <> 20"), k=40, forest=whole).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    assert set(got) == {i for i in range(0, 300, 20) if i != 20} | {1000, 1020}
+    for q, mine in got.items():
+        v = next(x for i, x in rows if i == q)
+        s = sorted((-round(float(np.dot(v, x)), 9), i) for i, x in rows if i != q and len(x) == len(v))[:40]
+        assert sorted(mine) == [(n, i, -x) for n, (x, i) in enumerate(s, 1)]
+
+
+@pytest.mark.parametrize("n", [25, 200, 2_000])
+def test_recall_of_small_tables(spark, tmp_path, n):
+    x, _ = directions(n)
+    assert recall(spark, tmp_path, x) >= (1.0 if n <= 200 else 0.95)
