@@ -61,27 +61,37 @@ def notebook_eligibility(train: DataFrame, test: DataFrame, min_train: int = 5,
     return test.join(users, user, "left_semi").join(train.select(item).distinct(), item, "left_semi")
 
 
-def last_item_holdout(df: DataFrame, order_cols: Sequence[str], user: str = "uidx",
-                      item: str = "iidx", ts: str = "timestamp") -> tuple[DataFrame, DataFrame]:
-    """Latest row per user is the test row, the rest is train (JON6).
+def mark_last_item(df: DataFrame, order_cols: Sequence[str], user: str = "uidx", item: str = "iidx",
+                   ts: str = "timestamp") -> DataFrame:
+    """``df`` with ``is_test``: the latest row of each user (JON6).
 
     Ties on the latest time go to the earliest row in input order
-    (``order_cols`` ascending).  The pick is an aggregate (``min_by``), so a
-    hot user's rows collapse map-side instead of being sorted in one task.
-    Returns ``(train, test)``; ``test`` has ``(user, true_item, ts)``.
-    """
+    (``order_cols`` ascending); rows equal to it in all of them are marked, too.
+    The pick is an aggregate (``min_by``), so a hot user's rows collapse
+    map-side instead of being sorted in one task, and every row meets its
+    user's pick in one join."""
     key = F.struct((-F.col(ts).cast("double")).alias("_t"), *[F.col(c) for c in order_cols])
-    picked = (df.groupBy(user)
-                .agg(F.min_by(F.struct(F.col(item).alias("true_item"), F.col(ts).alias(ts),
-                                       *[F.col(c).alias(f"_o_{c}") for c in order_cols]), key).alias("_p"))
-                .select(user, "_p.*"))
-    test = picked.select(user, "true_item", ts)
-    marks = picked.select(user, *[F.col(f"_o_{c}").alias(c) for c in order_cols])
+    picked = df.groupBy(F.col(user).alias("_u")).agg(F.min_by(F.struct(*[F.col(c).alias(f"_o_{c}") for c in order_cols]), key).alias("_p"))
     same = F.lit(True)
-    for c in (user, *order_cols):  # null-safe: the test row of a user without times leaves train, too
-        same = same & df[c].eqNullSafe(marks[c])
-    train = df.join(marks, same, "left_anti")
-    return train, test
+    for c in order_cols:  # null-safe: the test row of a user without times is one, too
+        same = same & F.col(c).eqNullSafe(F.col(f"_p._o_{c}"))
+    return df.join(picked, F.col(user).eqNullSafe(F.col("_u"))).select(*df.columns, same.alias("is_test"))
+
+
+def held_out(marked: DataFrame, user: str = "uidx", item: str = "iidx", ts: str = "timestamp") -> tuple[DataFrame, DataFrame]:
+    """``(train, test)`` of marked rows; ``test`` has one row (user,
+    true_item, ts) a user."""
+    latest = F.struct((-F.col(ts).cast("double")).alias("_t"))
+    test = marked.where("is_test").groupBy(user).agg(
+        F.min_by(F.struct(F.col(item).alias("true_item"), F.col(ts).alias(ts)), latest).alias("_p"))
+    return marked.where("not is_test").drop("is_test"), test.select(user, "_p.*")
+
+
+def last_item_holdout(df: DataFrame, order_cols: Sequence[str], user: str = "uidx",
+                      item: str = "iidx", ts: str = "timestamp") -> tuple[DataFrame, DataFrame]:
+    """Latest row per user is the test row, the rest is train (JON6); see
+    :func:`mark_last_item`."""
+    return held_out(mark_last_item(df, order_cols, user, item, ts), user, item, ts)
 
 
 def sample_users(users: DataFrame, n: int, seed: int = 42, col: str = "uidx") -> DataFrame:

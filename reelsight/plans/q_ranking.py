@@ -104,13 +104,15 @@ metrics_view("off_metrics_svc", "off_recs", "off_truth", "off_eu", "uidx", "iidx
 
 class Offline:
     """The offline flow, built as far as a query needs it.  Only the
-    re-indexed ratings are written (all later steps read them)."""
+    re-indexed ratings with their mark of train or test are written (all later
+    steps read them)."""
 
     def __init__(self, spark, sf):
         keep = ratings(spark, sf).select("user_id", "item_id", "rating", "timestamp",
                                          *[c for c in ORDER if c not in ("user_id", "item_id", "rating", "timestamp")])
-        self.d = materialize(splits.reindex(keep, 5), "offline-d")
-        self.train, self.test = splits.last_item_holdout(self.d, ORDER, user="uidx", item="iidx")
+        marked = materialize(splits.mark_last_item(splits.reindex(keep, 5), ORDER), "offline-d")
+        self.d = marked.drop("is_test")
+        self.train, self.test = splits.held_out(marked)
 
     @cached_property
     def truth(self):

@@ -3,9 +3,8 @@
 The input table is staged as a sequence of time-ordered file chunks (about
 eight, whatever the data size) so the stream sees several micro-batches.
 What is still open at the end of the input is read from the state that the
-stopped stream holds.  Only the alert plan ends its input with a marker row of no
-service, since its windows wait for the watermark.  Every run gets fresh
-checkpoint and output folders under the session's shared checkpoint folder.
+stopped stream holds; no marker rows end it.  Every run gets fresh checkpoint
+and output folders under the session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -26,25 +25,22 @@ from reelsight.sources import testdata as td
 from reelsight.streaming import pipelines as sp
 
 CHUNKS = 8
-SENTINEL_GAP_S = 30 * 86400
 
 
 def _run_dir(spark, name):
     return scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stage_chunks(df: DataFrame, path: str, ts: str = "ts", sentinel: DataFrame | None = None) -> str:
+def stage_chunks(df: DataFrame, path: str, ts: str = "ts") -> str:
     """Write ``df`` as time-ordered chunks, one write per chunk (so file
-    times follow event time), then the sentinel chunk.  Returns the delay
-    within which the files of a chunk, each a batch, may mix times."""
+    times follow event time).  Returns the delay within which the files of a
+    chunk, each a batch, may mix times."""
     span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()  # two scalars
-    lo, hi = int(span["lo"]), int(span["hi"])
+    lo, hi = int(span["lo"] or 0), int(span["hi"] or 0)
     width = max(1, (hi - lo) // CHUNKS + 1)
     for i in range(CHUNKS):
         a, b = lo + i * width, lo + (i + 1) * width
         df.where((F.col(ts) >= a) & (F.col(ts) < b)).write.mode("append").parquet(path)
-    if sentinel is not None:
-        sentinel.write.mode("append").parquet(path)
     return f"{max(width, 86400)} seconds"
 
 
@@ -143,21 +139,22 @@ r AS (SELECT service, min(window_start) AS run_start, max(window_start) AS run_e
 SELECT service, run_start, run_start + 600 AS fired_at FROM r WHERE run_end - run_start >= 600""", "mon_rate_svc"),
     ids=("STR7", "MON2"))
 def q_stream_alert(spark, sf):
-    """Alerts for each service, the windows fed in several batches in which
-    times are mixed within the delay."""
+    """Alerts for each service: those the stream has fired, and those in the
+    windows that still wait for the watermark when the input ends."""
     w, run = _window_stream(spark, sf, by=("service",))
     flagged = materialize(w.where(F.col("error_rate") > 0.05).select("service", "window_start"), "flagged")
-    last = flagged.agg(F.max("window_start")).first()[0] or 0  # one number
-    # eight batches of time spans, each holding the odd minutes of the span before
-    span = (last - (flagged.agg(F.min("window_start")).first()[0] or 0)) // CHUNKS + 1
-    late = F.col("window_start") + F.when(F.floor(F.col("window_start") / 60) % 2 == 1, span).otherwise(0)
-    stage_chunks(flagged.withColumn("_at", late), f"{run}/flagged", ts="_at", sentinel=spark.createDataFrame(
-        [("", last + 10 * span + SENTINEL_GAP_S, last)], "service string, window_start bigint, _at bigint"))
-    s = sp.read_stream(spark, f"{run}/flagged", "service string, window_start bigint", max_files_per_trigger=1)
-    alerts = sp.alert_stream(s, delay=f"{4 * span} seconds")
+    return alerts_of(spark, flagged, run, ts="window_start")
+
+
+def alerts_of(spark, flagged, run: str, ts: str):
+    """Flagged windows fed in chunks of the column ``ts``, a chunk a batch."""
+    delay = stage_chunks(flagged, f"{run}/flagged", ts=ts)
+    s = sp.read_stream(spark, f"{run}/flagged", flagged.schema, max_files_per_trigger=1)
+    alerts = sp.alert_stream(s, delay=f"{2 * int(delay.split()[0])} seconds")
     sp.run_available(alerts.writeStream.format("parquet").option("path", f"{run}/alerts")
                      .option("checkpointLocation", f"{run}/ckpt-alerts"))
-    return spark.read.parquet(f"{run}/alerts").select("service", "run_start", "fired_at")
+    fired = spark.read.schema(sp.ALERT_OUT).parquet(f"{run}/alerts")
+    return fired.unionByName(sp.open_alerts(spark, f"{run}/ckpt-alerts")).select("service", "run_start", "fired_at")
 
 
 add_view("topic_log", """

@@ -301,32 +301,53 @@ ALERT_OUT = T.StructType([T.StructField("service", T.StringType()), T.StructFiel
                           T.StructField("fired_at", T.LongType())])
 
 
+def _follow(windows: list[int], run_start: int | None, last: int | None, fired: bool, step_s: int, for_s: int):
+    """Runs over further windows in time order: (run_start, last, fired)
+    after them, and the (run_start, fired_at) of alerts on the way."""
+    out = []
+    for t in windows:
+        if last is not None and t <= last:
+            continue
+        if last is None or t != last + step_s:
+            run_start, fired = t, False
+        last = t
+        if not fired and t - run_start >= for_s:
+            out.append((run_start, run_start + for_s))
+            fired = True
+    return (run_start, last, fired), out
+
+
 def _track_runs(step_s: int, for_s: int):
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pending, run_start, last, fired = state.get if state.exists else ([], None, None, False)
+        pending, *run = state.get if state.exists else ([], None, None, False)
         waiting = set(pending or ())
         for b in batches:
             waiting.update(int(x) for x in b["window_start"])
         done = state.getCurrentWatermarkMs() // 1000  # no earlier window can come any more
-        out = []
-        for t in sorted(x for x in waiting if x < done):
-            if last is not None and t <= last:
-                continue
-            if last is None or t != last + step_s:
-                run_start, fired = t, False
-            last = t
-            if not fired and t - run_start >= for_s:
-                out.append((key[0], run_start, run_start + for_s))
-                fired = True
+        run, out = _follow(sorted(x for x in waiting if x < done), *run, step_s, for_s)
         rest = sorted(x for x in waiting if x >= done)
-        state.update((rest, run_start, last, fired))
+        state.update((rest, *run))
         if rest:  # come back when the watermark has passed the first of them
             state.setTimeoutTimestamp(max(rest[0] * 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if out:
-            yield pd.DataFrame(out, columns=["service", "run_start", "fired_at"])
+            yield pd.DataFrame([(key[0], *x) for x in out], columns=["service", "run_start", "fired_at"])
     return fn
 
 
+def open_alerts(spark, checkpoint: str, step_s: int = 60, for_s: int = monitoring.FOR_S) -> DataFrame:
+    """The alerts in the windows that still wait for the watermark in the
+    state of a stopped :func:`alert_stream`, one small row for each service."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            none = lambda x: None if pd.isna(x) else int(x)
+            rows = [(r.service, *x) for r in b.itertuples()
+                    for x in _follow(sorted(r.pending), none(r.run_start), none(r.last), bool(r.fired), step_s, for_s)[1]]
+            yield pd.DataFrame(rows, columns=["service", "run_start", "fired_at"])
+
+    held = open_state(spark, checkpoint, "applyInPandasWithState")[0]
+    return held.select("key.service", "value.groupState.*").mapInPandas(run, ALERT_OUT)
+
+
 def alert_stream(flagged_windows: DataFrame, service: str = "service", step_s: int = 60,
                  for_s: int = monitoring.FOR_S, delay: str = "10 minutes") -> DataFrame:
     """Sustained-condition alert (STR7): for each value of the ``service``
