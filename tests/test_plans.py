@@ -20,7 +20,8 @@ SAMPLE = ["online_summary", "proxy_kpi", "basic_clean", "id_maps", "last_item_ho
           "offline_overall", "recommend_fair", "fair_ndcg_by_bucket", "psi", "drift_table", "ab_ztest",
           "ab_bootstrap", "alert_error_rate", "latency_p95_windows", "active_version_asof", "registry_scan",
           "parse_events", "parse_movie_ids", "union_by_name", "recommend_fallback", "stream_success",
-          "stream_alert", "stream_dedup", "alert_gap"]
+          "stream_alert", "stream_dedup", "alert_gap", "ab_responses", "topk_products", "stream_latency",
+          "stream_dedup_state"]
 NAMES = [n for n, p in PLANS.items() if p.oracle] if os.environ.get("REELSIGHT_ALL_PLANS") else SAMPLE
 
 
