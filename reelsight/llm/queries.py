@@ -188,9 +188,13 @@ hn AS (SELECT host, regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':[0-9]*
               count(bad)::DOUBLE AS n, (count(*) FILTER (bad))::DOUBLE AS y FROM o GROUP BY host),
 h0 AS (SELECT *, regexp_extract(name, '([^.]*\.)?[^.]*$') AS two FROM hn),
 h AS (SELECT host, n, y,
-             CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz', 'com.br', 'co.in')
+             CASE WHEN regexp_matches(name, '^[0-9.]+$|^\[') THEN name
+                  WHEN regexp_matches(two, '^(ac|co|com|edu|gob|gov|go|gv|ltd|mil|ne|net|nhs|nom|or|org|plc|sch)\.[a-z]{2}$')
+                    OR two IN ('github.io', 'gitlab.io', 'blogspot.com', 'wordpress.com', 'herokuapp.com', 'netlify.app', 'pages.dev')
                   THEN regexp_extract(name, '([^.]*\.)?([^.]*\.)?[^.]*$') ELSE two END AS domain,
-             CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz', 'com.br', 'co.in')
+             CASE WHEN regexp_matches(name, '^[0-9.]+$|^\[') THEN '[address]'
+                  WHEN regexp_matches(two, '^(ac|co|com|edu|gob|gov|go|gv|ltd|mil|ne|net|nhs|nom|or|org|plc|sch)\.[a-z]{2}$')
+                    OR two IN ('github.io', 'gitlab.io', 'blogspot.com', 'wordpress.com', 'herokuapp.com', 'netlify.app', 'pages.dev')
                   THEN two ELSE regexp_extract(name, '[^.]*$') END AS suffix FROM h0),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(y) AS y FROM d GROUP BY ALL),

@@ -29,8 +29,12 @@ class Reputation:
     limit: float = 0.5
     z: float = 2.0
     strength: tuple[float, float] = (2.0, 200.0)
-    #: Suffixes of two labels; all others have one.
-    suffixes: tuple[str, ...] = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in")
+    #: A suffix has two labels if the second is a country's (two letters) and
+    #: the first one of these, or if it is one of ``suffixes``, under which
+    #: other people's names are given out; all others have one.
+    second: tuple[str, ...] = ("ac", "co", "com", "edu", "gob", "gov", "go", "gv", "ltd", "mil", "ne", "net", "nhs", "nom", "or",
+                               "org", "plc", "sch")
+    suffixes: tuple[str, ...] = ("github.io", "gitlab.io", "blogspot.com", "wordpress.com", "herokuapp.com", "netlify.app", "pages.dev")
 
 
 def host(url: Column) -> Column:
@@ -56,13 +60,15 @@ def rule_of(host: Column, path: Column, rules: list[str]) -> Column:
     return out
 
 
-def _registered(h: Column, suffixes: tuple[str, ...]) -> tuple[Column, Column]:
-    """(registered domain, suffix) of a host."""
+def _registered(h: Column, rep: Reputation) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host; an address is its own domain,
+    and all addresses have one suffix."""
     name = F.regexp_replace(F.regexp_replace(h, "^[^@]*@", ""), ":[0-9]*$", "")
     two = F.substring_index(name, ".", -2)
-    long = two.isin(*suffixes)
-    return (F.when(long, F.substring_index(name, ".", -3)).otherwise(two),
-            F.when(long, two).otherwise(F.substring_index(name, ".", -1)))
+    long = two.rlike(f"^(?:{'|'.join(rep.second)})\\.[a-z]{{2}}$") | two.isin(*rep.suffixes)
+    address = name.rlike("^[0-9.]+$|^\\[")
+    return (F.when(address, name).when(long, F.substring_index(name, ".", -3)).otherwise(two),
+            F.when(address, F.lit("[address]")).when(long, two).otherwise(F.substring_index(name, ".", -1)))
 
 
 def _shrunk(level: DataFrame, m: str, bounds: tuple[float, float]) -> DataFrame:
@@ -88,7 +94,7 @@ def reputations(outcomes: DataFrame, rep: Reputation = Reputation()) -> DataFram
     """(host, n, bad, mean, bound) of every host in ``outcomes`` (host, bad):
     the labelled pages, the bad ones, and mean and lower bound of the
     posterior of its bad rate.  ``bad`` null: a page without label."""
-    domain, suffix = _registered(F.col("host"), rep.suffixes)
+    domain, suffix = _registered(F.col("host"), rep)
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.count(F.when(F.col("bad"), 1)).alias("y")).select(
         "host", domain.alias("domain"), suffix.alias("suffix"), "n", "y")
     hosts = staged(hosts, "url-hosts")

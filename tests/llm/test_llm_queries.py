@@ -53,6 +53,9 @@ def odd(spark, tmp_path_factory):
     pages = [(i, u, "<p>x", "rule") for i, u in enumerate(URLS)] + [(0, URLS[0], None, None), (None, "http://spam.org/3", "", "")]
     pages += [(1000 + i, f"http://bad.org/en/{i}", "", "") for i in range(40)]
     pages += [(3000 + i, f"http://g{i % 20}.org/en/{500 + i}", "", "") for i in range(200)]
+    # hosts that share a registered domain, a suffix of two labels, or are addresses
+    odd_hosts = ["a.gov.uk", "b.gov.uk", "x.co.at", "me.github.io", "you.github.io", "10.0.0.1", "10.2.0.1:81", "[::1]:80", "co.uk", "u@h.com.au"]
+    pages += [(5000 + 20 * k + i, f"http://{h}/en/{(i if k % 2 else 500 + i)}", "", "") for k, h in enumerate(odd_hosts) for i in range(15)]
     write(spark, f, pages, "page_id long, url string, html string, verdict string", "pages")
     labels = [(i, 0, None) for i in range(30)] + [(500 + i, 1, 0) for i in range(200)] + [(1, 1, 0), (None, 0, 1), (40, None, None)]
     write(spark, f, labels, "doc_id long, quality int, toxic int", "labels")
@@ -114,5 +117,10 @@ def test_boilerplate_and_bad_hosts(spark, odd):
     assert not any(kept[1000 + i].kept for i in range(30))
     assert 1 <= sum(kept[2000 + i].kept for i in range(50)) <= 9
     assert {kept[3000 + i].n_cut_chars for i in range(30)} == {17} and all(kept[3000 + i].kept for i in range(30))
+    from reelsight.llm import url_reputation
+    hosts = spark.createDataFrame([(h,) for h in ("a.gov.uk", "x.me.github.io", "10.0.0.1", "[::1]:80", "u@w.h.org:8")], "host string")
+    parts = url_reputation._registered(hosts.host, url_reputation.Reputation())
+    assert [tuple(r) for r in hosts.select(*parts).collect()] == [
+        ("a.gov.uk", "gov.uk"), ("me.github.io", "github.io"), ("10.0.0.1", "[address]"), ("[::1]", "[address]"), ("h.org", "org")]
     said = {r.host: r.verdict for r in QUERIES["op9_urls"](spark, odd).collect() if r.rule is None}
     assert said["bad.org"] == "block" and said["h.org"] == "allow" and said["spam.org"] == "allow"
