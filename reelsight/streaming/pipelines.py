@@ -50,17 +50,6 @@ def run_available(stream_writer):
     return q
 
 
-def write_updates(counts: DataFrame, out_dir: str, checkpoint: str):
-    """Every change of a windowed aggregate, one folder for each batch; a
-    replayed batch replaces its own.  :func:`latest` reads the state."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_dir))
-
-    return (counts.writeStream.outputMode("update").foreachBatch(write)
-                  .option("checkpointLocation", checkpoint))
-
-
 def latest(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last change of each key, open windows included."""
     cols = [c for c in changes.columns if c not in (*keys, "batch_id")]
