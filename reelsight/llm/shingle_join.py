@@ -21,9 +21,10 @@ a link.
 
 Equal sets collapse first.  Every entry starts with a star: all members against
 its least one.  Members of an entry that are then in different components meet a
-star around another member, and what is still apart is verified pair by pair.  So
-a group of copies costs its members, not its pairs, and no link between
-components is lost.
+star around another member, and what is still apart is compared pair by pair: in
+small entries by a join, in large ones in blocks, where only pairs that parities
+(below) leave possible become rows.  So a group of copies costs its members, not
+its pairs, and no link between components is lost.
 
 Verification is exact, on whole texts.  Before it, pairs that cannot be similar
 are dropped by parities: every shingle flips one of 1,024 bits of its set, so two
@@ -50,7 +51,8 @@ class Near:
     """Sets are linked if den * intersection >= num * union.  One in ``spare``
     segments of a band can hold neighbourhoods; ``swaps`` bounds the exchanges
     of a band, ``row_cost`` is the price of an index row in pairs, ``stars`` the
-    number of rounds of stars."""
+    number of rounds of stars; entries with more than ``heavy`` pairs are cut
+    into blocks of ``block`` members."""
     shingle: int = 3
     num: int = 90
     den: int = 100
@@ -58,6 +60,8 @@ class Near:
     swaps: int = 64
     row_cost: float = 1.0
     stars: int = 2
+    heavy: int = 1_000
+    block: int = 512
 
     def differences(self, sizes: int) -> int:
         return sizes * (self.den - self.num) // (self.den + self.num)
@@ -249,6 +253,44 @@ def _possible(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
                  .where(differ <= most).select("a", "b"))
 
 
+def _compared(near: Near):
+    """The pairs between two blocks of an entry that parities leave possible."""
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
+
+        def columns(t):
+            parity = np.asarray(t.column("parity").combine_chunks().flatten()).view(np.uint64).reshape(t.num_rows, -1)
+            return [parity, *(np.asarray(t.column(c)) for c in ("rec", "n", "comp", "home", "whole"))]
+
+        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if left.num_rows and right.num_rows:
+            lp, lr, ln, lc, lh, lw = columns(left)
+            rp, rr, rn, rc, rh, rw = columns(right)
+            same = left.column("i")[0].as_py() == left.column("j")[0].as_py()
+            for k in range(len(lr)):
+                most = (rn + ln[k]) * (near.den - near.num) // (near.den + near.num)
+                ok = (rc != lc[k]) & (rh | lh[k]) & (rw | lw[k]) & (np.bitwise_count(rp ^ lp[k]).sum(axis=1) <= most)
+                if same:
+                    ok &= rr > lr[k]
+                out_a.append(np.maximum(rr[ok], lr[k]))
+                out_b.append(np.minimum(rr[ok], lr[k]))
+        return pa.table([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+
+    return run
+
+
+def _in_blocks(rows: DataFrame, near: Near) -> DataFrame:
+    """(a, b): the possible pairs of the entries of ``rows`` (key, f, rec, n,
+    home, whole, comp, parity), block by block."""
+    blocks = F.ceil(F.col("f") / near.block).cast("int")
+    own = rows.withColumn("own", F.pmod(F.xxhash64("rec"), blocks).cast("int")).withColumn("blocks", blocks)
+    cols = ["key", "rec", "n", "home", "whole", "comp", "parity"]
+    left = own.select(*cols, F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
+    right = own.select(*[F.col(c).alias(c) for c in cols], F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
+    return left.groupBy("key", "i", "j").cogroup(right.groupBy("key", "i", "j")).applyInArrow(_compared(near), "a long, b long")
+
+
 def _links(members: DataFrame, classes: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     """(rec, comp) of the sets that share a key with another, from (key, rec,
     n, home, whole)."""
@@ -265,12 +307,20 @@ def _links(members: DataFrame, classes: DataFrame, texts: DataFrame, near: Near)
                              F.col("n").alias("hn"), F.col("comp").alias("hc"))
             right = left.where("whole and home").groupBy("key").agg(F.min(order).alias("m")).select("key", "m.*")
             which = F.lit(True)
+            several = left
         else:
-            right = left.select("key", F.col("rec").alias("hub"), F.col("n").alias("hn"), F.col("comp").alias("hc"),
+            several = left.join(left.groupBy("key").agg(F.count(F.lit(1)).alias("f")), "key")
+            dense = several.where(F.col("f") * F.col("f") > near.heavy)
+            several = several.where(F.col("f") * F.col("f") <= near.heavy)
+            right = several.select("key", F.col("rec").alias("hub"), F.col("n").alias("hn"), F.col("comp").alias("hc"),
                                 F.col("home").alias("hh"), F.col("whole").alias("hw"))
             which = (F.col("rec") > F.col("hub")) & (F.col("whole") | F.col("hw")) & (F.col("home") | F.col("hh"))
-        met = left.join(right, "key").where((F.col("comp") != F.col("hc")) & fits & which)
-        pairs = _possible(met.select(F.greatest("rec", "hub").alias("a"), F.least("rec", "hub").alias("b")), classes, near)
+        met = several.join(right, "key").where((F.col("comp") != F.col("hc")) & fits & which).select(
+            F.greatest("rec", "hub").alias("a"), F.least("rec", "hub").alias("b"))
+        if i == near.stars:
+            parity = classes.select(F.col("rec").alias("_r"), "parity")
+            met = met.unionByName(_in_blocks(dense.join(parity, F.col("rec") == F.col("_r")).drop("_r"), near))
+        pairs = _possible(met, classes, near)
         found = verified(staged(pairs, "shingle-pairs"), texts, near)
         # components of components: only what the new links join
         names = comp.withColumnRenamed("rec", "r")

@@ -66,7 +66,7 @@ def texts(seed):
     return rows
 
 
-@pytest.mark.parametrize("near", [Near(), Near(spare=2, row_cost=-1e9, stars=1)])
+@pytest.mark.parametrize("near", [Near(), Near(spare=2, row_cost=-1e9, stars=1, heavy=4, block=3)])
 def test_matches_brute_force(spark, near):
     rows = texts(3)
     df = spark.createDataFrame([(i, t, 1, 2, "k", "r") for i, t in rows], SCHEMA)
@@ -101,5 +101,6 @@ def test_stars_leave_nothing_apart(spark):
     shared = [rng.choice(pool) for _ in range(60)]
     rows += [(100 + i, " ".join(shared + [rng.choice(pool) for _ in range(30)])) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((tuple(r) for r in shingle_join.near_duplicates(df).collect()), key=str)
-    assert got == slow(rows)
+    for near in (Near(stars=0), Near(stars=1, heavy=9, block=4)):
+        got = sorted((tuple(r) for r in shingle_join.near_duplicates(df, near).collect()), key=str)
+        assert got == slow(rows)
