@@ -60,13 +60,16 @@ def _label(errs: Column, key: Column | None) -> Column:
 
 def stage_fields(df: DataFrame, json_col: str, names: Iterable[str]) -> DataFrame:
     """Parse once and extract each named field (value and type name) into
-    its own column.  Separate projections keep Spark from re-parsing the
-    JSON inside every field check (conditional branches are not shared by
-    common-subexpression elimination)."""
+    its own column.  Each step is a generator of one row: a filter on the
+    errors moves below plain projections and would take the parsing of the
+    JSON with it, once for every place in the check that names a field; below
+    a generator it does not move, so a record is parsed once."""
     names = list(dict.fromkeys(names))
-    out = df.withColumn("_v", F.try_parse_json(F.col(json_col)))
-    out = out.select("*", *[F.try_variant_get(F.col("_v"), f"$.{n}", "variant").alias(f"_f_{n}") for n in names])
-    return out.select("*", *[F.schema_of_variant(F.col(f"_f_{n}")).alias(f"_s_{n}") for n in names])
+    out = df.select("*", F.explode(F.array(F.try_parse_json(F.col(json_col)))).alias("_v"))
+    fields = [F.try_variant_get(F.col("_v"), f"$.{n}", "variant").alias(f"_f_{n}") for n in names]
+    out = out.select("*", F.inline(F.array(F.struct(*fields)))) if names else out
+    types = [F.schema_of_variant(F.col(f"_f_{n}")).alias(f"_s_{n}") for n in names]
+    return out.select("*", F.inline(F.array(F.struct(*types)))) if names else out
 
 
 def staged_errors(record: tuple[Field, ...], key: Column | None = None) -> Column:

@@ -198,6 +198,9 @@ def test_invalid_record_fails_also_after_select(spark):
     with pytest.raises(Exception, match="invalid record"):
         quality.assert_valid(v).select("id").collect()
     assert quality.assert_valid(v.where("id = 1")).select("id").count() == 1
+    # a record is parsed once, however often the check names its fields
+    plan = quality.assert_valid(v).select("id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1
 
 
 def test_edge_cases_of_reports(spark):
