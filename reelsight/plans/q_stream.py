@@ -34,7 +34,7 @@ def _run_dir(spark, name):
 def stage_chunks(df: DataFrame, path: str, ts: str = "ts") -> str:
     """Write ``df`` as time-ordered chunks, one write per chunk (so file
     times follow event time).  Returns the delay within which the files of a
-    chunk, each a batch, may mix times."""
+    chunk, in one batch or in two, may mix times."""
     span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()  # two scalars
     lo, hi = int(span["lo"] or 0), int(span["hi"] or 0)
     width = max(1, (hi - lo) // CHUNKS + 1)
@@ -44,6 +44,14 @@ def stage_chunks(df: DataFrame, path: str, ts: str = "ts") -> str:
     return f"{max(width, 86400)} seconds"
 
 
+def read_chunks(spark, path: str, schema) -> DataFrame:
+    """The stream of a staged table in about ``CHUNKS`` batches: a chunk has a
+    file for each task that wrote to it, more in a larger table, and a batch
+    takes as many files as a chunk has on average."""
+    files = len(spark.read.schema(schema).parquet(path).inputFiles())
+    return sp.read_stream(spark, path, schema, max_files_per_trigger=max(1, -(-files // CHUNKS)))
+
+
 def _with_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_time", F.timestamp_seconds("ts"))
 
@@ -58,8 +66,8 @@ def q_stream_success(spark, sf):
     wat = td.watches(spark, sf)
     delay = max(stage_chunks(resp, f"{run}/in/responses"), stage_chunks(wat, f"{run}/in/watches"),
                 key=lambda d: int(d.split()[0]))
-    r = _with_time(sp.read_stream(spark, f"{run}/in/responses", resp.schema, max_files_per_trigger=1))
-    w = _with_time(sp.read_stream(spark, f"{run}/in/watches", wat.schema, max_files_per_trigger=1))
+    r = _with_time(read_chunks(spark, f"{run}/in/responses", resp.schema))
+    w = _with_time(read_chunks(spark, f"{run}/in/watches", wat.schema))
     out = sp.success_stream(r, w, q_online.DAY, delay)
     sp.run_available(out.writeStream.format("parquet").option("path", f"{run}/out")
                      .option("checkpointLocation", f"{run}/ckpt"))
@@ -76,8 +84,8 @@ def q_stream_success_at_k(spark, sf):
     resp, wat = td.responses(spark, sf), td.watches(spark, sf)
     delay = max(stage_chunks(resp, f"{run}/in/responses"), stage_chunks(wat, f"{run}/in/watches"),
                 key=lambda d: int(d.split()[0]))
-    r = _with_time(sp.read_stream(spark, f"{run}/in/responses", resp.schema, max_files_per_trigger=1))
-    w = _with_time(sp.read_stream(spark, f"{run}/in/watches", wat.schema, max_files_per_trigger=1))
+    r = _with_time(read_chunks(spark, f"{run}/in/responses", resp.schema))
+    w = _with_time(read_chunks(spark, f"{run}/in/watches", wat.schema))
     sp.run_available(sp.first_hit_stream(r, w, q_online.WEEK, delay).writeStream.format("parquet")
                      .option("path", f"{run}/out").option("checkpointLocation", f"{run}/ckpt"))
     known = spark.read.parquet(f"{run}/out").unionByName(sp.open_first_hits(spark, f"{run}/ckpt"))
@@ -95,7 +103,7 @@ def q_stream_exposure(spark, sf):
     run = _run_dir(spark, "exposure")
     wat = td.watches(spark, sf)
     delay = stage_chunks(wat, f"{run}/in")
-    s = _with_time(sp.read_stream(spark, f"{run}/in", wat.schema, max_files_per_trigger=1))
+    s = _with_time(read_chunks(spark, f"{run}/in", wat.schema))
     sp.run_available(sp.write_top_share(s, f"{run}/out", f"{run}/ckpt", delay))
     return rounded(sp.latest(spark.read.parquet(f"{run}/out/shares"), ("day",)))
 
@@ -118,7 +126,7 @@ def _window_stream(spark, sf, by=()):
     run = _run_dir(spark, "rate")
     log = td.request_log(spark, sf).drop("event_time").withColumn("service", F.expr(SERVICE))
     delay = stage_chunks(log, f"{run}/in")
-    s = _with_time(sp.read_stream(spark, f"{run}/in", log.schema, max_files_per_trigger=1))
+    s = _with_time(read_chunks(spark, f"{run}/in", log.schema))
     sp.run_available(sp.window_stream(s, delay, by).writeStream.format("parquet").option("path", f"{run}/out")
                      .option("checkpointLocation", f"{run}/ckpt"))
     return spark.read.parquet(f"{run}/out").unionByName(sp.open_windows(spark, f"{run}/ckpt", by)), run
@@ -149,7 +157,7 @@ def q_stream_alert(spark, sf):
 def alerts_of(spark, flagged, run: str, ts: str):
     """Flagged windows fed in chunks of the column ``ts``, a chunk a batch."""
     delay = stage_chunks(flagged, f"{run}/flagged", ts=ts)
-    s = sp.read_stream(spark, f"{run}/flagged", flagged.schema, max_files_per_trigger=1)
+    s = read_chunks(spark, f"{run}/flagged", flagged.schema)
     alerts = sp.alert_stream(s, delay=f"{2 * int(delay.split()[0])} seconds")
     sp.run_available(alerts.writeStream.format("parquet").option("path", f"{run}/alerts")
                      .option("checkpointLocation", f"{run}/ckpt-alerts"))
@@ -170,7 +178,7 @@ def _dedup(spark, sf):
     late = F.col("ts") - F.when(F.col("watch_id") % 3 == 0, 2 * 86400).otherwise(0)
     stage_chunks(log.withColumn("at", late), f"{run}/in", ts="at")
     log.where(F.col("watch_id") % 10 == 0).withColumn("at", F.col("ts")).write.mode("append").parquet(f"{run}/in")
-    s = sp.read_stream(spark, f"{run}/in", log.withColumn("at", late).schema, max_files_per_trigger=1).drop("at")
+    s = read_chunks(spark, f"{run}/in", log.withColumn("at", late).schema).drop("at")
     sp.run_available(sp.dedupe_stream(s).writeStream.format("parquet").option("path", f"{run}/out")
                      .option("checkpointLocation", f"{run}/ckpt"))
     return run
@@ -233,7 +241,7 @@ def q_stream_ingest(spark, sf):
     run = _run_dir(spark, "ingest")
     msgs = q_io._watch_messages(spark, sf).join(td.watches(spark, sf).select("watch_id", "ts"), "watch_id")
     stage_chunks(msgs, f"{run}/in")
-    s = sp.read_stream(spark, f"{run}/in", msgs.schema, max_files_per_trigger=2)
+    s = read_chunks(spark, f"{run}/in", msgs.schema)
     s = s.withColumn("date", F.to_date(F.timestamp_seconds("ts")))
     sp.run_available(sp.ingest(s, f"{run}/out", f"{run}/ckpt", key="watch_id", date_col="date"))
     good = spark.read.parquet(f"{run}/out/good/parquet").select("watch_id", F.lit(True).alias("ok"))
