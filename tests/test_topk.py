@@ -48,6 +48,36 @@ def test_edges(spark):
         assert lists.collect() == [] and work.first()["pairs"] == 0
 
 
+def test_cells_copy_few_vectors():
+    """Vectors copied to cells: before, one for each bucket and each 2,048 users."""
+    for users, items in ((280_000, 1_200_000), (1_700_000, 7_200_000)):
+        blocks, run = topk.cells(users, items, 20, topk.BUCKET)
+        runs = -(-items // (run * topk.BUCKET))
+        assert run * topk.BUCKET <= topk.CELL and users / blocks <= topk.CELL and blocks * runs >= topk.CELLS
+        assert 30 * (users * runs + items * blocks) < users * items / topk.BUCKET + items * users / 2048
+    blocks, run = topk.cells(280_000, 1_200_000, 1_000_000, topk.BUCKET)
+    assert 280_000 / blocks * run * topk.BUCKET <= topk.LISTS  # long lists: the lists of a cell are bounded
+    assert topk.cells(1, 1, 5, 64) == (1, 1)
+
+
+def test_several_runs_and_users_of_many_seen_items(spark, monkeypatch):
+    """Cells of several buckets, tiles of several users, k above a cell's items."""
+    monkeypatch.setattr(topk, "CELL", 64)
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(size=(540, 4)), np.round(rng.normal(size=(200, 4)), 1)  # ties
+    uids, vids = list(range(540)), list(range(200))
+    seen = {(int(a), int(b)) for a, b in zip(rng.integers(0, 540, 9000), rng.integers(0, 200, 9000))}
+    pairs = spark.createDataFrame(list(seen), "uidx long, iidx long")
+    for k in (9, 1000):
+        got = {}
+        for r in topk.top_products(factors(spark, np.round(u, 1), uids), factors(spark, v, vids), k, pairs, bucket=16)[0].orderBy("uidx", "rank").collect():
+            got.setdefault(r.uidx, []).append((round(r.score, 6), r.iidx))
+        for a, row in zip(uids, np.round(u, 1) @ v.T):
+            want = sorted((-round(x, 6), i) for x, i in zip(row, vids) if (a, i) not in seen)[:k]
+            assert [x for x, _ in got[a]] == [-x for x, _ in want] and len({i for _, i in got[a]}) == len(want)
+            assert not {(a, i) for _, i in got[a]} & seen
+
+
 def test_fold_in_gives_the_factors_of_training(spark):
     from reelsight.plans.q_als import offline_model
     from reelsight.plans.q_ranking import Offline
