@@ -265,3 +265,44 @@ def test_shared_folder_is_required_off_local(monkeypatch, spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def _counted(spark, rows, schema):
+    """The rows, and how often they were read in all."""
+    acc = spark.sparkContext.accumulator(0)
+    rdd = spark.sparkContext.parallelize(rows, 4).map(lambda r: (acc.add(1), r)[1])
+    return spark.createDataFrame(rdd, schema), acc
+
+
+def _rated(n=400):
+    rnd = random.Random(11)
+    rows = [(rnd.choice([None, 1, 2, 3, 50, 60, 70]), rnd.choice([None, 5, 6, 7, 8]), rnd.randint(1, 50) / 10,
+             rnd.choice([None, 10, 20, 30]), i // 3, i % 3) for i in range(n)]
+    rows += [(80, 5, 4.0, None, n, 0), (80, None, 4.0, 40, n, 1), (81, 6, 4.0, None, n, 2), (81, 7, 1.0, 9, n, 3)]
+    return rows + rows[:20]
+
+
+def test_reindex_and_mark_read_their_input_twice(spark):
+    rows = _rated()
+    order = ["o", "l", "item_id", "timestamp"]
+    schema = "user_id int, item_id int, rating double, timestamp long, o int, l int"
+    df, acc = _counted(spark, rows, schema)
+    users = {u: sum(r[0] == u for r in rows) for u in {r[0] for r in rows} - {None}}
+    kept = [r for r in rows if users.get(r[0], 0) >= 2 and r[1] is not None]
+    uidx = {u: i for i, u in enumerate(sorted(u for u, n in users.items() if n >= 2))}
+    iidx = {x: i for i, x in enumerate(sorted({r[1] for r in kept}))}
+    plain = _rows(splits.reindex(df, 2), "uidx", "iidx", "o", "l")
+    assert plain == sorted((uidx[r[0]], iidx[r[1]], r[4], r[5]) for r in kept)
+    assert acc.value <= 2 * len(rows)
+
+    def place(r):  # no time is the latest, then the input order
+        return (0 if r[3] is None else 1, -(r[3] or 0), r[4], r[5], r[1])
+
+    best = {u: min((r for r in kept if r[0] == u), key=place) for u in {r[0] for r in kept}}
+    read = acc.value
+    marked = splits.mark_last_item(splits.reindex(df, 2, ts="timestamp"), order)
+    assert "is_last" not in marked.columns
+    got = _rows(marked, "uidx", "iidx", "o", "l", "is_test")
+    assert got == sorted((uidx[r[0]], iidx[r[1]], r[4], r[5], r == best[r[0]]) for r in kept)
+    assert acc.value - read <= 2 * len(rows)
+    assert got == _rows(splits.mark_last_item(splits.reindex(df, 2), order), "uidx", "iidx", "o", "l", "is_test")
