@@ -306,3 +306,35 @@ def test_reindex_and_mark_read_their_input_twice(spark):
     assert got == sorted((uidx[r[0]], iidx[r[1]], r[4], r[5], r == best[r[0]]) for r in kept)
     assert acc.value - read <= 2 * len(rows)
     assert got == _rows(splits.mark_last_item(splits.reindex(df, 2), order), "uidx", "iidx", "o", "l", "is_test")
+
+
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_popularity_recs_null_keys_and_short_rankings(spark, small, monkeypatch):
+    monkeypatch.setattr(recommend, "SMALL", small)
+    monkeypatch.setattr(recommend, "BLOCK", 4)
+    monkeypatch.setattr(recommend, "EXPAND", 7)
+    rnd = random.Random(5)
+    ranking = [(None if p == 3 else 100 + p, p, p * 0.5) for p in range(1, 31)]
+    seen = [(u, rnd.choice([None, 7, *range(101, 101 + 3 * u)])) for u in range(1, 11) for _ in range(4 * u)]
+    seen += [(11, 100 + p) for p in range(1, 31)] + [(None, 101), (77, 101)]
+    users = [*range(1, 13), None]
+    us, sn = spark.createDataFrame([(u,) for u in users + users], "user_id int"), spark.createDataFrame(seen, "user_id int, item_id int")
+    rk = spark.createDataFrame(ranking, "item_id int, pos int, x double")
+    for k in (0, 1, 6, 40):
+        got = recommend.popularity_recs(us, sn, rk, k, carry=["x"])
+        want = []
+        for u in users:
+            s = {i for uu, i in seen if uu == u and u is not None and i is not None}
+            want += [(u, n, *r) for n, r in enumerate([r for r in ranking if r[0] not in s][:k], start=1)]
+        assert sorted(map(repr, map(tuple, got.select("user_id", "rank", "item_id", "pos", "x").collect()))) == sorted(map(repr, want))
+
+
+def test_fair_rerank_does_not_deal_expanded_lists(spark):
+    rk = spark.createDataFrame([(i, i, 1000 - i) for i in range(1, 901)], "item_id int, pos int, pop_count int")
+    sn = spark.createDataFrame([(u, 1 + u % 9) for u in range(40)], "user_id int, item_id int")
+    out = recommend.fair_rerank(sn.select("user_id"), sn, rk, 5)
+    above = out._jdf.queryExecution().sparkPlan().toString().split("Generate")[0]
+    assert "Window" in above and "Join" in above and "SortMergeJoin" not in above
+    lists = out._jdf.queryExecution().executedPlan().toString().split("Generate")[0]
+    assert "Exchange hashpartitioning" not in lists
+    assert out.count() == 40 * 5
