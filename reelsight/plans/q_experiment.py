@@ -11,7 +11,7 @@ from reelsight.functions.exprs import hash_uniform_sql, items_text, normal_cdf_s
 from reelsight.operators import als, experiment, features, online, recommend, splits
 from reelsight.plans.oracle_views import add_view, with_views
 from reelsight.plans.q_online import _HIT_SQL, WEEK
-from reelsight.plans.q_prep import ratings
+from reelsight.plans.q_prep import ratings, snapshot
 from reelsight.plans.registry import PLANS, register, rounded
 from reelsight.session import materialize
 from reelsight.sources import testdata as td
@@ -128,9 +128,10 @@ K_RESP = 20
 BUILD = {"pipeline_git_sha": "git_sha_example_abcdef", "container_image_digest": "sha256:container_digest_example_123456"}
 
 
-def provenance(spark, sf):
-    """The snapshot id of the training data, and the build columns."""
-    snap = PLANS["snapshot_id"].fn(spark, sf).first()["data_snapshot_id"]
+def provenance(spark, sf, rated=None):
+    """The snapshot id of the training data (of ``rated``, if they are
+    written already), and the build columns."""
+    snap = (PLANS["snapshot_id"].fn(spark, sf) if rated is None else snapshot(rated)).first()["data_snapshot_id"]
     return {"data_snapshot_id": snap, **BUILD}
 
 
@@ -226,7 +227,9 @@ FROM arms a LEFT JOIN ab_lists l ON l.user_id = a.user_id AND l.arm = a.arm, ab_
 def q_ab_responses(spark, sf):
     """Arm A: unseen items by ALS, with the popular ones for users it cannot
     score; arm B: popular unseen items."""
-    train, _ = splits.chrono_split(ratings(spark, sf))
+    # every step reads the joined ratings from files
+    rated = materialize(ratings(spark, sf).select("user_id", "item_id", "rating", "timestamp"), "ab-ratings")
+    train, _ = splits.chrono_split(rated)
     rank = features.popularity_positive(train)
     req = experiment.assign_arm(td.responses(spark, sf)).select("request_id", "ts", "user_id", "arm", "latency_ms")
     users = req.select("user_id").distinct()
@@ -237,7 +240,7 @@ def q_ab_responses(spark, sf):
     scored = wide.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= K_RESP)
     recs_b = materialize(recommend.popularity_recs(users, train, rank, K_RESP), "ab-popular")
     recs_a = als.recommend_hybrid(scored.select("user_id", "rank", "item_id"), recs_b.select("user_id", "rank", "item_id"), "user_id")
-    out = experiment.ab_responses(req, {"A": recs_a, "B": recs_b}, provenance(spark, sf), VERSIONS)
+    out = experiment.ab_responses(req, {"A": recs_a, "B": recs_b}, provenance(spark, sf, rated), VERSIONS)
     return out.select("request_id", (F.col("ts") + 1).alias("ts"), "user_id", "arm", items_text("movie_ids").alias("movie_ids"),
                       F.lit(K_RESP).alias("k"), "model_version", "data_snapshot_id", *BUILD,
                       F.col("latency_ms").cast("double").alias("latency_ms"), F.lit(200).alias("status"))

@@ -338,3 +338,21 @@ def test_fair_rerank_does_not_deal_expanded_lists(spark):
     lists = out._jdf.queryExecution().executedPlan().toString().split("Generate")[0]
     assert "Exchange hashpartitioning" not in lists
     assert out.count() == 40 * 5
+
+
+def test_ab_responses_reads_the_ratings_once(spark, tmp_path, monkeypatch):
+    from reelsight.plans import q_experiment
+
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 9), rnd.randint(0, 15), rnd.randint(1, 50) / 10, i) for i in range(200)]
+    df, acc = _counted(spark, rows, "user_id long, item_id long, rating double, timestamp long")
+    monkeypatch.setattr(q_experiment, "ratings", lambda spark, sf: df)
+    spark.createDataFrame([(i, i % 12, "view" if i % 3 else "click", 1.5, '{"k": 4}') for i in range(60)],
+                          "event_id long, user_id long, event_type string, value double, props string").withColumn(
+        "ts", F.timestamp_seconds(F.col("event_id"))).write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([(i, [rnd.random() for _ in range(4)]) for i in range(16)],
+                          "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    monkeypatch.setitem(q_experiment.PLANS, "snapshot_id", None)  # the id comes from the written ratings, too
+    out = q_experiment.q_ab_responses(spark, str(tmp_path)).collect()
+    assert len(out) == 40 and len({r["data_snapshot_id"] for r in out}) == 1
+    assert acc.value == len(rows)
