@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelsight.llm.tables import counted_anew, packed, row_key, unpacked
+from reelsight.llm.tables import counted_anew, packed, row_key, staged, unpacked
 
 # Words of credential names, of other identifiers near long
 # strings, prefixes of issued keys, and common words of identifiers.
@@ -132,7 +132,8 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
     i = F.col("id")
     h = lambda s: F.sha2(F.concat(i.cast("string"), F.lit(s)), 256)
     b64 = lambda s: F.translate(F.base64(F.unhex(h(s))), "+/=", "aZ7")  # noqa: E731  43 letters and digits
-    pick = lambda s, words: F.get(F.array(*[F.lit(w) for w in words]),
+    # one literal a list rather than one a word: thousands of them would fill the driver
+    pick = lambda s, words: F.get(F.split(F.lit("\x1f".join(words)), "\x1f", -1),
                                   F.pmod(F.xxhash64(i, F.lit(s)), F.lit(len(words))).cast("int"))
     size = lambda s, lo, hi: (F.pmod(F.xxhash64(i, F.lit(s)), F.lit(hi - lo + 1)) + lo).cast("int")
     cut = lambda c, n: F.substring(c, F.lit(1), n)
@@ -204,10 +205,13 @@ def train(findings: DataFrame, scan: Scan = Scan(), var: str = "f") -> str:
     of trees that call a candidate a secret.
 
     At most ``max_rows`` findings with the least hash are used; null labels
-    are left out.  One class alone gives a constant."""
+    are left out.  One class alone gives a constant.  Their features are
+    written: the fit reads its rows several times, and planning and compiling
+    the features each time fills the driver's memory."""
     rows = findings.where("label is not null").select("label", *[
         c.alias(k) for k, c in features(*[F.coalesce(F.col(x), F.lit("")) for x in ("before", "name", "value", "after")]).items()])
     rows = rows.orderBy(F.xxhash64(*FEATURES, "label")).limit(scan.max_rows).withColumn("label", F.col("label").cast("double"))
+    rows = staged(rows, "secret-features")
     classes = [r[0] for r in rows.select("label").distinct().orderBy("label").collect()]
     if len(classes) < 2:
         return str(classes[0] if classes else 0.0)

@@ -289,6 +289,31 @@ def test_urls_dashed_names_and_key_blocks(spark, forest):
     assert got[4] == texts[3][1] and got[5] == texts[4][1]
 
 
+def test_secret_training_does_not_compute_its_findings_in_each_pass(spark):
+    """The fit makes several passes over the written features; the findings are computed twice at most."""
+    from pyspark.sql import functions as F
+
+    rows = secret_scan.labelled_findings(spark, 400)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    forest = secret_scan.train(rows.withColumn("value", counted.asNondeterministic()("value")))
+    assert seen.value <= 2 * 400 and forest == secret_scan.train(rows)
+
+
+def test_secret_findings_have_a_small_plan(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    made, lit = [], F.lit
+    monkeypatch.setattr(F, "lit", lambda x: made.append(x) or lit(x))
+    assert secret_scan.labelled_findings(spark, 20).count() == 20
+    assert len(made) < 500
+
+
 def test_one_class_gives_a_constant(spark):
     rows = secret_scan.labelled_findings(spark, 200)
     assert secret_scan.train(rows.where("label = 1")) == "1.0" and secret_scan.train(rows.limit(0)) == "0.0"
