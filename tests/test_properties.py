@@ -308,6 +308,55 @@ def test_reindex_and_mark_read_their_input_twice(spark):
     assert got == _rows(splits.mark_last_item(splits.reindex(df, 2), order), "uidx", "iidx", "o", "l", "is_test")
 
 
+def test_reindex_with_owners_is_reindex_of_the_join(spark):
+    rnd = random.Random(12)
+    owners = spark.createDataFrame([(o, rnd.choice([None, 1, 2, 3, 50])) for o in [*range(60), *range(12), None, None]],
+                                   "o int, user_id int")
+    lines = spark.createDataFrame([(rnd.choice([None, *range(70)]), rnd.choice([None, 5, 6, 7]), rnd.choice([None, 10, 20, 30]), i)
+                                   for i in range(150)] * 2, "o int, item_id int, timestamp long, l int")
+    joined = lines.join(owners, "o")
+    for n in (2, 80):
+        assert (_rows(splits.reindex(lines, n, owners=owners, by="o"), "uidx", "iidx", "o", "l")
+                == _rows(splits.reindex(joined, n), "uidx", "iidx", "o", "l"))
+        got = splits.reindex(lines, n, ts="timestamp", owners=owners, by="o", last_only=["o", "l", "timestamp"])
+        last = got.where("is_last")
+        want = splits.reindex(joined, n, ts="timestamp")
+        assert (sorted(map(repr, last.select("uidx", "iidx", "o", "l", "timestamp").collect()))
+                == sorted(map(repr, want.where("is_last").select("uidx", "iidx", "o", "l", "timestamp").collect())))
+        assert _rows(got, "uidx", "iidx", "is_last") == _rows(want, "uidx", "iidx", "is_last")
+        assert got.where("not is_last").agg(F.count("o"), F.count("l"), F.count("timestamp")).first() == (0, 0, 0)
+
+
+def test_offline_rows_move_once_to_their_order(spark, tmp_path, monkeypatch):
+    from reelsight.plans import q_ranking
+
+    rnd = random.Random(4)
+    spark.createDataFrame([(o, rnd.randint(1, 9)) for o in range(80)], "o_orderkey long, o_custkey long").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(rnd.randint(0, 85), rnd.randint(1, 12), rnd.randint(1, 3), i % 7, float(rnd.randint(1, 50)), 86400 * rnd.randint(1, 90))
+                           for i in range(300)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, s long"
+                          ).withColumn("l_shipdate", F.timestamp_seconds("s")).drop("s").write.parquet(str(tmp_path / "lineitem.parquet"))
+    plans = {}
+
+    def kept(df, tag, write=splits.materialize):
+        plans[tag] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, tag)
+
+    monkeypatch.setattr(splits, "materialize", kept)
+    monkeypatch.setattr(q_ranking, "materialize", kept)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = q_ranking.offline_metrics(spark, str(tmp_path))
+        joins = [x for x in plans["reindex"].splitlines() if "SortMergeJoin" in x]
+        assert "SortMergeJoin [l_orderkey" in joins[0]  # the users' ids come with the orders
+        assert "truth" in plans  # one join for lists, truth lengths and hits
+        users = q_ranking.Offline(spark, str(tmp_path)).users.count()
+        assert users and out.count() == 3 * users
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 @pytest.mark.parametrize("small", [0, 100_000])
 def test_popularity_recs_null_keys_and_short_rankings(spark, small, monkeypatch):
     monkeypatch.setattr(recommend, "SMALL", small)
