@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsight.llm.tables import staged
+from reelsight.llm.tables import sorted_side, staged
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -22,7 +22,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = both.where("v < u")
     low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     side = both.where("v > u") if large else both
-    linked = side.join(low, "u")
+    linked = side.join(sorted_side(low), "u")
     hung = linked.select(F.col("v").alias("a"), F.col("m").alias("b"))
     if not large:
         # the node itself hangs under its smallest neighbour, too

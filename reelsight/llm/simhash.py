@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsight.llm.components import components
-from reelsight.llm.tables import packed, row_key, staged, unpacked
+from reelsight.llm.tables import packed, row_key, sorted_side, staged, unpacked
 
 BITS = 64
 SEED = 42
@@ -156,7 +156,7 @@ def links(fps: DataFrame, max_bits: int = 4, heavy: int = 10_000, block: int = 5
 
     probe = fps.select("fp", F.explode(F.concat(*[near_values(i, *x) for i, x in enumerate(seg)])).alias("k")
                        ).select("k.seg", "k.val", "fp")
-    found = staged(probe.join(sizes, ["seg", "val"]), "simhash-found")  # look-ups that meet an entry
+    found = staged(probe.join(sorted_side(sizes), ["seg", "val"]), "simhash-found")  # look-ups that meet an entry
     load = found.groupBy("seg", "val").agg(F.count(F.lit(1)).alias("lookups"), F.max("members").alias("members"))
     load = staged(load.where(F.col("members") > 1).unionByName(load.where("members = 1 and lookups > 1")),
                   "simhash-load")
@@ -167,7 +167,7 @@ def links(fps: DataFrame, max_bits: int = 4, heavy: int = 10_000, block: int = 5
 
     f, m = found.select("seg", "val", F.col("fp").alias("a")), member.withColumnRenamed("fp", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    pairs = (f.join(light, ["seg", "val"], "left_semi").join(m, ["seg", "val"])
+    pairs = (f.join(sorted_side(light), ["seg", "val"], "left_semi").join(sorted_side(m), ["seg", "val"])
               .where((F.col("a") < F.col("b")) & near).select("a", "b"))
 
     def dealt(side, own, other):
@@ -191,7 +191,7 @@ def _classes(docs: DataFrame, shingle: int, max_bits: int, text: str) -> tuple[D
     rows = staged(fingerprints(docs, shingle, text), "simhash-fp")
     first = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     root = components(links(first.select("fp"), max_bits), "simhash-cc")
-    named = first.join(root, first.fp == root.node, "left").select(
+    named = first.join(sorted_side(root), first.fp == root.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows, named.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
