@@ -103,3 +103,30 @@ def test_fold_in_of_odd_users(spark):
     five = np.linalg.solve(y.T @ y + 2 * np.outer(y[0], y[0]) + 2 * np.outer(y[1], y[1]) + 0.1 * np.eye(2), 3 * y[0])
     assert np.allclose(got[1], one) and np.allclose(got[5], five)
     assert als.fold_in(ui, items.limit(0)).collect() == [] and als.fold_in(ui.limit(0), items).collect() == []
+
+
+def test_training_keeps_no_files_of_past_iterations(spark):
+    """Of about two shuffles an iteration only those that the last factors hang on stay."""
+    import time
+
+    rng = np.random.default_rng(2)
+    ui = spark.createDataFrame([(int(a), int(b), 1.0) for a, b in {*zip(rng.integers(0, 60, 400), rng.integers(0, 40, 400))}],
+                               "uidx int, iidx int, value double")
+    kept = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    before = kept.size()
+    model = als.train_als(ui, rank=4)
+    for _ in range(40):  # the files are removed in the background
+        if kept.size() < before + 20:
+            break
+        time.sleep(0.25)
+    assert kept.size() < before + 20
+    assert model.userFactors.count() == ui.select("uidx").distinct().count()
+
+
+def test_blocks_bound_what_a_task_gathers():
+    """Before: 10 blocks of any table; at 65 million ratings a task then gathered 4 million factors."""
+    for n, others in ((10_800_000, 900_000), (10_800_000, 1_200_000), (65_000_000, 7_200_000), (10 ** 10, 10 ** 9), (10 ** 10, 10 ** 6)):
+        blocks = als.blocks_for(n, others)
+        got = others * -np.expm1(-n / (blocks * others))
+        assert got <= 1.01 * als.RECEIVED and blocks >= als.BLOCKS
+    assert als.blocks_for(10 ** 6, 10 ** 5) == als.blocks_for(0, 0) == 10
