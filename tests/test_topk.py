@@ -130,3 +130,44 @@ def test_blocks_bound_what_a_task_gathers():
         got = others * -np.expm1(-n / (blocks * others))
         assert got <= 1.01 * als.RECEIVED and blocks >= als.BLOCKS
     assert als.blocks_for(10 ** 6, 10 ** 5) == als.blocks_for(0, 0) == 10
+
+
+def test_lists_of_the_whole_catalogue(spark, monkeypatch):
+    """One row a user, ties by id; the same entries in pieces where a task cannot hold the catalogue."""
+    rng = np.random.default_rng(7)
+    u, v = np.round(rng.normal(size=(90, 4)), 1), np.round(rng.normal(size=(300, 4)), 1)
+    v[10:20] = v[10]  # ties
+    uids, vids = list(range(5, 95)), [int(i) for i in rng.permutation(900)[:300]]
+    monkeypatch.setattr(topk, "ENTRIES", 700)
+    monkeypatch.setattr(topk, "PIECE", 64)
+    x, y = factors(spark, u, uids), factors(spark, v, vids)
+    want = brute(u, v, uids, vids, 300, set())
+    rows = topk.top_lists(x, y, 1000).collect()
+    assert len(rows) == 90 and {r.uidx: len(r["items"]) for r in rows} == {i: 300 for i in uids}
+    by_id = {i: f for i, f in zip(vids, v)}
+    for r in rows:
+        assert r["rank"] == 1 and sorted(r["items"]) == sorted(vids)
+        assert np.allclose(r.scores, [u[r.uidx - 5] @ by_id[i] for i in r["items"]])
+        assert all(s > t or i < j for s, t, i, j in zip(r.scores, r.scores[1:], r["items"], r["items"][1:]))
+        assert np.allclose(r.scores, [u[r.uidx - 5] @ by_id[i] for i in want[r.uidx]])
+    monkeypatch.setattr(topk, "CELL", 256)
+    for k, n in ((1000, 300), (70, 70)):
+        got = {}
+        for r in topk.top_lists(x, y, k).collect():
+            got.setdefault(r.uidx, []).append(r)
+        assert len(got) == 90 and len(got[5]) > 1
+        for i, pieces in got.items():
+            assert min(p["rank"] for p in pieces) == 1
+            assert len({j for p in pieces for j in p["items"]}) == sum(len(p["items"]) for p in pieces) == n
+    for k, a, b in ((0, x, y), (5, x.limit(0), y), (500, x.limit(0), y), (500, x, y.limit(0))):
+        assert topk.top_lists(a, b, k).collect() == []
+
+
+def test_serving_facts_read_lists_not_entries(spark, monkeypatch):
+    """Before, every entry of every list was a row."""
+    from reelsight.plans import q_als
+
+    monkeypatch.setattr(topk, "top_products", lambda *a, **b: pytest.fail("a row for every pair"))
+    monkeypatch.setattr(als, "top_products", lambda *a, **b: pytest.fail("a row for every pair"))
+    rows = q_als.q_als_serving_facts(spark, SF001).collect()
+    assert rows and {r.n_items for r in rows} == {max(r.n_items for r in rows)} and {r.first_rank for r in rows} == {1}
