@@ -122,19 +122,33 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(n)}, 500: 500, 501: 500}
 
 
-def test_exploded_tables_are_not_sent_to_all_tasks(spark, monkeypatch):
-    """Spark's estimate leaves out the rows that an explode makes, so these
-    joins are sorted and merged whatever it says."""
-    plans = {}
+@pytest.fixture()
+def plans(monkeypatch):
+    """Spark's first plan of each written table."""
+    got = {}
 
     def staged(df, tag):
-        plans[tag] = df._jdf.queryExecution().sparkPlan().toString()
+        got[tag] = df._jdf.queryExecution().sparkPlan().toString()
         return before(df, tag)
 
     before = simhash.staged
     monkeypatch.setattr(simhash, "staged", staged)
+    return got
+
+
+def test_exploded_tables_are_not_sent_to_all_tasks(spark, plans):
+    """Spark's estimate leaves out the rows that an explode makes, so these
+    joins are sorted and merged whatever it says."""
     links = simhash.links(spark.createDataFrame([(1,), (3,), (2 ** 62,)], "fp long"), 4)
     assert "Broadcast" not in plans["simhash-found"] and "SortMergeJoin" in plans["simhash-found"]
     lines = links._jdf.queryExecution().sparkPlan().toString().split("\n")
     # what is left are the few entries of heavy groups, met by both sides
     assert sum("BroadcastHashJoin" in x for x in lines) <= 2 and sum("SortMergeJoin" in x for x in lines) >= 2
+
+
+def test_nor_in_the_pipeline(spark, plans):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(d, t, "s", "x", 1) for d, t in texts()[:20]], SCHEMA)
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    assert "Broadcast" not in plans["simhash-found"] and 0 < kept.count() <= 20
